@@ -73,10 +73,11 @@ def detect_layout(rows: DataFrame, merges: DataFrame | None = None) -> DataFrame
     # A grouped header has at most one line per dimension column and one detail line, so the widest line
     # bounds how many lines can matter. One number comes to the driver.
     widest = blocks.agg(F.max("used")).first()[0] or 0
-    heads = _head_rows(rows, blocks, max(widest + 2, HEAD_LINES))
+    longest = max(widest + 2, HEAD_LINES)
+    heads = _head_rows(rows, blocks, longest)
     head = F.array_sort(F.collect_list(F.struct("at", "block", "line_no", "cells", "used")))
     files = blocks.groupBy("path").agg(
-        F.max("format").alias("format"), F.count("opens_at").alias("openings"), F.sum("kept").alias("total_kept")
+        F.max("format").alias("format"), F.count("opens_at").alias("openings")
     )
     layouts = files.join(heads.groupBy("path").agg(head.alias("head")), "path", "left")
     if merges is not None:
@@ -84,7 +85,7 @@ def detect_layout(rows: DataFrame, merges: DataFrame | None = None) -> DataFrame
         layouts = layouts.join(_merge_heights(layouts.select("path", first_row), merges), "path", "left")
     else:
         layouts = layouts.withColumn("merge_columns", F.lit(None).cast("array<struct<c1:int,c2:int,h:int>>"))
-    described = _describe(layouts)
+    described = _describe(layouts, longest)
     return stage(blocks.select("path", "block").join(described, "path"), "layout")
 
 
@@ -113,7 +114,7 @@ def measure_height(merges: Column, measure_start: Column, width: Column) -> Colu
     return F.when(F.size(heights) == 1, F.get(heights, F.lit(0)))
 
 
-def _describe(layouts: DataFrame) -> DataFrame:
+def _describe(layouts: DataFrame, longest: int) -> DataFrame:
     """The staircase rules as array expressions over the head lines of a file."""
     is_text = F.col("format") == "txt"
     head = F.col("head")
@@ -144,7 +145,7 @@ def _describe(layouts: DataFrame) -> DataFrame:
     body_at = F.array_position(F.transform(F.slice(F.col("grid"), 3, F.size("grid")), has_measure), True)
     by_lines = F.when(body_at > 0, body_at + 1).otherwise(F.size("grid")).cast("int")
     by_merges = measure_height(F.col("merge_columns"), F.col("measure_start"), F.col("width"))
-    usable = (by_merges >= 2) & (by_merges < F.col("total_kept"))
+    usable = (by_merges >= 2) & (by_merges < F.size("grid"))
     d = d.withColumn("height", F.when(F.col("measures_named"), F.when(usable, by_merges).otherwise(by_lines)))
 
     dims = F.col("measure_start")
@@ -159,9 +160,8 @@ def _describe(layouts: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.size("spans") - 1),
         lambda i: F.get(F.col("spans"), i) > F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("spans"), i - 1)),
     )
-    # When every head line is still header, the true header is longer than a staircase can be, unless
-    # the table simply ended there.
-    complete = (F.col("height") < F.size("grid")) | (F.size("grid") >= F.col("total_kept"))
+    # When every one of ``longest`` lines still is header, it is higher than a staircase can be.
+    complete = (F.col("height") < F.size("grid")) | (F.size("grid") < longest)
     grouped = F.coalesce(
         F.col("measures_named")
         & complete
