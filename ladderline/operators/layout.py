@@ -79,59 +79,60 @@ def detect_layout(rows: DataFrame, merges: DataFrame | None = None) -> DataFrame
     files = blocks.groupBy("path").agg(
         F.max("format").alias("format"), F.count("opens_at").alias("openings")
     )
-    layouts = files.join(heads.groupBy("path").agg(head.alias("head")), "path", "left")
-    if merges is not None:
-        first_row = F.get("head", F.lit(0))["line_no"].alias("table_row")
-        layouts = layouts.join(_merge_heights(layouts.select("path", first_row), merges), "path", "left")
+    layouts = _find_measures(files.join(heads.groupBy("path").agg(head.alias("head")), "path", "left"))
+    if merges is None:
+        layouts = layouts.withColumn("merge_height", F.lit(None).cast("int"))
     else:
-        layouts = layouts.withColumn("merge_columns", F.lit(None).cast("array<struct<c1:int,c2:int,h:int>>"))
+        first_row = F.get("head", F.lit(0))["line_no"].alias("table_row")
+        tables = layouts.select("path", first_row, "measure_start", "width")
+        layouts = layouts.join(header_heights(tables, merges), "path", "left")
     described = _describe(layouts, longest)
     return stage(blocks.select("path", "block").join(described, "path"), "layout")
 
 
-def _merge_heights(tables: DataFrame, merges: DataFrame) -> DataFrame:
-    """Vertical merges that start on a table's first row, by absolute row number.
+def header_heights(tables: DataFrame, merges: DataFrame) -> DataFrame:
+    """``(path, merge_height)``, the height that all vertical merges over a table's measures share.
 
-    Bounded by the table's columns: merged areas cannot overlap."""
-    vertical = merges.join(tables, "path").filter(
-        (F.col("r1") == F.col("table_row")) & (F.col("r2") > F.col("r1"))
-    )
-    return vertical.groupBy("path").agg(
-        F.collect_list(
-            F.struct(
-                F.col("c1").cast("int").alias("c1"),
-                F.col("c2").cast("int").alias("c2"),
-                (F.col("r2") - F.col("r1") + 1).cast("int").alias("h"),
-            )
-        ).alias("merge_columns")
+    ``tables`` is ``(path, table_row, measure_start, width)`` with absolute row numbers. A merge counts
+    when it starts on the table's first row and lies within the measure columns."""
+    over_measures = (F.col("c1") >= F.col("measure_start")) & (F.col("c2") < F.col("width"))
+    vertical = (F.col("r1") == F.col("table_row")) & (F.col("r2") > F.col("r1")) & over_measures
+    height = (F.col("r2") - F.col("r1") + 1).cast("int")
+    heights = (
+        merges.join(tables, "path").filter(vertical).groupBy("path").agg(F.min(height).alias("low"), F.max(height).alias("high"))
     )
+    return heights.filter(F.col("low") == F.col("high")).select("path", F.col("low").alias("merge_height"))
 
 
-def measure_height(merges: Column, measure_start: Column, width: Column) -> Column:
-    """The height all vertical merges over the measure columns agree on, else NULL."""
-    over_measures = F.filter(merges, lambda m: (m["c1"] >= measure_start) & (m["c2"] < width))
-    heights = F.array_distinct(F.transform(over_measures, lambda m: m["h"]))
-    return F.when(F.size(heights) == 1, F.get(heights, F.lit(0)))
+def _find_measures(layouts: DataFrame) -> DataFrame:
+    """Table width, stripped head lines and the first measure column.
 
-
-def _describe(layouts: DataFrame, longest: int) -> DataFrame:
-    """The staircase rules as array expressions over the head lines of a file."""
-    is_text = F.col("format") == "txt"
+    That column is the first one (from the second on) that is filled on the first line and empty on the
+    second."""
     head = F.col("head")
     width = F.array_max(F.transform(F.slice(head, 1, HEAD_LINES), lambda r: r["used"]))
     d = layouts.withColumn("width", F.coalesce(width, F.lit(0)))
+    is_text = F.col("format") == "txt"
     d = d.withColumn(
         "grid",
         F.transform(head, lambda r: F.transform(fit_or_longer(r["cells"], F.col("width"), is_text), strip)),
     )
     line = lambda i: F.get(F.col("grid"), F.lit(i))
-
-    # First column from 1 on that is filled on the first line and empty on the second.
-    indexes = F.sequence(F.lit(0), F.col("width") - 1)
     starts = F.filter(
-        indexes, lambda j: (j >= 1) & (F.get(line(0), j) != "") & (F.get(line(1), j) == "")
+        F.sequence(F.lit(0), F.col("width") - 1),
+        lambda j: (j >= 1) & (F.get(line(0), j) != "") & (F.get(line(1), j) == ""),
     )
-    d = d.withColumn("measure_start", F.when((F.size("grid") >= 2) & (F.col("width") > 0), F.get(starts, F.lit(0))))
+    found = F.when((F.size("grid") >= 2) & (F.col("width") > 0), F.get(starts, F.lit(0)))
+    return d.withColumn("measure_start", found)
+
+
+def _describe(layouts: DataFrame, longest: int) -> DataFrame:
+    """The staircase rules as array expressions over the head lines of a file."""
+    is_text = F.col("format") == "txt"
+    head = F.col("head")
+    line = lambda i: F.get(F.col("grid"), F.lit(i))
+    indexes = F.sequence(F.lit(0), F.col("width") - 1)
+    d = layouts
     top_measures = F.slice(line(0), F.col("measure_start") + 1, F.col("width"))
     d = d.withColumn(
         "measures_named", F.coalesce(F.forall(top_measures, lambda name: name != ""), F.lit(False))
@@ -144,7 +145,7 @@ def _describe(layouts: DataFrame, longest: int) -> DataFrame:
     )
     body_at = F.array_position(F.transform(F.slice(F.col("grid"), 3, F.size("grid")), has_measure), True)
     by_lines = F.when(body_at > 0, body_at + 1).otherwise(F.size("grid")).cast("int")
-    by_merges = measure_height(F.col("merge_columns"), F.col("measure_start"), F.col("width"))
+    by_merges = F.col("merge_height")
     usable = (by_merges >= 2) & (by_merges < F.size("grid"))
     d = d.withColumn("height", F.when(F.col("measures_named"), F.when(usable, by_merges).otherwise(by_lines)))
 

@@ -37,7 +37,7 @@ class Running:
 
 def with_blocks(lines: DataFrame, rows_per_block: int = ROWS_PER_BLOCK, position: str = "line_no") -> DataFrame:
     """Cut sequences with (nearly) dense positions into blocks of positions."""
-    return lines.withColumn("block", F.floor(F.col(position) / F.lit(rows_per_block)).cast("bigint"))
+    return lines.withColumn("block", F.expr(f"`{position}` div {rows_per_block}"))
 
 
 def running(
