@@ -78,7 +78,8 @@ def main() -> int:
     from workload import oracle_sql, queries
 
     spark = build_session(
-        "check", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g"
+        "check", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false", spark__driver__memory="8g",
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(args.sf)

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladderline.functions.text import one_space, replace_first, strip, without_spaces
+from ladderline.functions.text import replace_first, strip, without_spaces
 
 # Contract spellings of each logical type.
 TYPE_SPELLINGS = {
@@ -33,27 +33,26 @@ SPARK_TYPE = {
     "uuid": T.StringType(),
 }
 
-_INTEGER = r"^[+-]?[0-9]+$"
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_REPORT_DATE = r"^[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}$"
-_REPORT_TIME = r"^[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4} [0-9]{1,2}:[0-9]{1,2}:[0-5]?[0-9]$"
-
-
-def _guarded(text: Column, pattern: str, type_name: str) -> Column:
-    return F.when(F.rlike(text, F.lit(pattern)), text.try_cast(type_name))
+# One pattern per type decides whether a text is readable and cuts out what is cast, so each value goes
+# through a single chain of expressions; no match leaves the empty string, which casts to NULL.
+_WHOLE = r"^([+-]?[0-9]+)(?:[.,][0-9]+)?$"
+_NUMBER = r"^([+-]?(?:[0-9]+[.,]?[0-9]*|[.,][0-9]+)(?:[eE][+-]?[0-9]+)?)$"
+_POINT_NUMBER = r"^([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)$"
+REPORT_MOMENT = r"(?U)^([0-9]{1,2})\.([0-9]{1,2})\.([0-9]{4})(?:\s+([0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}))?$"
 
 
 def int_or_null(value: Column) -> Column:
-    digits = F.regexp_replace(replace_first(without_spaces(value.cast("string")), ",", "."), r"\.[0-9]+$", "")
-    return _guarded(digits, _INTEGER, "bigint")
+    """Spaces out, first comma to point, fraction cut. More than one separator is unreadable."""
+    return F.regexp_extract(without_spaces(value.cast("string")), _WHOLE, 1).try_cast("bigint")
 
 
 def float_or_null(value: Column) -> Column:
-    return _guarded(replace_first(without_spaces(value.cast("string")), ",", "."), _NUMBER, "double")
+    number = F.regexp_extract(without_spaces(value.cast("string")), _NUMBER, 1)
+    return F.translate(number, ",", ".").try_cast("double")
 
 
 def to_int(value: Column) -> Column:
-    """Spaces out, first comma to point, fraction cut; anything unreadable (NULL too) is 0."""
+    """Anything unreadable is 0, and so is NULL."""
     return F.coalesce(int_or_null(value), F.lit(0).cast("bigint"))
 
 
@@ -64,18 +63,9 @@ def to_float(value: Column) -> Column:
 def to_datetime(value: Column) -> Column:
     """``dd.MM.yyyy H:mm:ss`` or ``dd.MM.yyyy`` as a timestamp without time zone.
 
-    Built from the digits, so neither the session time zone nor the timestamp type setting matters.
-    """
-    text = one_space(value.cast("string"))
-    part = F.split(text, "[. :]")
-    number = lambda i: F.get(part, F.lit(i)).try_cast("int")
-    day = (number(2), number(1), number(0))
-    zero = F.lit(0)
-    return F.when(
-        F.rlike(text, F.lit(_REPORT_DATE)), F.try_make_timestamp_ntz(*day, zero, zero, zero)
-    ).when(
-        F.rlike(text, F.lit(_REPORT_TIME)), F.try_make_timestamp_ntz(*day, number(3), number(4), number(5))
-    )
+    Rewritten to ISO and cast without a zone, so the session time zone does not matter."""
+    readable = F.regexp_extract(value.cast("string"), REPORT_MOMENT, 0)
+    return F.regexp_replace(readable, REPORT_MOMENT, "$3-$2-$1 $4").try_cast("timestamp_ntz")
 
 
 def to_date(value: Column) -> Column:
@@ -128,10 +118,8 @@ def cast_to_target(value: Column, source: T.DataType, target: T.DataType) -> Col
         return value
     if isinstance(source, T.StringType):
         text = strip(value)
-        if isinstance(target, T.LongType):
-            return _guarded(text, _INTEGER, "bigint")
         if isinstance(target, T.DoubleType):
-            return _guarded(text, _NUMBER, "double")
+            return F.regexp_extract(text, _POINT_NUMBER, 1).try_cast("double")
         if isinstance(target, T.BooleanType):
             return to_boolean(text)
     return value.try_cast(target)

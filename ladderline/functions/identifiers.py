@@ -30,9 +30,7 @@ def latin_identifier(text: Column) -> Column:
     latin = F.translate(latin, "".join([*single, *dropped]), "".join(single.values()))
     name = F.btrim(F.regexp_replace(latin, "[^a-z0-9]+", "_"), F.lit("_"))
     name = F.btrim(F.left(name, F.lit(NAME_BYTES)), F.lit("_"))
-    return (
-        F.when(name == "", "report").when(F.rlike(name, F.lit("^[0-9]")), F.concat(F.lit("t_"), name)).otherwise(name)
-    )
+    return F.coalesce(F.nullif(F.regexp_replace(name, "^(?=[0-9])", "t_"), F.lit("")), F.lit("report"))
 
 
 def truncate_bytes(name: Column, limit: int = NAME_BYTES) -> Column:

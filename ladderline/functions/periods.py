@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladderline.functions.text import strip
+from ladderline.functions.casts import to_date, to_datetime
+from ladderline.functions.text import one_space, strip
 
 # How a header spells its period. The three patterns are tried in this order.
 _MOMENT = r"(\d{2}\.\d{2}\.\d{4}(?:\s+\d{1,2}:\d{2}:\d{2})?)"
@@ -40,20 +39,13 @@ def extract_period(header: Column) -> Column:
     )
 
 
-# A run of whitespace may stand where the format has one space; days, months and hours may have one digit.
-_ISO = re.compile(r"^(\d{4})-(\d{1,2})-(\d{1,2})(?:\s+(\d{1,2}):(\d{1,2}):([0-5]?\d))?$").pattern
-_DOTTED = re.compile(r"^(\d{1,2})\.(\d{1,2})\.(\d{4})(?:\s+(\d{1,2}):(\d{1,2}):([0-5]?\d))?$").pattern
-
-
-def _moment(raw: Column, pattern: str, order: tuple[int, int, int]) -> Column:
-    part = lambda i: F.regexp_extract(raw, "(?U)" + pattern, i).try_cast("int")
-    clock = [F.coalesce(part(i), F.lit(0)) for i in (4, 5, 6)]
-    return F.try_make_timestamp_ntz(*[part(i) for i in order], *clock)
+_ISO_MOMENT = r"(?U)^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?:\s+[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})?$"
 
 
 def parse_moment(raw: Column) -> Column:
     """A header date in ISO or dotted form as a timestamp without time zone, else NULL."""
-    return F.coalesce(_moment(raw, _ISO, (1, 2, 3)), _moment(raw, _DOTTED, (3, 2, 1)))
+    iso = one_space(F.regexp_extract(raw, _ISO_MOMENT, 0)).try_cast("timestamp_ntz")
+    return F.coalesce(iso, to_datetime(raw))
 
 
 def has_time(raw: Column) -> Column:
@@ -79,10 +71,7 @@ def missing_bounds(event_time: Column, start: Column, end: Column) -> Column:
 
 def event_day(text: Column) -> Column:
     """The day a text event time names: the part before the first space, read as ``dd.MM.yyyy``."""
-    part = F.split(F.split_part(text, F.lit(" "), F.lit(1)), r"\.")
-    number = lambda i: F.get(part, F.lit(i)).try_cast("int")
-    zero = F.lit(0)
-    return F.try_make_timestamp_ntz(number(2), number(1), number(0), zero, zero, zero).cast("date")
+    return to_date(F.split_part(text, F.lit(" "), F.lit(1)))
 
 
 def in_period(value: Column, value_type: T.DataType, start: Column, end: Column) -> Column:

@@ -55,8 +55,8 @@ def empty_to_null(text: Column) -> Column:
 
 def leading_filled(cells: Column, limit: Column) -> Column:
     """How many cells from the left are filled before the first blank one, within ``limit`` cells."""
-    blank_at = F.array_position(F.transform(F.slice(cells, F.lit(1), limit), is_blank), True)
-    return F.when(blank_at == 0, F.least(limit, F.size(cells))).otherwise(blank_at - 1).cast("int")
+    blank_at = F.nullif(F.array_position(F.transform(F.slice(cells, F.lit(1), limit), is_blank), True), F.lit(0))
+    return F.coalesce(blank_at - 1, F.least(limit, F.size(cells))).cast("int")
 
 
 def last_filled(cells: Column) -> Column:

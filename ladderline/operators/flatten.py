@@ -14,10 +14,8 @@ from pyspark.sql import functions as F
 from ladderline.functions.text import empty_to_null, fit_width, is_filled, leading_filled, strip, unquote
 from ladderline.plans.ordered import Running, running
 
-LAYOUT_FIELDS = [
-    "kind", "width", "measure_start", "spans", "detail_cols", "detail_only", "names", "picks",
-    "head_block", "head_line",
-]
+ROW_FIELDS = ("kind", "width", "measure_start", "spans", "detail_cols", "detail_only", "head_block", "head_line")
+FILE_FIELDS = ("kind", "spans", "names", "picks")
 
 
 def table_rows(rows: DataFrame, layout: DataFrame) -> DataFrame:
@@ -25,7 +23,7 @@ def table_rows(rows: DataFrame, layout: DataFrame) -> DataFrame:
 
     The layout is joined by ``(path, block)``: a broadcast while it is small (Spark checks its size at run
     time), and otherwise a join on the partitioning that the flattening windows need anyway."""
-    accepted = layout.filter(F.col("kind") != "rejected").select("path", "block", *LAYOUT_FIELDS)
+    accepted = layout.filter(F.col("kind") != "rejected").select("path", "block", *ROW_FIELDS)
     after_head = (F.col("block") > F.col("head_block")) | (
         (F.col("block") == F.col("head_block")) & (F.col("line_no") > F.col("head_line"))
     )
@@ -35,23 +33,20 @@ def table_rows(rows: DataFrame, layout: DataFrame) -> DataFrame:
 def classify_rows(data: DataFrame) -> DataFrame:
     """G4/G7 for grouped files: ``class`` is ``detail``, ``subtotal``, ``ragged`` or ``other``.
 
-    ``level`` is the 1-based group level of a subtotal. A text line with too many cells is ragged; a sheet
-    row is cut to the width instead. Rows of flat files are details."""
+    ``level`` is the 1-based group level of a subtotal, else 0. A text line with too many cells is ragged;
+    a sheet row is cut to the width instead. Rows of flat files are details."""
     grouped = F.col("kind") == "grouped"
     fitted = F.when(grouped, fit_width(F.col("cells"), F.col("width"))).otherwise(F.col("cells"))
-    d = data.withColumn("ragged", (F.col("format") == "txt") & (F.size("cells") > F.col("width")))
-    d = d.withColumn("cells", fitted)
+    fit = data.withColumns(
+        {"cells": fitted, "ragged": grouped & (F.col("format") == "txt") & (F.size("cells") > F.col("width"))}
+    )
     is_detail = F.exists("detail_only", lambda j: is_filled(F.get(F.col("cells"), j)))
-    level = F.array_position("spans", leading_filled(F.col("cells"), F.col("measure_start")))
-    row_class = (
-        F.when(~grouped, "detail")
-        .when(F.col("ragged"), "ragged")
-        .when(is_detail, "detail")
-        .when(level > 0, "subtotal")
-        .otherwise("other")
+    level = F.array_position("spans", leading_filled(F.col("cells"), F.col("measure_start"))).cast("int")
+    step = F.when(~grouped, -1).when(F.col("ragged"), 0).when(is_detail, -1).otherwise(level)
+    names = F.when(F.col("step") < 0, "detail").when(F.col("step") > 0, "subtotal").when(F.col("ragged"), "ragged")
+    return fit.withColumn("step", step).withColumns(
+        {"class": names.otherwise("other"), "level": F.greatest("step", F.lit(0))}
     )
-    d = d.withColumn("class", row_class)
-    return d.withColumn("level", F.when(F.col("class") == "subtotal", level.cast("int")).otherwise(0))
 
 
 def depth_of(layout: DataFrame) -> int:
@@ -62,36 +57,47 @@ def depth_of(layout: DataFrame) -> int:
 def flatten(rows: DataFrame, layout: DataFrame, depth: int | None = None) -> DataFrame:
     """All detail rows of all files: ``(path, block, line_no, names, values)``.
 
-    ``depth`` is the number of group levels; it is read from the layout when not given."""
+    ``depth`` is the number of group levels; it is read from the layout when not given. Only positions,
+    levels and the cells that end up in the result are shuffled; what the layout knows about a file joins
+    them again together with the inherited group values."""
     if depth is None:
         depth = depth_of(layout)
-    classified = classify_rows(table_rows(rows, layout)).filter(F.col("class").isin("detail", "subtotal"))
-    markers = {
-        f"level_{r}": Running("last", _marker(r))
-        for r in range(1, depth + 1)
-    }
-    carried = running(classified, ["path"], "line_no", markers) if markers else classified
-    details = carried.filter(F.col("class") == "detail")
+    slim = classify_rows(table_rows(rows, layout)).select("path", "block", "line_no", "step", _own_cells().alias("own"))
+    if depth == 0:
+        carried = slim.join(layout.select("path", "block", *FILE_FIELDS), ["path", "block"])
+    else:
+        markers = {f"level_{r}": Running("last", _marker(r)) for r in range(1, depth + 1)}
+        carried = running(slim, ["path"], "line_no", markers, blocks=layout, facts=FILE_FIELDS)
+    details = carried.filter(F.col("step") < 0)
     return details.select("path", "block", "line_no", "names", _values(depth).alias("values"))
 
 
+def _own_cells() -> Column:
+    """What a row contributes: details their dimensions and measures, subtotals their group's values."""
+    cells = F.col("cells")
+    dims = F.transform(F.col("detail_cols"), lambda j: F.get(cells, j))
+    measures = F.slice(cells, F.col("measure_start") + 1, F.greatest(F.col("width") - F.col("measure_start"), F.lit(0)))
+    group = F.transform(F.slice(cells, F.lit(1), F.get(F.col("spans"), F.col("step") - 1)), strip)
+    flat = F.when(F.col("format") == "txt", F.transform(cells, unquote)).otherwise(cells)
+    return (
+        F.when(F.col("kind") != "grouped", flat)
+        .when(F.col("step") < 0, F.concat(dims, measures))
+        .when(F.col("step") > 0, group)
+    )
+
+
 def _marker(r: int) -> Column:
     """What a row says about level ``r``: its own values, a reset from a shallower level, or nothing."""
-    own = F.transform(F.slice(F.col("cells"), F.lit(1), F.get(F.col("spans"), F.lit(r - 1))), strip)
-    at_or_above = (F.col("level") > 0) & (F.col("level") <= r)
-    return F.when(at_or_above, F.struct(F.when(F.col("level") == r, own).alias("group")))
+    step = F.col("step")
+    return F.when((step > 0) & (step <= r), F.struct(F.when(step == r, F.col("own")).alias("group")))
 
 
 def _values(depth: int) -> Column:
-    cells = F.col("cells")
+    """Group values by level, then the row's own cells, in the order and choice the layout names."""
     span = lambda r: F.coalesce(F.get(F.col("spans"), F.lit(r - 1)), F.lit(0))
     missing = lambda r: F.array_repeat(F.lit(None).cast("string"), span(r))
     levels = [F.coalesce(F.col(f"level_{r}")["group"], missing(r)) for r in range(1, depth + 1)]
-    dims = F.transform(F.col("detail_cols"), lambda j: F.get(cells, j))
-    measures = F.slice(cells, F.col("measure_start") + 1, F.greatest(F.col("width") - F.col("measure_start"), F.lit(0)))
-    ladder = F.concat(*levels, dims, measures)
-    flat = F.when(F.col("format") == "txt", F.transform(cells, unquote)).otherwise(cells)
-    source = F.when(F.col("kind") == "grouped", ladder).otherwise(flat)
+    source = F.concat(*levels, F.col("own"))
     return F.transform(F.col("picks"), lambda i: empty_to_null(F.get(source, i)))
 
 

@@ -41,12 +41,19 @@ def with_blocks(lines: DataFrame, rows_per_block: int = ROWS_PER_BLOCK, position
 
 
 def running(
-    rows: DataFrame, sequence: list[str], order: str, values: dict[str, Running], block: str = "block"
+    rows: DataFrame,
+    sequence: list[str],
+    order: str,
+    values: dict[str, Running],
+    block: str = "block",
+    blocks: DataFrame | None = None,
+    facts: tuple[str, ...] = (),
 ) -> DataFrame:
     """``rows`` with one extra column per entry of ``values``.
 
-    Order inside a sequence is ``(block, order)``; sequence and block columns must not be NULL. ``rows`` is read twice (rows and summaries); stage it
-    first when what lies behind it is expensive.
+    Order inside a sequence is ``(block, order)``; sequence and block columns must not be NULL. ``rows`` is read again for the summaries; stage it
+    first when what lies behind it is expensive. A known list of ``blocks`` (sequence and block columns)
+    saves finding it; its columns named in ``facts`` reach every row of the block on the same join.
     """
     keys = [*sequence, block]
     held = {name: f"__held_{name}" for name in values}
@@ -55,13 +62,16 @@ def running(
     within = prepared.select(
         "*", *[_within(v, held[name], keys, order).alias(f"__in_{name}") for name, v in values.items()]
     )
-    summary = _summaries(prepared, keys, order, values, held)
+    known = blocks.select(*keys, *facts) if blocks is not None else None
+    summary = _summaries(prepared, keys, order, values, held, known)
     inherited = summary.select(
-        *keys, *[_across(v, name, sequence, block).alias(f"__from_{name}") for name, v in values.items()]
+        *keys, *facts, *[_across(v, name, sequence, block).alias(f"__from_{name}") for name, v in values.items()]
     )
     joined = within.join(inherited, keys, "left")
     return joined.select(
-        *[F.col(f"`{c}`") for c in rows.columns], *[_total(v, name).alias(name) for name, v in values.items()]
+        *[F.col(f"`{c}`") for c in rows.columns],
+        *facts,
+        *[_total(v, name).alias(name) for name, v in values.items()],
     )
 
 
@@ -78,13 +88,21 @@ def _within(v: Running, held: str, keys: list[str], order: str) -> Column:
 
 
 def _summaries(
-    rows: DataFrame, keys: list[str], order: str, values: dict[str, Running], held: dict[str, str]
+    rows: DataFrame,
+    keys: list[str],
+    order: str,
+    values: dict[str, Running],
+    held: dict[str, str],
+    known: DataFrame | None,
 ) -> DataFrame:
     """One row per block. Sums and the block list hash-aggregate over all rows; the last values, whose
     aggregation has to sort, see only the rows that set one."""
     sums = [F.sum(held[n]).alias(f"__sum_{n}") for n, v in values.items() if v.how == "sum"]
     lasts = {n: v for n, v in values.items() if v.how == "last"}
-    blocks = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), *sums)
+    if known is not None and not sums:
+        blocks = known
+    else:
+        blocks = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), *sums)
     if not lasts:
         return blocks
     setters = rows.filter(_any_of([F.col(held[n]).isNotNull() for n in lasts]))

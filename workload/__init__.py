@@ -4,10 +4,10 @@ Reports are rendered from the tables inside each query (a report line per table
 subtotals), so every query's work grows with the tables.
 """
 
-from workload import ladder
+from workload import casts, ladder, periods
 from workload.base import REGISTRY
 
-MODULES = (ladder,)
+MODULES = (ladder, periods, casts)
 
 
 def queries():
