@@ -4,10 +4,10 @@ Reports are rendered from the tables inside each query (a report line per table
 subtotals), so every query's work grows with the tables.
 """
 
-from workload import casts, ladder, periods
+from workload import arrivals, casts, checks, contracts, files, ladder, loads, periods, sheets
 from workload.base import REGISTRY
 
-MODULES = (ladder, periods, casts)
+MODULES = (ladder, files, sheets, periods, casts, contracts, loads, arrivals, checks)
 
 
 def queries():

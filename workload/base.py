@@ -42,8 +42,9 @@ def cents(value: Column) -> Column:
 
 def money_text(value: Column, separator: str = " ") -> Column:
     """``44473.56`` as reports print it: ``44 473,56``."""
-    whole = F.translate(F.format_number(F.floor(cents(value) / 100), 0), ",", separator)
-    return F.concat(whole, F.lit(","), F.lpad((cents(value) % 100).cast("string"), 2, "0"))
+    sign = F.when(cents(value) < 0, "-").otherwise("")
+    whole = F.translate(F.format_number(F.floor(F.abs(cents(value)) / 100), 0), ",", separator)
+    return F.concat(sign, whole, F.lit(","), F.lpad((F.abs(cents(value)) % 100).cast("string"), 2, "0"))
 
 
 def day_text(moment: Column) -> Column:
