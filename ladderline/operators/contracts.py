@@ -93,13 +93,13 @@ class Contract:
         return {c.output: SPARK_TYPE[LOGICAL_TYPE[c.type]] for c in self.columns if c.type in LOGICAL_TYPE}
 
 
-def apply_contract(df: DataFrame, contract: Contract) -> DataFrame:
+def apply_contract(df: DataFrame, contract: Contract, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rename, drop what the contract does not describe, cast; the file's column order stays.
 
-    Described columns the file lacks are skipped (``match_contract`` reports them). It is one projection,
-    so the scan below reads only the described columns."""
+    Described columns the file lacks are skipped (``match_contract`` reports them), and ``keep`` names
+    columns to pass on untouched. It is one projection, so the scan below reads only what is used."""
     aliases = contract.aliases
-    kept = [c for c in df.columns if c in aliases]
+    kept = [c for c in df.columns if c in aliases and c not in keep]
     outputs = [aliases[c] for c in kept]
     if len(set(outputs)) != len(outputs):
         raise ValueError(f"contract of {contract.report} maps two columns to one name: {outputs}")
@@ -112,7 +112,7 @@ def apply_contract(df: DataFrame, contract: Contract) -> DataFrame:
         comment = contract.comments.get(aliases[name])
         metadata = {"comment": comment} if comment else None
         projection.append(value.alias(aliases[name], metadata=metadata) if metadata else value.alias(aliases[name]))
-    return df.select(*projection)
+    return df.select(*projection, *keep)
 
 
 def drop_service_columns(df: DataFrame) -> DataFrame:

@@ -194,13 +194,12 @@ def _describe(layouts: DataFrame, longest: int) -> DataFrame:
     d = d.withColumn("width", F.when(~F.col("is_grouped") & is_text, header["used"]).otherwise(F.col("width")))
     d = d.withColumn("all_names", all_names).withColumn("names", F.array_distinct("all_names"))
     # A repeated name keeps its first position and takes its last value.
-    d = d.withColumn(
-        "picks",
-        F.transform(
-            F.col("names"),
-            lambda n: (F.size("all_names") - F.array_position(F.reverse(F.col("all_names")), n)).cast("int"),
-        ),
+    last_of_each = F.transform(
+        F.col("names"),
+        lambda n: (F.size("all_names") - F.array_position(F.reverse(F.col("all_names")), n)).cast("int"),
     )
+    in_order = F.sequence(F.lit(0), F.size("all_names") - 1)
+    d = d.withColumn("picks", F.when(_all_differ(F.col("all_names")), in_order).otherwise(last_of_each))
     reason = (
         F.when(F.col("openings") == 0, "no table body")
         .when(F.coalesce(F.size("head"), F.lit(0)) < 2, "fewer than two table lines")
@@ -225,12 +224,17 @@ def _describe(layouts: DataFrame, longest: int) -> DataFrame:
 def _numbered(names: Column) -> Column:
     """Repeated headers of a flat text table get a ``_duplicated_<n>`` ending."""
     earlier = lambda n, i: F.size(F.filter(F.slice(names, F.lit(1), i), lambda x: x == n))
-    return F.transform(
+    numbered = F.transform(
         names,
         lambda n, i: F.when(
             earlier(n, i) > 0, F.concat(n, F.lit("_duplicated_"), (earlier(n, i) - 1).cast("string"))
         ).otherwise(n),
     )
+    return F.when(_all_differ(names), names).otherwise(numbered)
+
+
+def _all_differ(names: Column) -> Column:
+    return F.size(F.array_distinct(names)) == F.size(names)
 
 
 def fit_or_longer(cells: Column, width: Column, is_text: Column) -> Column:

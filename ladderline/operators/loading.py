@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ladderline.functions.periods import event_day, in_period, outside_period
-from ladderline.functions.text import named
-from ladderline.operators.contracts import IndexSpec
+from ladderline.functions.text import named, quote_name
+from ladderline.operators.contracts import SERVICE_COLUMNS, IndexSpec
+from ladderline.operators.evolution import evolve
 from ladderline.session import stage
 
 
@@ -114,9 +115,9 @@ EVENT_DATE = "event_date"
 class PeriodTable:
     """A Parquet table partitioned by event date, so a period load rewrites only the dates it touches.
 
-    ``load`` first writes the complete new content of the touched dates to a staged table in the shared
+    A load first writes the complete new content of the touched dates to a staged table in the shared
     folder, then swaps it in. A job that dies before the swap leaves the table as it was; one that dies in
-    the swap is finished by ``load`` running again.
+    the swap is finished by loading again.
     """
 
     def __init__(self, spark: SparkSession, name: str, event_time: str | None):
@@ -124,63 +125,99 @@ class PeriodTable:
         self.name = name
         self.event_time = event_time
 
-    def _day(self, df: DataFrame) -> Column:
+    def _moment(self, df: DataFrame) -> Column:
+        """The event time as loads compare it; NULL when the rows have none."""
         if not self.event_time or self.event_time not in df.columns:
-            return F.lit(None).cast("date")
-        return event_moment(named(self.event_time), df.schema[self.event_time].dataType).cast("date")
+            return F.lit(None).cast("timestamp_ntz")
+        return event_moment(named(self.event_time), df.schema[self.event_time].dataType)
+
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name)
 
     def create_if_absent(self, schema: T.StructType) -> None:
         """K3: an empty table of this schema; nothing happens when it exists."""
-        if not self.spark.catalog.tableExists(self.name):
-            empty = self.spark.createDataFrame([], schema)
-            dated = empty.withColumn(EVENT_DATE, self._day(empty))
-            dated.write.partitionBy(EVENT_DATE).format("parquet").saveAsTable(self.name)
+        if not self.exists():
+            self._save(self.spark.createDataFrame([], schema), self.name)
+
+    def _save(self, content: DataFrame, name: str) -> None:
+        """Write a table whose own settings make every overwrite replace single dates only."""
+        dated = content.withColumn(EVENT_DATE, self._moment(content).cast("date"))
+        writer = dated.write.partitionBy(EVENT_DATE).format("parquet")
+        writer.option("partitionOverwriteMode", "dynamic").saveAsTable(name)
 
     def read(self) -> DataFrame:
         return self.spark.table(self.name).drop(EVENT_DATE)
 
+    def sync_schema(self, target: T.StructType, strict: bool = True) -> None:
+        """K4: bring the table to ``target``. Added columns only change the catalog; a changed type or a
+        dropped column rewrites the table next to itself and swaps the names."""
+        current = self.read().schema
+        stored = {f.name: f.dataType for f in current}
+        wanted = {f.name: f.dataType for f in target}
+        added = [f for f in target if f.name not in stored]
+        if all(wanted.get(name) == kind for name, kind in stored.items() if name not in SERVICE_COLUMNS):
+            if added:
+                columns = ", ".join(f"{quote_name(f.name)} {f.dataType.simpleString()}" for f in added)
+                self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({columns})")
+            return
+        following = f"{self.name}__next"
+        self.spark.sql(f"DROP TABLE IF EXISTS {following}")
+        self._save(evolve(self.read(), target, strict), following)
+        self.spark.sql(f"DROP TABLE {self.name}")
+        self.spark.sql(f"ALTER TABLE {following} RENAME TO {self.name}")
+
     def load(self, new: DataFrame, start=None, end=None) -> dict[str, int]:
         """Replace ``[start, end]`` by ``new``; the counts are ``planned``, ``loaded`` and ``deleted``."""
-        self.create_if_absent(new.schema)
-        seen = Observation("planned")
-        fresh = new.observe(seen, F.count(F.lit(1)).alias("n")).withColumn(EVENT_DATE, self._day(new))
-        if self.event_time is None or self.event_time not in new.columns or start is None:
-            staged = stage(fresh, "load")
-            self._append(staged)
-            return {"planned": seen.get["n"], "loaded": seen.get["n"], "deleted": 0}
-
-        first, last = F.lit(start).cast("timestamp_ntz"), F.lit(end if end is not None else start).cast("timestamp_ntz")
-        stored = self.spark.table(self.name)
-        # The partition filter prunes the scan to the period's dates.
-        touched = stored.filter(F.col(EVENT_DATE).between(first.cast("date"), last.cast("date")))
-        outside = outside_period(named(self.event_time), stored.schema[self.event_time].dataType, first, last)
-        gone = Observation("touched")
-        left = Observation("kept")
+        bounds = (F.lit(b).cast("timestamp_ntz") for b in (start, end))
+        one = self.spark.range(1).select(F.lit(1).alias("seq"), *[b.alias(n) for b, n in zip(bounds, ("start", "end"), strict=True)])
+        return self.load_many(new.withColumn("seq", F.lit(1)), one)
+
+    def load_many(self, new: DataFrame, loads: DataFrame) -> dict[str, int]:
+        """Many loads in one write (K6): ``new`` carries each row's ``seq``, ``loads`` is
+        ``(seq, start, end)`` and a later load deletes earlier rows in its period."""
+        columns = [c for c in new.columns if c != "seq"]
+        self.create_if_absent(new.select(*[named(c) for c in columns]).schema)
         count = F.count(F.lit(1)).alias("n")
-        rewritten = touched.observe(gone, count).filter(outside).observe(left, count)
-        in_range = F.coalesce(F.col(EVENT_DATE).between(first.cast("date"), last.cast("date")), F.lit(False))
-        staged = stage(rewritten.unionByName(fresh).withColumn("__replace", in_range), "load")
-        self._overwrite_dates(staged.filter("__replace").drop("__replace"), first, last)
-        self._append(staged.filter("NOT __replace").drop("__replace"))
-        planned = seen.get["n"]
-        return {"planned": planned, "loaded": planned, "deleted": gone.get["n"] - left.get["n"]}
+        planned, found = Observation("planned"), Observation("found")
+        fresh = new.observe(planned, count).withColumns({"__moment": self._moment(new), "__new": F.lit(True)})
+
+        replaces = bool(self.event_time) and self.event_time in columns
+        if replaces and isinstance(new.schema[self.event_time].dataType, T.StringType):
+            loads = loads.withColumns({b: F.date_trunc("day", b).cast("timestamp_ntz") for b in ("start", "end")})
+        days = loads_by_day(loads if replaces else loads.limit(0), []).select(F.col("__day").alias(EVENT_DATE))
+        days = stage(days, "days")
+        stored = self.spark.table(self.name)
+        # Only the partitions of the loads' days are read.
+        touched = stored.join(days, EVENT_DATE, "left_semi").observe(found, count)
+        old = touched.withColumns(
+            {"__moment": self._moment(stored), "__new": F.lit(False), "seq": F.lit(None).cast(new.schema["seq"].dataType)}
+        ).drop(EVENT_DATE)
+        everything = old.unionByName(fresh, allowMissingColumns=True)
+        content = surviving_rows(everything, loads, "__moment") if replaces else fresh
+        dated = content.withColumn(EVENT_DATE, F.col("__moment").cast("date")).drop("seq", "__moment")
+        in_days = days.withColumn("__replace", F.lit(True))
+        staged = stage(dated.join(in_days, EVENT_DATE, "left"), "load")
+
+        kept = staged.agg(F.count_if(~F.col("__new")).alias("old"), F.count_if("__new").alias("new")).first()
+        self._overwrite(staged.filter("__replace"), days)
+        self._append(staged.filter("__replace IS NULL"))
+        deleted = (found.get["n"] if replaces else 0) - kept["old"]
+        return {"planned": planned.get["n"], "loaded": kept["new"], "deleted": deleted}
+
+    def _in_table_order(self, staged: DataFrame) -> DataFrame:
+        table = self.spark.table(self.name)
+        have = set(staged.columns)
+        return staged.select(
+            *[named(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema]
+        )
 
     def _append(self, staged: DataFrame) -> None:
-        columns = self.spark.table(self.name).columns
-        staged.select(*[named(c) for c in columns]).write.mode("append").insertInto(self.name)
-
-    def _overwrite_dates(self, replacing: DataFrame, first: Column, last: Column) -> None:
-        columns = self.spark.table(self.name).columns
-        (
-            replacing.select(*[named(c) for c in columns])
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .insertInto(self.name)
-        )
-        # Dates of the period that have no row left: dynamic overwrite does not touch them.
-        stored = self.spark.table(self.name).select(EVENT_DATE).distinct()
-        emptied = stored.filter(F.col(EVENT_DATE).between(first.cast("date"), last.cast("date"))).join(
-            replacing.select(EVENT_DATE).distinct(), EVENT_DATE, "left_anti"
-        )
-        for row in emptied.collect():  # at most one row per day of the period
+        self._in_table_order(staged).write.mode("append").insertInto(self.name)
+
+    def _overwrite(self, staged: DataFrame, days: DataFrame) -> None:
+        self._in_table_order(staged).write.mode("overwrite").insertInto(self.name)
+        # Dates that have no row left: dynamic overwrite does not touch them.
+        left = staged.select(EVENT_DATE).distinct()
+        emptied = self.spark.table(self.name).join(days, EVENT_DATE, "left_semi").select(EVENT_DATE).distinct()
+        for row in emptied.join(left, EVENT_DATE, "left_anti").collect():  # at most one row per day
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({EVENT_DATE} = DATE '{row[0]}')")

@@ -45,11 +45,17 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_root["root"]
 
 
-def stage(df: DataFrame, label: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
+def stage(
+    df: DataFrame,
+    label: str = "stage",
+    partition_by: list[str] | None = None,
+    reader: SparkSession | None = None,
+) -> DataFrame:
     """Write ``df`` to a table in the shared folder and read it back.
 
     Used where a plan reads one intermediate result several times: the lineage ends at the table, so a
     lost executor never re-runs the scan behind it, and positions assigned during the scan are fixed.
+    ``reader`` is the session that reads it back (micro-batches come with a session of their own).
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
@@ -57,7 +63,7 @@ def stage(df: DataFrame, label: str = "stage", partition_by: list[str] | None =
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(_readable(df, partition_by)).parquet(path)
+    return (reader or spark).read.schema(_readable(df, partition_by)).parquet(path)
 
 
 def _readable(df: DataFrame, partition_by: list[str] | None):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ladderline.functions.text import is_filled, last_filled, starts_total
 from ladderline.plans.ordered import ROWS_PER_BLOCK, Running, running
 from ladderline.session import stage
-from ladderline.sources.text_reports import SHEET_SUFFIX, decoded_path
+from ladderline.sources.text_reports import SHEET_SUFFIX
 
 # Fixed values of the sheet format.
 SIGNATURE_HEX = "4D4F5843454C"  # MOXCEL
@@ -45,7 +45,7 @@ def read_sheet_files(spark: SparkSession, directory: str | list[str]) -> DataFra
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(directory)
-        .select(decoded_path(F.col("path")).alias("path"), F.col("modificationTime").alias("mtime"), "content")
+        .select("path", F.col("modificationTime").alias("mtime"), "content")
         .filter(F.rlike("path", F.lit(SHEET_SUFFIX)))
     )
 

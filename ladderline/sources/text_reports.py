@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,11 @@ def decoded_path(path: Column) -> Column:
     return F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
+def literal_path(path: str) -> str:
+    """A path to read as it is: characters that path patterns give a meaning are escaped."""
+    return re.sub(r"([\\\[\]{}*?^])", r"\\\1", path)
+
+
 def read_text_lines(
     spark: SparkSession, directory: str | list[str], fallback_encoding: str | None = None
 ) -> DataFrame:

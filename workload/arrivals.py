@@ -65,10 +65,13 @@ def recency(spark, sf_dir):
 WITH RECURSIVE e AS (
     SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events
 ), nxt AS (
-    SELECT a.user_id, a.rn, min(b.rn) AS next_rn FROM e a ASOF JOIN e b ON a.user_id = b.user_id AND a.ts + INTERVAL 1800 SECOND <= b.ts GROUP BY ALL
+    SELECT user_id, rn, min(rn) OVER (PARTITION BY user_id ORDER BY ts
+        RANGE BETWEEN INTERVAL 1800 SECOND FOLLOWING AND UNBOUNDED FOLLOWING) AS next_rn
+    FROM e
 ), walk AS (
     SELECT user_id, CAST(1 AS BIGINT) AS rn FROM e WHERE rn = 1
     UNION ALL SELECT w.user_id, n.next_rn FROM walk w JOIN nxt n ON n.user_id = w.user_id AND n.rn = w.rn
+    WHERE n.next_rn IS NOT NULL
 )
 SELECT CAST(e.user_id AS VARCHAR) AS path, e.ts, e.event_id FROM walk JOIN e ON e.user_id = walk.user_id AND e.rn = walk.rn
 """)
