@@ -34,20 +34,27 @@ SPARK_TYPE = {
 }
 
 # One pattern per type decides whether a text is readable and cuts out what is cast, so each value goes
-# through a single chain of expressions; no match leaves the empty string, which casts to NULL.
+# through a single chain of expressions. What does not match is NULL before the cast: a failing cast would
+# build and catch an exception per value.
 _WHOLE = r"^([+-]?[0-9]+)(?:[.,][0-9]+)?$"
+_DIGITS = r"^([+-]?[0-9]+)$"
 _NUMBER = r"^([+-]?(?:[0-9]+[.,]?[0-9]*|[.,][0-9]+)(?:[eE][+-]?[0-9]+)?)$"
 _POINT_NUMBER = r"^([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)$"
 REPORT_MOMENT = r"(?U)^([0-9]{1,2})\.([0-9]{1,2})\.([0-9]{4})(?:\s+([0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}))?$"
 
 
+def matched(text: Column, pattern: str, group: int = 1) -> Column:
+    """The group of a matching text, NULL when the pattern does not match."""
+    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+
+
 def int_or_null(value: Column) -> Column:
     """Spaces out, first comma to point, fraction cut. More than one separator is unreadable."""
-    return F.regexp_extract(without_spaces(value.cast("string")), _WHOLE, 1).try_cast("bigint")
+    return matched(without_spaces(value.cast("string")), _WHOLE).try_cast("bigint")
 
 
 def float_or_null(value: Column) -> Column:
-    number = F.regexp_extract(without_spaces(value.cast("string")), _NUMBER, 1)
+    number = matched(without_spaces(value.cast("string")), _NUMBER)
     return F.translate(number, ",", ".").try_cast("double")
 
 
@@ -64,7 +71,7 @@ def to_datetime(value: Column) -> Column:
     """``dd.MM.yyyy H:mm:ss`` or ``dd.MM.yyyy`` as a timestamp without time zone.
 
     Rewritten to ISO and cast without a zone, so the session time zone does not matter."""
-    readable = F.regexp_extract(value.cast("string"), REPORT_MOMENT, 0)
+    readable = matched(value.cast("string"), REPORT_MOMENT, 0)
     return F.regexp_replace(readable, REPORT_MOMENT, "$3-$2-$1 $4").try_cast("timestamp_ntz")
 
 
@@ -118,8 +125,10 @@ def cast_to_target(value: Column, source: T.DataType, target: T.DataType) -> Col
         return value
     if isinstance(source, T.StringType):
         text = strip(value)
+        if isinstance(target, T.LongType):
+            return matched(text, _DIGITS).try_cast("bigint")
         if isinstance(target, T.DoubleType):
-            return F.regexp_extract(text, _POINT_NUMBER, 1).try_cast("double")
+            return matched(text, _POINT_NUMBER).try_cast("double")
         if isinstance(target, T.BooleanType):
             return to_boolean(text)
     return value.try_cast(target)

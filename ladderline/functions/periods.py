@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladderline.functions.casts import to_date, to_datetime
+from ladderline.functions.casts import matched, to_date, to_datetime
 from ladderline.functions.text import one_space, strip
 
 # How a header spells its period. The three patterns are tried in this order.
@@ -44,7 +44,7 @@ _ISO_MOMENT = r"(?U)^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?:\s+[0-9]{1,2}:[0-9]{1,2}:[
 
 def parse_moment(raw: Column) -> Column:
     """A header date in ISO or dotted form as a timestamp without time zone, else NULL."""
-    iso = one_space(F.regexp_extract(raw, _ISO_MOMENT, 0)).try_cast("timestamp_ntz")
+    iso = one_space(matched(raw, _ISO_MOMENT, 0)).try_cast("timestamp_ntz")
     return F.coalesce(iso, to_datetime(raw))
 
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tomllib
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,11 +144,13 @@ def match_contract(file_columns: DataFrame, contract_columns: DataFrame) -> Data
     return present.join(wanted, ["report", "name"], "full_outer").select("report", "name", "alias", status.alias("status"))
 
 
-def match_files(files: DataFrame, contracts: DataFrame) -> DataFrame:
+def match_files(
+    files: DataFrame, contracts: DataFrame, report_of: Callable[[Column], Column] = report_name
+) -> DataFrame:
     """Files with their report name and load state: ``load``, ``disabled`` or ``unknown``.
 
     ``contracts`` is ``(report, use)``, one row per report; Spark broadcasts it while it is small."""
-    with_report = files.withColumn("report", report_name(F.col("path")))
+    with_report = files.withColumn("report", report_of(F.col("path")))
     known = contracts.select("report", F.col("use").alias("__use"))
     state = F.when(F.col("__use").isNull(), "unknown").when(F.col("__use"), "load").otherwise("disabled")
     return with_report.join(known, "report", "left").withColumn("state", state).drop("__use")

@@ -35,12 +35,17 @@ def _type_of(values: Column, prefix: str = "") -> list[Column]:
         F.count(filled).alias(f"{prefix}filled"),
         F.bool_and(whole).alias(f"{prefix}whole"),
         F.bool_and(whole | F.rlike(filled, F.lit(DECIMAL_NUMBER))).alias(f"{prefix}number"),
-        F.bool_and(F.when(filled.isNotNull(), without_spaces(filled).try_cast("bigint").isNotNull())).alias(
-            f"{prefix}fits"
-        ),
+        F.bool_and(_fits_long(filled)).alias(f"{prefix}fits"),
     ]
 
 
+def _fits_long(number: Column) -> Column:
+    """Whether a whole number (without leading zeros) fits 64 bits, decided by its digits."""
+    digits = F.translate(without_spaces(number), "+-", "")
+    largest = F.when(F.startswith(number, F.lit("-")), "9223372036854775808").otherwise("9223372036854775807")
+    return (F.length(digits) < 19) | ((F.length(digits) == 19) & (digits <= largest))
+
+
 def _decide(prefix: str = "") -> Column:
     fact = lambda name: F.col(f"{prefix}{name}")
     return (

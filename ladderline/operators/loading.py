@@ -115,15 +115,21 @@ EVENT_DATE = "event_date"
 class PeriodTable:
     """A Parquet table partitioned by event date, so a period load rewrites only the dates it touches.
 
+    ``unit`` is the width of a partition: ``day``, or ``month`` or ``year`` for small tables over long times.
+
     A load first writes the complete new content of the touched dates to a staged table in the shared
     folder, then swaps it in. A job that dies before the swap leaves the table as it was; one that dies in
     the swap is finished by loading again.
     """
 
-    def __init__(self, spark: SparkSession, name: str, event_time: str | None):
+    def __init__(self, spark: SparkSession, name: str, event_time: str | None, unit: str = "day"):
         self.spark = spark
         self.name = name
         self.event_time = event_time
+        self.unit = unit
+
+    def _partition(self, moment: Column) -> Column:
+        return F.date_trunc(self.unit, moment).cast("date")
 
     def _moment(self, df: DataFrame) -> Column:
         """The event time as loads compare it; NULL when the rows have none."""
@@ -141,8 +147,8 @@ class PeriodTable:
 
     def _save(self, content: DataFrame, name: str) -> None:
         """Write a table whose own settings make every overwrite replace single dates only."""
-        dated = content.withColumn(EVENT_DATE, self._moment(content).cast("date"))
-        writer = dated.write.partitionBy(EVENT_DATE).format("parquet")
+        dated = content.withColumn(EVENT_DATE, self._partition(self._moment(content)))
+        writer = _spread(dated).write.partitionBy(EVENT_DATE).format("parquet")
         writer.option("partitionOverwriteMode", "dynamic").saveAsTable(name)
 
     def read(self) -> DataFrame:
@@ -184,17 +190,17 @@ class PeriodTable:
         replaces = bool(self.event_time) and self.event_time in columns
         if replaces and isinstance(new.schema[self.event_time].dataType, T.StringType):
             loads = loads.withColumns({b: F.date_trunc("day", b).cast("timestamp_ntz") for b in ("start", "end")})
-        days = loads_by_day(loads if replaces else loads.limit(0), []).select(F.col("__day").alias(EVENT_DATE))
-        days = stage(days, "days")
+        days = loads_by_day(loads if replaces else loads.limit(0), [])
+        days = stage(days.select(self._partition(F.col("__day")).alias(EVENT_DATE)).distinct(), "days")
         stored = self.spark.table(self.name)
-        # Only the partitions of the loads' days are read.
+        # Only the partitions that hold days of the loads are read.
         touched = stored.join(days, EVENT_DATE, "left_semi").observe(found, count)
         old = touched.withColumns(
             {"__moment": self._moment(stored), "__new": F.lit(False), "seq": F.lit(None).cast(new.schema["seq"].dataType)}
         ).drop(EVENT_DATE)
         everything = old.unionByName(fresh, allowMissingColumns=True)
         content = surviving_rows(everything, loads, "__moment") if replaces else fresh
-        dated = content.withColumn(EVENT_DATE, F.col("__moment").cast("date")).drop("seq", "__moment")
+        dated = content.withColumn(EVENT_DATE, self._partition(F.col("__moment"))).drop("seq", "__moment")
         in_days = days.withColumn("__replace", F.lit(True))
         staged = stage(dated.join(in_days, EVENT_DATE, "left"), "load")
 
@@ -212,12 +218,17 @@ class PeriodTable:
         )
 
     def _append(self, staged: DataFrame) -> None:
-        self._in_table_order(staged).write.mode("append").insertInto(self.name)
+        _spread(self._in_table_order(staged)).write.mode("append").insertInto(self.name)
 
     def _overwrite(self, staged: DataFrame, days: DataFrame) -> None:
-        self._in_table_order(staged).write.mode("overwrite").insertInto(self.name)
+        _spread(self._in_table_order(staged)).write.mode("overwrite").insertInto(self.name)
         # Dates that have no row left: dynamic overwrite does not touch them.
         left = staged.select(EVENT_DATE).distinct()
         emptied = self.spark.table(self.name).join(days, EVENT_DATE, "left_semi").select(EVENT_DATE).distinct()
-        for row in emptied.join(left, EVENT_DATE, "left_anti").collect():  # at most one row per day
+        for row in emptied.join(left, EVENT_DATE, "left_anti").collect():  # at most one row per partition
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({EVENT_DATE} = DATE '{row[0]}')")
+
+
+def _spread(content: DataFrame) -> DataFrame:
+    """Rows of a date written by few tasks; adaptive execution splits a date that is too large for one."""
+    return content.hint("rebalance", EVENT_DATE)

@@ -60,18 +60,26 @@ def accepted_starts(events: DataFrame, timeout: int = STALE_SECONDS, tie: str =
     falls into independent islands of busy buckets. The islands are found on the distinct buckets, a table
     bounded by time and not by events, and each one is walked once in time order with constant memory.
     """
-    bucketed = events.withColumn("__bucket", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(timeout * 1_000_000)))
+    located = events.withColumn("__micros", _epoch_micros(events, "ts"))
+    bucketed = located.withColumn("__bucket", F.expr(f"__micros div {timeout * 1_000_000}"))
     busy = bucketed.select("path", "__bucket").distinct()
     in_order = Window.partitionBy("path").orderBy("__bucket")
     islands = busy.select("path", "__bucket", (F.col("__bucket") - F.row_number().over(in_order)).alias("__island"))
     located = bucketed.join(islands, ["path", "__bucket"]).select(
-        "path", "__island", "ts", F.col(tie), F.unix_micros(F.col("ts").cast("timestamp")).alias("__micros")
+        "path", "__island", "ts", tie, "__micros"
     )
     ordered = located.repartition("path", "__island").sortWithinPartitions("path", "__island", "__micros", tie)
     walked = ordered.mapInPandas(_walker(timeout * 1_000_000), ordered.schema)
     return walked.select("path", "ts", tie)
 
 
+def _epoch_micros(df: DataFrame, name: str) -> Column:
+    """Microseconds since the epoch, whatever the session time zone when the column has none."""
+    if isinstance(df.schema[name].dataType, T.TimestampType):
+        return F.unix_micros(name)
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(name))
+
+
 def _walker(timeout: int):
     """Per partition, in order: keep an event when ``timeout`` has passed since the last kept one."""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -40,7 +40,8 @@ class Ingest:
     """Loads report files into tables by contract.
 
     ``log_table`` is both the ledger of processed file versions and the source of load status.
-    ``database`` overrides the contracts' schema names."""
+    ``database`` overrides the contracts' schema names; ``report_of`` says which report a path belongs to
+    (by default its base name)."""
 
     def __init__(
         self,
@@ -50,6 +51,8 @@ class Ingest:
         database: str | None = None,
         fallback_encoding: str | None = None,
         with_ids: bool = True,
+        report_of: Callable[[Column], Column] = report_name,
+        partition_unit: str = "day",
     ):
         self.spark = spark
         self.contracts = {c.report: c for c in contracts}
@@ -57,6 +60,8 @@ class Ingest:
         self.database = database
         self.fallback_encoding = fallback_encoding
         self.with_ids = with_ids
+        self.report_of = report_of
+        self.partition_unit = partition_unit
 
     # ---- entry points
 
@@ -84,7 +89,7 @@ class Ingest:
             [(c.report, c.use) for c in self.contracts.values()], "report string, use boolean"
         )
         fresh = new_versions(files.filter(is_report(F.col("path"))), ledger)
-        todo = stage(match_files(fresh, switched).withColumn("started", F.current_timestamp()), "todo")
+        todo = stage(match_files(fresh, switched, self.report_of).withColumn("started", F.current_timestamp()), "todo")
         # File names only: as many as the listing already brought to the driver.
         wanted = [r["path"] for r in todo.filter("state <> 'disabled'").select("path").toLocalIterator()]
         if not wanted:
@@ -95,7 +100,7 @@ class Ingest:
 
         rows, merges, rejects = self._rows(wanted)
         layout = detect_layout(rows, merges)
-        flat = flatten(rows, layout).withColumn("report", report_name(F.col("path")))
+        flat = flatten(rows, layout).withColumn("report", self.report_of(F.col("path")))
         flat = stage(flat, "flat", partition_by=["report"])
         per_file = stage(flat.groupBy("path").agg(F.count(F.lit(1)).alias("rows")), "counts")
         problems = stage(self._problems(layout, per_file, rejects, rows, todo), "files")
@@ -159,7 +164,7 @@ class Ingest:
         """Contracts for reports without one, to be reviewed."""
         unknown = todo.filter("state = 'unknown'").select("path")
         cells = to_cells(flat.join(unknown, "path", "left_semi")).select(
-            report_name(F.col("path")).alias("report"), "ord", "name",
+            self.report_of(F.col("path")).alias("report"), "ord", "name",
             F.struct("path", "block", "line_no").alias("position"), "value",
         )
         return generate_contracts(cells)
@@ -185,7 +190,7 @@ class Ingest:
         )
         typed = apply_contract(strings, contract, keep=(*keys, "seq"))
         typed = drop_service_columns(typed).withColumn("date_download", load_stamp())
-        table = PeriodTable(self.spark, self._table_name(contract), contract.event_time)
+        table = PeriodTable(self.spark, self._table_name(contract), contract.event_time, self.partition_unit)
         if self.with_ids:
             typed = self._with_ids(typed, table)
         loadable = typed.drop(*keys)

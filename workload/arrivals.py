@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ladderline.operators.contracts import Contract, ContractColumn
+from ladderline.session import shared_dir
 from ladderline.streaming.arrivals import (
     accepted_starts,
     distinct_versions,
@@ -12,7 +16,9 @@ from ladderline.streaming.arrivals import (
     new_versions,
     recent_changes,
 )
+from ladderline.streaming.ingest import Ingest, watch_directory
 from workload.base import query, table
+from workload.ladder import ORDER_COLUMNS, order_lines
 
 
 def _sightings(spark, sf_dir):
@@ -52,7 +58,7 @@ SELECT event_id, path, seen, mtime FROM p WHERE (previous IS NULL OR abs(mtime -
 def recency(spark, sf_dir):
     """Sightings of files that changed since they were last seen and whose change is recent."""
     events = table(spark, sf_dir, "events", "event_id", "user_id", "ts", "event_type")
-    seconds = lambda c: F.expr(f"unix_micros(cast({c} as timestamp)) div 1000000")
+    seconds = lambda c: F.expr(f"timestampdiff(SECOND, timestamp_ntz'1970-01-01', cast({c} as timestamp_ntz))")
     mtime = seconds("date_trunc('hour', ts)") + F.when(F.col("event_type") == "view", 3600).otherwise(0)
     seen = events.select(
         "event_id", F.col("user_id").cast("string").alias("path"), seconds("ts").alias("seen"), mtime.alias("mtime"),
@@ -108,3 +114,49 @@ SELECT CAST(sum(processed) AS BIGINT) AS processed_files, count(*) AS files, cou
 def status_summary(spark, sf_dir):
     """The monitor's summary line."""
     return load_summary(_log(spark, sf_dir))
+
+
+ORDER_CONTRACT = Contract(
+    report="orders",
+    use=True,
+    table_name="loaded_orders",
+    event_time="order_day",
+    columns=(
+        ContractColumn("status"),
+        ContractColumn("priority", "order_priority"),
+        ContractColumn("order_key", "order_key", "int"),
+        ContractColumn("day", "order_day", "date"),
+        ContractColumn("total", "total", "float64"),
+    ),
+)
+
+
+@query("""
+SELECT o_orderstatus AS status, o_orderpriority AS order_priority, o_orderkey AS order_key, CAST(o_orderdate AS DATE) AS order_day,
+    CAST(round(o_totalprice * 100) AS BIGINT) / 100.0::DOUBLE AS total
+FROM orders
+""")
+def stream_ingest(spark, sf_dir):
+    """Yearly order reports written as files, picked up by a stream and loaded into a table by contract."""
+    year = F.year("o_orderdate").cast("string")
+    lines = order_lines(table(spark, sf_dir, "orders", *ORDER_COLUMNS), year)
+    run = uuid.uuid4().hex
+    root = f"{shared_dir(spark)}/ingest-{run}"
+    own_period = F.concat(F.lit("Параметры:\tПериод: 01.01."), F.col("path"), F.lit(" - 31.12."), F.col("path"))
+    line = F.when(F.startswith("line", F.lit("Параметры")), own_period).otherwise(F.col("line"))
+    # The year is a number: the writer would sort text partition values again and mix up the lines.
+    files = lines.select(F.col("path").cast("int").alias("year"), "block", "line_no", line.alias("line"))
+    in_order = files.repartition("year").sortWithinPartitions("year", "block", "line_no")
+    in_order.select("year", F.col("line").alias("value")).write.partitionBy("year").text(f"{root}/files/report=orders")
+    spark.sql(f"CREATE DATABASE ingest_{run} LOCATION '{root}/tables'")
+    by_folder = lambda path: F.regexp_extract(path, "report=([^/]+)/", 1)
+    database = f"ingest_{run}"
+    ingest = Ingest(
+        spark, [ORDER_CONTRACT], f"{database}.load_log", database, with_ids=False, report_of=by_folder, partition_unit="year"
+    )
+    query = ingest.stream(watch_directory(spark, f"{root}/files"), f"{root}/progress")
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    columns = [c.output for c in ORDER_CONTRACT.columns]
+    return spark.table(f"{database}.loaded_orders").select(*columns)

@@ -9,9 +9,11 @@ from ladderline.functions.casts import to_date, to_float, to_int
 from ladderline.operators.flatten import flatten, row_counts, to_cells, to_columns
 from ladderline.operators.layout import detect_layout, layouts_by_file
 from ladderline.plans.ordered import with_blocks
+from ladderline.session import stage
 from ladderline.sources.text_reports import as_rows
 from workload.base import day_text, fixed_lines, line_of, money_text, query, table
 
+# The rendered lines are written to a table first: they stand for the report files a scan would read.
 # Positions leave room for every order key below its group's subtotal, so no global sort is needed.
 GROUP_SHIFT = 40
 
@@ -92,7 +94,7 @@ PLAIN_ORDER = ORDER_SQL.format(priority="o_orderpriority", rank="CAST(left(o_ord
 @query(f"SELECT CAST(year(o_orderdate) AS VARCHAR) || '.txt' AS path, {PLAIN_ORDER} FROM orders")
 def ladder_2level(spark, sf_dir):
     """Yearly order reports, flattened and typed: every order with its status and priority."""
-    rows = as_rows(order_lines(table(spark, sf_dir, "orders", *ORDER_COLUMNS), _order_year()))
+    rows = as_rows(stage(order_lines(table(spark, sf_dir, "orders", *ORDER_COLUMNS), _order_year()), "lines"))
     return _typed_orders(flatten(rows, detect_layout(rows)))
 
 
@@ -162,14 +164,14 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 @query(ITEM_SQL.format(path="CAST(year(l_shipdate) AS VARCHAR)"))
 def ladder_3level(spark, sf_dir):
     """Line items of each year under a four-line staircase header."""
-    rows = as_rows(with_blocks(item_lines(_items(spark, sf_dir), F.year("l_shipdate").cast("string"))))
+    rows = as_rows(stage(with_blocks(item_lines(_items(spark, sf_dir), F.year("l_shipdate").cast("string"))), "lines"))
     return _typed_items(flatten(rows, detect_layout(rows)))
 
 
 @query(ITEM_SQL.format(path="'all items'"))
 def ladder_two_phase(spark, sf_dir):
     """All line items as one single report: group values cross many block borders."""
-    rows = as_rows(with_blocks(item_lines(_items(spark, sf_dir), F.lit("all items")), 4096))
+    rows = as_rows(stage(with_blocks(item_lines(_items(spark, sf_dir), F.lit("all items")), 4096), "lines"))
     return _typed_items(flatten(rows, detect_layout(rows)))
 
 
@@ -200,7 +202,7 @@ def ladder_reset(spark, sf_dir):
     """A status subtotal clears the priority: orders whose priority subtotal is missing take the one before
     it in the same status, or none."""
     orders = table(spark, sf_dir, "orders", *ORDER_COLUMNS)
-    rows = as_rows(order_lines(orders, _order_year(), withheld=_is_withheld()))
+    rows = as_rows(stage(order_lines(orders, _order_year(), withheld=_is_withheld()), "lines"))
     return _typed_orders(flatten(rows, detect_layout(rows)))
 
 
@@ -210,7 +212,7 @@ SELECT CAST(year(o_orderdate) AS VARCHAR) || '.txt' AS path, {PLAIN_ORDER} FROM
 def ladder_ragged(spark, sf_dir):
     """Order lines with a surplus cell (the expensive orders) are skipped, all others stay."""
     orders = table(spark, sf_dir, "orders", *ORDER_COLUMNS)
-    rows = as_rows(order_lines(orders, _order_year(), extra=F.col("o_totalprice") > 250000))
+    rows = as_rows(stage(order_lines(orders, _order_year(), extra=F.col("o_totalprice") > 250000), "lines"))
     return _typed_orders(flatten(rows, detect_layout(rows)))
 
 
@@ -224,7 +226,7 @@ FROM o GROUP BY path
 def row_classes(spark, sf_dir):
     """How many detail, subtotal, ragged and other rows each report has."""
     orders = table(spark, sf_dir, "orders", *ORDER_COLUMNS)
-    rows = as_rows(order_lines(orders, _order_year(), extra=F.col("o_totalprice") > 250000))
+    rows = as_rows(stage(order_lines(orders, _order_year(), extra=F.col("o_totalprice") > 250000), "lines"))
     return row_counts(rows, detect_layout(rows)).drop("padded_rows", "cut_rows")
 
 
@@ -241,7 +243,7 @@ def layout_detection(spark, sf_dir):
     """Layouts of order and line-item reports found in one pass over both."""
     orders = order_lines(table(spark, sf_dir, "orders", *ORDER_COLUMNS), _order_year())
     items = with_blocks(item_lines(_items(spark, sf_dir), F.year("l_shipdate").cast("string")))
-    found = layouts_by_file(detect_layout(as_rows(orders.unionByName(items))))
+    found = layouts_by_file(detect_layout(as_rows(stage(orders.unionByName(items), "lines"))))
     whole = [F.col(c).cast("bigint").alias(c) for c in ("width", "measure_start", "height")]
     listed = [F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("spans", "names")]
     return found.select("path", "kind", *whole, *listed)
@@ -266,7 +268,7 @@ def ladder_mixed(spark, sf_dir):
     """Reports with different layouts flattened together, as long cells."""
     orders = order_lines(table(spark, sf_dir, "orders", *ORDER_COLUMNS), _order_year())
     items = with_blocks(item_lines(_items(spark, sf_dir), F.year("l_shipdate").cast("string")))
-    rows = as_rows(orders.unionByName(items))
+    rows = as_rows(stage(orders.unionByName(items), "lines"))
     cells = to_cells(flatten(rows, detect_layout(rows)))
     shared = cells.filter(F.col("name").isin("order_key", "status", "priority"))
     return shared.groupBy("path", "name", "value").agg(F.count(F.lit(1)).alias("n"))
