@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ladderline.functions.text import empty_to_null, fit_width, is_filled, leading_filled, strip, unquote
+from ladderline.functions.text import empty_to_null, is_filled, leading_filled, strip, unquote
 from ladderline.plans.ordered import Running, running
 
 ROW_FIELDS = ("kind", "width", "measure_start", "spans", "detail_cols", "detail_only", "head_block", "head_line")
@@ -36,15 +36,14 @@ def classify_rows(data: DataFrame) -> DataFrame:
     ``level`` is the 1-based group level of a subtotal, else 0. A text line with too many cells is ragged;
     a sheet row is cut to the width instead. Rows of flat files are details."""
     grouped = F.col("kind") == "grouped"
-    fitted = F.when(grouped, fit_width(F.col("cells"), F.col("width"))).otherwise(F.col("cells"))
-    fit = data.withColumns(
-        {"cells": fitted, "ragged": grouped & (F.col("format") == "txt") & (F.size("cells") > F.col("width"))}
-    )
-    is_detail = F.exists("detail_only", lambda j: is_filled(F.get(F.col("cells"), j)))
-    level = F.array_position("spans", leading_filled(F.col("cells"), F.col("measure_start"))).cast("int")
-    step = F.when(~grouped, -1).when(F.col("ragged"), 0).when(is_detail, -1).otherwise(level)
-    names = F.when(F.col("step") < 0, "detail").when(F.col("step") > 0, "subtotal").when(F.col("ragged"), "ragged")
-    return fit.withColumn("step", step).withColumns(
+    cells = F.col("cells")
+    ragged = grouped & (F.col("format") == "txt") & (F.size(cells) > F.col("width"))
+    # Cells a short row lacks read as NULL, which counts as blank; nothing has to be padded.
+    is_detail = F.exists("detail_only", lambda j: F.coalesce(is_filled(F.get(cells, j)), F.lit(False)))
+    level = F.array_position("spans", leading_filled(cells, F.col("measure_start"))).cast("int")
+    step = F.when(~grouped, -1).when(ragged, 0).when(is_detail, -1).otherwise(level)
+    names = F.when(F.col("step") < 0, "detail").when(F.col("step") > 0, "subtotal").when(ragged, "ragged")
+    return data.withColumn("step", step).withColumns(
         {"class": names.otherwise("other"), "level": F.greatest("step", F.lit(0))}
     )
 
@@ -57,9 +56,37 @@ def depth_of(layout: DataFrame) -> int:
 def flatten(rows: DataFrame, layout: DataFrame, depth: int | None = None) -> DataFrame:
     """All detail rows of all files: ``(path, block, line_no, names, values)``.
 
-    ``depth`` is the number of group levels; it is read from the layout when not given. Only positions,
-    levels and the cells that end up in the result are shuffled; what the layout knows about a file joins
-    them again together with the inherited group values."""
+    ``depth`` is the number of group levels; it is read from the layout when not given."""
+    details = _details(rows, layout, depth)
+    chosen = F.transform(F.col("picks"), lambda i: F.get(F.col("source"), i))
+    values = F.when(F.col("picks").isNull(), F.col("source")).otherwise(chosen)
+    return details.select("path", "block", "line_no", "names", values.alias("values"))
+
+
+def flatten_columns(
+    rows: DataFrame,
+    layout: DataFrame,
+    names: list[str],
+    keep: tuple[str, ...] = ("path", "line_no"),
+    depth: int | None = None,
+) -> DataFrame:
+    """All detail rows with one string column per name, NULL where a file has no such column.
+
+    Where each column is found is worked out once per file, on the layout, not once per row."""
+    wanted = F.array(*[F.lit(n) for n in names])
+    at = lambda n: F.array_position(F.col("names"), n).cast("int") - 1
+    source_of = F.transform(wanted, lambda n: F.when(F.col("picks").isNull(), at(n)).otherwise(F.get(F.col("picks"), at(n))))
+    details = _details(rows, layout.withColumn("picks", source_of), depth)
+    place = lambda k: F.get(F.col("picks"), F.lit(k))
+    return details.select(*keep, *[F.get(F.col("source"), place(k)).alias(n) for k, n in enumerate(names)])
+
+
+def _details(rows: DataFrame, layout: DataFrame, depth: int | None) -> DataFrame:
+    """Detail rows as ``(path, block, line_no, names, picks, source)``, ``source`` being group values by
+    level and then the row's own cells.
+
+    Only positions, levels and cells that end up in the result are shuffled; what the layout knows about a
+    file joins them again together with the inherited group values."""
     if depth is None:
         depth = depth_of(layout)
     slim = classify_rows(table_rows(rows, layout)).select("path", "block", "line_no", "step", _own_cells().alias("own"))
@@ -67,9 +94,11 @@ def flatten(rows: DataFrame, layout: DataFrame, depth: int | None = None) -> Dat
         carried = slim.join(layout.select("path", "block", *FILE_FIELDS), ["path", "block"])
     else:
         markers = {f"level_{r}": Running("last", _marker(r)) for r in range(1, depth + 1)}
-        carried = running(slim, ["path"], "line_no", markers, blocks=layout, facts=FILE_FIELDS)
+        carried = running(
+            slim, ["path"], "line_no", markers, blocks=layout, facts=FILE_FIELDS, setters=F.col("step") > 0
+        )
     details = carried.filter(F.col("step") < 0)
-    return details.select("path", "block", "line_no", "names", _values(depth).alias("values"))
+    return details.select("path", "block", "line_no", "names", "picks", _source(depth).alias("source"))
 
 
 def _own_cells() -> Column:
@@ -92,13 +121,11 @@ def _marker(r: int) -> Column:
     return F.when((step > 0) & (step <= r), F.struct(F.when(step == r, F.col("own")).alias("group")))
 
 
-def _values(depth: int) -> Column:
-    """Group values by level, then the row's own cells, in the order and choice the layout names."""
+def _source(depth: int) -> Column:
     span = lambda r: F.coalesce(F.get(F.col("spans"), F.lit(r - 1)), F.lit(0))
     missing = lambda r: F.array_repeat(F.lit(None).cast("string"), span(r))
     levels = [F.coalesce(F.col(f"level_{r}")["group"], missing(r)) for r in range(1, depth + 1)]
-    source = F.concat(*levels, F.col("own"))
-    return F.transform(F.col("picks"), lambda i: empty_to_null(F.get(source, i)))
+    return F.transform(F.concat(*levels, F.col("own")), empty_to_null)
 
 
 def row_counts(rows: DataFrame, layout: DataFrame) -> DataFrame:

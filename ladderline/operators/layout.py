@@ -65,8 +65,8 @@ def detect_layout(rows: DataFrame, merges: DataFrame | None = None) -> DataFrame
     ``(path, block, kind, format, width, measure_start, height, spans, detail_cols, detail_only, names,
     picks, head_block, head_line, reason)``.
 
-    ``kind`` is ``grouped``, ``flat`` or ``rejected`` (then ``reason`` says why); ``names`` and ``picks``
-    are the output columns and the positions their values come from; ``(head_block, head_line)`` is the
+    ``kind`` is ``grouped``, ``flat`` or ``rejected`` (then ``reason`` says why); ``names`` are the output
+    columns and ``picks`` the positions their values come from (NULL: in order); ``(head_block, head_line)`` is the
     last header line. ``merges`` (``path, r1, c1, r2, c2``) lets sheets state their header height.
     """
     blocks = stage(table_starts(rows), "blocks")
@@ -198,8 +198,7 @@ def _describe(layouts: DataFrame, longest: int) -> DataFrame:
         F.col("names"),
         lambda n: (F.size("all_names") - F.array_position(F.reverse(F.col("all_names")), n)).cast("int"),
     )
-    in_order = F.sequence(F.lit(0), F.size("all_names") - 1)
-    d = d.withColumn("picks", F.when(_all_differ(F.col("all_names")), in_order).otherwise(last_of_each))
+    d = d.withColumn("picks", F.when(~_all_differ(F.col("all_names")), last_of_each))
     reason = (
         F.when(F.col("openings") == 0, "no table body")
         .when(F.coalesce(F.size("head"), F.lit(0)) < 2, "fewer than two table lines")

@@ -48,12 +48,14 @@ def running(
     block: str = "block",
     blocks: DataFrame | None = None,
     facts: tuple[str, ...] = (),
+    setters: Column | None = None,
 ) -> DataFrame:
     """``rows`` with one extra column per entry of ``values``.
 
     Order inside a sequence is ``(block, order)``; sequence and block columns must not be NULL. ``rows`` is read again for the summaries; stage it
     first when what lies behind it is expensive. A known list of ``blocks`` (sequence and block columns)
     saves finding it; its columns named in ``facts`` reach every row of the block on the same join.
+    ``setters`` may name a cheap condition that holds for every row with a value for some ``last``.
     """
     keys = [*sequence, block]
     held = {name: f"__held_{name}" for name in values}
@@ -63,7 +65,7 @@ def running(
         "*", *[_within(v, held[name], keys, order).alias(f"__in_{name}") for name, v in values.items()]
     )
     known = blocks.select(*keys, *facts) if blocks is not None else None
-    summary = _summaries(prepared, keys, order, values, held, known)
+    summary = _summaries(prepared, keys, order, values, held, known, setters)
     inherited = summary.select(
         *keys, *facts, *[_across(v, name, sequence, block).alias(f"__from_{name}") for name, v in values.items()]
     )
@@ -94,6 +96,7 @@ def _summaries(
     values: dict[str, Running],
     held: dict[str, str],
     known: DataFrame | None,
+    setters: Column | None,
 ) -> DataFrame:
     """One row per block. Sums and the block list hash-aggregate over all rows; the last values, whose
     aggregation has to sort, see only the rows that set one."""
@@ -105,9 +108,9 @@ def _summaries(
         blocks = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), *sums)
     if not lasts:
         return blocks
-    setters = rows.filter(_any_of([F.col(held[n]).isNotNull() for n in lasts]))
+    condition = setters if setters is not None else _any_of([F.col(held[n]).isNotNull() for n in lasts])
     at = {n: F.when(F.col(held[n]).isNotNull(), F.col(order)) for n in lasts}
-    ends = setters.groupBy(*keys).agg(
+    ends = rows.filter(condition).groupBy(*keys).agg(
         *[
             (F.min_by if v.backward else F.max_by)(F.col(held[n]), at[n]).alias(f"__sum_{n}")
             for n, v in lasts.items()

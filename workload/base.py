@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ladderline.session import stage
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -56,6 +58,12 @@ def line_of(*cells: Column | str) -> Column:
     return F.concat_ws("\t", *[F.lit(c) if isinstance(c, str) else F.coalesce(c.cast("string"), F.lit("")) for c in cells])
 
 
+def written(lines: DataFrame) -> DataFrame:
+    """Rendered report lines ``(path, block, line_no, line)`` as a table: it stands for the report files."""
+    parallelism = lines.sparkSession.sparkContext.defaultParallelism
+    return stage(lines.repartition(parallelism, "path", "block"), "lines")
+
+
 def fixed_lines(files: DataFrame, lines: list[str], first: int = 0) -> DataFrame:
     """The same lines at the top of every file ``(path, line_no, line)``."""
     entries = [F.struct(F.lit(first + i).cast("bigint").alias("line_no"), F.lit(text).alias("line")) for i, text in enumerate(lines)]

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from ladderline.functions.casts import to_int
 from ladderline.operators.contracts import match_files
-from ladderline.operators.flatten import flatten, row_counts, to_columns
+from ladderline.operators.flatten import flatten_columns, row_counts
 from ladderline.operators.layout import detect_layout, rejected_files
 from ladderline.plans.ordered import with_blocks
-from ladderline.session import shared_dir, stage
+from ladderline.session import shared_dir
 from ladderline.sources.text_reports import as_rows, is_report, read_text_lines, split_lines
-from workload.base import cents, fixed_lines, line_of, query, table
+from workload.base import cents, fixed_lines, line_of, query, table, written
 
 
 @query("""
@@ -93,8 +93,8 @@ FROM documents
 """)
 def flat_report(spark, sf_dir):
     """Flat tables with title lines and totals: every document row, padded or cut to the header."""
-    rows = as_rows(stage(_document_lines(spark, sf_dir), "lines"))
-    wide = to_columns(flatten(rows, detect_layout(rows)), ["doc_id", "lang", "n_chars", "body"], ("path",))
+    rows = as_rows(written(_document_lines(spark, sf_dir)))
+    wide = flatten_columns(rows, detect_layout(rows), ["doc_id", "lang", "n_chars", "body"], ("path",))
     return wide.select(
         "path", to_int(F.col("doc_id")).alias("doc_id"), "lang", to_int(F.col("n_chars")).alias("n_chars"),
         F.md5(F.col("body").cast("binary")).alias("body_md5"),
@@ -108,7 +108,7 @@ FROM documents GROUP BY ALL
 """)
 def flat_counts(spark, sf_dir):
     """How many rows of each flat table were padded or cut."""
-    rows = as_rows(stage(_document_lines(spark, sf_dir), "lines"))
+    rows = as_rows(written(_document_lines(spark, sf_dir)))
     return row_counts(rows, detect_layout(rows)).select("path", "detail_rows", "padded_rows", "cut_rows")
 
 
@@ -131,7 +131,7 @@ def rejected_reports(spark, sf_dir):
     """Whole texts as report files: those without a usable table, with the reason."""
     texts = table(spark, sf_dir, "documents", "doc_id", "text")
     tabbed = texts.select(F.col("doc_id").cast("string").alias("path"), F.replace("text", F.lit(", "), F.lit("\t")).alias("text"))
-    rows = as_rows(stage(split_lines(tabbed), "lines"))
+    rows = as_rows(written(split_lines(tabbed)))
     return rejected_files(detect_layout(rows)).select(F.col("path").cast("bigint").alias("doc_id"), "reason")
 
 

@@ -6,12 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladderline.functions.casts import to_date, to_float, to_int
-from ladderline.operators.flatten import flatten, row_counts, to_cells, to_columns
+from ladderline.operators.flatten import flatten, flatten_columns, row_counts, to_cells
 from ladderline.operators.layout import detect_layout, layouts_by_file
 from ladderline.plans.ordered import with_blocks
-from ladderline.session import stage
 from ladderline.sources.text_reports import as_rows
-from workload.base import day_text, fixed_lines, line_of, money_text, query, table
+from workload.base import day_text, fixed_lines, line_of, money_text, query, table, written
 
 # The rendered lines are written to a table first: they stand for the report files a scan would read.
 # Positions leave room for every order key below its group's subtotal, so no global sort is needed.
@@ -74,9 +73,9 @@ def _order_year() -> Column:
     return F.concat(F.year("o_orderdate").cast("string"), F.lit(".txt"))
 
 
-def _typed_orders(flat: DataFrame) -> DataFrame:
+def _typed_orders(rows: DataFrame) -> DataFrame:
     names = ["status", "priority", "rank", "order_key", "customer", "day", "note", "total"]
-    wide = to_columns(flat, names, ("path",))
+    wide = flatten_columns(rows, detect_layout(rows), names, ("path",))
     typed = {"rank": to_int, "order_key": to_int, "customer": to_int, "day": to_date, "total": to_float}
     return wide.select("path", *[typed.get(n, lambda c: c)(F.col(n)).alias(n) for n in names])
 
@@ -94,8 +93,8 @@ PLAIN_ORDER = ORDER_SQL.format(priority="o_orderpriority", rank="CAST(left(o_ord
 @query(f"SELECT CAST(year(o_orderdate) AS VARCHAR) || '.txt' AS path, {PLAIN_ORDER} FROM orders")
 def ladder_2level(spark, sf_dir):
     """Yearly order reports, flattened and typed: every order with its status and priority."""
-    rows = as_rows(stage(order_lines(table(spark, sf_dir, "orders", *ORDER_COLUMNS), _order_year()), "lines"))
-    return _typed_orders(flatten(rows, detect_layout(rows)))
+    rows = as_rows(written(order_lines(table(spark, sf_dir, "orders", *ORDER_COLUMNS), _order_year())))
+    return _typed_orders(rows)
 
 
 ITEM_HEAD = [
@@ -144,10 +143,10 @@ def _items(spark, sf_dir) -> DataFrame:
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def _typed_items(flat: DataFrame) -> DataFrame:
+def _typed_items(rows: DataFrame) -> DataFrame:
     texts = ["flag", "status", "mode", "priority", "lane"]
     whole = ["class", "order_key", "line", "part", "supplier", "quantity"]
-    wide = to_columns(flat, [*texts, *whole, "price"], ("path",))
+    wide = flatten_columns(rows, detect_layout(rows), [*texts, *whole, "price"], ("path",))
     return wide.select("path", *texts, *[to_int(F.col(n)).alias(n) for n in whole], to_float(F.col("price")).alias("price"))
 
 
@@ -164,15 +163,15 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 @query(ITEM_SQL.format(path="CAST(year(l_shipdate) AS VARCHAR)"))
 def ladder_3level(spark, sf_dir):
     """Line items of each year under a four-line staircase header."""
-    rows = as_rows(stage(with_blocks(item_lines(_items(spark, sf_dir), F.year("l_shipdate").cast("string"))), "lines"))
-    return _typed_items(flatten(rows, detect_layout(rows)))
+    rows = as_rows(written(with_blocks(item_lines(_items(spark, sf_dir), F.year("l_shipdate").cast("string")))))
+    return _typed_items(rows)
 
 
 @query(ITEM_SQL.format(path="'all items'"))
 def ladder_two_phase(spark, sf_dir):
     """All line items as one single report: group values cross many block borders."""
-    rows = as_rows(stage(with_blocks(item_lines(_items(spark, sf_dir), F.lit("all items")), 4096), "lines"))
-    return _typed_items(flatten(rows, detect_layout(rows)))
+    rows = as_rows(written(with_blocks(item_lines(_items(spark, sf_dir), F.lit("all items")), 4096)))
+    return _typed_items(rows)
 
 
 def _is_withheld() -> Column:
@@ -202,8 +201,8 @@ def ladder_reset(spark, sf_dir):
     """A status subtotal clears the priority: orders whose priority subtotal is missing take the one before
     it in the same status, or none."""
     orders = table(spark, sf_dir, "orders", *ORDER_COLUMNS)
-    rows = as_rows(stage(order_lines(orders, _order_year(), withheld=_is_withheld()), "lines"))
-    return _typed_orders(flatten(rows, detect_layout(rows)))
+    rows = as_rows(written(order_lines(orders, _order_year(), withheld=_is_withheld())))
+    return _typed_orders(rows)
 
 
 @query(f"""
@@ -212,8 +211,8 @@ SELECT CAST(year(o_orderdate) AS VARCHAR) || '.txt' AS path, {PLAIN_ORDER} FROM
 def ladder_ragged(spark, sf_dir):
     """Order lines with a surplus cell (the expensive orders) are skipped, all others stay."""
     orders = table(spark, sf_dir, "orders", *ORDER_COLUMNS)
-    rows = as_rows(stage(order_lines(orders, _order_year(), extra=F.col("o_totalprice") > 250000), "lines"))
-    return _typed_orders(flatten(rows, detect_layout(rows)))
+    rows = as_rows(written(order_lines(orders, _order_year(), extra=F.col("o_totalprice") > 250000)))
+    return _typed_orders(rows)
 
 
 @query("""
@@ -226,7 +225,7 @@ FROM o GROUP BY path
 def row_classes(spark, sf_dir):
     """How many detail, subtotal, ragged and other rows each report has."""
     orders = table(spark, sf_dir, "orders", *ORDER_COLUMNS)
-    rows = as_rows(stage(order_lines(orders, _order_year(), extra=F.col("o_totalprice") > 250000), "lines"))
+    rows = as_rows(written(order_lines(orders, _order_year(), extra=F.col("o_totalprice") > 250000)))
     return row_counts(rows, detect_layout(rows)).drop("padded_rows", "cut_rows")
 
 
@@ -243,7 +242,7 @@ def layout_detection(spark, sf_dir):
     """Layouts of order and line-item reports found in one pass over both."""
     orders = order_lines(table(spark, sf_dir, "orders", *ORDER_COLUMNS), _order_year())
     items = with_blocks(item_lines(_items(spark, sf_dir), F.year("l_shipdate").cast("string")))
-    found = layouts_by_file(detect_layout(as_rows(stage(orders.unionByName(items), "lines"))))
+    found = layouts_by_file(detect_layout(as_rows(written(orders.unionByName(items)))))
     whole = [F.col(c).cast("bigint").alias(c) for c in ("width", "measure_start", "height")]
     listed = [F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("spans", "names")]
     return found.select("path", "kind", *whole, *listed)
@@ -268,7 +267,7 @@ def ladder_mixed(spark, sf_dir):
     """Reports with different layouts flattened together, as long cells."""
     orders = order_lines(table(spark, sf_dir, "orders", *ORDER_COLUMNS), _order_year())
     items = with_blocks(item_lines(_items(spark, sf_dir), F.year("l_shipdate").cast("string")))
-    rows = as_rows(stage(orders.unionByName(items), "lines"))
+    rows = as_rows(written(orders.unionByName(items)))
     cells = to_cells(flatten(rows, detect_layout(rows)))
     shared = cells.filter(F.col("name").isin("order_key", "status", "priority"))
     return shared.groupBy("path", "name", "value").agg(F.count(F.lit(1)).alias("n"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladderline.functions.casts import to_int
-from ladderline.operators.flatten import flatten, to_columns
+from ladderline.operators.flatten import flatten_columns
 from ladderline.operators.layout import detect_layout, header_heights
 from ladderline.operators.periods import header_texts, report_periods
 from ladderline.operators.quality import reconcile
@@ -70,7 +70,8 @@ def _sheet_files(spark, sf_dir) -> DataFrame:
     start = '{8,1,12,{"ru",{3,0}},{0,0},{16,9,{1,1,{"#","page"}},0},0,'
     end = ',{2,{0,2,3,2,0},{4,2,4,3,0}},{16,3,{1,1,{"#","behind"}},0},5}'
     text = F.concat(F.lit(start), F.col("rows"), F.lit(end))
-    return joined.select("path", F.concat(F.unhex(F.lit(SIGNATURE)), F.encode(text, "UTF-8")).alias("content"))
+    spread = joined.repartition(joined.sparkSession.sparkContext.defaultParallelism, "path")
+    return spread.select("path", F.concat(F.unhex(F.lit(SIGNATURE)), F.encode(text, "UTF-8")).alias("content"))
 
 
 def _sheets(spark, sf_dir) -> Sheets:
@@ -131,7 +132,7 @@ def sheet_table(spark, sf_dir):
 
     The first table row that reaches the third column is the header; the blank second header row goes."""
     rows = sheet_rows(_sheets(spark, sf_dir).cells)
-    wide = to_columns(flatten(rows, detect_layout(rows)), ["part", "size"], ("path",))
+    wide = flatten_columns(rows, detect_layout(rows), ["part", "size"], ("path",))
     periods = report_periods(header_texts(rows), F.lit("sale_date")).select("path", "start_raw")
     typed = wide.select("path", to_int(F.col("part")).alias("part"), to_int(F.col("size")).alias("size"))
     return typed.join(periods, "path")
@@ -187,7 +188,7 @@ FROM p WHERE p_type = 'PROMO'
 def reconcile_exports(spark, sf_dir):
     """The sheet export against a text export of the same parts that lacks the PROMO ones."""
     sheet = sheet_rows(_sheets(spark, sf_dir).cells)
-    from_sheet = to_columns(flatten(sheet, detect_layout(sheet)), ["part", "size"], ("path",))
+    from_sheet = flatten_columns(sheet, detect_layout(sheet), ["part", "size"], ("path",))
     parts = _parts(spark, sf_dir).filter(F.col("p_type") != "PROMO")
     lines = parts.select("path", F.concat_ws("\t", *_part_cells()).alias("line"), F.col("row"))
     gathered = F.array_sort(F.collect_list(F.struct("row", "line")))
@@ -195,5 +196,5 @@ def reconcile_exports(spark, sf_dir):
         F.concat(F.lit("Отчёт\npart\t\t\t\tsize\n"), F.array_join(F.transform(gathered, lambda r: r["line"]), "\n")).alias("text")
     )
     text_rows = as_rows(split_lines(texts))
-    from_text = to_columns(flatten(text_rows, detect_layout(text_rows)), ["part", "size"], ("path",))
+    from_text = flatten_columns(text_rows, detect_layout(text_rows), ["part", "size"], ("path",))
     return reconcile(from_sheet, from_text)
