@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -156,7 +158,7 @@ class PeriodTable:
 
     def sync_schema(self, target: T.StructType, strict: bool = True) -> None:
         """K4: bring the table to ``target``. Added columns only change the catalog; a changed type or a
-        dropped column rewrites the table next to itself and swaps the names."""
+        dropped column writes the table anew next to itself before the old one goes."""
         current = self.read().schema
         stored = {f.name: f.dataType for f in current}
         wanted = {f.name: f.dataType for f in target}
@@ -166,11 +168,22 @@ class PeriodTable:
                 columns = ", ".join(f"{quote_name(f.name)} {f.dataType.simpleString()}" for f in added)
                 self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({columns})")
             return
-        following = f"{self.name}__next"
-        self.spark.sql(f"DROP TABLE IF EXISTS {following}")
-        self._save(evolve(self.read(), target, strict), following)
+        self._move_to(evolve(self.read(), target, strict))
+
+    def _move_to(self, content: DataFrame) -> None:
+        """Write the new content to a fresh folder of the database, then point the table at it."""
+        database, _, short = self.name.rpartition(".")
+        root = self.spark.catalog.getDatabase(database or self.spark.catalog.currentDatabase()).locationUri
+        path = f"{root}/{short}-{uuid.uuid4().hex}"
+        dated = content.withColumn(EVENT_DATE, self._partition(self._moment(content)))
+        _spread(dated).write.partitionBy(EVENT_DATE).parquet(path)
+        columns = ", ".join(f"{quote_name(f.name)} {f.dataType.simpleString()}" for f in dated.schema)
         self.spark.sql(f"DROP TABLE {self.name}")
-        self.spark.sql(f"ALTER TABLE {following} RENAME TO {self.name}")
+        self.spark.sql(
+            f"CREATE TABLE {self.name} ({columns}) USING parquet OPTIONS (partitionOverwriteMode 'dynamic') "
+            f"PARTITIONED BY ({EVENT_DATE}) LOCATION '{path}'"
+        )
+        self.spark.sql(f"MSCK REPAIR TABLE {self.name}")
 
     def load(self, new: DataFrame, start=None, end=None) -> dict[str, int]:
         """Replace ``[start, end]`` by ``new``; the counts are ``planned``, ``loaded`` and ``deleted``."""

@@ -54,7 +54,8 @@ def running(
 
     Order inside a sequence is ``(block, order)``; sequence and block columns must not be NULL. ``rows`` is read again for the summaries; stage it
     first when what lies behind it is expensive. A known list of ``blocks`` (sequence and block columns)
-    saves finding it; its columns named in ``facts`` reach every row of the block on the same join.
+    saves finding it; its columns named in ``facts`` reach every row of the block on the same join,
+    and a column ``__sum_<name>`` is taken as the block's total of a ``sum``.
     ``setters`` may name a cheap condition that holds for every row with a value for some ``last``.
     """
     keys = [*sequence, block]
@@ -64,7 +65,10 @@ def running(
     within = prepared.select(
         "*", *[_within(v, held[name], keys, order).alias(f"__in_{name}") for name, v in values.items()]
     )
-    known = blocks.select(*keys, *facts) if blocks is not None else None
+    totals = [f"__sum_{n}" for n, v in values.items() if v.how == "sum"]
+    if blocks is not None:
+        totals = [t for t in totals if t in blocks.columns]
+    known = blocks.select(*keys, *facts, *totals) if blocks is not None else None
     summary = _summaries(prepared, keys, order, values, held, known, setters)
     inherited = summary.select(
         *keys, *facts, *[_across(v, name, sequence, block).alias(f"__from_{name}") for name, v in values.items()]
@@ -102,7 +106,7 @@ def _summaries(
     aggregation has to sort, see only the rows that set one."""
     sums = [F.sum(held[n]).alias(f"__sum_{n}") for n, v in values.items() if v.how == "sum"]
     lasts = {n: v for n, v in values.items() if v.how == "last"}
-    if known is not None and not sums:
+    if known is not None and all(f"__sum_{n}" in known.columns for n, v in values.items() if v.how == "sum"):
         blocks = known
     else:
         blocks = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), *sums)

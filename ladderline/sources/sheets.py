@@ -54,7 +54,7 @@ def parse_sheets(files: DataFrame) -> Sheets:
     """Parse sheet files ``(path, content)``. Files that break the format become rejects."""
     checked = files.select("path", "content", _file_problem(F.col("content")).alias("reason"))
     bad_files = checked.filter(F.col("reason").isNotNull()).select("path", "reason")
-    tokens = stage(_with_depth(_tokens(checked.filter(F.col("reason").isNull()))), "tokens")
+    tokens = stage(_structure(checked.filter(F.col("reason").isNull())), "tokens")
     bad_nesting = _nesting_problems(tokens)
     numbered = stage(_with_items(tokens.join(bad_nesting, "path", "left_anti")), "items")
     cells, bad_grids = _place_cells(stage(_grid_items(numbered), "grid"))
@@ -79,31 +79,42 @@ def _body(text: Column) -> Column:
     return F.substring(text, F.instr(text, "{"), F.length(text))
 
 
-def _tokens(files: DataFrame) -> DataFrame:
-    """``(path, block, pos, token, next, after_zero)``: an opening brace also carries the tokens after it,
-    and every token knows whether the list ``{0,0}`` ends right before it."""
-    all_tokens = files.select(
+def _structure(files: DataFrame) -> DataFrame:
+    """The tokens that carry structure: ``(path, block, pos, token, next, after_zero, is_last, depth)``.
+
+    These are the starts of root items, lists inside them, what breaks the nesting, and each file's last
+    token. An opening brace also carries the tokens after it (``next``) and whether the list ``{0,0}`` ends
+    right before it. How far a block of tokens changes the depth is counted on the token arrays, so only
+    one pass turns them into rows."""
+    arrays = files.select(
         "path", F.regexp_extract_all(_body(F.col("content").cast("string")), F.lit(TOKEN), F.lit(0)).alias("t")
     ).filter(F.size("t") > 0)
+    step = lambda token: F.when(token == "{", 1).when(token == "}", -1).otherwise(0)
+    change = lambda b: F.aggregate(
+        F.slice(F.col("t"), b * ROWS_PER_BLOCK + 1, ROWS_PER_BLOCK), F.lit(0), lambda total, token: total + step(token)
+    )
+    numbers = F.sequence(F.lit(0), F.floor((F.size("t") - 1) / ROWS_PER_BLOCK).cast("int"))
+    blocks = arrays.select(
+        "path", F.inline(F.transform(numbers, lambda b: F.struct(b.cast("bigint").alias("block"), change(b).alias("__sum_depth"))))
+    )
+
     at = lambda i: F.get(F.col("t"), i)
-    entry = lambda i: F.struct(
-        at(i).alias("token"),
-        F.when(at(i) == "{", F.slice(F.col("t"), i + 2, LOOK_AHEAD)).alias("next"),
-        (
-            (at(i - 4) == "{") & (at(i - 3) == "0") & (at(i - 2) == "0") & (at(i - 1) == "}")
+    entry = lambda token, i: F.struct(
+        token.alias("token"),
+        F.when(token == "{", F.slice(F.col("t"), i + 2, LOOK_AHEAD)).alias("next"),
+        F.when(
+            token == "{", (at(i - 1) == "}") & (at(i - 2) == "0") & (at(i - 3) == "0") & (at(i - 4) == "{")
         ).alias("after_zero"),
+        (i == F.size("t") - 1).alias("is_last"),
     )
-    exploded = all_tokens.select(
-        "path", F.posexplode(F.transform(F.sequence(F.lit(0), F.size("t") - 1), entry)).alias("pos", "e")
-    )
-    return exploded.select(
+    exploded = arrays.select("path", F.posexplode(F.transform(F.col("t"), entry)).alias("pos", "e"))
+    rows = exploded.select(
         "path", F.floor(F.col("pos") / ROWS_PER_BLOCK).cast("bigint").alias("block"), "pos", "e.*"
     )
-
-
-def _with_depth(tokens: DataFrame) -> DataFrame:
-    step = F.when(F.col("token") == "{", 1).when(F.col("token") == "}", -1).otherwise(0)
-    return running(tokens, ["path"], "pos", {"depth": Running("sum", step)})
+    deep = running(rows, ["path"], "pos", {"depth": Running("sum", step(F.col("token")))}, blocks=blocks)
+    depth = F.col("depth")
+    opens = (F.col("token") == "{") & depth.between(1, 3)
+    return deep.filter(opens | (~_is_brace() & (depth <= 1)) | (depth <= 0) | F.col("is_last"))
 
 
 def _is_brace() -> Column:
@@ -111,10 +122,9 @@ def _is_brace() -> Column:
 
 
 def _nesting_problems(tokens: DataFrame) -> DataFrame:
-    step = F.when(F.col("token") == "{", 1).when(F.col("token") == "}", -1).otherwise(0)
     facts = tokens.groupBy("path").agg(
         F.min("depth").alias("lowest"),
-        F.sum(step).alias("balance"),
+        F.max(F.when(F.col("is_last"), F.col("depth"))).alias("balance"),
         F.count_if(~_is_brace() & (F.col("depth") == 0)).alias("loose"),
         F.count_if((F.col("token") == "{") & (F.col("depth") == 1)).alias("roots"),
     )
@@ -128,7 +138,8 @@ def _nesting_problems(tokens: DataFrame) -> DataFrame:
 
 
 def _with_items(tokens: DataFrame) -> DataFrame:
-    """Number the root list's items and give every token its item's ``kind``."""
+    """Number the root list's items; every row has its item's ``kind``, and a start its item's ``extent``
+    in tokens."""
     opens_item = (F.col("token") == "{") & (F.col("depth") == 2)
     atom = ~_is_brace() & (F.col("depth") == 1)
     ahead = lambda i: F.get(F.col("next"), F.lit(i))
@@ -137,11 +148,14 @@ def _with_items(tokens: DataFrame) -> DataFrame:
         atom, F.when(F.rlike(F.col("token"), F.lit(INTEGER)), "int").otherwise("other")
     )
     started = tokens.withColumn("starts", kind)
+    border = F.col("starts").isNotNull() | ((F.col("token") == "}") & (F.col("depth") == 0))
     values = {
         "item": Running("sum", F.when(F.col("starts").isNotNull(), 1).otherwise(0)),
         "kind": Running("last", F.col("starts")),
+        "following": Running("last", F.when(border, F.col("pos")), inclusive=False, backward=True),
     }
-    return running(started, ["path"], "pos", values).filter((F.col("item") > 0) & (F.col("depth") > 0))
+    numbered = running(started, ["path"], "pos", values).filter((F.col("item") > 0) & (F.col("depth") > 0))
+    return numbered.withColumn("extent", F.when(F.col("starts").isNotNull(), F.col("following") - F.col("pos")))
 
 
 def _grid_items(tokens: DataFrame) -> DataFrame:
@@ -253,8 +267,9 @@ def _merged_areas(tokens: DataFrame) -> DataFrame:
     lists = tokens.filter(F.col("kind").isin("list", "cell"))
     announced = F.max(F.when(F.col("starts").isNotNull(), number(0)))
     counted = lists.groupBy("path", "item").agg(
-        announced.alias("n"), F.count_if(is_area).alias("areas"), F.count(F.lit(1)).alias("tokens")
+        announced.alias("n"), F.count_if(is_area).alias("areas"), F.max("extent").alias("tokens")
     )
+    # Braces, the number and seven tokens per area: nothing else is in the list.
     whole = counted.filter((F.col("n") >= 1) & (F.col("areas") == F.col("n")) & (F.col("tokens") == 7 * F.col("n") + 3))
     chosen = whole.groupBy("path").agg(F.min("item").alias("item"))
     return lists.filter(is_area).join(chosen, ["path", "item"]).select(
