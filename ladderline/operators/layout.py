@@ -63,11 +63,11 @@ def detect_layout(rows: DataFrame, merges: DataFrame | None = None) -> DataFrame
     """One staged row per file and block (the block list the flattening joins on):
 
     ``(path, block, kind, format, width, measure_start, height, spans, detail_cols, detail_only, names,
-    picks, head_block, head_line, reason)``.
+    picks, start_block, start_line, head_block, head_line, reason)``.
 
     ``kind`` is ``grouped``, ``flat`` or ``rejected`` (then ``reason`` says why); ``names`` are the output
-    columns and ``picks`` the positions their values come from (NULL: in order); ``(head_block, head_line)`` is the
-    last header line. ``merges`` (``path, r1, c1, r2, c2``) lets sheets state their header height.
+    columns and ``picks`` the positions their values come from (NULL: in order); ``(start_block,
+    start_line)`` is the first table line and ``(head_block, head_line)`` the last header line. ``merges`` (``path, r1, c1, r2, c2``) lets sheets state their header height.
     """
     blocks = stage(table_starts(rows), "blocks")
     # A grouped header has at most one line per dimension column and one detail line, so the widest line
@@ -87,7 +87,8 @@ def detect_layout(rows: DataFrame, merges: DataFrame | None = None) -> DataFrame
         tables = layouts.select("path", first_row, "measure_start", "width")
         layouts = layouts.join(header_heights(tables, merges), "path", "left")
     described = _describe(layouts, longest)
-    return stage(blocks.select("path", "block").join(described, "path"), "layout")
+    placed = blocks.select("path", "block").join(first_openings(blocks), "path", "left")
+    return stage(placed.join(described, "path"), "layout")
 
 
 def header_heights(tables: DataFrame, merges: DataFrame) -> DataFrame:

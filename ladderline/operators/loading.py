@@ -81,8 +81,13 @@ def event_moment(value: Column, value_type: T.DataType) -> Column:
 
 def append_counts(planned: DataFrame, loaded: DataFrame, actual: DataFrame) -> DataFrame:
     """K2: one row ``(planned, loaded, actual)``."""
-    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
-    return count(planned, "planned").crossJoin(count(loaded, "loaded")).crossJoin(count(actual, "actual"))
+    names = ("planned", "loaded", "actual")
+    ones = [
+        df.select(*[F.lit(1 if n == mine else 0).alias(n) for n in names])
+        for mine, df in zip(names, (planned, loaded, actual), strict=True)
+    ]
+    counted = ones[0].unionByName(ones[1]).unionByName(ones[2])
+    return counted.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
 
 
 def unique_violations(df: DataFrame, keys: list[str]) -> DataFrame:

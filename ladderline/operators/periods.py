@@ -10,21 +10,27 @@ from ladderline.functions.text import is_filled
 from ladderline.operators.layout import first_openings, table_starts
 
 
-def header_texts(rows: DataFrame, text: Column | None = None) -> DataFrame:
-    """``(path, header)``: the lines before the table, in order, one text per file.
-
-    Only files that have a table count, and blank lines are left out: the period patterns treat them as
-    whitespace. What is gathered is the report's title block, not its rows."""
-    line = text if text is not None else F.col("line")
-    starts = first_openings(table_starts(rows))
+def header_texts(rows: DataFrame, layout: DataFrame | None = None) -> DataFrame:
+    """``(path, header)``: the lines before the table, in order, one text per file that has a table.
+
+    Blank lines are left out: the period patterns treat them as whitespace. What is gathered is a report's
+    title block, not its rows. Rows meet their file's table start by ``(path, block)`` and only in the
+    blocks up to it, so a large file costs no more than a small one. A known ``layout`` saves finding the
+    starts."""
+    if layout is not None:
+        blocks = layout.filter(F.col("start_block").isNotNull()).select("path", "block", "start_block", "start_line")
+    else:
+        found = table_starts(rows)
+        blocks = found.select("path", "block").join(first_openings(found), "path")
     before = (F.col("block") < F.col("start_block")) | (
         (F.col("block") == F.col("start_block")) & (F.col("line_no") < F.col("start_line"))
     )
-    lines = rows.select("path", "block", "line_no", line.alias("line"))
-    title = lines.filter(is_filled("line")).join(starts, "path").filter(before)
+    lines = rows.select("path", "block", "line_no", "line").filter(is_filled(F.col("line")))
+    title = lines.join(blocks.filter("block <= start_block"), ["path", "block"]).filter(before)
     ordered = F.array_sort(F.collect_list(F.struct("block", "line_no", "line")))
     gathered = title.groupBy("path").agg(F.array_join(F.transform(ordered, lambda r: r["line"]), "\n").alias("header"))
-    return starts.select("path").join(gathered, "path", "left").select("path", F.coalesce("header", F.lit("")).alias("header"))
+    files = blocks.filter("block = start_block").select("path")
+    return files.join(gathered, "path", "left").select("path", F.coalesce("header", F.lit("")).alias("header"))
 
 
 def report_periods(headers: DataFrame, event_time: Column) -> DataFrame:

@@ -62,11 +62,14 @@ def read_text_lines(
         return scan.select("path", "mtime", "block", "line_no", _drop_invalid(F.col("value")).alias("line"))
     if fallback_encoding.lower() not in ("windows-1251", "cp1251"):
         raise ValueError(f"unsupported fallback encoding: {fallback_encoding}")
-    # One flag per file, aggregated map-side: a file is UTF-8 only if every line is.
-    valid = scan.groupBy("path").agg(F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"))
+    # A file is UTF-8 only if every line is. Flags are aggregated map-side and joined by block, so that a
+    # file with a large share of all lines is not one join task.
+    per_block = scan.groupBy("path", "block").agg(F.bool_and(F.is_valid_utf8("value")).alias("valid"))
+    per_file = per_block.groupBy("path").agg(F.bool_and("valid").alias("is_utf8"))
+    flags = per_block.select("path", "block").join(per_file, "path")
     raw = F.col("value").cast("binary")
     line = F.when(F.col("is_utf8"), F.col("value")).otherwise(decode_cp1251(raw))
-    return scan.join(valid, "path").select("path", "mtime", "block", "line_no", line.alias("line"))
+    return scan.join(flags, ["path", "block"]).select("path", "mtime", "block", "line_no", line.alias("line"))
 
 
 def _drop_invalid(value: Column) -> Column:

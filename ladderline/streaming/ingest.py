@@ -140,7 +140,7 @@ class Ingest:
         event_times = self.spark.createDataFrame(
             [(c.report, c.event_time) for c in self.contracts.values()], "report string, event_time string"
         )
-        headers = header_texts(rows).join(todo.select("path", "report"), "path").join(event_times, "report", "left")
+        headers = header_texts(rows, layout).join(todo.select("path", "report"), "path").join(event_times, "report", "left")
         periods = report_periods(headers, F.col("event_time")).select("path", "start", "end", "missing")
         files = (
             todo.select("path", "report")

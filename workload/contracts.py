@@ -113,12 +113,12 @@ def infer_types_wide(spark, sf_dir):
 @query(f"SELECT doc AS report, name, {TYPE_SQL} AS type FROM " + """(
     SELECT source AS doc, 'n_chars' AS name, replace(format('{:,}', n_chars), ',', ' ') AS v FROM documents
     UNION ALL SELECT source, 'lang', lang FROM documents
-    UNION ALL SELECT source, 'first', CASE WHEN n_chars < 1000 THEN CAST(n_chars AS VARCHAR) || '.5' WHEN n_chars > 18000 THEN left(text, 1) END FROM documents
+    UNION ALL SELECT source, 'first', CASE WHEN n_chars < 1000 THEN CAST(n_chars AS VARCHAR) || '.5' WHEN n_chars > 18000 THEN lang END FROM documents
 ) GROUP BY doc, name""")
 def infer_types_long(spark, sf_dir):
     """Types per report and column for many reports at once, from long cells."""
-    documents = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
-    first = F.when(F.col("n_chars") < 1000, F.concat(F.col("n_chars").cast("string"), F.lit(".5"))).when(F.col("n_chars") > 18000, F.left("text", F.lit(1)))
+    documents = table(spark, sf_dir, "documents", "doc_id", "lang", "source", "n_chars")
+    first = F.when(F.col("n_chars") < 1000, F.concat(F.col("n_chars").cast("string"), F.lit(".5"))).when(F.col("n_chars") > 18000, F.col("lang"))
     wide = documents.select(
         "doc_id", "source", F.translate(F.format_number("n_chars", 0), ",", " ").alias("n_chars"), "lang", first.alias("first")
     )
