@@ -21,11 +21,12 @@ def strip(text: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    return strip(text) == ""
+    """Nothing but whitespace. Trimming on the left alone decides it, and stops at the first other character."""
+    return F.ltrim(text, F.lit(STRIPPED)) == ""
 
 
 def is_filled(text: Column) -> Column:
-    return strip(text) != ""
+    return F.ltrim(text, F.lit(STRIPPED)) != ""
 
 
 def without_spaces(text: Column) -> Column:
@@ -45,7 +46,7 @@ def replace_first(text: Column, old: str, new: str) -> Column:
 
 def starts_total(first_cell: Column) -> Column:
     """A totals line: its first cell, stripped and lower-cased, starts with the totals word."""
-    return F.startswith(F.lower(strip(first_cell)), F.lit(TOTAL_MARK))
+    return F.startswith(F.lower(F.ltrim(first_cell, F.lit(STRIPPED))), F.lit(TOTAL_MARK))
 
 
 def empty_to_null(text: Column) -> Column:

@@ -17,8 +17,7 @@ from ladderline.operators.contracts import Contract, ContractColumn, IndexSpec
 
 # What counts as a number, a date and a UUID in report text.
 WHOLE_PART = r"(?:0|[1-9]\d*|[1-9]\d{0,2}(?:\s\d{3})+)"
-WHOLE_NUMBER = rf"(?U)^[+-]?{WHOLE_PART}$"
-DECIMAL_NUMBER = rf"(?U)^[+-]?{WHOLE_PART}[.,]\d+$"
+NUMBER = rf"(?U)^[+-]?{WHOLE_PART}(?:[.,]\d+)?$"
 DATE_TEXT = r"(?U)^\d{2}\.\d{2}\.\d{4}(?:\s+\d{1,2}:\d{2}:\d{2})?$"
 UUID_TEXT = "(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 DATE_SAMPLE = 20
@@ -26,15 +25,18 @@ UUID_SAMPLE = 10
 DATETIME_NAME = "datetime64[ns]"
 
 
-def _type_of(values: Column, prefix: str = "") -> list[Column]:
-    """The four facts a text column's type follows from; NULL and blank values do not count."""
-    text = strip(values)
-    filled = F.when(text != "", text)
-    whole = F.rlike(filled, F.lit(WHOLE_NUMBER))
+def _filled(values: Column) -> Column:
+    """Stripped text; blank values are NULL and do not count."""
+    return F.nullif(strip(values), F.lit(""))
+
+
+def _type_of(filled: Column, prefix: str = "") -> list[Column]:
+    """The four facts a text column's type follows from. One pattern serves both kinds of number: a whole
+    one is a number without a separator."""
     return [
         F.count(filled).alias(f"{prefix}filled"),
-        F.bool_and(whole).alias(f"{prefix}whole"),
-        F.bool_and(whole | F.rlike(filled, F.lit(DECIMAL_NUMBER))).alias(f"{prefix}number"),
+        F.bool_and(~F.contains(filled, F.lit(",")) & ~F.contains(filled, F.lit("."))).alias(f"{prefix}plain"),
+        F.bool_and(F.rlike(filled, F.lit(NUMBER))).alias(f"{prefix}number"),
         F.bool_and(_fits_long(filled)).alias(f"{prefix}fits"),
     ]
 
@@ -43,14 +45,15 @@ def _fits_long(number: Column) -> Column:
     """Whether a whole number (without leading zeros) fits 64 bits, decided by its digits."""
     digits = F.translate(without_spaces(number), "+-", "")
     largest = F.when(F.startswith(number, F.lit("-")), "9223372036854775808").otherwise("9223372036854775807")
-    return (F.length(digits) < 19) | ((F.length(digits) == 19) & (digits <= largest))
+    checked = (F.length(digits) < 19) | ((F.length(digits) == 19) & (digits <= largest))
+    return F.when(F.length(number) < 19, True).otherwise(checked)
 
 
 def _decide(prefix: str = "") -> Column:
     fact = lambda name: F.col(f"{prefix}{name}")
     return (
         F.when(fact("filled") == 0, "string")
-        .when(fact("whole") & fact("fits"), "Int64")
+        .when(fact("number") & fact("plain") & fact("fits"), "Int64")
         .when(fact("number"), "float64")
         .otherwise("string")
     )
@@ -58,7 +61,8 @@ def _decide(prefix: str = "") -> Column:
 
 def infer_cell_types(cells: DataFrame, keys: tuple[str, ...] = ("report", "ord", "name")) -> DataFrame:
     """``(*keys, type)`` for long cells with a text ``value``."""
-    return cells.groupBy(*keys).agg(*_type_of(F.col("value"))).select(*keys, _decide().alias("type"))
+    filled = cells.select(*keys, _filled(F.col("value")).alias("value"))
+    return filled.groupBy(*keys).agg(*_type_of(F.col("value"))).select(*keys, _decide().alias("type"))
 
 
 def type_by_dtype(data_type: T.DataType) -> str:
@@ -77,14 +81,11 @@ def type_by_dtype(data_type: T.DataType) -> str:
 def infer_types(df: DataFrame) -> DataFrame:
     """``(ord, name, type)`` for a wide DataFrame: one pass over all text columns at once."""
     fields = list(df.schema)
-    facts = [
-        fact
-        for i, f in enumerate(fields)
-        if isinstance(f.dataType, T.StringType)
-        for fact in _type_of(named(f.name), f"c{i}_")
-    ]
+    texts = [i for i, f in enumerate(fields) if isinstance(f.dataType, T.StringType)]
+    filled = df.select(F.lit(1).alias("row"), *[_filled(named(fields[i].name)).alias(f"c{i}") for i in texts])
+    facts = [fact for i in texts for fact in _type_of(F.col(f"c{i}"), f"c{i}_")]
     # A frame without text columns still yields one row.
-    one = df.agg(F.count(F.lit(1)).alias("n"), *facts)
+    one = filled.agg(F.count("row").alias("n"), *facts)
     entries = [
         F.struct(
             F.lit(i).alias("ord"),
