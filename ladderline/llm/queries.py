@@ -32,3 +32,84 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+@query(
+    """
+    WITH vectors AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+        FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """
+)
+def op3_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladderline.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+@query()
+def op4_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladderline.llm.urltrust import judged_urls
+
+    return judged_urls(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+@query()
+def op5_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladderline.llm.mixing import mixed
+
+    rows = mixed(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query()
+def op8_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladderline.llm.bpe import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query(
+    """
+    WITH words AS (
+        SELECT rowid_, doc_id, text, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+        FROM (SELECT row_number() OVER () AS rowid_, doc_id, coalesce(text, '') AS text FROM documents)
+    ), windows AS (
+        SELECT rowid_, i, array_to_string(words[i:i + 7], ' ') AS win
+        FROM (SELECT rowid_, words, unnest(range(1, len(words) - 6)) AS i FROM words WHERE len(words) >= 8)
+    ), repeated AS (
+        SELECT rowid_, i, count(*) OVER (PARTITION BY rowid_, win) AS n FROM windows
+    ), starts AS (
+        SELECT rowid_, i, lead(i) OVER (PARTITION BY rowid_ ORDER BY i) AS behind FROM repeated WHERE n > 1
+    ), covered AS (
+        SELECT rowid_, sum(least(8, coalesce(behind - i, 8)))::BIGINT AS n FROM starts GROUP BY rowid_
+    ), lines AS (
+        SELECT rowid_, list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines FROM words
+    ), counts AS (
+        SELECT doc_id, words, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+            length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+            (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+        FROM words JOIN lines USING (rowid_) LEFT JOIN covered USING (rowid_)
+    ), judged AS (
+        SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT (base_failed OR 10 * n_symbols > word_chars OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+            OR 2 * n_dup_lines > n_lines OR 10 * len(list_filter(words, lambda w: regexp_matches(w, '\\p{L}'))) < 6 * n_words
+            OR 100 * len(list_distinct(words)) < 3 * n_words) AS kept
+    FROM judged
+    """
+)
+def op10_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladderline.llm.rules import judged
+
+    columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged(table(spark, sf_dir, "documents").select("doc_id", "text")).select("row.doc_id", *columns)
