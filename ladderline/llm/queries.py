@@ -113,3 +113,11 @@ def op10_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return judged(table(spark, sf_dir, "documents").select("doc_id", "text")).select("row.doc_id", *columns)
+
+
+@query()
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladderline.llm.substrings import without_repeats
+
+    found = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
