@@ -121,3 +121,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("row.doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@query()
+def op2_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladderline.llm.ppm import scored
+
+    return scored(table(spark, sf_dir, "documents").select("doc_id", "text"))
