@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladderline.llm import kernel
+from ladderline.llm.lookup import Lookup
 from ladderline.session import stage
 
 ORDER = 5
@@ -120,47 +121,6 @@ def _count(order: int):
     return run
 
 
-class _Lookup:
-    """Values by 64-bit key, in a table with open addressing."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.mask = np.uint64((1 << max(4, (2 * len(keys)).bit_length())) - 1)
-        self.index = np.zeros(int(self.mask) + 1, dtype=np.int32)  # place + 1
-        self.keys, self.values = keys, values
-        slot = self._slot(keys)
-        left = np.arange(len(keys))
-        while len(left):
-            free = self.index[slot] == 0
-            at, first = np.unique(slot[free], return_index=True)
-            self.index[at] = left[free][first] + 1
-            placed = np.zeros(len(left), dtype=bool)
-            placed[np.flatnonzero(free)[first]] = True
-            left, slot = left[~placed], (slot[~placed] + 1) & int(self.mask)
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(kernel._BASE) >> np.uint64(29)) & self.mask).astype(np.int64)
-
-    def places(self, keys: np.ndarray) -> np.ndarray:
-        """Place of each key, -1 if it isn't there."""
-        out = np.full(len(keys), -1, dtype=np.int64)
-        if not len(self.keys):
-            return out
-        slot = self._slot(keys)
-        at = self.index[slot]
-        hit = (at > 0) & (self.keys[at - 1] == keys)
-        out[hit] = at[hit] - 1
-        left = np.flatnonzero((at > 0) & ~hit)
-        slot = slot[left]
-        while len(left):
-            slot = (slot + 1) & int(self.mask)
-            at = self.index[slot]
-            hit = (at > 0) & (self.keys[at - 1] == keys[left])
-            out[left[hit]] = at[hit] - 1
-            more = (at > 0) & ~hit
-            left, slot = left[more], slot[more]
-        return out
-
-
 def _low(order: int) -> np.uint64:
     return np.uint64((1 << (8 * order)) - 1)
 
@@ -179,7 +139,7 @@ class Trie:
         self.contexts = {k: self._contexts(k) for k in range(order + 1)}
         n, d = self.contexts[order][1:3]
         of = np.searchsorted(self.contexts[order][0], grams >> np.uint64(8))
-        self.top = _Lookup(grams, np.log10(counts / (n + d)[of]) if len(grams) else np.empty(0))
+        self.top = Lookup(grams, np.log10(counts / (n + d)[of]) if len(grams) else np.empty(0))
 
     @staticmethod
     def _summed(grams: np.ndarray, counts: np.ndarray, mask: np.uint64) -> tuple[np.ndarray, np.ndarray]:
@@ -320,7 +280,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part
     while least > 0 and held + sizes.get(least - 1, 0) <= head:
         least -= 1
         held += sizes.get(least, 0)
-    known = _Lookup(*_arrays(words.where(F.col("n") >= F.lit(float(1 << least)))))
+    known = Lookup(*_arrays(words.where(F.col("n") >= F.lit(float(1 << least)))))
     vocabulary = spark.sparkContext.broadcast((known, held == distinct, unit, end))
 
     passes = []

@@ -128,3 +128,18 @@ def op2_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ladderline.llm.ppm import scored
 
     return scored(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op7_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladderline.llm.nbsvm import classified
+
+    found = classified(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op9_marginal_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladderline.llm.langid import identified
+
+    return identified(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).withColumnRenamed("id", "doc_id")
