@@ -1,16 +1,17 @@
 """Near-duplicate documents by an LSH forest over MinHash signatures.
 
 A text's set holds its distinct word shingles. Every distinct set gets one signature of ``trees * depth`` minima. Each
-tree orders all signatures by its own ``depth`` minima, and candidates are neighbours in an order that share a prefix
-of at least ``shallow`` values. A set is held against its ``neighbours`` predecessors, so in a thin region every pair
-with the shallow prefix is a candidate, while in a crowded region only those with the longest common prefixes are: the
-depth adapts to the region. Where more than ``neighbours`` sets share the full depth of a tree, the pairs farther apart
-are not lost: after the first round of links, every set of such a region that is outside the region's largest component
-is held against all sets of the region. Candidates are ranked out by the share of equal minima and the rest is
-confirmed on the full sets, so no false link is returned.
+tree orders all signatures by its own ``depth`` minima, and candidates have a common prefix of at least ``shallow``
+values. The depth adapts to the region: a region, the sets with one prefix, of at most ``CROWD`` sets gives all its
+pairs; a larger one is split by the next value of the prefix, and gives only the pairs next to each other, which are
+those with the longest common prefixes. Regions that are still larger at full depth are not cut short: after the first
+round of links, every set of such a region outside the region's largest component is held against all sets of it with
+another label, and linked if their full sets say so.
+Candidates with too few equal minima are left out and the others confirmed on the full sets, so no false link is
+returned.
 
 A pair at the threshold of 0.85 is missed by all 20 trees with probability (1 - 0.85**5)**20 = 8e-6 in thin regions,
-and with (1 - 0.85**8)**20 = 2e-3 if in every tree more than ``neighbours`` sets lie between them that share as much.
+and with (1 - 0.85**8)**20 = 2e-3 where all its regions are crowded and no other set links the two.
 
 Rows: a null or blank text has an empty set, is linked with nothing and is its own component. Equal texts, repeated rows
 included, are always linked. The component id is the smallest id of its rows; null ids are passed over, and a component
@@ -24,20 +25,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladderline.llm import kernel
+from ladderline.llm.bitmaps import flagged_in, maybe_in
 from ladderline.llm.components import components
 from ladderline.session import stage
 
-TREES, DEPTH, SHALLOW, NEIGHBOURS = 20, 8, 5, 8
-SLACK = 0.15
-"""Candidates whose share of equal minima is this far below the threshold are dropped: over 5 standard deviations."""
+TREES, DEPTH, SHALLOW, CROWD = 20, 8, 5, 5
+BLOCK = 50_000
+VALUES = 256
+"""Minima in a signature: those of the trees and more, so that the share of equal ones tells the similarity."""
+SLACK = 0.09
+"""Candidates whose share of equal minima is this far below the threshold are dropped: 4 standard deviations at 0.85."""
+CELL = 512
+"""Sets of a crowded region that are held against each other in one task."""
 
 _rng = np.random.Generator(np.random.PCG64(1))
-_A = _rng.integers(0, 1 << 32, TREES * DEPTH, dtype=np.uint32) | np.uint32(1)
-_B = _rng.integers(0, 1 << 32, TREES * DEPTH, dtype=np.uint32)
+_A = _rng.integers(0, 1 << 32, VALUES, dtype=np.uint32) | np.uint32(1)
+_B = _rng.integers(0, 1 << 32, VALUES, dtype=np.uint32)
 
 
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -56,7 +64,7 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
 
 
 def _signature(shingles: np.ndarray) -> np.ndarray:
-    low = np.full(TREES * DEPTH, 0xFFFFFFFF, dtype=np.uint32)
+    low = np.full(VALUES, 0xFFFFFFFF, dtype=np.uint32)
     keys = (shingles >> np.uint64(32)).astype(np.uint32)
     for first in range(0, len(keys), 256):
         np.minimum(low, (keys[first : first + 256, None] * _A + _B).min(axis=0), out=low)
@@ -65,64 +73,103 @@ def _signature(shingles: np.ndarray) -> np.ndarray:
 
 def _sketch(size: int, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
         for piece in kernel.pieces(batches, text):
+            rid = pa.array(np.arange(row, row + piece.num_rows))
+            row += piece.num_rows
             count, node, sig = [], [], []
             for shingles in shingle_sets(piece.column(text), size):
                 count.append(len(shingles))
                 node.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
                 sig.append(_signature(shingles).tobytes() if len(shingles) else None)
-            columns = [*piece.columns, pa.array(count, pa.int64()), pa.array(node, pa.binary()), pa.array(sig, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*piece.schema.names, "n_shingles", "node", "sig"])
+            held = piece.drop_columns([text])
+            columns = [*held.columns, rid, pa.array(count, pa.int64()), pa.array(node, pa.binary()), pa.array(sig, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*held.schema.names, "rid", "n_shingles", "node", "sig"])
 
     return run
 
 
+def _signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=">u2").reshape(-1, VALUES)
+
+
 def _forest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), dtype=">u8").reshape(-1, TREES, 2)
-        keys = sig.astype(np.int64)
+        if not batch.num_rows:
+            continue
+        sig = _signatures(batch.column("sig"))[:, : TREES * DEPTH]
+        keys = np.ascontiguousarray(sig).view(">u8").reshape(-1, TREES, 2).astype(np.int64)
         n = len(sig)
         tree = pa.array(np.tile(np.arange(TREES, dtype=np.int32), n))
         node = batch.column("node").take(pa.array(np.repeat(np.arange(n), TREES)))
         yield pa.RecordBatch.from_arrays([tree, pa.array(keys[:, :, 0].ravel()), pa.array(keys[:, :, 1].ravel()), node], names=["tree", "hi", "lo", "node"])
 
 
-def _neighbour_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of sorted rows; a row whose ``NEIGHBOURS + 1``-th predecessor has its full key also gives a pair with itself."""
-    shift = np.uint64(64 - 16 * (SHALLOW - 4))
-    tail = None
+def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The run that each row is in, and for each row its run's length; a run is of equal keys."""
+    new = np.zeros(len(keys[0]), dtype=np.int64)
+    for key in keys:
+        new[1:] |= key[1:] != key[:-1]
+    run = np.cumsum(new)
+    return run, np.bincount(run)[run]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows in blocks of whole shallow regions; of one beyond ``BLOCK`` rows in blocks that share a row."""
+    held = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        fresh = batch.num_rows
-        table = pa.Table.from_batches([batch] if tail is None else [tail, batch]).combine_chunks()
-        rows = table.to_batches()[0]
-        tree, hi = rows.column("tree").to_numpy(), rows.column("hi").to_numpy()
-        lo = rows.column("lo").to_numpy().view(np.uint64)
-        first, n = rows.num_rows - fresh, rows.num_rows
+        rows = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks().to_batches()[0]
+        run = _runs(*_keys(rows, SHALLOW))[0]
+        first = int(np.searchsorted(run, run[-1]))
+        if first:
+            yield rows.slice(0, first)
+        held = rows.slice(first)
+        if held.num_rows > BLOCK:
+            yield held
+            held = held.slice(held.num_rows - 1)
+    if held is not None:
+        yield held
+
+
+def _keys(rows: pa.RecordBatch, depth: int) -> tuple[np.ndarray, ...]:
+    lo = rows.column("lo").to_numpy().view(np.uint64)
+    return rows.column("tree").to_numpy(), rows.column("hi").to_numpy(), lo >> np.uint64(16 * (DEPTH - depth))
+
+
+def _neighbour_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidates of each region: all pairs at the least depth where it has at most ``CROWD`` rows, and before that the
+    rows next to each other. A row in a larger region of full depth also gives a pair with itself, as a mark."""
+    for rows in _blocks(batches):
+        n = rows.num_rows
+        crowded = np.ones(n, dtype=bool)
         left, right = [], []
-        for k in range(1, NEIGHBOURS + 2):
-            at = np.arange(max(first, k), n)
-            near = (tree[at] == tree[at - k]) & (hi[at] == hi[at - k])
-            if k <= NEIGHBOURS:
-                near &= (lo[at] >> shift) == (lo[at - k] >> shift)
-                left.append(at[near] - k)
-            else:
-                near &= lo[at] == lo[at - k]
-                left.append(at[near])
-            right.append(at[near])
+        for depth in range(SHALLOW, DEPTH + 1):
+            run, length = _runs(*_keys(rows, depth))
+            thin = crowded & (length <= CROWD)
+            crowded &= length > CROWD
+            for k in range(1, min(CROWD, n)):
+                at = np.flatnonzero(thin[k:] & (run[k:] == run[:-k])) + k
+                left.append(at - k)
+                right.append(at)
+            if depth == SHALLOW:
+                at = np.flatnonzero(crowded[1:] & (run[1:] == run[:-1])) + 1
+                left.append(at - 1)
+                right.append(at)
+        at = np.flatnonzero(crowded)
+        left.append(at)
+        right.append(at)
+        one, two = pa.array(np.concatenate(left)), pa.array(np.concatenate(right))
         node = rows.column("node")
-        a, b = node.take(pa.array(np.concatenate(left))), node.take(pa.array(np.concatenate(right)))
-        at = pa.array(np.concatenate(right))
-        yield pa.RecordBatch.from_arrays([a, b, *(rows.column(c).take(at) for c in ("tree", "hi", "lo"))], names=["a", "b", "tree", "hi", "lo"])
-        tail = rows.slice(max(0, n - NEIGHBOURS - 1))
+        yield pa.RecordBatch.from_arrays([node.take(one), node.take(two), *(rows.column(c).take(two) for c in ("tree", "hi", "lo"))], names=["a", "b", "tree", "hi", "lo"])
 
 
 def _alike(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="u2").reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
+                one, two = _signatures(batch.column("sig_a")), _signatures(batch.column("sig_b"))
                 batch = batch.filter(pa.array((one == two).mean(axis=1) >= threshold - SLACK))
             yield batch.select(["a", "b"])
 
@@ -133,68 +180,136 @@ def _confirmed(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in kernel.pieces(batches, "text_a", kernel.SLICE):
             sets = zip(shingle_sets(piece.column("text_a"), size), shingle_sets(piece.column("text_b"), size), strict=True)
-            linked = []
-            for one, two in sets:
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                linked.append(100 * both >= percent * (len(one) + len(two) - both))
+            linked = [_linked(one, two, percent) for one, two in sets]
             yield piece.filter(pa.array(linked, pa.bool_())).select(["a", "b"])
 
     return run
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, percent: int = 85) -> DataFrame:
-    """All rows of ``docs`` as ``row`` (a struct), with ``id``, ``n_shingles`` and ``component_id``.
+    """``(id, n_shingles, component_id, kept)`` of every row; ``kept`` marks one row of each component, of its id.
 
     Two sets are linked if 100 * intersection >= ``percent`` * union.
     """
-    kept = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    kept_type = kept.schema["row"].dataType.simpleString()
-    id_type = kept.schema["id"].dataType.simpleString()
-    sketches = stage(
-        kept.mapInArrow(_sketch(size, "text"), f"row {kept_type}, id {id_type}, text string, n_shingles bigint, node binary, sig binary"), "sketches"
-    )
+    return _grouped(_sketched(docs.select(id_col, text_col), id_col, text_col, size), size, percent).drop("rid")
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, percent: int = 85) -> DataFrame:
+    """One row of ``docs`` for each component, with all columns. Only rows that may go are shuffled with their texts."""
+    sketches = _sketched(docs, id_col, text_col, size)
+    gone = stage(_grouped(sketches, size, percent).where("not kept").select("rid"), "gone")
+    marked = flagged_in(sketches.select("row", "rid"), gone, "rid", "rid")
+    stays = marked.where("flagged").join(gone, "rid", "left_anti").select("row")
+    return marked.where("not flagged").select("row").unionByName(stays).select("row.*")
+
+
+def _sketched(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """The rows with ``rid``, a number of their own, ``n_shingles``, ``node`` (the set's name) and ``sig``, as a table."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), text.alias("text"))
+    row_type, id_type = (rows.schema[c].dataType.simpleString() for c in ("row", "id"))
+    sketches = rows.mapInArrow(_sketch(size, "text"), f"row {row_type}, id {id_type}, rid bigint, n_shingles bigint, node binary, sig binary")
+    return stage(sketches, "sketches").withColumn("text", F.coalesce(F.col("row")[text_col], F.lit("")))
+
+
+def _grouped(sketches: DataFrame, size: int, percent: int) -> DataFrame:
     labels = _labels(sketches, size, percent)
-    labelled = sketches.select("row", "id", "n_shingles", "node").join(labels, "node", "left")
-    least = labelled.where("node is not null").groupBy(F.coalesce("label", "node").alias("label")).agg(F.min("id").alias("least"))
-    out = labelled.withColumn("label", F.coalesce("label", "node")).join(least, "label", "left")
-    return out.select("row", "id", "n_shingles", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
+    labelled = sketches.select("rid", "id", "n_shingles", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    least = labelled.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rid")).alias("least"))
+    out = labelled.join(least, "label", "left")
+    alone = F.col("label").isNull()
+    component = F.when(alone, F.col("id")).otherwise(F.col("least.id"))
+    return out.select("rid", "id", "n_shingles", component.alias("component_id"), (alone | (F.col("rid") == F.col("least.rid"))).alias("kept"))
 
 
 def _labels(sketches: DataFrame, size: int, percent: int) -> DataFrame:
     """``(node, label)`` of every set that is linked with another."""
     sets = stage(sketches.where("node is not null").groupBy("node").agg(F.min("sig").alias("sig")), "sets")
-    forest = stage(sets.mapInArrow(_forest_rows, "tree int, hi bigint, lo bigint, node binary"), "forest")
-    parts = max(forest.rdd.getNumPartitions(), int(forest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = forest.repartitionByRange(parts, "tree", "hi", "lo", "node").sortWithinPartitions("tree", "hi", "lo", "node")
+    forest = sets.mapInArrow(_forest_rows, "tree int, hi bigint, lo bigint, node binary")
+    ordered = forest.repartitionByRange("tree", "hi", "lo", "node").sortWithinPartitions("tree", "hi", "lo", "node")
     near = stage(ordered.mapInArrow(_neighbour_pairs, "a binary, b binary, tree int, hi bigint, lo bigint"), "near")
     pairs = near.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = stage(_confirm(pairs, sets, sketches, size, percent), "confirmed")
     labels = stage(components(links), "labels")
     crowded = near.where("a = b").select("tree", "hi", "lo").distinct()
-    rest = stage(_stragglers(forest.join(crowded, ["tree", "hi", "lo"], "left_semi"), labels), "rest")
-    if rest.isEmpty():
-        return labels
-    more = _confirm(rest.join(links, ["a", "b"], "left_anti"), sets, sketches, size, percent)
-    return stage(components(links.unionByName(more)), "labels")
+    rest = stage(_rest(forest, stage(crowded, "crowded"), labels, sets, sketches, size, percent), "rest")
+    return labels if rest.isEmpty() else stage(components(links.unionByName(rest)), "labels")
+
 
+def _rest(forest: DataFrame, crowded: DataFrame, labels: DataFrame, sets: DataFrame, sketches: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links ``(a, b)`` within crowded regions of full depth between labels, one end outside the region's largest component.
 
-def _stragglers(regions: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs within full-depth regions whose labels differ, one of them outside the region's largest component."""
+    The sets outside are a query set against the region: both are laid out in cells of about ``CELL`` sets a side at
+    most, and only links leave a cell, one for each query and label.
+    """
     key = ["tree", "hi", "lo"]
-    rows = regions.join(labels, "node", "left").select(*key, "node", F.coalesce("label", "node").alias("label"))
+    named = lambda df: df.withColumn("region", F.xxhash64(*key))
+    regions = maybe_in(named(forest), named(crowded), "region").drop("region").join(crowded, key)
+    rows = regions.join(maybe_in(labels, regions.select("node"), "node"), "node", "left").select(*key, "node", F.coalesce("label", "node").alias("label"))
+    rows = stage(rows, "regions")
     sizes = rows.groupBy(*key, "label").agg(F.count("*").alias("n"))
-    most = sizes.groupBy(*key).agg(F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("labels")).where("labels > 1")
-    open_rows = rows.join(most, key).select(*key, "node", "label", F.col("most.label").alias("main"))
-    outside = open_rows.where("label != main").select(*key, F.col("node").alias("x"), F.col("label").alias("label_x"))
-    pairs = open_rows.join(outside, key).where("label != label_x")
-    return pairs.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
+    most = sizes.groupBy(*key).agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("labels"))
+    facts = most.where("labels > 1").select(*key, F.col("most.label").alias("main"), F.ceil(F.col("n") / CELL).alias("across"), F.ceil((F.col("n") - F.col("most.n")) / CELL).alias("down"))
+    open_rows = stage(rows.join(facts, key), "open")
+    nodes = open_rows.select("node").distinct()
+    known = stage(maybe_in(sets, nodes, "node").join(_texts(sketches, nodes), "node"), "open-sets")
+    open_rows = open_rows.join(known, "node")
+    salt = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    columns = ["node", "label", "sig", "text"]
+    held = open_rows.select(*key, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("down") - 1)).alias("d"), salt("across").alias("c"), *columns, F.lit(False).alias("asks"))
+    asking = open_rows.where("label != main").select(*key, salt("down").alias("d"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("across") - 1)).alias("c"), *columns, F.lit(True).alias("asks"))
+    found = held.unionByName(asking).groupBy(*key, "c", "d").applyInArrow(_links_in_cell(size, percent), "a binary, b binary")
+    return found.distinct()
+
+
+def _links_in_cell(size: int, percent: int):
+    def run(cell: pa.Table) -> pa.Table:
+        cell = cell.combine_chunks()
+        tree = cell.column("tree")[0].as_py()
+        asks = cell.column("asks").to_numpy()
+        node, sig = cell.column("node").to_pylist(), _signatures(cell.column("sig"))
+        code = np.unique(np.array(cell.column("label").to_pylist(), dtype=object), return_inverse=True)[1]
+        prefixes = np.ascontiguousarray(sig[:, : TREES * DEPTH]).view(np.uint64).reshape(len(sig), TREES, DEPTH // 4)
+        text, held, sets = cell.column("text"), np.flatnonzero(~asks), {}
+
+        def shingles(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = next(shingle_sets(text.slice(i, 1).combine_chunks(), size))
+            return sets[i]
+
+        out = []
+        for at in np.flatnonzero(asks):
+            alike = (sig[held] == sig[at]).mean(axis=1)
+            # a pair is looked at in the first of its common regions only
+            first = (prefixes[held] == prefixes[at]).all(axis=2).argmax(axis=1) == tree
+            near = np.flatnonzero((alike >= percent / 100 - SLACK) & (code[held] != code[at]) & first)
+            linked = set()
+            for x in held[near[np.argsort(-alike[near], kind="stable")]]:
+                if code[x] not in linked and _linked(shingles(at), shingles(x), percent):
+                    linked.add(code[x])
+                    out.append((min(node[at], node[x]), max(node[at], node[x])))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.binary()), "b": pa.array([b for _, b in out], pa.binary())})
+
+    return run
+
+
+def _linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * both >= percent * (len(one) + len(two) - both)
+
+
+def _texts(sketches: DataFrame, nodes: DataFrame) -> DataFrame:
+    """A text for each of some distinct nodes."""
+    return maybe_in(sketches, nodes, "node").join(nodes, "node").groupBy("node").agg(F.min("text").alias("text"))
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, sketches: DataFrame, size: int, percent: int) -> DataFrame:
     side = lambda c, what, source: source.select(F.col("node").alias(c), F.col(what).alias(f"{what}_{c}"))
-    rated = pairs.join(side("a", "sig", sets), "a").join(side("b", "sig", sets), "b")
+    ends = lambda df: df.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    pairs = stage(pairs, "pairs")
+    near = stage(maybe_in(sets, ends(pairs), "node"), "near-sets")
+    rated = pairs.join(side("a", "sig", near), "a").join(side("b", "sig", near), "b")
     likely = stage(rated.mapInArrow(_alike(percent / 100), "a binary, b binary"), "likely")
-    needed = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = stage(sketches.join(needed, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "texts")
+    texts = stage(_texts(sketches, ends(likely)), "texts")
     filled = likely.join(side("a", "text", texts), "a").join(side("b", "text", texts), "b")
     return filled.mapInArrow(_confirmed(size, percent), "a binary, b binary")
