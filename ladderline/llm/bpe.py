@@ -226,26 +226,24 @@ def _codes(path: str, with_ids: bool):
             if len(coder.known) > KNOWN:
                 coder.known.clear()
             coder.learn(chain.from_iterable(x for c in short if c for x in c if not isinstance(x, int)))
-            rows = [_code(coder, t, c) for t, c in zip(texts, short, strict=True)]
             names = ("ids", "decoded") if with_ids else ("n_tokens", "ids_sha256", "decoded_sha256")
             kinds = (pa.list_(pa.int32()), pa.string()) if with_ids else (pa.int64(), pa.string(), pa.string())
-            if with_ids:
-                rows = [_plain(coder, t) for t in texts]
+            rows = [(_plain if with_ids else _code)(coder, coder.cuts(t) if c is None else c) for t, c in zip(texts, short, strict=True)]
             columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([piece.column("row"), *columns], names=["row", *names])
 
     return run
 
 
-def _plain(coder: Bpe, text: str) -> tuple[list[int], str]:
-    ids = list(chain.from_iterable(coder.encode(coder.cuts(text))))
+def _plain(coder: Bpe, cuts: Iterable[list[str] | int]) -> tuple[list[int], str]:
+    ids = list(chain.from_iterable(coder.encode(cuts)))
     return ids, coder.decode(ids).decode("utf-8", "replace")
 
 
-def _code(coder: Bpe, text: str, cuts: list | None) -> tuple[int, str, str]:
+def _code(coder: Bpe, cuts: Iterable[list[str] | int]) -> tuple[int, str, str]:
     """Number of ids and the digests of ids and decoded text, a bounded part of the text at a time."""
     n, left, digest, back = 0, b"", hashlib.sha256(), hashlib.sha256()
-    for ids in coder.encode(coder.cuts(text) if cuts is None else cuts):
+    for ids in coder.encode(cuts):
         if not ids:
             continue
         digest.update((("," if n else "") + ",".join(map(coder.decimal.__getitem__, ids))).encode())

@@ -30,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ladderline.llm.neardup import near_duplicates
 
-    found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 

@@ -113,3 +113,10 @@ def judged(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RU
     """Every row of ``docs`` as ``row`` with its measures and verdict."""
     measured = measures(docs, text_col)
     return cascade(measured, ordered_rules(measured, rules))
+
+
+def kept_rows(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows of ``docs`` that no rule rejects. A generator drops the others: a filter would be pushed below the measures,
+    which would then be evaluated anew for each of its references."""
+    one = F.explode(F.when(F.col("kept"), F.array(F.lit(1))))
+    return judged(docs, text_col, rules).select("row", one).select("row.*")
