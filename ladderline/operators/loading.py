@@ -30,10 +30,10 @@ def period_counts(old: DataFrame, event_time: str, start: Column, end: Column) -
     return old.agg(F.count(F.lit(1)).alias("total"), F.count_if(predicate).alias("in_period"))
 
 
-def surviving_rows(rows: DataFrame, loads: DataFrame, time: str, table: str | None = None) -> DataFrame:
+def surviving_rows(rows: DataFrame, loads: DataFrame, time: str, table: str | None = None, seq: str = "seq") -> DataFrame:
     """K6: rows of many period loads (and of the old tables) that no later load of their table deletes.
 
-    ``rows`` carry ``seq`` (struct or number; NULL for rows that were there before) and ``time``; ``loads``
+    ``rows`` carry ``seq``, or the column it names (struct or number; NULL for rows that were there before) and ``time``; ``loads``
     are ``(seq, start, end)`` and, when ``table`` names the table column, that column.
 
     The loads become clips per day they cover, with only the latest load per distinct clip: most loads
@@ -44,12 +44,15 @@ def surviving_rows(rows: DataFrame, loads: DataFrame, time: str, table: str | No
     keys = ([table] if table else []) + ["__day"]
     clips = loads_by_day(loads, [table] if table else [])
     located = rows.withColumn("__day", F.col(time).cast("date"))
-    joined = located.join(clips, keys, "left")
+    # Rows without a time stay out of the join, where they would all have one key.
+    timeless, timed = located.filter("__day IS NULL"), located.filter("__day IS NOT NULL")
+    joined = timed.join(clips, keys, "left")
     covered = F.exists(
         "clips",
-        lambda c: (c["from"] <= F.col(time)) & (F.col(time) <= c["to"]) & (F.col("seq").isNull() | (c["seq"] > F.col("seq"))),
+        lambda c: (c["from"] <= F.col(time)) & (F.col(time) <= c["to"]) & (F.col(seq).isNull() | (c["seq"] > F.col(seq))),
     )
-    return joined.filter(~F.coalesce(covered, F.lit(False))).select(*[named(c) for c in rows.columns])
+    columns = [named(c) for c in rows.columns]
+    return joined.filter(~F.coalesce(covered, F.lit(False))).select(*columns).unionByName(timeless.select(*columns))
 
 
 def loads_by_day(loads: DataFrame, table_keys: list[str]) -> DataFrame:
@@ -116,7 +119,9 @@ def key_layout(df: DataFrame, indexes: tuple[IndexSpec, ...], partitions: int |
 
 # ---- a table that is replaced period by period -------------------------------------------------------
 
-EVENT_DATE = "event_date"
+EVENT_DATE, SEQ = "__event_date", "__seq"
+"""Names of the table's own columns, which no contract may use."""
+LISTED_DAYS = 1000
 
 
 class PeriodTable:
@@ -194,12 +199,12 @@ class PeriodTable:
         """Replace ``[start, end]`` by ``new``; the counts are ``planned``, ``loaded`` and ``deleted``."""
         bounds = (F.lit(b).cast("timestamp_ntz") for b in (start, end))
         one = self.spark.range(1).select(F.lit(1).alias("seq"), *[b.alias(n) for b, n in zip(bounds, ("start", "end"), strict=True)])
-        return self.load_many(new.withColumn("seq", F.lit(1)), one)
+        return self.load_many(new.withColumn(SEQ, F.lit(1)), one)
 
     def load_many(self, new: DataFrame, loads: DataFrame) -> dict[str, int]:
-        """Many loads in one write (K6): ``new`` carries each row's ``seq``, ``loads`` is
+        """Many loads in one write (K6): ``new`` carries each row's ``SEQ``, ``loads`` is
         ``(seq, start, end)`` and a later load deletes earlier rows in its period."""
-        columns = [c for c in new.columns if c != "seq"]
+        columns = [c for c in new.columns if c != SEQ]
         self.create_if_absent(new.select(*[named(c) for c in columns]).schema)
         count = F.count(F.lit(1)).alias("n")
         planned, found = Observation("planned"), Observation("found")
@@ -210,15 +215,14 @@ class PeriodTable:
             loads = loads.withColumns({b: F.date_trunc("day", b).cast("timestamp_ntz") for b in ("start", "end")})
         days = loads_by_day(loads if replaces else loads.limit(0), [])
         days = stage(days.select(self._partition(F.col("__day")).alias(EVENT_DATE)).distinct(), "days")
-        stored = self.spark.table(self.name)
-        # Only the partitions that hold days of the loads are read.
+        stored = self.spark.table(self.name).filter(self._among(days))
         touched = stored.join(days, EVENT_DATE, "left_semi").observe(found, count)
         old = touched.withColumns(
-            {"__moment": self._moment(stored), "__new": F.lit(False), "seq": F.lit(None).cast(new.schema["seq"].dataType)}
+            {"__moment": self._moment(stored), "__new": F.lit(False), SEQ: F.lit(None).cast(new.schema[SEQ].dataType)}
         ).drop(EVENT_DATE)
         everything = old.unionByName(fresh, allowMissingColumns=True)
-        content = surviving_rows(everything, loads, "__moment") if replaces else fresh
-        dated = content.withColumn(EVENT_DATE, self._partition(F.col("__moment"))).drop("seq", "__moment")
+        content = surviving_rows(everything, loads, "__moment", seq=SEQ) if replaces else fresh
+        dated = content.withColumn(EVENT_DATE, self._partition(F.col("__moment"))).drop(SEQ, "__moment")
         in_days = days.withColumn("__replace", F.lit(True))
         staged = stage(dated.join(in_days, EVENT_DATE, "left"), "load")
 
@@ -228,6 +232,15 @@ class PeriodTable:
         deleted = (found.get["n"] if replaces else 0) - kept["old"]
         return {"planned": planned.get["n"], "loaded": kept["new"], "deleted": deleted}
 
+    def _among(self, days: DataFrame) -> Column:
+        """A condition on the partition column that the scan prunes by: the loads' dates, at most ``LISTED_DAYS`` by name,
+        else their range."""
+        first, last, n = days.agg(F.min(EVENT_DATE), F.max(EVENT_DATE), F.count(F.lit(1))).first()
+        if n <= LISTED_DAYS:
+            listed = [F.lit(r[0]) for r in days.select(EVENT_DATE).collect()]
+            return F.col(EVENT_DATE).isin(*listed) if listed else F.lit(False)
+        return F.col(EVENT_DATE).between(F.lit(first), F.lit(last))
+
     def _in_table_order(self, staged: DataFrame) -> DataFrame:
         table = self.spark.table(self.name)
         have = set(staged.columns)
@@ -242,7 +255,7 @@ class PeriodTable:
         _spread(self._in_table_order(staged)).write.mode("overwrite").insertInto(self.name)
         # Dates that have no row left: dynamic overwrite does not touch them.
         left = staged.select(EVENT_DATE).distinct()
-        emptied = self.spark.table(self.name).join(days, EVENT_DATE, "left_semi").select(EVENT_DATE).distinct()
+        emptied = self.spark.table(self.name).filter(self._among(days)).join(days, EVENT_DATE, "left_semi").select(EVENT_DATE).distinct()
         for row in emptied.join(left, EVENT_DATE, "left_anti").collect():  # at most one row per partition
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({EVENT_DATE} = DATE '{row[0]}')")
 

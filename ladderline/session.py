@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -37,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured
     master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     if "root" not in _local_root:
         _local_root["root"] = tempfile.mkdtemp(prefix="ladderline-")

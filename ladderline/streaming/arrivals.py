@@ -148,9 +148,12 @@ def guard_stream(events: DataFrame, timeout: int = STALE_SECONDS) -> DataFrame:
     )
 
 
-def dedup_stream(events: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """D1 as a stream of ``(path, mtime, ...)``: each version once, with bounded state."""
-    return events.withWatermark("mtime", delay).dropDuplicatesWithinWatermark(["path", "mtime"])
+def dedup_stream(events: DataFrame) -> DataFrame:
+    """D1 as a stream of ``(path, mtime, ...)``: each version once, however old it is when it arrives.
+
+    The state keeps every version, as an age limit would lose copied or restored files. ``Ingest`` does without it: its
+    ledger knows the versions that were loaded."""
+    return events.dropDuplicates(["path", "mtime"])
 
 
 def load_status(log: DataFrame) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,12 +19,12 @@ from ladderline.operators.evolution import sync_comments, with_surrogate_id
 from ladderline.operators.flatten import flatten, to_cells, to_columns
 from ladderline.operators.inference import generate_contracts
 from ladderline.operators.layout import detect_layout, layouts_by_file
-from ladderline.operators.loading import PeriodTable, audits
+from ladderline.operators.loading import SEQ, PeriodTable, audits
 from ladderline.operators.periods import header_texts, report_periods
 from ladderline.session import stage
 from ladderline.sources.sheets import parse_sheets, read_sheet_files, sheet_rows
 from ladderline.sources.text_reports import as_rows, is_report, literal_path, read_text_lines, report_name
-from ladderline.streaming.arrivals import dedup_stream, new_versions, status_text
+from ladderline.streaming.arrivals import new_versions, status_text
 
 LOG_SCHEMA = "path string, mtime timestamp, report string, started timestamp, status string, rows bigint"
 
@@ -105,15 +107,28 @@ class Ingest:
         per_file = stage(flat.groupBy("path").agg(F.count(F.lit(1)).alias("rows")), "counts")
         problems = stage(self._problems(layout, per_file, rejects, rows, todo), "files")
         proposals = self._proposals(flat, todo)
-        violations = {}
+        violations, logs = {}, []
+        # A contract's files are logged as soon as they are loaded, and a contract that fails takes only its own files along.
         for contract in self.contracts.values():
-            if contract.use:
-                found = self._load(contract, flat, layout, problems, todo)
-                if found:
-                    violations[contract.table_name] = found
-        log = self._log_rows(todo, problems)
-        self._append_log(log)
-        return IngestRun(log, proposals, violations)
+            if not contract.use:
+                continue
+            own = todo.filter(F.col("report") == contract.report)
+            if own.isEmpty():
+                continue
+            try:
+                found, error = self._load(contract, flat, layout, problems, todo), None
+            except (PySparkException, ValueError) as failure:
+                found, error = None, f"{type(failure).__name__}: {failure}"
+            if found:
+                violations[contract.table_name] = found
+            judged = problems.withColumn("reason", F.coalesce("reason", F.lit(error)))
+            logs.append(stage(self._log_rows(own, judged), "log"))
+            self._append_log(logs[-1])
+        named_reports = [c.report for c in self.contracts.values() if c.use]
+        others = todo.filter(~F.col("report").isin(named_reports)) if named_reports else todo
+        logs.append(stage(self._log_rows(others, problems), "log"))
+        self._append_log(logs[-1])
+        return IngestRun(reduce(DataFrame.unionByName, logs), proposals, violations)
 
     # ---- steps
 
@@ -177,30 +192,40 @@ class Ingest:
         files = (
             problems.filter("reason IS NULL")
             .join(todo.filter(F.col("report") == contract.report).select("path", "mtime"), "path")
-            .select("path", "start", "end", F.struct("mtime", "path").alias("seq"))
+            .join(layouts_by_file(layout).select("path", "names"), "path")
+            .select("path", "start", "end", "names", F.struct("mtime", "path").alias("seq"))
         )
-        headers = layouts_by_file(layout).join(files, "path", "left_semi").select(F.explode("names").alias("name"))
+        headers = files.select(F.explode("names").alias("name"))
         present = {r["name"] for r in headers.distinct().collect()}  # column headers of one report
         columns = [name for name in contract.aliases if name in present]
         if not columns:
             return {}
-        keys = ("path", "block", "line_no")
-        strings = to_columns(flat.filter(F.col("report") == contract.report), columns, keys).join(
-            files.select("path", "seq"), "path"
-        )
-        typed = apply_contract(strings, contract, keep=(*keys, "seq"))
-        typed = drop_service_columns(typed).withColumn("date_download", load_stamp())
+        keys = ("__at", "__names")
+        mine = flat.filter(F.col("report") == contract.report).join(files.select("path", F.col("seq").alias(SEQ)), "path")
+        mine = mine.withColumns({"__at": F.struct("path", "block", "line_no"), "__names": F.col("names")})
+        typed = apply_contract(to_columns(mine, columns, (*keys, SEQ)), contract, keep=(*keys, SEQ))
+        # Casts turn unreadable numbers into 0; a column that the row's own file lacks stays NULL.
+        origin = {contract.aliases[c]: c for c in columns}
+        values = [
+            F.when(F.array_contains("__names", origin[f.name]), named(f.name)).alias(f.name, metadata=f.metadata)
+            if f.name in origin else named(f.name)
+            for f in typed.schema
+        ]
+        typed = drop_service_columns(typed.select(*values)).withColumn("date_download", load_stamp())
         table = PeriodTable(self.spark, self._table_name(contract), contract.event_time, self.partition_unit)
         if self.with_ids:
             typed = self._with_ids(typed, table)
         loadable = typed.drop(*keys)
-        target = loadable.drop("seq").schema
+        target = loadable.drop(SEQ).schema
         table.create_if_absent(target)
         # A described column that none of these files has stays in the table and is NULL in the new rows.
         described = set(contract.aliases.values())
         waiting = [f for f in table.read().schema if f.name in described and f.name not in target.names]
         table.sync_schema(T.StructType([*target, *waiting]))
-        table.load_many(loadable, files.select("seq", "start", "end"))
+        # A file without the event-time column only appends, whatever came with it.
+        times = [name for name, alias in contract.aliases.items() if alias == contract.event_time]
+        replacing = files.filter(F.arrays_overlap("names", F.array(*map(F.lit, times)))) if times else files.limit(0)
+        table.load_many(loadable, replacing.select("seq", "start", "end"))
         sync_comments(self.spark, table.name, contract.comment, contract.comments)
         return audits(table.read(), contract.indexes)
 
@@ -208,9 +233,8 @@ class Ingest:
         last = 0
         if table.exists() and "id" in table.read().columns:
             last = table.read().agg(F.max("id")).first()[0] or 0
-        unit = F.struct("seq", "block")
-        numbered = with_surrogate_id(typed.withColumn("__unit", unit), "line_no", "__unit", start=last)
-        return numbered.drop("__unit")
+        placed = typed.withColumns({"__unit": F.struct(F.col(SEQ), F.col("__at.block")), "__line": F.col("__at.line_no")})
+        return with_surrogate_id(placed, "__line", "__unit", start=last).drop("__unit", "__line")
 
     def _table_name(self, contract: Contract) -> str:
         return f"{self.database or contract.schema_name}.{contract.table_name}"
@@ -229,12 +253,9 @@ class Ingest:
 def foreach_arrivals(
     events: DataFrame, load: Callable[[DataFrame], object], checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Hand each micro-batch of distinct file versions to ``load``."""
-    writer = (
-        dedup_stream(events)
-        .writeStream.foreachBatch(lambda batch, _: load(batch))
-        .option("checkpointLocation", checkpoint)
-    )
+    """Hand each micro-batch of file versions to ``load``, which knows by its ledger what was loaded before. No version is
+    too old to be handed on."""
+    writer = events.writeStream.foreachBatch(lambda batch, _: load(batch)).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
