@@ -141,3 +141,86 @@ def test_stream(spark, tmp_path, database):
         query.stop()
     assert rows_of(spark, f"{database}.sales", ["item", "total"]) == [("A", 1.0)]
     assert spark.table(f"{database}.log").select(F.count(F.lit(1))).first()[0] == 1
+
+
+WIDE = CONTRACT.replace('alias = "missing"', 'alias = "missing"\ntype = "int"')
+NO_TIME = "Товар\tСумма\tЕщё\r\nZ\t8\tx\r\nY\t9\ty\r\n"
+
+
+def untimed(period):
+    return ("﻿Отчёт\r\nПараметры:\tПериод: " + period + "\r\n\r\n" + NO_TIME).encode("utf-8")
+
+
+def name_in_folder(path):
+    return F.lit("Продажи")
+
+
+@pytest.mark.parametrize("ticks", [1, 2])
+def test_mixed_columns(spark, tmp_path, database, ticks):
+    """Files with different columns give the same rows in one tick and in two: an absent column is NULL, not 0, and a
+    file without the event time deletes nothing."""
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    ingest = Ingest(spark, [Contract.from_toml("Продажи", WIDE)], f"{database}.log", database, report_of=name_in_folder, with_ids=False)
+    full = report("01.03.2024 - 03.03.2024", [("01.03.2024", "A", "1"), ("03.03.2024", "B", "2")]).decode("utf-8")
+    full = full.replace("Дата\tТовар\tСумма", "Дата\tТовар\tСумма\tНет такой").replace("A\t1", "A\t1\t7").replace("B\t2", "B\t2\tbad")
+    put(inbox / "one.txt", full.encode("utf-8"), 300)
+    if ticks == 2:
+        ingest.run_directory(str(inbox))
+    put(inbox / "two.txt", untimed("01.03.2024 - 03.03.2024"), 200)
+    ingest.run_directory(str(inbox))
+    got = [(r.item, r.total, r.missing, r.day is None) for r in spark.table(f"{database}.sales").collect()]
+    assert sorted(got, key=lambda r: r[0]) == [("A", 1.0, 7, False), ("B", 2.0, 0, False), ("Y", 9.0, None, True), ("Z", 8.0, None, True)]
+
+
+def test_failed_contract(spark, tmp_path, database):
+    """A contract that can't be applied takes only its own files along, and nothing is loaded twice."""
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    put(inbox / "Продажи.txt", report("01.03.2024 - 03.03.2024", [("01.03.2024", "A", "1")]), 300)
+    put(inbox / "Ошибка.txt", report("01.03.2024 - 03.03.2024", [("01.03.2024", "A", "1")]), 300)
+    doubled = Contract.from_toml("Ошибка", CONTRACT.replace('alias = "item"', 'alias = "day"').replace('"sales"', '"broken"'))
+    ingest = Ingest(spark, [Contract.from_toml("Продажи", CONTRACT), doubled], f"{database}.log", database)
+    ingest.run_directory(str(inbox))
+    status = {r["report"]: r["status"] for r in spark.table(f"{database}.log").collect()}
+    assert "two columns to one name" in status["Ошибка"] and not status["Продажи"].startswith("ERROR")
+    assert ingest.run_directory(str(inbox)).log.count() == 0
+    assert rows_of(spark, f"{database}.sales", ["item"]) == [("A",)]
+
+
+def test_late_files(spark, tmp_path, database):
+    """A stream loads files whose times are days behind those it has seen."""
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    ingest = Ingest(spark, [Contract.from_toml("Продажи", CONTRACT)], f"{database}.log", database, report_of=name_in_folder, with_ids=False)
+    for n, age in enumerate((10, 3 * 86400, 43200)):
+        put(inbox / f"{n}.txt", report(f"0{n + 1}.03.2024 - 0{n + 1}.03.2024", [(f"0{n + 1}.03.2024", f"F{n}", "1")]), age)
+        query = ingest.stream(watch_directory(spark, str(inbox)), str(tmp_path / "checkpoint"))
+        query.awaitTermination(300)
+        assert query.exception() is None
+    assert rows_of(spark, f"{database}.sales", ["item"]) == [("F0",), ("F1",), ("F2",)]
+
+
+def test_reserved_names(spark, tmp_path, database):
+    """Columns may be named like those that loading uses itself."""
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    text = CONTRACT.replace('alias = "item"', 'alias = "seq"').replace('alias = "total"', 'alias = "event_date"').replace('"day", "item"', '"day", "seq"')
+    put(inbox / "Продажи.txt", report("01.03.2024 - 03.03.2024", [("01.03.2024", "A", "1")]), 300)
+    Ingest(spark, [Contract.from_toml("Продажи", text)], f"{database}.log", database).run_directory(str(inbox))
+    assert rows_of(spark, f"{database}.sales", ["seq", "event_date"]) == [("A", 1.0)]
+
+
+def test_period_load_is_pruned(spark, database):
+    """A load of one day scans that day's partition only."""
+    from ladderline.operators.loading import EVENT_DATE, PeriodTable
+
+    table = PeriodTable(spark, f"{database}.days", "day")
+    rows = spark.range(50).selectExpr("date_add(DATE '2024-01-01', cast(id as int)) as day", "id as n")
+    table.load(rows)
+    days = spark.sql(f"SELECT DATE '2024-01-07' AS {EVENT_DATE}")
+    plan = spark.table(table.name).filter(table._among(days))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull" in plan and "2024-01-07" in plan
+    new = spark.sql("SELECT DATE '2024-01-07' AS day, CAST(99 AS BIGINT) AS n")
+    assert table.load(new, "2024-01-07 00:00:00", "2024-01-08 23:59:59") == {"planned": 1, "loaded": 1, "deleted": 2}
+    assert spark.table(table.name).count() == 49
