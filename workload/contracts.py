@@ -44,9 +44,9 @@ def contract_apply(spark, sf_dir):
 
 
 @query("""
-WITH f AS (SELECT DISTINCT p_brand AS report, 'size ' || CAST(p_size AS VARCHAR) AS name FROM part WHERE p_type IN ('SMALL', 'LARGE', 'PROMO')),
+WITH f AS (SELECT DISTINCT p_brand AS report, 'size ' || CAST(p_size AS VARCHAR) AS name FROM part WHERE p_type IN ('SMALL', 'LARGE', 'PROMO', 'STANDARD')),
 c AS (SELECT p_brand AS report, 'size ' || CAST(p_size AS VARCHAR) AS name, arg_max('c' || CAST(p_partkey AS VARCHAR), p_partkey) AS alias
-    FROM part WHERE p_type IN ('MEDIUM', 'PROMO') GROUP BY ALL)
+    FROM part WHERE p_type IN ('MEDIUM', 'PROMO', 'ECONOMY') GROUP BY ALL)
 SELECT coalesce(f.report, c.report) AS report, coalesce(f.name, c.name) AS name, alias,
     CASE WHEN f.name IS NULL THEN 'missing' WHEN c.name IS NULL THEN 'dropped' ELSE 'kept' END AS status
 FROM f FULL JOIN c ON c.report = f.report AND c.name = f.name
@@ -55,8 +55,8 @@ def contract_match(spark, sf_dir):
     """File columns against contract columns of many reports: kept, missing or dropped."""
     parts = table(spark, sf_dir, "part", "p_partkey", "p_brand", "p_size", "p_type")
     name = F.concat(F.lit("size "), F.col("p_size").cast("string"))
-    file_columns = parts.filter(F.col("p_type").isin("SMALL", "LARGE", "PROMO")).select(F.col("p_brand").alias("report"), name.alias("name"))
-    contract = parts.filter(F.col("p_type").isin("MEDIUM", "PROMO")).select(
+    file_columns = parts.filter(F.col("p_type").isin("SMALL", "LARGE", "PROMO", "STANDARD")).select(F.col("p_brand").alias("report"), name.alias("name"))
+    contract = parts.filter(F.col("p_type").isin("MEDIUM", "PROMO", "ECONOMY")).select(
         F.col("p_brand").alias("report"), name.alias("name"), F.col("p_partkey").alias("ord"),
         F.concat(F.lit("c"), F.col("p_partkey").cast("string")).alias("alias"),
     )

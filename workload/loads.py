@@ -187,10 +187,10 @@ def unique_audit(spark, sf_dir):
     return unique_violations(table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"])
 
 
-@query("SELECT o_orderkey, 1000 + row_number() OVER (ORDER BY o_orderkey) AS id FROM orders WHERE o_orderstatus <> 'P'")
+@query("SELECT o_orderkey, 1000 + row_number() OVER (ORDER BY o_orderkey) AS id FROM orders")
 def surrogate_id(spark, sf_dir):
     """Dense ids that continue after the table's last one, without a global sort."""
-    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus").filter("o_orderstatus <> 'P'").select("o_orderkey")
+    orders = table(spark, sf_dir, "orders", "o_orderkey")
     return with_surrogate_id(with_blocks(orders, 4096, "o_orderkey"), "o_orderkey", start=1000).select("o_orderkey", "id")
 
 
