@@ -16,7 +16,13 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
     CASE WHEN l_returnflag = 'A' THEN CAST(l_partkey + 1 AS INTEGER) END AS row_number,
     CASE l_returnflag WHEN 'A' THEN '1.0' WHEN 'N' THEN '''x: (y)''' END AS received,
     CASE l_returnflag WHEN 'A' THEN 'str' WHEN 'N' THEN 'int' END AS expected,
-    l_returnflag <> 'R' AS is_type_error
+    l_returnflag <> 'R' AS is_type_error,
+    CASE l_returnflag
+        WHEN 'A' THEN 'invalid input for query argument $' || (l_linenumber % 4 + 1) || ' in element #' || l_partkey
+            || ' of executemany() sequence: 1.0 (expected str, got float)'
+        WHEN 'N' THEN 'Invalid input for query argument $' || (l_linenumber % 4 + 1) || ': ''x: (y)''' || chr(10) || '(expected int, got str).'
+        ELSE 'connection lost'
+    END AS reason
 FROM lineitem
 """)
 def error_classification(spark, sf_dir):
@@ -38,7 +44,7 @@ def error_classification(spark, sf_dir):
         .otherwise("connection lost")
     )
     log = items.withColumns({"message": message, "columns": F.array(F.lit("key"), F.lit("part"), F.lit("price"))})
-    return classify_errors(log).drop("message", "columns", "l_returnflag", "reason")
+    return classify_errors(log).drop("message", "columns", "l_returnflag")
 
 
 @query("""

@@ -133,7 +133,7 @@ WITH have AS (
 ), want AS (
     SELECT CAST(l_orderkey AS VARCHAR) AS table_name, {NAME_SQL.format(n='l_linenumber')} AS name,
         max(CASE l_returnflag WHEN 'A' THEN 'BIGINT' WHEN 'N' THEN 'TEXT' ELSE 'DOUBLE PRECISION' END) AS type
-    FROM lineitem WHERE l_discount < 0.05 GROUP BY ALL
+    FROM lineitem WHERE (l_discount < 0.05 OR l_linestatus = 'O') GROUP BY ALL
 ), resolved AS (
     SELECT w.table_name, w.name, w.type, coalesce(e.name, c.name) AS actual FROM want w
     LEFT JOIN have e ON e.table_name = w.table_name AND e.name = w.name
@@ -153,7 +153,7 @@ def _schemas(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     have = items.filter("l_linestatus = 'F'").groupBy(*keyed(stored)).agg(
         F.max(F.when(flag == "A", "integer").when(flag == "N", "character varying").otherwise("numeric")).alias("type")
     )
-    want = items.filter("l_discount < 0.05").groupBy(*keyed(name)).agg(
+    want = items.filter("l_discount < 0.05 OR l_linestatus = 'O'").groupBy(*keyed(name)).agg(
         F.max(F.when(flag == "A", "BIGINT").when(flag == "N", "TEXT").otherwise("DOUBLE PRECISION")).alias("type")
     )
     return have, want
