@@ -122,38 +122,30 @@ def first_values(cells: DataFrame, count: int, keys: tuple[str, ...] = ("report"
     )
 
 
-def matching_columns(cells: DataFrame, pattern: str, count: int, keys: tuple[str, ...] = ("report", "ord", "name"), strip_values: bool = False) -> DataFrame:
-    """Columns whose first ``count`` non-NULL values all match ``pattern``."""
+def matching_columns(cells: DataFrame, pattern: str, count: int | None, keys: tuple[str, ...] = ("report", "ord", "name"), strip_values: bool = False) -> DataFrame:
+    """Columns whose non-NULL values, all or the first ``count``, match ``pattern``; one without values doesn't."""
     value = strip(F.col("value")) if strip_values else F.col("value")
-    sample = first_values(cells, count, keys)
+    sample = cells.filter("value IS NOT NULL") if count is None else first_values(cells, count, keys)
     return sample.groupBy(*keys).agg(F.bool_and(F.rlike(value, F.lit(pattern))).alias("all_match")).filter("all_match").drop("all_match")
 
 
 def uuid_columns(cells: DataFrame, sample: int | None = UUID_SAMPLE) -> DataFrame:
     """Columns that hold UUIDs, by sample or (``sample=None``) by every value."""
-    if sample is not None:
-        return matching_columns(cells, UUID_TEXT, sample)
-    keys = ("report", "ord", "name")
-    return (
-        cells.groupBy(*keys)
-        .agg(F.bool_and(F.rlike("value", F.lit(UUID_TEXT))).alias("all_match"))
-        .filter("all_match")
-        .drop("all_match")
-    )
+    return matching_columns(cells, UUID_TEXT, sample)
 
 
-def pick_event_time(types: DataFrame, cells: DataFrame) -> DataFrame:
+def pick_event_time(types: DataFrame, cells: DataFrame, sample: int | None = None) -> DataFrame:
     """``(report, name, ord)`` of the event time: the first datetime column, else the first text
-    column whose sample looks like dates."""
+    column whose values, all of them or the first ``sample``, look like dates."""
     typed = types.filter(F.col("type") == DATETIME_NAME).select("report", "ord", "name", F.lit(0).alias("preference"))
     texts = types.filter(F.col("type") == "string").select("report", "ord", "name")
-    dated = matching_columns(cells, DATE_TEXT, DATE_SAMPLE, strip_values=True)
+    dated = matching_columns(cells, DATE_TEXT, sample, strip_values=True)
     guessed = texts.join(dated, ["report", "ord", "name"], "left_semi").withColumn("preference", F.lit(1))
     best = F.min(F.struct("preference", "ord", "name")).alias("best")
     return typed.unionByName(guessed).groupBy("report").agg(best).select("report", "best.ord", "best.name")
 
 
-def generate_contracts(cells: DataFrame, typed: DataFrame | None = None) -> DataFrame:
+def generate_contracts(cells: DataFrame, typed: DataFrame | None = None, date_sample: int | None = None) -> DataFrame:
     """I4 for any number of unknown reports: ``(report, ord, name, alias, type, table_name, event_time,
     use, index_name, index_column)``.
 
@@ -162,7 +154,7 @@ def generate_contracts(cells: DataFrame, typed: DataFrame | None = None) -> Data
     types = infer_cell_types(cells)
     if typed is not None:
         types = types.unionByName(typed)
-    event = pick_event_time(types, cells).select("report", F.col("ord").alias("event_ord"), F.col("name").alias("event_name"))
+    event = pick_event_time(types, cells, date_sample).select("report", F.col("ord").alias("event_ord"), F.col("name").alias("event_name"))
     first = types.groupBy("report").agg(F.min_by(column_alias(F.col("name")), "ord").alias("index_column"))
     is_event = F.coalesce(F.col("ord") == F.col("event_ord"), F.lit(False))
     return (

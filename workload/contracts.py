@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ladderline.operators.contracts import Contract, ContractColumn, apply_contract, drop_service_columns, match_contract
 from ladderline.operators.inference import (
+    DATE_SAMPLE,
     generate_contracts,
     infer_cell_types,
     infer_types,
@@ -174,7 +175,7 @@ dated AS (
 def event_time_choice(spark, sf_dir):
     """The event time of every report: the first text column whose first values are dates."""
     cells = _event_cells(spark, sf_dir)
-    return pick_event_time(infer_cell_types(cells), cells)
+    return pick_event_time(infer_cell_types(cells), cells, DATE_SAMPLE)
 
 
 @query(EVENT_CELL_SQL + """
@@ -195,4 +196,4 @@ FROM t LEFT JOIN event ON event.report = t.report
 """)
 def contract_generation(spark, sf_dir):
     """Contracts for reports seen for the first time."""
-    return generate_contracts(_event_cells(spark, sf_dir))
+    return generate_contracts(_event_cells(spark, sf_dir), date_sample=DATE_SAMPLE)
