@@ -35,7 +35,7 @@ NONE = np.int64(1) << np.int64(62)
 """A leaf without a mergeable pair."""
 LEAVES = 1 << 20
 """Leaves of the trees that are worked on at once."""
-KNOWN = 200_000
+KNOWN = 300_000
 """Encoded cuts that a worker remembers."""
 LONG = 1 << 18
 
@@ -111,7 +111,7 @@ class Bpe:
         """The ids of byte strings of at least one byte."""
         out: list[tuple[int, ...]] = [()] * len(cuts)
         lengths = np.array([len(c) for c in cuts], dtype=np.int64)
-        by_size = np.frompyfunc(lambda n: int(n - 1).bit_length(), 1, 1)(lengths).astype(np.int64) if cuts else lengths
+        by_size = np.ceil(np.log2(np.maximum(lengths, 1))).astype(np.int64)
         for bits in np.unique(by_size).tolist():
             chosen = np.flatnonzero(by_size == bits)
             step = max(1, LEAVES >> bits)
@@ -153,9 +153,10 @@ class Bpe:
             right = np.where(has_after, symbols[rows, after], -1)
             left = np.where(ahead >= 0, symbols[rows, ahead], -1)
             has_ahead = ahead >= 0
-            self._set(tree, leaves, rows, gone, np.full(len(rows), NONE))
-            self._set(tree, leaves, rows, at, self._rank(symbol, right))
-            self._set(tree, leaves, rows[has_ahead], ahead[has_ahead], self._rank(left, symbol)[has_ahead])
+            at_left = ahead[has_ahead]
+            where = np.concatenate((gone, at, at_left))
+            ranks = np.concatenate((np.full(len(rows), NONE), self._rank(symbol, right), self._rank(left[has_ahead], symbol[has_ahead])))
+            self._set(tree, leaves, np.concatenate((rows, rows, rows[has_ahead])), where, ranks)
             rows = rows[tree[rows, 1] < NONE]
         held = symbols >= 0
         flat, ends = symbols[held].tolist(), np.cumsum(held.sum(axis=1)).tolist()
@@ -166,12 +167,13 @@ class Bpe:
 
     @staticmethod
     def _set(tree: np.ndarray, leaves: int, rows: np.ndarray, at: np.ndarray, ranks: np.ndarray) -> None:
-        node = at + leaves
-        tree[rows, node] = np.where(ranks < NONE, (ranks << 32) | at, NONE)
+        """New ranks at leaves, and the least of both children on the paths from there to the root."""
+        flat, base, node = tree.reshape(-1), rows * (2 * leaves), at + leaves
+        flat[base + node] = np.where(ranks < NONE, (ranks << 32) | at, NONE)
         for _ in range(leaves.bit_length() - 1):
-            parent = node >> 1
-            tree[rows, parent] = np.minimum(tree[rows, 2 * parent], tree[rows, 2 * parent + 1])
-            node = parent
+            node = node >> 1
+            child = base + 2 * node
+            flat[base + node] = np.minimum(flat[child], flat[child + 1])
 
     def learn(self, cuts: Iterable[str]) -> None:
         """Encodes those cuts that aren't remembered."""
@@ -191,16 +193,21 @@ class Bpe:
                 while some := list(islice(found, LONG)):
                     yield some
 
-    def encode(self, cuts: Iterable[list[str] | int]) -> Iterator[list[int]]:
-        """The ids for each item of ``cuts``, in order."""
+    def encode(self, cuts: Iterable[list[str] | int], learnt: bool = False) -> Iterator[list[int]]:
+        """The ids for each item of ``cuts``, in order; ``learnt``: all cuts are remembered."""
         for some in cuts:
             if isinstance(some, int):
                 yield [some]
             else:
-                self.learn(some)
+                if not learnt:
+                    self.learn(some)
                 yield list(chain.from_iterable(map(self.known.__getitem__, some)))
-                if len(self.known) > KNOWN:
-                    self.known.clear()
+                if not learnt:
+                    self.forget()
+
+    def forget(self) -> None:
+        if len(self.known) > KNOWN:
+            self.known.clear()
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
@@ -222,28 +229,29 @@ def _codes(path: str, with_ids: bool):
         coder = bpe(path)
         for piece in kernel.pieces(batches, "text"):
             texts = [t or "" for t in piece.column("text").to_pylist()]
-            short = [list(coder.cuts(t)) if len(t) <= LONG else None for t in texts]
-            if len(coder.known) > KNOWN:
-                coder.known.clear()
-            coder.learn(chain.from_iterable(x for c in short if c for x in c if not isinstance(x, int)))
             names = ("ids", "decoded") if with_ids else ("n_tokens", "ids_sha256", "decoded_sha256")
             kinds = (pa.list_(pa.int32()), pa.string()) if with_ids else (pa.int64(), pa.string(), pa.string())
-            rows = [(_plain if with_ids else _code)(coder, coder.cuts(t) if c is None else c) for t, c in zip(texts, short, strict=True)]
+            code = _plain if with_ids else _code
+            rows = [code(coder, coder.encode(coder.cuts(t))) if len(t) > LONG else None for t in texts]
+            cuts = [list(coder.cuts(t)) if len(t) <= LONG else [] for t in texts]
+            coder.forget()
+            coder.learn(chain.from_iterable(x for c in cuts for x in c if not isinstance(x, int)))
+            rows = [code(coder, coder.encode(c, True)) if r is None else r for r, c in zip(rows, cuts, strict=True)]
             columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([piece.column("row"), *columns], names=["row", *names])
 
     return run
 
 
-def _plain(coder: Bpe, cuts: Iterable[list[str] | int]) -> tuple[list[int], str]:
-    ids = list(chain.from_iterable(coder.encode(cuts)))
+def _plain(coder: Bpe, parts: Iterable[list[int]]) -> tuple[list[int], str]:
+    ids = list(chain.from_iterable(parts))
     return ids, coder.decode(ids).decode("utf-8", "replace")
 
 
-def _code(coder: Bpe, cuts: Iterable[list[str] | int]) -> tuple[int, str, str]:
+def _code(coder: Bpe, parts: Iterable[list[int]]) -> tuple[int, str, str]:
     """Number of ids and the digests of ids and decoded text, a bounded part of the text at a time."""
     n, left, digest, back = 0, b"", hashlib.sha256(), hashlib.sha256()
-    for ids in coder.encode(cuts):
+    for ids in parts:
         if not ids:
             continue
         digest.update((("," if n else "") + ",".join(map(coder.decimal.__getitem__, ids))).encode())
