@@ -17,6 +17,7 @@ languages) numbers: 400 KB for each language, held by every worker.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,8 +32,8 @@ from ladderline.llm.lookup import Lookup
 from ladderline.llm.ppm import held_out
 from ladderline.session import stage
 
-PART, ROUNDS, SMOOTHING = 24, 3, 0.1
-KNOWN = 1 << 19
+PART, ROUNDS, SMOOTHING = 24, 2, 0.1
+KNOWN = 1 << 20
 """Words whose scores a worker remembers."""
 _STEP = np.uint64(0x100000001B3)
 
@@ -53,7 +54,7 @@ def pieces_of(path: str) -> tuple[int, Lookup]:
     pieces = sorted({p for p in pieces if len(p) <= PART} | {bytes([b]) for b in range(256)})
     keys = np.array([_hash_of(p) for p in pieces], dtype=np.uint64)
     order = np.argsort(keys)
-    return len(pieces), Lookup(keys[order], order.astype(np.int64))
+    return len(pieces), Lookup(keys[order], order.astype(np.int64), room=16)
 
 
 def _hash_of(piece: bytes) -> int:
@@ -123,9 +124,10 @@ def expected_pieces(words: list[bytes], times: np.ndarray, language: np.ndarray,
         for s, e, some, _, p in sorted(spans, key=lambda x: -x[0]):
             backward[s, some] += backward[e, some] * p
         weight = times[of[at]] / forward[n]
-        for s, e, some, pieces, p in spans:
-            share = forward[s, some] * p * backward[e, some] * weight[some]
-            out += np.bincount(pieces * model.shape[1] + own[some], weights=share, minlength=model.size)
+        if spans:
+            shares = [forward[s, some] * p * backward[e, some] * weight[some] for s, e, some, _, p in spans]
+            places = [pieces * model.shape[1] + own[some] for _, _, some, pieces, _ in spans]
+            out += np.bincount(np.concatenate(places), weights=np.concatenate(shares), minlength=model.size)
     return out.reshape(model.shape)
 
 
@@ -182,15 +184,27 @@ class _Scores:
         out[known] = self.values[place[known]]
         fresh = np.flatnonzero(~known)
         out[fresh] = log_probabilities([words[i] for i in fresh], self.model, self.table)
-        keys = np.concatenate((self.keys, hashes[fresh]))
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.values = keys[order], np.concatenate((self.values, out[fresh]))[order]
+        at = np.searchsorted(self.keys, hashes[fresh])
+        self.keys, self.values = np.insert(self.keys, at, hashes[fresh]), np.insert(self.values, at, out[fresh], axis=0)
         return out
 
 
+_held: dict[str, _Scores] = {}
+"""The scores of the model that a worker used last, kept from task to task."""
+
+
+def _scores_of(name: str, model: Broadcast, path: str) -> _Scores:
+    if name not in _held:
+        _held.clear()
+        _held[name] = _Scores(model.value, pieces_of(path)[1])
+    return _held[name]
+
+
 def _predict(path: str, model: Broadcast, prior: np.ndarray, languages: list[str]):
+    name = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = _Scores(model.value, pieces_of(path)[1])
+        scores = _scores_of(name, model, path)
         names = np.array(languages, dtype=object)
         for piece in kernel.pieces(batches, "text"):
             words = kernel.words_of(piece.column("text"), lower=True)

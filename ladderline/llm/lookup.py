@@ -10,8 +10,9 @@ _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 class Lookup:
     """Values by 64-bit key, in a table with open addressing."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.mask = np.uint64((1 << max(4, (2 * len(keys)).bit_length())) - 1)
+    def __init__(self, keys: np.ndarray, values: np.ndarray, room: int = 2):
+        """``room``: slots per key; with more of them a key that isn't there is told apart sooner."""
+        self.mask = np.uint64((1 << max(4, (room * len(keys)).bit_length())) - 1)
         self.index = np.zeros(int(self.mask) + 1, dtype=np.int32)  # place + 1
         self.keys, self.values = keys, values
         slot = self._slot(keys)
@@ -34,9 +35,11 @@ class Lookup:
             return out
         slot = self._slot(keys)
         at = self.index[slot]
-        hit = (at > 0) & (self.keys[at - 1] == keys)
-        out[hit] = at[hit] - 1
-        left = np.flatnonzero((at > 0) & ~hit)
+        some = np.flatnonzero(at)
+        at = at[some] - 1
+        hit = self.keys[at] == keys[some]
+        out[some[hit]] = at[hit]
+        left = some[~hit]
         slot = slot[left]
         while len(left):
             slot = (slot + 1) & int(self.mask)
