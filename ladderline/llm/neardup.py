@@ -1,8 +1,8 @@
 """Near-duplicate documents by an LSH forest over MinHash signatures.
 
-A text's set holds its distinct word shingles. Every distinct set gets one signature of ``trees * depth`` minima. Each
-tree orders all signatures by its own ``depth`` minima, and candidates have a common prefix of at least ``shallow``
-values. The depth adapts to the region: a region, the sets with one prefix, of at most ``CROWD`` sets gives all its
+A text's set holds its distinct word shingles. Every distinct set gets one signature of ``VALUES`` minima. Each tree
+orders all signatures by its own ``depth`` minima, and candidates have a common prefix of at least ``SHALLOW`` values;
+``forest_of`` gives the number of trees and their depth for a threshold. The depth adapts to the region: a region, the sets with one prefix, of at most ``CROWD`` sets gives all its
 pairs; a larger one is split by the next value of the prefix, and gives only the pairs next to each other, which are
 those with the longest common prefixes. Regions that are still larger at full depth are not cut short: after the first
 round of links, every set of such a region outside the region's largest component is held against all sets of it with
@@ -10,8 +10,9 @@ another label, and linked if their full sets say so.
 Candidates with too few equal minima are left out and the others confirmed on the full sets, so no false link is
 returned.
 
-A pair at the threshold of 0.85 is missed by all 20 trees with probability (1 - 0.85**5)**20 = 8e-6 in thin regions,
-and with (1 - 0.85**8)**20 = 2e-3 where all its regions are crowded and no other set links the two.
+Two sets that share all minima of a tree are candidates or held against each other, however crowded their regions are.
+So a pair at the threshold that no other set links is missed by all trees with probability at most ``MISS``: at 0.85
+(1 - 0.85**6)**25 = 7.2e-6, at 0.8 (1 - 0.8**5)**30 = 6.7e-6.
 
 Rows: a null or blank text has an empty set, is linked with nothing and is its own component. Equal texts, repeated rows
 included, are always linked. The component id is the smallest id of its rows; null ids are passed over, and a component
@@ -21,6 +22,7 @@ without any other id has the id null. Further columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,12 +36,16 @@ from ladderline.llm.bitmaps import flagged_in, maybe_in
 from ladderline.llm.components import components
 from ladderline.session import stage
 
-TREES, DEPTH, SHALLOW, CROWD = 20, 8, 5, 5
+WIDTH, SHALLOW, CROWD = 8, 5, 5
+"""Values in a key, of which a tree uses the first ``depth``; the least depth of a region; sets that give all pairs."""
+MISS, MOST = 8e-6, 160
+"""The trees miss a pair at the threshold with at most this probability; minima of all trees together, at most."""
 BLOCK = 50_000
 VALUES = 256
 """Minima in a signature: those of the trees and more, so that the share of equal ones tells the similarity."""
-SLACK = 0.09
-"""Candidates whose share of equal minima is this far below the threshold are dropped: 4 standard deviations at 0.85."""
+SLACK = 5.5
+"""Candidates whose share of equal minima is this many standard deviations below the threshold are dropped: of pairs at
+0.8 or 0.85 fewer than one in a million."""
 CELL = 512
 """Sets of a crowded region that are held against each other in one task."""
 
@@ -93,16 +99,34 @@ def _signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=">u2").reshape(-1, VALUES)
 
 
-def _forest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        sig = _signatures(batch.column("sig"))[:, : TREES * DEPTH]
-        keys = np.ascontiguousarray(sig).view(">u8").reshape(-1, TREES, 2).astype(np.int64)
-        n = len(sig)
-        tree = pa.array(np.tile(np.arange(TREES, dtype=np.int32), n))
-        node = batch.column("node").take(pa.array(np.repeat(np.arange(n), TREES)))
-        yield pa.RecordBatch.from_arrays([tree, pa.array(keys[:, :, 0].ravel()), pa.array(keys[:, :, 1].ravel()), node], names=["tree", "hi", "lo", "node"])
+def forest_of(percent: int) -> tuple[int, int]:
+    """Trees and depth: the deepest trees that miss a pair at the threshold with at most ``MISS``, of ``MOST`` minima."""
+    for depth in range(WIDTH, 0, -1):
+        share = (percent / 100) ** depth
+        trees = math.ceil(math.log(MISS) / math.log1p(-share)) if share < 1 else 1
+        if trees * depth <= MOST:
+            return trees, depth
+    raise ValueError(f"no forest of {MOST} minima for {percent} percent")
+
+
+def _tree_keys(sig: np.ndarray, trees: int, depth: int) -> np.ndarray:
+    """Per signature and tree two numbers, which order as the tree's minima do."""
+    keys = np.zeros((len(sig), trees, WIDTH), dtype=">u2")
+    keys[:, :, :depth] = sig[:, : trees * depth].reshape(-1, trees, depth)
+    return keys.view(">u8").astype(np.int64)
+
+
+def _forest_rows(trees: int, depth: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = _tree_keys(_signatures(batch.column("sig")), trees, depth)
+            tree = pa.array(np.tile(np.arange(trees, dtype=np.int32), len(keys)))
+            node = batch.column("node").take(pa.array(np.repeat(np.arange(len(keys)), trees)))
+            yield pa.RecordBatch.from_arrays([tree, pa.array(keys[:, :, 0].ravel()), pa.array(keys[:, :, 1].ravel()), node], names=["tree", "hi", "lo", "node"])
+
+    return run
 
 
 def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,14 +138,14 @@ def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return run, np.bincount(run)[run]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch], shallow: int) -> Iterator[pa.RecordBatch]:
     """Sorted rows in blocks of whole shallow regions; of one beyond ``BLOCK`` rows in blocks that share a row."""
     held = None
     for batch in batches:
         if not batch.num_rows:
             continue
         rows = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks().to_batches()[0]
-        run = _runs(*_keys(rows, SHALLOW))[0]
+        run = _runs(*_keys(rows, shallow))[0]
         first = int(np.searchsorted(run, run[-1]))
         if first:
             yield rows.slice(0, first)
@@ -134,43 +158,56 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keys(rows: pa.RecordBatch, depth: int) -> tuple[np.ndarray, ...]:
-    lo = rows.column("lo").to_numpy().view(np.uint64)
-    return rows.column("tree").to_numpy(), rows.column("hi").to_numpy(), lo >> np.uint64(16 * (DEPTH - depth))
+    hi, lo = rows.column("hi").to_numpy(), rows.column("lo").to_numpy().view(np.uint64)
+    half = WIDTH // 2
+    return rows.column("tree").to_numpy(), hi >> np.int64(16 * max(half - depth, 0)), lo >> np.uint64(16 * (WIDTH - depth)) if depth > half else np.zeros_like(lo)
 
 
-def _neighbour_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates of each region: all pairs at the least depth where it has at most ``CROWD`` rows, and before that the
+def _neighbour_pairs(depth: int, crowd: int):
+    """Candidates of each region: all pairs at the least depth where it has at most ``crowd`` rows, and before that the
     rows next to each other. A row in a larger region of full depth also gives a pair with itself, as a mark."""
-    for rows in _blocks(batches):
-        n = rows.num_rows
-        crowded = np.ones(n, dtype=bool)
-        left, right = [], []
-        for depth in range(SHALLOW, DEPTH + 1):
-            run, length = _runs(*_keys(rows, depth))
-            thin = crowded & (length <= CROWD)
-            crowded &= length > CROWD
-            for k in range(1, min(CROWD, n)):
-                at = np.flatnonzero(thin[k:] & (run[k:] == run[:-k])) + k
-                left.append(at - k)
-                right.append(at)
-            if depth == SHALLOW:
-                at = np.flatnonzero(crowded[1:] & (run[1:] == run[:-1])) + 1
-                left.append(at - 1)
-                right.append(at)
-        at = np.flatnonzero(crowded)
-        left.append(at)
-        right.append(at)
-        one, two = pa.array(np.concatenate(left)), pa.array(np.concatenate(right))
-        node = rows.column("node")
-        yield pa.RecordBatch.from_arrays([node.take(one), node.take(two), *(rows.column(c).take(two) for c in ("tree", "hi", "lo"))], names=["a", "b", "tree", "hi", "lo"])
-
-
-def _alike(threshold: float):
+    shallow = min(SHALLOW, depth)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _blocks(batches, shallow):
+            n = rows.num_rows
+            crowded = np.ones(n, dtype=bool)
+            left, right = [], []
+            for level in range(shallow, depth + 1):
+                of, length = _runs(*_keys(rows, level))
+                thin = crowded & (length <= crowd)
+                crowded &= length > crowd
+                for k in range(1, min(crowd, n)):
+                    at = np.flatnonzero(thin[k:] & (of[k:] == of[:-k])) + k
+                    left.append(at - k)
+                    right.append(at)
+                if level == shallow:
+                    at = np.flatnonzero(crowded[1:] & (of[1:] == of[:-1])) + 1
+                    left.append(at - 1)
+                    right.append(at)
+            at = np.flatnonzero(crowded)
+            left.append(at)
+            right.append(at)
+            one, two = pa.array(np.concatenate(left)), pa.array(np.concatenate(right))
+            node = rows.column("node")
+            yield pa.RecordBatch.from_arrays([node.take(one), node.take(two), *(rows.column(c).take(two) for c in ("tree", "hi", "lo"))], names=["a", "b", "tree", "hi", "lo"])
+
+    return run
+
+
+def _least_share(percent: int) -> float:
+    share = percent / 100
+    return share - SLACK * math.sqrt(share * (1 - share) / VALUES)
+
+
+def _alike(percent: int):
+    least = _least_share(percent)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 one, two = _signatures(batch.column("sig_a")), _signatures(batch.column("sig_b"))
-                batch = batch.filter(pa.array((one == two).mean(axis=1) >= threshold - SLACK))
+                batch = batch.filter(pa.array((one == two).mean(axis=1) >= least))
             yield batch.select(["a", "b"])
 
     return run
@@ -225,9 +262,10 @@ def _grouped(sketches: DataFrame, size: int, percent: int) -> DataFrame:
 def _labels(sketches: DataFrame, size: int, percent: int) -> DataFrame:
     """``(node, label)`` of every set that is linked with another."""
     sets = stage(sketches.where("node is not null").groupBy("node").agg(F.min("sig").alias("sig")), "sets")
-    forest = sets.mapInArrow(_forest_rows, "tree int, hi bigint, lo bigint, node binary")
+    trees, depth = forest_of(percent)
+    forest = sets.mapInArrow(_forest_rows(trees, depth), "tree int, hi bigint, lo bigint, node binary")
     ordered = forest.repartitionByRange("tree", "hi", "lo", "node").sortWithinPartitions("tree", "hi", "lo", "node")
-    near = stage(ordered.mapInArrow(_neighbour_pairs, "a binary, b binary, tree int, hi bigint, lo bigint"), "near")
+    near = stage(ordered.mapInArrow(_neighbour_pairs(depth, CROWD), "a binary, b binary, tree int, hi bigint, lo bigint"), "near")
     pairs = near.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = stage(_confirm(pairs, sets, sketches, size, percent), "confirmed")
     labels = stage(components(links), "labels")
@@ -263,13 +301,16 @@ def _rest(forest: DataFrame, crowded: DataFrame, labels: DataFrame, sets: DataFr
 
 
 def _links_in_cell(size: int, percent: int):
+    trees, depth = forest_of(percent)
+    least = _least_share(percent)
+
     def run(cell: pa.Table) -> pa.Table:
         cell = cell.combine_chunks()
         tree = cell.column("tree")[0].as_py()
         asks = cell.column("asks").to_numpy()
         node, sig = cell.column("node").to_pylist(), _signatures(cell.column("sig"))
         code = np.unique(np.array(cell.column("label").to_pylist(), dtype=object), return_inverse=True)[1]
-        prefixes = np.ascontiguousarray(sig[:, : TREES * DEPTH]).view(np.uint64).reshape(len(sig), TREES, DEPTH // 4)
+        prefixes = _tree_keys(sig, trees, depth)
         text, held, sets = cell.column("text"), np.flatnonzero(~asks), {}
 
         def shingles(i: int) -> np.ndarray:
@@ -282,7 +323,7 @@ def _links_in_cell(size: int, percent: int):
             alike = (sig[held] == sig[at]).mean(axis=1)
             # a pair is looked at in the first of its common regions only
             first = (prefixes[held] == prefixes[at]).all(axis=2).argmax(axis=1) == tree
-            near = np.flatnonzero((alike >= percent / 100 - SLACK) & (code[held] != code[at]) & first)
+            near = np.flatnonzero((alike >= least) & (code[held] != code[at]) & first)
             linked = set()
             for x in held[near[np.argsort(-alike[near], kind="stable")]]:
                 if code[x] not in linked and _linked(shingles(at), shingles(x), percent):
@@ -309,7 +350,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, sketches: DataFrame, size: int,
     pairs = stage(pairs, "pairs")
     near = stage(maybe_in(sets, ends(pairs), "node"), "near-sets")
     rated = pairs.join(side("a", "sig", near), "a").join(side("b", "sig", near), "b")
-    likely = stage(rated.mapInArrow(_alike(percent / 100), "a binary, b binary"), "likely")
+    likely = stage(rated.mapInArrow(_alike(percent), "a binary, b binary"), "likely")
     texts = stage(_texts(sketches, ends(likely)), "texts")
     filled = likely.join(side("a", "text", texts), "a").join(side("b", "text", texts), "b")
     return filled.mapInArrow(_confirmed(size, percent), "a binary, b binary")

@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +114,47 @@ def test_crowded_regions(spark):
     assert sorted((r.id, r.n_shingles, r.component_id) for r in found) == sorted(plain_components(rows)[0])
 
 
+def test_sole_links_in_crowded_regions(spark):
+    """A template family whose members have 0.72 in common, and copies of some that only their original links, at 0.85:
+    those that share all minima with it in none of 20 trees of depth 8."""
+    rnd = random.Random(11)
+    base = [f"w{i}" for i in range(300)]
+
+    def changed(source, n):
+        out = list(source)
+        for at in rnd.sample(range(4, 296), n):
+            out[at] = f"x{rnd.random()}"
+        return out
+
+    def prefixes(variants):
+        sets = neardup.shingle_sets(pa.array([" ".join(v) for v in variants]), 3)
+        return np.stack([neardup._signature(s)[:160].reshape(20, 8) for s in sets])
+
+    family = [changed(base, 8) for _ in range(250)]
+    rows = [(i, " ".join(v)) for i, v in enumerate(family)]
+    for i in range(10):
+        own, copy = prefixes([family[i]])[0], None
+        while copy is None:
+            tried = [changed(family[i], 8) for _ in range(200)]
+            apart = np.flatnonzero(~(prefixes(tried) == own).all(axis=2).any(axis=1))
+            copy = next((tried[k] for k in apart if 0.85 <= _similarity(tried[k], family[i]) <= 0.87), None)
+        rows.append((1000 + i, " ".join(copy)))
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.id: r.component_id for r in found} == {i: i % 1000 for i, _ in rows}
+    assert sorted((r.id, r.n_shingles, r.component_id) for r in found) == sorted(plain_components(rows)[0])
+
+
+def _similarity(one, two):
+    one, two = shingles(" ".join(one)), shingles(" ".join(two))
+    return len(one & two) / len(one | two)
+
+
+def test_forest_misses():
+    for percent in (80, 85, 90):
+        trees, depth = neardup.forest_of(percent)
+        assert (1 - (percent / 100) ** depth) ** trees <= 8e-6 and trees * depth <= neardup.VALUES
+
+
 def plain_ppm(rows, order):
     stream = lambda t: b"\xff" * order + " ".join(words((t or "").translate(LOWER))).encode() + b"\xff"
     trained = [(i, t) for i, t in rows if zlib.crc32(str("" if i is None else i).encode()) % 10]
