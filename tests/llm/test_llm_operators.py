@@ -364,6 +364,14 @@ def test_langid(spark, empty):
     assert [r.lang_pred for r in untaught] == ["und"]
 
 
+def test_langid_rounds(spark):
+    """The model is the one of three rounds of fitting."""
+    table = spark.createDataFrame([("the and ing that", "en"), ("der und ung ich", "de")], "text string, lang string")
+    path = langid.default_vocabulary()
+    assert np.array_equal(langid.fitted(table, path)[2], langid.fitted(table, path, rounds=3)[2])
+    assert not np.allclose(langid.fitted(table, path)[2], langid.fitted(table, path, rounds=2)[2], atol=1e-9)
+
+
 def test_quality_classifier(spark, empty):
     rnd = random.Random(0)
     word = lambda: "".join(rnd.choices("abcdefg", k=4))
