@@ -23,8 +23,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the least id; of repeated rows, one."""
-    return neardup.deduplicated(docs)
+    """One document of each group of near copies stays, the one with the least id; of repeated rows, one.
+
+    Near copies have a similarity of 0.8 or more over the sets of their shingles of five words."""
+    return neardup.deduplicated(docs, size=5, percent=80)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
