@@ -8,7 +8,8 @@ excluded from its counts. After the empty context the remaining bytes are equall
 
 Counts of the longest contexts come from one pass over the training texts and one aggregation in Spark; the shorter ones
 are sums of them. The trie is cut into shards by the last two bytes of the context, so each shard holds whole branches
-and has at most ``SHARD`` leaves (a single branch may have up to 256**3). A pass over the texts per shard adds up the
+and has at most ``SHARD`` leaves, or is a single branch, which is never split and may have up to 256**4; each shard
+passes through the driver in one piece. A pass over the texts per shard adds up the
 code lengths of the positions that belong to it; a trie within the bound is one shard and one pass.
 
 The base needs the count of every word. Workers hold the most frequent ones, at most ``HEAD``; other tokens are joined
