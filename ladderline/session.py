@@ -64,7 +64,18 @@ def stage(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return (reader or spark).read.schema(_readable(df, partition_by)).parquet(path)
+    read = (reader or spark).read.schema(_readable(df, partition_by)).parquet(path)
+    read._staged_at = path
+    return read
+
+
+def unstage(df: DataFrame) -> None:
+    """Remove the table behind ``df``, the very frame that ``stage`` returned, once nothing will read it again."""
+    path = getattr(df, "_staged_at", None)
+    if path:
+        jvm = df.sparkSession._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 def _readable(df: DataFrame, partition_by: list[str] | None):
