@@ -143,3 +143,115 @@ def op9_marginal_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ladderline.llm.langid import identified
 
     return identified(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).withColumnRenamed("id", "doc_id")
+
+
+@query(
+    """
+    WITH crc_table AS (
+        SELECT list(v ORDER BY b) AS t FROM (
+            SELECT b, list_reduce([b, 0, 1, 2, 3, 4, 5, 6, 7], lambda a, i: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+            FROM (SELECT unnest(range(256))::BIGINT AS b))
+    ), rows_ AS (
+        SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS source, source IS NOT NULL AS known
+        FROM documents
+    ), digests AS (
+        SELECT n, doc_id, source, known, strlen(text) + 1 AS size, xor(list_reduce(
+            list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::BIGINT)),
+            lambda a, x: xor(a >> 8, t[xor(a & 255, x) + 1])), 4294967295) AS crc
+        FROM rows_, crc_table
+    ), ranked AS (
+        SELECT *, count(*) OVER (PARTITION BY known, source) AS source_rows, row_number() OVER (
+            PARTITION BY known, source ORDER BY substr(sha256('11:' || coalesce(doc_id::VARCHAR, '') || ':' || crc || ':' || size), 1, 32), n) - 1 AS rank,
+            ('0x' || substr(sha256('11:' || CASE WHEN known THEN 'true' ELSE 'false' END || ':' || source), 1, 15))::BIGINT / 1152921504606846976::DOUBLE AS phase
+        FROM digests
+    ), placed AS (
+        SELECT *, row_number() OVER (ORDER BY (rank + phase) / source_rows, known, source, rank) - 1 AS place, count(*) OVER () AS total FROM ranked
+    )
+    SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law, (place * 8 // total)::INTEGER AS shard,
+        (place - ((place * 8 // total) * total + 7) // 8)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+    FROM placed
+    """
+)
+def op11_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladderline.llm.shards import placed
+
+    at = placed(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), shards=8, seed=11)
+    return at.select(F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _usable(scale: int, more: str = "TRUE") -> str:
+    """SQL of the embeddings that take part, as whole numbers."""
+    return f"""
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND {more}"""
+
+
+def _floor_mean(total: str, n: str) -> str:
+    return f"(({total} - (({total} % {n}) + {n}) % {n}) // {n})"
+
+
+def _codebook_sql(rounds: int) -> str:
+    gap = "list_sum(list_transform(list_zip(p.part, b.entry), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    steps = [
+        f"usable AS MATERIALIZED ({_usable(1024)})",
+        "parts AS MATERIALIZED (SELECT vec_id, label, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] AS part FROM usable, range(4) r(p))",
+        "book0 AS MATERIALIZED (SELECT p, e, part AS entry FROM parts JOIN"
+        " (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM usable ORDER BY vec_id LIMIT 256) USING (vec_id))",
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"near{r} AS MATERIALIZED (SELECT vec_id, p, arg_min(label, vec_id) AS label, min(struct_pack(gap := gap, e := e)) AS best, any_value(part) AS part"
+            f" FROM (SELECT p.*, b.e, {gap} AS gap FROM parts p JOIN book{r} b USING (p)) GROUP BY vec_id, p)"
+        )
+        if r < rounds:
+            mean = _floor_mean("s", "n")
+            steps.append(
+                f"book{r + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.entry, b.entry) AS entry FROM book{r} b LEFT JOIN ("
+                f"SELECT p, e, list({mean} ORDER BY i) AS entry FROM (SELECT p, e, i, sum(c)::BIGINT AS s, count(*) AS n FROM ("
+                f"SELECT p, best.e AS e, unnest(part) AS c, generate_subscripts(part, 1) AS i FROM near{r}) GROUP BY p, e, i) GROUP BY p, e) m USING (p, e))"
+            )
+    return (
+        f"WITH {', '.join(steps)}, coded AS (SELECT vec_id, any_value(label) AS label, string_agg(lpad(lower(hex(best.e)), 2, '0'), '' ORDER BY p) AS code,"
+        f" sum(best.gap)::BIGINT AS error FROM near{rounds} GROUP BY vec_id)"
+        " SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,"
+        f" (SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256 FROM coded"
+    )
+
+
+@query(_codebook_sql(4))
+def op12_active_lloyd_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladderline.llm.codebooks import codebooks_sha256, compressed
+
+    found, books = compressed(table(spark, sf_dir, "embeddings"), label_col="label", parts=4, entries=256, rounds=4, scale=1024)
+    return found.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(codebooks_sha256(books)).alias("codebooks_sha256"))
+
+
+def _cluster_sql(rounds: int) -> str:
+    gap = "list_sum(list_transform(list_zip(p.v, b.entry), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    steps = [
+        f"usable AS MATERIALIZED ({_usable(64, 'len(embedding) = 64')})",
+        "book0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS e, v AS entry FROM usable ORDER BY sha256('1:' || vec_id) LIMIT 16)",
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"near{r} AS MATERIALIZED (SELECT vec_id, min(struct_pack(gap := gap, e := e)) AS best, any_value(v) AS v"
+            f" FROM (SELECT p.vec_id, p.v, b.e, {gap} AS gap FROM usable p, book{r} b) GROUP BY vec_id)"
+        )
+        if r < rounds:
+            steps.append(
+                f"book{r + 1} AS MATERIALIZED (SELECT b.e, coalesce(m.entry, b.entry) AS entry FROM book{r} b LEFT JOIN ("
+                f"SELECT e, list({_floor_mean('s', 'n')} ORDER BY i) AS entry FROM (SELECT e, i, sum(c)::BIGINT AS s, count(*) AS n FROM ("
+                f"SELECT best.e AS e, unnest(v) AS c, generate_subscripts(v, 1) AS i FROM near{r}) GROUP BY e, i) GROUP BY e) m USING (e))"
+            )
+    return (
+        f"WITH {', '.join(steps)} SELECT vec_id, best.e::INTEGER AS cluster, best.gap AS distance, sum(best.gap) OVER (PARTITION BY best.e)::BIGINT AS cluster_inertia,"
+        f" sum(best.gap) OVER ()::BIGINT AS inertia, sha256(array_to_string(b.entry, ',')) AS centroid_sha256 FROM near{rounds} n JOIN book{rounds} b ON b.e = n.best.e"
+    )
+
+
+@query(_cluster_sql(3))
+def op13_bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ladderline.llm.bisectors import clustered, with_inertia
+
+    found = with_inertia(*clustered(table(spark, sf_dir, "embeddings"), k=16, rounds=3, scale=64, width=64, seed=1))
+    return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
