@@ -104,11 +104,12 @@ def clustered(
     rows = stage(whole_vectors(sized, scale, id_col, vector_col), "whole-vectors")
     name = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("seed_id").cast("string")), 256)
     centroids = first_vectors(rows, name, k)
-    if centroids:
-        for _ in range(rounds):
-            sums = rows.select("v").mapInArrow(_sums(centroids, width), "cluster int, n bigint, total array<bigint>")
-            for (cluster,), mean in floor_means(sums, ["cluster"]).items():
-                centroids[cluster] = mean
+    if not centroids:
+        return rows.select("id", F.lit(None).cast("int").alias("cluster"), F.lit(None).cast("bigint").alias("distance")), []
+    for _ in range(rounds):
+        sums = rows.select("v").mapInArrow(_sums(centroids, width), "cluster int, n bigint, total array<bigint>")
+        for (cluster,), mean in floor_means(sums, ["cluster"]).items():
+            centroids[cluster] = mean
     placed = rows.mapInArrow(_placed(centroids, width), "id bigint, cluster int, distance bigint")
     return stage(placed, "clustered"), centroids
 

@@ -424,4 +424,4 @@ def test_rules(docs, empty, rows):
 
 
 def test_every_number_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
