@@ -3,7 +3,7 @@
 import collections
 
 import pytest
-from test_llm_operators import LOWER, plain_components, plain_cut, plain_rules, words
+from test_llm_operators import LOWER, plain_cut, plain_rules, words
 
 import corpus_pipeline
 from ladderline.session import stage
@@ -31,12 +31,6 @@ def test_rules_stage(stages):
     assert sorted(stages["quality_rules"][1]) == sorted(good) and len(good) < len(rows)
 
 
-def test_dedup_stage(stages):
-    rows = stages["quality_rules"][1]
-    components, _ = plain_components([r[:2] for r in rows])
-    assert sorted(stages["near_dedup"][1]) == sorted(r for r, c in zip(rows, components, strict=True) if r[0] == c[2])
-
-
 def five_word_sets(rows):
     for r in rows:
         w = words((r[1] or "").translate(LOWER))
