@@ -7,8 +7,8 @@ counts of the training texts of each language by expectation maximisation, forwa
 word, with the expected piece counts added up in Spark. A text is scored by the sum of its words' log-probabilities and
 the language's share of texts; the score is the posterior of the best language.
 
-Words are lower-cased in A-Z; parts of ``PART`` bytes stand for longer ones. Forward passes run over all distinct words
-of a length in a piece of a batch at once.
+Words are lower-cased in A-Z. Forward passes run over all distinct words of a length in a piece of a batch at once; words
+beyond ``SHORT`` bytes, whose products might underflow, are summed one by one in logarithms, whole as well.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as is every text if there is no training
 text with a language. Ties go to the language that sorts first. Rows are judged alone. The model is of (pieces x
@@ -32,7 +32,7 @@ from ladderline.llm.lookup import Lookup
 from ladderline.llm.ppm import held_out
 from ladderline.session import stage
 
-PART, ROUNDS, SMOOTHING = 24, 3, 0.1
+SHORT, ROUNDS, SMOOTHING = 20, 3, 0.1
 KNOWN = 1 << 20
 """Words whose scores a worker remembers."""
 _STEP = np.uint64(0x100000001B3)
@@ -51,10 +51,12 @@ def pieces_of(path: str) -> tuple[int, Lookup]:
 
     with open(path, "rb") as file:
         pieces = [base64.b64decode(line.split()[0]) for line in file if line.strip()]
-    pieces = sorted({p for p in pieces if len(p) <= PART} | {bytes([b]) for b in range(256)})
+    pieces = sorted({*pieces} | {bytes([b]) for b in range(256)})
     keys = np.array([_hash_of(p) for p in pieces], dtype=np.uint64)
     order = np.argsort(keys)
-    return len(pieces), Lookup(keys[order], order.astype(np.int64), room=16)
+    table = Lookup(keys[order], order.astype(np.int64), room=16)
+    table.longest = max(map(len, pieces))
+    return len(pieces), table
 
 
 def _hash_of(piece: bytes) -> int:
@@ -79,43 +81,64 @@ def _spans(words: np.ndarray, table: Lookup) -> Iterator[tuple[int, int, np.ndar
                 yield start, end, rows, table.values[places[start, rows]]
 
 
-def _parts(words: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """Each word with its space, in parts of ``PART`` bytes, and the word that each part is of."""
-    parts, of = [], []
-    for i, word in enumerate(words):
-        word = b" " + word
-        for first in range(0, len(word), PART):
-            parts.append(word[first : first + PART])
-            of.append(i)
-    return parts, np.array(of, dtype=np.int64)
+def _long_spans(word: bytes, table: Lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(starts, ends, pieces)`` of all spans of one word that are a piece, by rising end."""
+    data = np.frombuffer(word, dtype=np.uint8).astype(np.uint64) + np.uint64(1)
+    hashes = np.zeros(len(data), dtype=np.uint64)
+    found = []
+    for length in range(1, min(table.longest, len(data)) + 1):
+        hashes = hashes[: len(data) - length + 1] * _STEP + data[length - 1 :]
+        places = table.places(hashes)
+        starts = np.flatnonzero(places >= 0)
+        found.append((starts, starts + length, table.values[places[starts]]))
+    starts, ends, pieces = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(ends, kind="stable")
+    return starts[order], ends[order], pieces[order]
+
+
+def _summed(starts: np.ndarray, ends: np.ndarray, logs: np.ndarray, n: int) -> np.ndarray:
+    """Per position the log of the sum over all ways there from position 0; spans by rising end, ``logs`` by language."""
+    out = np.full((n + 1, logs.shape[1]), -np.inf)
+    out[0] = 0.0
+    cuts = np.searchsorted(ends, np.arange(1, n + 2))
+    for end in range(1, n + 1):
+        ways = out[starts[cuts[end - 1] : cuts[end]]] + logs[cuts[end - 1] : cuts[end]]
+        out[end] = np.logaddexp.reduce(ways, axis=0)
+    return out
 
 
-def _by_length(parts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    lengths = np.array([len(p) for p in parts])
-    for n in np.unique(lengths).tolist():
+def _by_length(words: list[bytes]) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[int]]:
+    """Words with their space: those up to ``SHORT`` bytes as a matrix for each length, and the places of the others."""
+    lengths = np.array([len(w) + 1 for w in words], dtype=np.int64)
+    short = []
+    for n in np.unique(lengths[lengths <= SHORT]).tolist():
         at = np.flatnonzero(lengths == n)
-        yield at, np.frombuffer(b"".join(parts[i] for i in at), dtype=np.uint8).reshape(-1, n)
+        short.append((at, np.frombuffer(b" " + b" ".join(words[i] for i in at), dtype=np.uint8).reshape(-1, n)))
+    return short, np.flatnonzero(lengths > SHORT).tolist()
 
 
 def log_probabilities(words: list[bytes], model: np.ndarray, table: Lookup) -> np.ndarray:
     """For each word and language the log of the sum over all segmentations; ``model``: pieces by languages."""
-    parts, of = _parts(words)
     out = np.zeros((len(words), model.shape[1]))
-    for at, rows in _by_length(parts):
+    short, long = _by_length(words)
+    for at, rows in short:
         forward = np.zeros((rows.shape[1] + 1, len(rows), model.shape[1]))
         forward[0] = 1
         for start, end, some, pieces in _spans(rows, table):
             forward[end, some] += forward[start, some] * model[pieces]
-        np.add.at(out, of[at], np.log(forward[-1]))
+        out[at] = np.log(forward[-1])
+    for at in long:
+        starts, ends, pieces = _long_spans(b" " + words[at], table)
+        out[at] = _summed(starts, ends, np.log(model[pieces]), len(words[at]) + 1)[-1]
     return out
 
 
 def expected_pieces(words: list[bytes], times: np.ndarray, language: np.ndarray, model: np.ndarray, table: Lookup) -> np.ndarray:
     """Expected number of each piece in each language over all segmentations of words that occur ``times`` in ``language``."""
-    parts, of = _parts(words)
     out = np.zeros(model.size)
-    for at, rows in _by_length(parts):
-        n, own = rows.shape[1], language[of[at]]
+    short, long = _by_length(words)
+    for at, rows in short:
+        n, own = rows.shape[1], language[at]
         spans = [(s, e, some, pieces, model[pieces, own[some]]) for s, e, some, pieces in _spans(rows, table)]
         forward, backward = np.zeros((n + 1, len(rows))), np.zeros((n + 1, len(rows)))
         forward[0] = backward[n] = 1
@@ -123,11 +146,20 @@ def expected_pieces(words: list[bytes], times: np.ndarray, language: np.ndarray,
             forward[e, some] += forward[s, some] * p
         for s, e, some, _, p in sorted(spans, key=lambda x: -x[0]):
             backward[s, some] += backward[e, some] * p
-        weight = times[of[at]] / forward[n]
+        weight = times[at] / forward[n]
         if spans:
             shares = [forward[s, some] * p * backward[e, some] * weight[some] for s, e, some, _, p in spans]
             places = [pieces * model.shape[1] + own[some] for _, _, some, pieces, _ in spans]
             out += np.bincount(np.concatenate(places), weights=np.concatenate(shares), minlength=model.size)
+    for at in long:
+        n, own = len(words[at]) + 1, language[at]
+        starts, ends, pieces = _long_spans(b" " + words[at], table)
+        logs = np.log(model[pieces, own])[:, None]
+        ahead = _summed(starts, ends, logs, n)[:, 0]
+        back = np.argsort(n - starts, kind="stable")
+        behind = _summed(n - ends[back], n - starts[back], logs[back], n)[::-1, 0]
+        share = np.exp(ahead[starts] + logs[:, 0] + behind[ends] - ahead[n]) * times[at]
+        np.add.at(out, pieces * model.shape[1] + own, share)
     return out.reshape(model.shape)
 
 
