@@ -4,7 +4,10 @@ The rules judge what they fit, the longest first. Hosts take trust from their pa
 those that one blocks. Trust flows along links (personalised PageRank from the trusted seeds), distrust against them (a
 host that links to blocked hosts), both on the host graph, whose edges are counted links: a link without a host of its
 own points to the page's host. A host whose share of distrust reaches ``THRESHOLD`` is blocked; one that neither reaches
-is allowed. Every round is a join and a sum in Spark, ended by a table in the shared folder.
+is allowed. Every round is a join and a sum in Spark, ended by a table in the shared folder, until a round moves no more
+than ``TOLERANCE`` of all mass, or has to by its number. What a walk leaves a host counts from ``LEAST`` of all mass on; the tolerance is so much
+smaller that no verdict hangs on the number of rounds. The pages of hosts with a large share of all pages are not shuffled
+for their verdict.
 
 Defined cases: a url that is null or has no ``://`` has an empty host and path, which no rule fits, and is allowed. Null
 html has no links. Repeated rows count as pages of their own. Further columns are not read.
@@ -12,12 +15,14 @@ html has no links. Repeated rows count as pages of their own. Further columns ar
 
 from __future__ import annotations
 
+import math
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ladderline.session import stage
+from ladderline.llm.hot import joined
+from ladderline.session import stage, unstage
 
 RULES = (
     ("com/", "allow"),
@@ -26,7 +31,9 @@ RULES = (
     ("net/es/", "block"),
     ("net/fr/", "block"),
 )
-DAMPING, ROUNDS, TOLERANCE, THRESHOLD = 0.85, 40, 1e-6, 0.5
+DAMPING, THRESHOLD = 0.85, 0.5
+TOLERANCE, LEAST = 1e-14, 1e-12
+"""What a round may still move, and what a host has to get, as shares of all mass."""
 
 
 def host_of(url: Column) -> Column:
@@ -61,11 +68,13 @@ def host_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 
 def propagated(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """``(host, mass)`` of a walk from ``(host, seed)`` along ``(src, dst, share)``: each round, ``DAMPING`` of the mass
-    moves on and the rest starts again at the seeds; mass of hosts without an edge starts again as well."""
+    moves on and the rest starts again at the seeds; mass of hosts without an edge starts again as well. Hosts with less
+    than ``LEAST`` of all mass count as not reached."""
     seeds = seeds.where("seed > 0")
     total = seeds.agg(F.sum("seed")).first()[0] or 0
     mass = seeds.select("host", F.col("seed").cast("double").alias("mass"))
-    for _ in range(ROUNDS if total else 0):
+    # a round moves at most DAMPING of what the one before it moved, so that after these the rest is below the tolerance
+    for _ in range(math.ceil(math.log(TOLERANCE / 2) / math.log(DAMPING)) if total else 0):
         moved = mass.join(edges, mass.host == edges.src).groupBy(F.col("dst").alias("host")).agg((DAMPING * F.sum(F.col("mass") * F.col("share"))).alias("moved"))
         moved = stage(moved, "moved")
         kept = moved.agg(F.sum("moved")).first()[0] or 0.0
@@ -73,11 +82,13 @@ def propagated(edges: DataFrame, seeds: DataFrame) -> DataFrame:
         after = moved.join(back, F.col("host") == F.col("h"), "full").select(F.coalesce("host", "h").alias("host"), (F.coalesce("moved", F.lit(0.0)) + F.coalesce("back", F.lit(0.0))).alias("mass"))
         after = stage(after, "mass")
         old = mass.select(F.col("host").alias("h"), F.col("mass").alias("old"))
-        change = after.join(old, F.col("host") == F.col("h"), "full").agg(F.sum(F.abs(F.coalesce("mass", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))).first()[0]
+        change = after.join(old, F.col("host") == F.col("h"), "full").agg(F.sum(F.abs(F.coalesce("mass", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))).first()[0] or 0.0
+        unstage(moved)
+        unstage(mass)
         mass = after
-        if (change or 0.0) <= TOLERANCE * total:
+        if change <= TOLERANCE * total:
             break
-    return mass
+    return mass.where(F.col("mass") >= F.lit(LEAST * total))
 
 
 def _shares(links: DataFrame) -> DataFrame:
@@ -106,8 +117,9 @@ def judged_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     named = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     parsed = named.select("id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     judged = parsed.withColumn("rule", fitting_rule(F.col("host"), F.col("path"), rules))
-    scores = host_scores(named, judged, rules).where("blocked").select(F.col("host").alias("of"))
+    scores = stage(host_scores(named, judged, rules).where("blocked").select("host", "blocked"), "blocked")
+    pages_of = judged.groupBy("host").agg(F.count("*").alias("pages")).join(scores, "host", "left")
     action = F.create_map(*[F.lit(x) for r in rules for x in r])
-    by_host = F.when(F.col("of").isNotNull(), "block").otherwise("allow")
-    out = judged.join(scores, F.col("host") == F.col("of"), "left")
+    by_host = F.when(F.col("blocked"), "block").otherwise("allow")
+    out = joined(judged, stage(pages_of, "page-hosts"), "host", "pages")
     return out.select("id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), action[F.col("rule")]).otherwise(by_host).alias("verdict"))
