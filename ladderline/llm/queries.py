@@ -104,7 +104,7 @@ def op8_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
         NOT (base_failed OR 10 * n_symbols > word_chars OR word_chars < 2 * n_words OR word_chars > 20 * n_words
             OR 2 * n_dup_lines > n_lines OR 10 * len(list_filter(words, lambda w: regexp_matches(w, '\\p{L}'))) < 6 * n_words
-            OR 100 * len(list_distinct(words)) < 3 * n_words) AS kept
+            OR 100 * list_sum(list_transform(range(0, len(words), 5000), lambda i: len(list_distinct(words[i + 1:i + 5000])))) < 3 * n_words) AS kept
     FROM judged
     """
 )
