@@ -12,8 +12,8 @@ broadcast or collected.
 
 Defined cases: vectors that are null or hold null or non-finite components, and rows without an id, take no part; an
 empty vector is as good as zeros, as are components that the shorter of two vectors lacks. Rows that repeat an id are
-candidates each, but never of a query of the same id; equal query rows count once. Components saturate at 2**26, so that
-sums stay exact in 64 bits. No queries give no rows.
+candidates each, but never of a query of the same id; equal query rows count once. A cell whose sums might leave 64 bits
+is added up in Python's integers; a component or score beyond 64 bits is an error. No queries give no rows.
 """
 
 from __future__ import annotations
@@ -23,18 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ladderline.llm.vectors import longs, matrix, whole_vectors
 from ladderline.session import stage
 
 SCALE, QUERY_BLOCK, SHARD = 1024, 1024, 2048
-LARGEST = 1 << 26
-
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``(vec_id, v)`` of the vectors that take part."""
-    named = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("x"))
-    finite = F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    whole = F.transform("x", lambda c: F.greatest(F.lit(-LARGEST), F.least(F.lit(LARGEST), F.floor(c * SCALE))).cast("int"))
-    return named.where(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & F.coalesce(finite, F.lit(False))).select("vec_id", whole.alias("v"))
+    return whole_vectors(vectors, SCALE, id_col, vector_col).where("id IS NOT NULL").withColumnRenamed("id", "vec_id")
 
 
 class _Shard:
@@ -53,7 +49,7 @@ class _Shard:
         order = np.argsort(-gain, kind="stable")
         behind = gain[order][::-1].cumsum()[::-1]
         essential = len(order) if floor is None else int(np.count_nonzero(behind >= floor))
-        total = np.zeros(len(self.ids), dtype=np.int64)
+        total = np.zeros(len(self.ids), dtype=self.x.dtype)
         seen = np.zeros(len(self.ids), dtype=bool)
         if floor is None or floor <= 0:
             seen[:] = True  # a row outside all postings scores 0 or less and may still be among the best
@@ -66,7 +62,7 @@ class _Shard:
         rows = np.flatnonzero(seen & mine)
         if floor is not None:
             rows = rows[total[rows] + (behind[essential] if essential < len(order) else 0) >= floor]
-        scores = self.x[np.ix_(rows, head)] @ q[head] if len(head) else np.zeros(len(rows), dtype=np.int64)
+        scores = self.x[np.ix_(rows, head)] @ q[head] if len(head) else np.zeros(len(rows), dtype=self.x.dtype)
         left = np.append(bound[tail][::-1].cumsum()[::-1], 0)
         for first in range(0, len(tail), 8):
             if floor is not None:
@@ -81,9 +77,10 @@ class _Shard:
 def _cell(k: int):
     def run(cell: pa.Table) -> pa.Table:
         values = cell.column("v").combine_chunks()
-        lengths = np.diff(values.offsets.to_numpy())
-        x = np.zeros((len(values), int(lengths.max(initial=0))), dtype=np.int64)
-        x[np.arange(x.shape[1]) < lengths[:, None]] = values.flatten().to_numpy()
+        x = matrix(values, int(np.diff(values.offsets.to_numpy()).max(initial=0)))
+        top = int(np.abs(x).max(initial=0))
+        if x.shape[1] * top * top >= 1 << 62:
+            x = x.astype(object)
         ids, asks = cell.column("vec_id").to_numpy(), cell.column("ask").to_numpy()
         out = {"query_id": [], "ask": [], "vec_id": [], "score": []}
         if (asks == 0).any():
@@ -95,7 +92,7 @@ def _cell(k: int):
                 out["vec_id"].append(shard.ids[rows])
                 out["score"].append(scores)
         flat = {c: np.concatenate(v) if v else np.empty(0, np.int64) for c, v in out.items()}
-        return pa.table({c: pa.array(v, pa.int64()) for c, v in flat.items()})
+        return pa.table({c: longs(v) for c, v in flat.items()})
 
     return run
 
