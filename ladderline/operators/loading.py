@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from ladderline.functions.periods import event_day, in_period, outside_period
 from ladderline.functions.text import named, quote_name
 from ladderline.operators.contracts import SERVICE_COLUMNS, IndexSpec
-from ladderline.operators.evolution import evolve
-from ladderline.session import stage
+from ladderline.operators.evolution import changed_comments, evolve
+from ladderline.session import stage, unstage
 
 
 def replace_period(old: DataFrame, new: DataFrame, event_time: str | None, start: Column, end: Column) -> DataFrame:
@@ -119,19 +119,26 @@ def key_layout(df: DataFrame, indexes: tuple[IndexSpec, ...], partitions: int |
 
 # ---- a table that is replaced period by period -------------------------------------------------------
 
-EVENT_DATE, SEQ = "__event_date", "__seq"
+EVENT_DATE, SEQ, LOAD = "__event_date", "__seq", "__load"
 """Names of the table's own columns, which no contract may use."""
 LISTED_DAYS = 1000
+VERSION, PARTS, LAST_ID = "ladderline.version", "ladderline.parts", "ladderline.last_id"
+"""Properties of the table: its current version, the table that holds its rows, the last surrogate key given out."""
+STATE_SCHEMA = "kind string, event_date date, load string, version string"
 
 
 class PeriodTable:
-    """A Parquet table partitioned by event date, so a period load rewrites only the dates it touches.
+    """A Parquet table partitioned by event date whose loads are one commit each.
 
     ``unit`` is the width of a partition: ``day``, or ``month`` or ``year`` for small tables over long times.
 
-    A load first writes the complete new content of the touched dates to a staged table in the shared
-    folder, then swaps it in. A job that dies before the swap leaves the table as it was; one that dies in
-    the swap is finished by loading again.
+    Under the table's name stands a view. Rows lie in ``<name>__parts``, in a folder per date and load; ``<name>__state``
+    says for every version which loads' folders are current for which date; ``<name>__loads`` has the loads that each
+    version took in. A load writes the new content of the dates it touches to folders of its own, then the state of the
+    next version, and last replaces the view, which names its version. That step is the commit: whatever dies before it
+    leaves the table as it was, and what was written is in no version. A load that comes with an id is taken in once, so
+    repeating it after a crash on either side of the commit does no harm. ``vacuum`` removes folders of no version.
+    A table has one writer at a time; readers are never disturbed by a load.
     """
 
     def __init__(self, spark: SparkSession, name: str, event_time: str | None, unit: str = "day"):
@@ -149,63 +156,161 @@ class PeriodTable:
             return F.lit(None).cast("timestamp_ntz")
         return event_moment(named(self.event_time), df.schema[self.event_time].dataType)
 
+    # ---- what the catalog knows
+
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
 
-    def create_if_absent(self, schema: T.StructType) -> None:
-        """K3: an empty table of this schema; nothing happens when it exists."""
-        if not self.exists():
-            self._save(self.spark.createDataFrame([], schema), self.name)
+    def properties(self) -> dict[str, str]:
+        found = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
+        if VERSION not in found:
+            raise ValueError(f"{self.name} is not a table of period loads")
+        return found
 
-    def _save(self, content: DataFrame, name: str) -> None:
-        """Write a table whose own settings make every overwrite replace single dates only."""
-        dated = content.withColumn(EVENT_DATE, self._partition(self._moment(content)))
-        writer = _spread(dated).write.partitionBy(EVENT_DATE).format("parquet")
-        writer.option("partitionOverwriteMode", "dynamic").saveAsTable(name)
+    def last_id(self) -> int:
+        """The last surrogate key given out; no scan is needed for it."""
+        return int(self.properties()[LAST_ID]) if self.exists() else 0
 
     def read(self) -> DataFrame:
         return self.spark.table(self.name).drop(EVENT_DATE)
 
+    def state(self, version: str | None = None) -> DataFrame:
+        """``(kind, event_date, load)`` of a version: its ``part`` folders and the ``version``s it comes from."""
+        version = version or self.properties()[VERSION]
+        return self.spark.table(f"{self.name}__state").filter(F.col("version") == version).drop("version")
+
+    def committed(self) -> DataFrame:
+        """``(load_id)`` of all loads that were taken in."""
+        versions = self.state().filter("kind = 'version'").select(F.col("load").alias("version"))
+        return self.spark.table(f"{self.name}__loads").join(versions, "version", "left_semi").select("load_id")
+
+    # ---- commits
+
+    def create_if_absent(self, schema: T.StructType) -> None:
+        """K3: an empty table of this schema; nothing happens when it exists."""
+        if self.exists():
+            self.properties()
+            return
+        for end in ("parts", "state", "loads"):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}__{end}")
+        self._create_parts(schema, f"{self.name}__parts")
+        self.spark.sql(f"CREATE TABLE {self.name}__state ({STATE_SCHEMA}) USING parquet PARTITIONED BY (version)")
+        self.spark.sql(f"CREATE TABLE {self.name}__loads (load_id string, version string) USING parquet PARTITIONED BY (version)")
+        self._commit("none", f"{self.name}__parts", 0)
+
+    def _create_parts(self, schema: T.StructType, parts: str) -> None:
+        columns = ", ".join(f"{quote_name(f.name)} {f.dataType.simpleString()}" for f in schema if f.name != EVENT_DATE)
+        self.spark.sql(
+            f"CREATE TABLE {parts} ({columns}, {EVENT_DATE} DATE, {LOAD} STRING) USING parquet PARTITIONED BY ({EVENT_DATE}, {LOAD})"
+        )
+
+    def _commit(self, version: str, parts: str, last_id: int, comment: str | None = None, comments: dict[str, str] | None = None) -> None:
+        """Point the table at a version, in one statement; comments stay unless new ones are given."""
+        known = {f.name: f.metadata.get("comment") for f in self.spark.table(self.name).schema} if self.exists() else {}
+        known |= {c: text for c, text in (comments or {}).items() if text}
+        if comment is None and known:
+            comment = self.spark.catalog.getTable(self.name).description
+        fields = [f.name for f in self.spark.table(parts).schema if f.name != LOAD]
+        listed = ", ".join(quote_name(c) + (f" COMMENT {_literal(known[c])}" if known.get(c) else "") for c in fields)
+        remark = f"COMMENT {_literal(comment)}" if comment else ""
+        chosen = ", ".join(f"p.{quote_name(c)}" for c in fields)
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.name} ({listed}) {remark} "
+            f"TBLPROPERTIES ('{VERSION}' = '{version}', '{PARTS}' = '{parts}', '{LAST_ID}' = '{last_id}') AS "
+            f"SELECT {chosen} FROM {parts} p LEFT SEMI JOIN (SELECT event_date, load FROM {self.name}__state "
+            f"WHERE version = '{version}' AND kind = 'part') s ON p.{LOAD} = s.load AND p.{EVENT_DATE} <=> s.event_date"
+        )
+
+    def _write_state(self, version: str, kept: DataFrame, written: DataFrame) -> None:
+        """The folders of a version: those it keeps, those of the dates just ``written``; and where it comes from."""
+        here = written.select(F.lit("part").alias("kind"), F.col(EVENT_DATE).alias("event_date"), F.lit(version).alias("load"))
+        own = self.spark.range(1).select(F.lit("version").alias("kind"), F.lit(None).cast("date").alias("event_date"), F.lit(version).alias("load"))
+        state = kept.select("kind", "event_date", "load").unionByName(here.distinct()).unionByName(own)
+        state.withColumn("version", F.lit(version)).coalesce(1).write.mode("append").insertInto(f"{self.name}__state")
+
     def sync_schema(self, target: T.StructType, strict: bool = True) -> None:
-        """K4: bring the table to ``target``. Added columns only change the catalog; a changed type or a
-        dropped column writes the table anew next to itself before the old one goes."""
+        """K4: bring the table to ``target``. Added columns only change the catalog; a changed type or a dropped column
+        writes all rows anew, next to the old ones, and commits them."""
         current = self.read().schema
         stored = {f.name: f.dataType for f in current}
         wanted = {f.name: f.dataType for f in target}
         added = [f for f in target if f.name not in stored]
+        facts = self.properties()
         if all(wanted.get(name) == kind for name, kind in stored.items() if name not in SERVICE_COLUMNS):
             if added:
                 columns = ", ".join(f"{quote_name(f.name)} {f.dataType.simpleString()}" for f in added)
-                self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({columns})")
+                self.spark.sql(f"ALTER TABLE {facts[PARTS]} ADD COLUMNS ({columns})")
+                self._commit(facts[VERSION], facts[PARTS], int(facts[LAST_ID]))
             return
-        self._move_to(evolve(self.read(), target, strict))
-
-    def _move_to(self, content: DataFrame) -> None:
-        """Write the new content to a fresh folder of the database, then point the table at it."""
-        database, _, short = self.name.rpartition(".")
-        root = self.spark.catalog.getDatabase(database or self.spark.catalog.currentDatabase()).locationUri
-        path = f"{root}/{short}-{uuid.uuid4().hex}"
-        dated = content.withColumn(EVENT_DATE, self._partition(self._moment(content)))
-        _spread(dated).write.partitionBy(EVENT_DATE).parquet(path)
-        columns = ", ".join(f"{quote_name(f.name)} {f.dataType.simpleString()}" for f in dated.schema)
-        self.spark.sql(f"DROP TABLE {self.name}")
-        self.spark.sql(
-            f"CREATE TABLE {self.name} ({columns}) USING parquet OPTIONS (partitionOverwriteMode 'dynamic') "
-            f"PARTITIONED BY ({EVENT_DATE}) LOCATION '{path}'"
-        )
-        self.spark.sql(f"MSCK REPAIR TABLE {self.name}")
-
-    def load(self, new: DataFrame, start=None, end=None) -> dict[str, int]:
-        """Replace ``[start, end]`` by ``new``; the counts are ``planned``, ``loaded`` and ``deleted``."""
+        content, version = evolve(self.read(), target, strict), uuid.uuid4().hex
+        parts = f"{self.name}__parts_{version}"
+        self._create_parts(content.schema, parts)
+        dated = content.withColumn(EVENT_DATE, self._partition(self._moment(content))).withColumn(LOAD, F.lit(version))
+        _spread(dated).write.mode("append").insertInto(parts)
+        self._write_state(version, self.state().filter("kind = 'version'"), self._dates_of(parts, version))
+        self._commit(version, parts, int(facts[LAST_ID]))
+        self.spark.sql(f"DROP TABLE {facts[PARTS]}")
+
+    def describe(self, comment: str | None, comments: dict[str, str]) -> None:
+        """K5: comments of the table and its columns; nothing happens when they are there."""
+        same = not comment or self.spark.catalog.getTable(self.name).description == comment
+        if not same or changed_comments(self.spark, self.name, comments):
+            facts = self.properties()
+            self._commit(facts[VERSION], facts[PARTS], int(facts[LAST_ID]), comment, comments)
+
+    def _dates_of(self, parts: str, version: str) -> DataFrame:
+        """The dates that a version has folders for, from the catalog's list of partitions."""
+        return self.spark.table(parts).filter(F.col(LOAD) == version).select(EVENT_DATE).distinct()
+
+    def vacuum(self, at_once: int = 500) -> int:
+        """Remove the folders that are in no version any more, ``at_once`` a statement; the number of them."""
+        facts = self.properties()
+        current = self.state(facts[VERSION]).filter("kind = 'part'").select(F.col("event_date").alias("d"), F.col("load").alias("l"))
+        folders = self.spark.table(facts[PARTS]).select(EVENT_DATE, LOAD).distinct()
+        unused = folders.join(current, F.col(EVENT_DATE).eqNullSafe(F.col("d")) & (F.col(LOAD) == F.col("l")), "left_anti")
+        removed, batch = 0, []
+        for row in unused.toLocalIterator():
+            day = f"DATE '{row[0]}'" if row[0] else "NULL"
+            batch.append(f"PARTITION ({EVENT_DATE} = {day}, {LOAD} = '{row[1]}')")
+            if len(batch) == at_once:
+                removed += self._drop(facts[PARTS], batch)
+        removed += self._drop(facts[PARTS], batch)
+        old = self.spark.table(f"{self.name}__state").filter(F.col("version") != facts[VERSION]).select("version").distinct()
+        for row in old.toLocalIterator():
+            batch.append(f"PARTITION (version = '{row[0]}')")
+        self._drop(f"{self.name}__state", batch)
+        return removed
+
+    def _drop(self, table: str, batch: list[str]) -> int:
+        n = len(batch)
+        if batch:
+            self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(batch)}")
+            batch.clear()
+        return n
+
+    # ---- loads
+
+    def load(self, new: DataFrame, start=None, end=None, load_id: str | None = None) -> dict[str, int]:
+        """Replace ``[start, end]`` by ``new``; the counts are ``planned``, ``loaded`` and ``deleted``. A load whose id was
+        taken in before changes nothing."""
         bounds = (F.lit(b).cast("timestamp_ntz") for b in (start, end))
         one = self.spark.range(1).select(F.lit(1).alias("seq"), *[b.alias(n) for b, n in zip(bounds, ("start", "end"), strict=True)])
-        return self.load_many(new.withColumn(SEQ, F.lit(1)), one)
+        ids = one.select("seq", F.lit(load_id).alias("load_id")) if load_id else None
+        return self.load_many(new.withColumn(SEQ, F.lit(1)), one, ids)
 
-    def load_many(self, new: DataFrame, loads: DataFrame) -> dict[str, int]:
-        """Many loads in one write (K6): ``new`` carries each row's ``SEQ``, ``loads`` is
-        ``(seq, start, end)`` and a later load deletes earlier rows in its period."""
+    def load_many(self, new: DataFrame, loads: DataFrame, ids: DataFrame | None = None, with_ids: bool = False) -> dict[str, int]:
+        """Many loads in one commit (K6): ``new`` carries each row's ``SEQ``, ``loads`` is ``(seq, start, end)`` and a later
+        load deletes earlier rows in its period. ``ids`` names them, ``(seq, load_id)``: those taken in before are left
+        out. ``with_ids``: the rows have surrogate keys that continue after ``last_id``, which goes up by their number."""
         columns = [c for c in new.columns if c != SEQ]
         self.create_if_absent(new.select(*[named(c) for c in columns]).schema)
+        facts = self.properties()
+        if ids is not None:
+            ids = stage(ids.select("seq", "load_id").join(self.committed(), "load_id", "left_anti"), "load-ids")
+            if ids.isEmpty():
+                return {"planned": 0, "loaded": 0, "deleted": 0}
+            new = new.join(ids.select(F.col("seq").alias(SEQ)).distinct(), SEQ, "left_semi")
+            loads = loads.join(ids.select("seq").distinct(), "seq", "left_semi")
         count = F.count(F.lit(1)).alias("n")
         planned, found = Observation("planned"), Observation("found")
         fresh = new.observe(planned, count).withColumns({"__moment": self._moment(new), "__new": F.lit(True)})
@@ -223,12 +328,19 @@ class PeriodTable:
         everything = old.unionByName(fresh, allowMissingColumns=True)
         content = surviving_rows(everything, loads, "__moment", seq=SEQ) if replaces else fresh
         dated = content.withColumn(EVENT_DATE, self._partition(F.col("__moment"))).drop(SEQ, "__moment")
-        in_days = days.withColumn("__replace", F.lit(True))
-        staged = stage(dated.join(in_days, EVENT_DATE, "left"), "load")
-
+        staged = stage(dated, "load")
         kept = staged.agg(F.count_if(~F.col("__new")).alias("old"), F.count_if("__new").alias("new")).first()
-        self._overwrite(staged.filter("__replace"), days)
-        self._append(staged.filter("__replace IS NULL"))
+
+        version = uuid.uuid4().hex
+        self._write_parts(staged, facts[PARTS], version)
+        before = self.state(facts[VERSION]).join(days, F.col("event_date") == F.col(EVENT_DATE), "left_anti")
+        self._write_state(version, before, staged.select(EVENT_DATE))
+        if ids is not None:
+            taken = ids.select("load_id", F.lit(version).alias("version")).distinct()
+            taken.write.mode("append").insertInto(f"{self.name}__loads")
+        last_id = int(facts[LAST_ID]) + (planned.get["n"] if with_ids else 0)
+        self._commit(version, facts[PARTS], last_id)
+        unstage(staged)
         deleted = (found.get["n"] if replaces else 0) - kept["old"]
         return {"planned": planned.get["n"], "loaded": kept["new"], "deleted": deleted}
 
@@ -241,23 +353,16 @@ class PeriodTable:
             return F.col(EVENT_DATE).isin(*listed) if listed else F.lit(False)
         return F.col(EVENT_DATE).between(F.lit(first), F.lit(last))
 
-    def _in_table_order(self, staged: DataFrame) -> DataFrame:
-        table = self.spark.table(self.name)
+    def _write_parts(self, staged: DataFrame, parts: str, version: str) -> None:
+        """The rows in the parts table's order of columns; one it has and they lack is NULL."""
         have = set(staged.columns)
-        return staged.select(
-            *[named(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema]
-        )
+        fields = [f for f in self.spark.table(parts).schema if f.name != LOAD]
+        ordered = staged.select(*[named(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+        _spread(ordered.withColumn(LOAD, F.lit(version))).write.mode("append").insertInto(parts)
 
-    def _append(self, staged: DataFrame) -> None:
-        _spread(self._in_table_order(staged)).write.mode("append").insertInto(self.name)
 
-    def _overwrite(self, staged: DataFrame, days: DataFrame) -> None:
-        _spread(self._in_table_order(staged)).write.mode("overwrite").insertInto(self.name)
-        # Dates that have no row left: dynamic overwrite does not touch them.
-        left = staged.select(EVENT_DATE).distinct()
-        emptied = self.spark.table(self.name).filter(self._among(days)).join(days, EVENT_DATE, "left_semi").select(EVENT_DATE).distinct()
-        for row in emptied.join(left, EVENT_DATE, "left_anti").collect():  # at most one row per partition
-            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({EVENT_DATE} = DATE '{row[0]}')")
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _spread(content: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _local_root: dict[str, str] = {}
 
 
@@ -20,6 +21,7 @@ def build_session(app_name: str = "ladderline", master: str | None = None, **con
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     )
     if master:
         builder = builder.master(master)
