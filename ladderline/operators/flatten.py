@@ -33,7 +33,8 @@ def table_rows(rows: DataFrame, layout: DataFrame) -> DataFrame:
 def classify_rows(data: DataFrame) -> DataFrame:
     """G4/G7 for grouped files: ``class`` is ``detail``, ``subtotal``, ``ragged`` or ``other``.
 
-    ``level`` is the 1-based group level of a subtotal, else 0. A text line with too many cells is ragged;
+    ``level`` is the 1-based group level of a subtotal, else 0; ``resized`` is -1 for a flat row that is too short, 1 for one
+    that is too long, else 0. A text line with too many cells is ragged;
     a sheet row is cut to the width instead. Rows of flat files are details."""
     grouped = F.col("kind") == "grouped"
     cells = F.col("cells")
@@ -43,8 +44,10 @@ def classify_rows(data: DataFrame) -> DataFrame:
     level = F.array_position("spans", leading_filled(cells, F.col("measure_start"))).cast("int")
     step = F.when(~grouped, -1).when(ragged, 0).when(is_detail, -1).otherwise(level)
     names = F.when(F.col("step") < 0, "detail").when(F.col("step") > 0, "subtotal").when(ragged, "ragged")
+    flat = F.col("kind") == "flat"
+    resized = F.when(flat & (F.col("used") < F.col("width")), -1).when(flat & (F.col("used") > F.col("width")), 1).otherwise(0)
     return data.withColumn("step", step).withColumns(
-        {"class": names.otherwise("other"), "level": F.greatest("step", F.lit(0))}
+        {"class": names.otherwise("other"), "level": F.greatest("step", F.lit(0)), "resized": resized}
     )
 
 
@@ -63,6 +66,24 @@ def flatten(rows: DataFrame, layout: DataFrame, depth: int | None = None) -> Dat
     return details.select("path", "block", "line_no", "names", values.alias("values"))
 
 
+def flatten_tagged(rows: DataFrame, layout: DataFrame, depth: int | None = None) -> DataFrame:
+    """Every table row of all files, once: ``(path, block, line_no, class, resized, names, values)``.
+
+    Details carry their values as ``flatten`` gives them, the other rows none; ``resized`` is -1 for a flat row that was
+    padded, 1 for one that was cut, else 0. Rows and counters of a load are both taken from this one pass."""
+    details = _details(rows, layout, depth, ("class", "resized"))
+    chosen = F.transform(F.col("picks"), lambda i: F.get(F.col("source"), i))
+    values = F.when(F.col("class") == "detail", F.when(F.col("picks").isNull(), F.col("source")).otherwise(chosen))
+    names = F.when(F.col("class") == "detail", F.col("names"))
+    return details.select("path", "block", "line_no", "class", "resized", names.alias("names"), values.alias("values"))
+
+
+def tagged_counts(tagged: DataFrame) -> DataFrame:
+    """``row_counts`` from the rows of ``flatten_tagged``: sums by file, combined map-side."""
+    classes = [F.count_if(F.col("class") == c).alias(f"{c}_rows") for c in ("detail", "subtotal", "ragged", "other")]
+    return tagged.groupBy("path").agg(*classes, F.count_if(F.col("resized") < 0).alias("padded_rows"), F.count_if(F.col("resized") > 0).alias("cut_rows"))
+
+
 def flatten_columns(
     rows: DataFrame,
     layout: DataFrame,
@@ -81,15 +102,16 @@ def flatten_columns(
     return details.select(*keep, *[F.get(F.col("source"), place(k)).alias(n) for k, n in enumerate(names)])
 
 
-def _details(rows: DataFrame, layout: DataFrame, depth: int | None) -> DataFrame:
+def _details(rows: DataFrame, layout: DataFrame, depth: int | None, tags: tuple[str, ...] = ()) -> DataFrame:
     """Detail rows as ``(path, block, line_no, names, picks, source)``, ``source`` being group values by
-    level and then the row's own cells.
+    level and then the row's own cells. With ``tags``, columns of ``classify_rows``, the other rows as well.
 
     Only positions, levels and cells that end up in the result are shuffled; what the layout knows about a
     file joins them again together with the inherited group values."""
     if depth is None:
         depth = depth_of(layout)
-    slim = classify_rows(table_rows(rows, layout)).select("path", "block", "line_no", "step", _own_cells().alias("own"))
+    classified = classify_rows(table_rows(rows, layout))
+    slim = classified.select("path", "block", "line_no", "step", *tags, _own_cells().alias("own"))
     if depth == 0:
         carried = slim.join(layout.select("path", "block", *FILE_FIELDS), ["path", "block"])
     else:
@@ -97,8 +119,8 @@ def _details(rows: DataFrame, layout: DataFrame, depth: int | None) -> DataFrame
         carried = running(
             slim, ["path"], "line_no", markers, blocks=layout, facts=FILE_FIELDS, setters=F.col("step") > 0
         )
-    details = carried.filter(F.col("step") < 0)
-    return details.select("path", "block", "line_no", "names", "picks", _source(depth).alias("source"))
+    details = carried if tags else carried.filter(F.col("step") < 0)
+    return details.select("path", "block", "line_no", *tags, "names", "picks", _source(depth).alias("source"))
 
 
 def _own_cells() -> Column:
@@ -130,13 +152,7 @@ def _source(depth: int) -> Column:
 
 def row_counts(rows: DataFrame, layout: DataFrame) -> DataFrame:
     """Per file, how many rows fell into each class, and how many flat rows were padded or cut."""
-    classified = classify_rows(table_rows(rows, layout))
-    flat = F.col("kind") == "flat"
-    return classified.groupBy("path").agg(
-        *[F.count_if(F.col("class") == c).alias(f"{c}_rows") for c in ("detail", "subtotal", "ragged", "other")],
-        F.count_if(flat & (F.col("used") < F.col("width"))).alias("padded_rows"),
-        F.count_if(flat & (F.col("used") > F.col("width"))).alias("cut_rows"),
-    )
+    return tagged_counts(classify_rows(table_rows(rows, layout)))
 
 
 def to_columns(flat: DataFrame, names: list[str], keep: tuple[str, ...] = ("path", "line_no")) -> DataFrame:

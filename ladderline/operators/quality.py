@@ -36,10 +36,8 @@ def classify_errors(log: DataFrame, message: str = "message", columns: str = "co
     )
 
 
-def quarantine(df: DataFrame, contract: Contract, keys: list[str]) -> DataFrame:
-    """``(*keys, column_name, expected, received)`` for every non-blank cell that its cast cannot read.
-
-    Casting continues with 0 or NULL as the contract says; this is the list of what was lost."""
+def lost_cells(columns: list[str], contract: Contract) -> Column:
+    """The cells of a row that their cast cannot read, as ``array<(column_name, expected, received)>``."""
     entries = [
         F.when(
             cast_failed(named(c.name), c.type),
@@ -50,11 +48,18 @@ def quarantine(df: DataFrame, contract: Contract, keys: list[str]) -> DataFrame:
             ),
         )
         for c in contract.columns
-        if c.name in df.columns
+        if c.name in columns
     ]
     if not entries:
         raise ValueError(f"contract of {contract.report} describes no column of this report")
-    failed = F.explode(F.array_compact(F.array(*entries)))
+    return F.array_compact(F.array(*entries))
+
+
+def quarantine(df: DataFrame, contract: Contract, keys: list[str]) -> DataFrame:
+    """``(*keys, column_name, expected, received)`` for every non-blank cell that its cast cannot read.
+
+    Casting continues with 0 or NULL as the contract says; this is the list of what was lost."""
+    failed = F.explode(lost_cells(df.columns, contract))
     return df.select(*[named(k) for k in keys], failed.alias("cell")).select(*[named(k) for k in keys], "cell.*")
 
 

@@ -224,3 +224,64 @@ def test_period_load_is_pruned(spark, database):
     new = spark.sql("SELECT DATE '2024-01-07' AS day, CAST(99 AS BIGINT) AS n")
     assert table.load(new, "2024-01-07 00:00:00", "2024-01-08 23:59:59") == {"planned": 1, "loaded": 1, "deleted": 2}
     assert spark.table(table.name).count() == 49
+
+
+GROUPED = (
+    "﻿Отчёт\r\nПараметры:\tПериод: 01.03.2024 - 03.03.2024\r\n\r\nСклад\t\tСумма\r\nКод\tТовар\t\r\n"
+    "A\t\t5\r\nk1\tx\t1\r\nk2\ty\tbad\r\nk3\tz\t1\t2\t3\r\nB\t\t7\r\nk4\tw\t\r\n"
+)
+GROUPED_CONTRACT = CONTRACT.replace('"sales"', '"grouped"').replace('event_time = "day"\n', "").replace('name = "Дата"', 'name = "Склад"').replace('alias = "day"\ntype = "date"', 'alias = "store"')
+GROUPED_CONTRACT = GROUPED_CONTRACT.replace('columns = ["day", "item"]', 'columns = ["store", "item"]')
+
+
+def test_outcome_of_every_file(spark, tmp_path, database):
+    """Ragged, padded, cut, unreadable and absent parts, files that fail, with the whole text of the error."""
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    flat = report("01.03.2024 - 03.03.2024", [("01.03.2024", "A", "1"), ("03.03.2024", "B", "bad")]).decode("utf-8")
+    flat = flat.replace("Итого", "02.03.2024\tC\r\n02.03.2024\tD\t4\textra\tmore\r\nno date\tE\t5\r\nИтого")
+    put(inbox / "Продажи.txt", flat.encode("utf-8"), 300)
+    put(inbox / "Группы.txt", GROUPED.encode("utf-8"), 300)
+    put(inbox / "Ошибка.txt", report("01.03.2024 - 03.03.2024", [("01.03.2024", "A", "1")]), 300)
+    put(inbox / "Пусто.txt", b"no table at all", 300)
+    put(inbox / "Новый.txt", report("01.03.2024 - 03.03.2024", [("01.03.2024", "A", "1")]), 300)
+    doubled = CONTRACT.replace('alias = "item"', f'alias = "{"x" * 150}"').replace('alias = "total"', f'alias = "{"x" * 150}"').replace('"sales"', '"broken"')
+    contracts = [
+        Contract.from_toml("Продажи", CONTRACT), Contract.from_toml("Группы", GROUPED_CONTRACT), Contract.from_toml("Ошибка", doubled),
+        Contract.from_toml("Пусто", CONTRACT.replace('"sales"', '"none"')),
+    ]
+    ingest = Ingest(spark, contracts, f"{database}.log", database, files_per_batch=2)
+    run = ingest.run_directory(str(inbox))
+    found = {r["report"]: r.asDict() for r in spark.table(f"{database}.log_outcome").collect()}
+    assert run.outcome.count() == len(found) == 5
+    counts = lambda name: [found[name][c] for c in ("detail_rows", "subtotal_rows", "ragged_rows", "other_rows", "padded_rows", "cut_rows", "unreadable_cells")]
+    assert counts("Продажи") == [5, 0, 0, 0, 1, 1, 2] and found["Продажи"]["kind"] == "flat"
+    assert counts("Группы") == [3, 2, 1, 0, 0, 0, 1] and found["Группы"]["kind"] == "grouped"
+    assert (found["Продажи"]["kept"], found["Продажи"]["missing"], found["Продажи"]["dropped"]) == (["Дата", "Товар", "Сумма"], ["Нет такой"], [])
+    assert (found["Группы"]["kept"], found["Группы"]["missing"], found["Группы"]["dropped"]) == (["Склад", "Товар", "Сумма"], ["Нет такой"], ["Код"])
+    assert found["Новый"]["kept"] is None and found["Новый"]["error"] is None and found["Новый"]["detail_rows"] == 1
+    assert found["Пусто"]["error"] == "no table body" and found["Пусто"]["kept"] is None
+    assert found["Ошибка"]["error"].count("x" * 150) == 2 and found["Продажи"]["error"] is None
+    log = {r["report"]: r for r in spark.table(f"{database}.log").collect()}
+    assert len(log["Ошибка"]["status"]) < 220 < len(log["Ошибка"]["error"]) and log["Ошибка"]["error"] == found["Ошибка"]["error"]
+    cells = {(r["path"].rsplit("/", 1)[1], r["column_name"], r["expected"], r["received"]) for r in spark.table(f"{database}.log_cells").collect()}
+    assert cells == {("Продажи.txt", "total", "float", "bad"), ("Продажи.txt", "day", "date", "no date"), ("Группы.txt", "total", "float", "bad")}
+    assert rows_of(spark, f"{database}.grouped", ["store", "item", "total"]) == [("A", "x", 1.0), ("A", "y", 0.0), ("B", "w", 0.0)]
+
+
+def test_load_is_not_repeated_after_a_crash(spark, tmp_path, database, monkeypatch):
+    """A run that ends between the load and its log leaves nothing to load twice, files without a period included."""
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    put(inbox / "one.txt", untimed("01.03.2024 - 03.03.2024"), 300)
+    make = lambda: Ingest(spark, [Contract.from_toml("Продажи", CONTRACT)], f"{database}.log", database, report_of=name_in_folder)
+    ingest = make()
+    monkeypatch.setattr(ingest, "_outcome", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        ingest.run_directory(str(inbox))
+    assert spark.table(f"{database}.log").isEmpty()
+    put(inbox / "two.txt", untimed("01.03.2024 - 03.03.2024"), 200)
+    make().run_directory(str(inbox))
+    assert rows_of(spark, f"{database}.sales", ["item"]) == [("Y",), ("Y",), ("Z",), ("Z",)]
+    assert len({r["id"] for r in spark.table(f"{database}.sales").collect()}) == 4
+    assert spark.table(f"{database}.log").count() == 2
