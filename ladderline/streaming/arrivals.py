@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ladderline.plans.ordered import Running, running
 
@@ -106,46 +106,201 @@ def _walker(timeout: int):
     return walk
 
 
-GUARD_OUTPUT = T.StructType(
-    [T.StructField("path", T.StringType()), T.StructField("ts", T.TimestampType()), T.StructField("accepted", T.BooleanType())]
-)
-GUARD_STATE = T.StructType([T.StructField("started", T.LongType())])
+FREE = -(1 << 62)
+"""The state of a path that is not being processed; else the state is the start of the processing, in microseconds."""
+CHUNK_TIMEOUTS = 64
+
+
+def guarded_starts(events: DataFrame, timeout: int = STALE_SECONDS, tie: str = "event_id") -> DataFrame:
+    """D3 in batch with ends: the events ``(path, ts, <tie>, kind)`` of kind ``event`` that start processing.
+
+    An event is dropped while an accepted one of its path is younger than ``timeout`` seconds and no ``finish`` came
+    after it. Events are taken in the order of ``(ts, <tie>)``.
+
+    A path's time is cut into chunks of ``CHUNK_TIMEOUTS`` timeouts. What a chunk does is a function from the state before
+    it to the state behind it, which is constant if it has a finish, and else steps up at the events of its first timeout;
+    chunks work it out side by side. The functions, short against the events, are then applied one after another along
+    each path, which gives every chunk its state, and the chunks are walked side by side again. So a path with a large
+    share of all events is dealt to many tasks; only its functions meet in one, which holds one at a time."""
+    span = timeout * 1_000_000
+    located = events.select("path", "ts", tie, (F.col("kind") == "finish").alias("__ends"), _epoch_micros(events, "ts").alias("__micros"))
+    located = located.withColumn("__chunk", F.expr(f"__micros div {span * CHUNK_TIMEOUTS}L"))
+    in_order = ("path", "__chunk", "__micros", tie)
+    ordered = located.repartition("path", "__chunk").sortWithinPartitions(*in_order)
+    steps = ordered.select("path", "__chunk", "__micros", "__ends").mapInPandas(_chunk_steps(span), "path string, __chunk bigint, above bigint, after bigint, passes boolean")
+    along = steps.repartition("path").sortWithinPartitions("path", "__chunk", "above")
+    before = along.mapInPandas(_apply_steps, "path string, __chunk bigint, __before bigint")
+    begun = located.join(before, ["path", "__chunk"]).repartition("path", "__chunk").sortWithinPartitions(*in_order)
+    return begun.mapInPandas(_guard_walk(span), begun.schema).select("path", "ts", tie)
+
+
+def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of each path and chunk, which are contiguous, as one frame."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        change = (batch["path"] != batch["path"].shift()) | (batch["__chunk"] != batch["__chunk"].shift())
+        cuts = [*np.flatnonzero(change.to_numpy()), len(batch)]
+        for first, stop in zip(cuts, cuts[1:], strict=False):
+            part = batch.iloc[first:stop]
+            if held and (held[-1]["path"].iat[0], held[-1]["__chunk"].iat[0]) != (part["path"].iat[0], part["__chunk"].iat[0]):
+                yield pd.concat(held) if len(held) > 1 else held[0]
+                held = []
+            held.append(part)
+    if held:
+        yield pd.concat(held) if len(held) > 1 else held[0]
+
+
+def _last_start(micros: np.ndarray, span: int) -> np.ndarray:
+    """For each event, if it is accepted, the last one that will be: chains of next accepted events, doubled to their end."""
+    after = np.searchsorted(micros, micros + span)
+    to = np.where(after < len(micros), after, np.arange(len(micros)))
+    while True:
+        further = to[to]
+        if (further == to).all():
+            return to
+        to = further
+
+
+def _chunk_steps(span: int):
+    """Each chunk's function from state to state: states above ``above`` become ``after``, or stay if it ``passes`` them."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for chunk in _groups(batches):
+            micros, ends = chunk["__micros"].to_numpy(), chunk["__ends"].to_numpy()
+            if ends.any():
+                rest = micros[np.flatnonzero(ends)[-1] + 1 :]
+                above, after = [-(1 << 63)], [int(rest[_last_start(rest, span)[0]]) if len(rest) else FREE]
+                passes = [False]
+            else:
+                # the state before is from an earlier chunk, so only events of the first timeout can be held off by it
+                start = int(chunk["__chunk"].iat[0]) * span * CHUNK_TIMEOUTS
+                entries = int(np.searchsorted(micros, start + span)) + 1
+                last = _last_start(micros, span)
+                above = np.concatenate(([-(1 << 63)], micros[: entries - 1] - span))
+                known = last[np.minimum(np.arange(entries), len(micros) - 1)]
+                after, passes = micros[known], np.arange(entries) >= len(micros)
+                # of entries at one time the last one's step counts: states above it enter behind all of them
+                of_time = np.append(above[1:] != above[:-1], True)
+                above, after, passes = above[of_time], after[of_time], passes[of_time]
+                step = np.append(True, (after[1:] != after[:-1]) | (passes[1:] != passes[:-1]))
+                above, after, passes = above[step], after[step], passes[step]
+            yield pd.DataFrame({"path": chunk["path"].iat[0], "__chunk": int(chunk["__chunk"].iat[0]), "above": above, "after": after, "passes": passes})
+
+    return run
+
+
+def _apply_steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The state before every chunk, from the functions of the chunks before it; rows come in the order of the chunks."""
+    path = chunk = None
+    state = taken = FREE
+    for batch in batches:
+        change = ((batch["path"] != batch["path"].shift()) | (batch["__chunk"] != batch["__chunk"].shift())).to_numpy()
+        cuts = [*np.flatnonzero(change), len(batch)]
+        above, after, passes = (batch[c].to_numpy() for c in ("above", "after", "passes"))
+        found = []
+        for first, stop in zip(cuts, cuts[1:], strict=False):
+            name, number = batch["path"].iat[first], int(batch["__chunk"].iat[first])
+            if name != path:
+                path, state, chunk = name, FREE, None
+            elif number != chunk:
+                state = taken
+            if number != chunk:
+                chunk = number
+                found.append((path, chunk, state))
+            at = first + int(np.searchsorted(above[first:stop], state))
+            if at > first:
+                taken = state if passes[at - 1] else int(after[at - 1])
+        yield pd.DataFrame(found, columns=["path", "__chunk", "__before"]).astype({"__chunk": "int64", "__before": "int64"})
+
+
+def _guard_walk(span: int):
+    """The accepted events of each chunk, from the state before it; a finish sets the state free."""
 
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, state = None, FREE
+        for batch in batches:
+            micros, ends = batch["__micros"].to_numpy(), batch["__ends"].to_numpy()
+            change = ((batch["path"] != batch["path"].shift()) | (batch["__chunk"] != batch["__chunk"].shift())).to_numpy()
+            cuts = [*np.flatnonzero(change), len(batch)]
+            keep = []
+            for first, stop in zip(cuts, cuts[1:], strict=False):
+                name = (batch["path"].iat[first], batch["__chunk"].iat[first])
+                if name != group:
+                    group, state = name, int(batch["__before"].iat[first])
+                stops = [*(first + np.flatnonzero(ends[first:stop])).tolist(), stop]
+                at = first
+                for end in stops:
+                    at += int(np.searchsorted(micros[at:end], state + span))
+                    while at < end:
+                        keep.append(at)
+                        state = int(micros[at])
+                        at += int(np.searchsorted(micros[at:end], state + span))
+                    if end < stop:
+                        state, at = FREE, end + 1
+            yield batch.iloc[keep]
 
-def guard_stream(events: DataFrame, timeout: int = STALE_SECONDS) -> DataFrame:
-    """D3 as a stream of ``(path, ts, kind)``: ``kind`` is ``event`` or ``finish``.
+    return walk
 
-    The state is one start time per path that is being processed; a finish clears it, and it expires when
-    it is older than ``timeout``."""
 
-    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        started = state.get[0] if state.exists else None
-        for batch in batches:
-            batch = batch.sort_values("ts", kind="stable")
-            micros = batch["ts"].astype("datetime64[us]").astype("int64")
-            accepted = []
-            for moment, kind in zip(micros, batch["kind"], strict=True):
-                if kind == "finish":
-                    started = None
-                    accepted.append(False)
-                    continue
-                free = started is None or moment - started >= timeout * 1_000_000
-                started = moment if free else started
-                accepted.append(free)
-            yield pd.DataFrame({"path": key[0], "ts": batch["ts"], "accepted": accepted})[(batch["kind"] != "finish").to_numpy()]
-        if started is None:
-            if state.exists:
-                state.remove()
-        else:
-            state.update((int(started),))
-            state.setTimeoutDuration(timeout * 1000)
-
-    return events.groupBy("path").applyInPandasWithState(
-        step, GUARD_OUTPUT, GUARD_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
-    )
+GUARD_OUTPUT = "path string, ts timestamp, accepted boolean"
+
+
+class _Guard(StatefulProcessor):
+    """The start of the processing of a path, until a finish comes or ``timeout`` is over by event time."""
+
+    def __init__(self, timeout: int):
+        self.timeout = timeout
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.started = handle.getValueState("started", "micros bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        found = pd.concat(list(rows))
+        found = found.sort_values("ts", kind="stable")
+        micros = found["ts"].astype("datetime64[us]").astype("int64").to_numpy()
+        ends = (found["kind"] == "finish").to_numpy()
+        span = self.timeout * 1_000_000
+        state = before = int(self.started.get()[0]) if self.started.exists() else FREE
+        accepted, at = np.zeros(len(found), dtype=bool), 0
+        for end in [*np.flatnonzero(ends).tolist(), len(found)]:
+            at += int(np.searchsorted(micros[at:end], state + span))
+            while at < end:
+                accepted[at], state = True, int(micros[at])
+                at += int(np.searchsorted(micros[at:end], state + span))
+            if end < len(found):
+                state, at = FREE, end + 1
+        if state != before:
+            if before != FREE:
+                self.handle.deleteTimer(self._expiry(before))
+            if state == FREE:
+                self.started.clear()
+            else:
+                self.started.update((state,))
+                self.handle.registerTimer(self._expiry(state))
+        yield pd.DataFrame({"path": key[0], "ts": found["ts"], "accepted": accepted})[~ends]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.started.exists() and self._expiry(int(self.started.get()[0])) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.started.clear()
+        return iter([])
+
+    def _expiry(self, micros: int) -> int:
+        return -(-micros // 1000) + self.timeout * 1000
+
+    def close(self) -> None:
+        pass
+
+
+def guard_stream(events: DataFrame, timeout: int = STALE_SECONDS, delay: str = "1 minute") -> DataFrame:
+    """D3 as a stream of ``(path, ts, kind)``: ``kind`` is ``event`` or ``finish``; ``(path, ts, accepted)`` of the events.
+
+    The state is one start time per path that is being processed. A finish clears it; an event-time timer removes it when
+    the watermark, ``delay`` behind the latest event, has passed its timeout. Rows of a path in a micro-batch are taken in
+    the order of their times; those later than the watermark are dropped. The session needs a state store for
+    transformWithState, which ``build_session`` sets."""
+    marked = events.select("path", "ts", "kind").withWatermark("ts", delay)
+    return marked.groupBy("path").transformWithStateInPandas(_Guard(timeout), GUARD_OUTPUT, "Append", "EventTime")
 
 
 def dedup_stream(events: DataFrame) -> DataFrame:
@@ -178,7 +333,7 @@ def load_summary(log: DataFrame) -> DataFrame:
 
 
 def status_text(error: Column, finished: Column) -> Column:
-    """The status of one load: its finish time, or the error cut to 200 characters."""
+    """The status line of one load: its finish time, or the start of the error, whose whole text the log keeps next to it."""
     return F.when(error.isNotNull(), F.concat(F.lit("ERROR: "), F.left(error, F.lit(200)))).otherwise(
         finished.cast("string")
     )

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 
 import pandas as pd
 import pytest
@@ -17,7 +18,8 @@ from ladderline.operators.loading import PeriodTable, audits, key_layout, surviv
 from ladderline.operators.quality import classify_errors, reject
 from ladderline.plans.ordered import Running, running, with_blocks
 from ladderline.sources.text_reports import as_rows, read_text_lines, split_lines
-from ladderline.streaming.arrivals import accepted_starts, guard_stream, new_versions, recent_changes
+from ladderline.streaming import arrivals
+from ladderline.streaming.arrivals import accepted_starts, guard_stream, guarded_starts, new_versions, recent_changes
 
 
 def test_contract_application(spark):
@@ -100,8 +102,107 @@ def test_schema_sync_and_comments(spark, tmp_path):
     assert "b" not in spark.table("sync_db.t").columns
     counts = table.load(spark.createDataFrame([(day, 5, 1.0)], "day date, a long, c double"), dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2))
     assert counts == {"planned": 1, "loaded": 1, "deleted": 1}
-    sync_comments(spark, "sync_db.t", "it's", {"a": "number's", "c": "", "zz": "none"})
-    assert changed_comments(spark, "sync_db.t", {"a": "number's", "c": ""}) == {}
+    wanted = {"a": "number's", "c": "", "zz": "none"}
+    spark.sql("CREATE TABLE sync_db.plain (a INT, c INT) USING parquet")
+    sync_comments(spark, "sync_db.plain", "it's", wanted)
+    table.describe("it's", wanted)
+    for name in ("t", "plain"):
+        assert changed_comments(spark, f"sync_db.{name}", {"a": "number's", "c": ""}) == {}
+        assert spark.catalog.getTable(f"sync_db.{name}").description == "it's"
+    table.load(spark.createDataFrame([(day, 6, 1.0)], "day date, a long, c double"))
+    assert changed_comments(spark, "sync_db.t", {"a": "number's"}) == {}
+
+
+class Stop(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["_write_parts", "_write_state", "_commit"])
+@pytest.mark.parametrize("after", [False, True])
+def test_load_is_one_commit(spark, tmp_path, monkeypatch, step, after):
+    """A load that stops before or after any step leaves the old or the new content, and repeating it gives the new once."""
+    name = f"commit_{step}_{after}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path / 'w'}'")
+    table = PeriodTable(spark, f"{name}.t", "day")
+    schema = "day date, n int"
+    day = lambda d: dt.date(2024, 1, d) if d else None
+    rows = lambda: sorted((r.day.day if r.day else 0, r.n) for r in table.read().collect())
+    table.load(spark.createDataFrame([(day(1), 1), (day(2), 2), (day(3), 3), (None, 4)], schema), dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 3), "first")
+    old, new = rows(), [(0, 4), (0, 8), (2, 7), (3, 3), (9, 9)]
+    again = spark.createDataFrame([(day(2), 7), (None, 8), (day(9), 9)], schema)
+    change = lambda: table.load(again, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2, 23), "second")
+    whole = getattr(PeriodTable, step)
+
+    def stopping(self, *args, **kwargs):
+        if after:
+            whole(self, *args, **kwargs)
+        raise Stop
+
+    monkeypatch.setattr(PeriodTable, step, stopping)
+    with pytest.raises(Stop):
+        change()
+    monkeypatch.undo()
+    committed = step == "_commit" and after
+    assert rows() == (new if committed else old)
+    assert change() == ({"planned": 0, "loaded": 0, "deleted": 0} if committed else {"planned": 3, "loaded": 3, "deleted": 2})
+    assert rows() == new and change()["loaded"] == 0 and rows() == new
+    left = lambda: spark.table(f"{name}.t__parts").select("__event_date", "__load").distinct().count()
+    assert left() > 5 and table.vacuum() > 0 and left() == 5 and rows() == new and table.vacuum() == 0
+    assert sorted(r[0] for r in table.committed().collect()) == ["first", "second"]
+
+
+def plain_guard(events, timeout):
+    started, out = {}, []
+    for path, ts, n, kind in sorted(events, key=lambda e: (e[1], e[2])):
+        if kind == "finish":
+            started.pop(path, None)
+        elif path not in started or (ts - started[path]).total_seconds() >= timeout:
+            started[path] = ts
+            out.append((path, n))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("finishes", [0.0, 0.02, 0.3])
+def test_guarded_starts(spark, monkeypatch, finishes):
+    """Paths of all densities, over chunks of two timeouts and more, against a walk along all events."""
+    monkeypatch.setattr(arrivals, "CHUNK_TIMEOUTS", 2)
+    rnd = random.Random(int(finishes * 100))
+    events = []
+    for path, gap in enumerate((1, 60, 500, 1000, 1800, 2500, 9000)):
+        at = dt.datetime(1969, 12, 31, 22)
+        for _ in range(400):
+            at += dt.timedelta(seconds=rnd.choice([0, gap, rnd.uniform(0, 2 * gap)]))
+            events.append((f"p{path}", at, len(events), "finish" if rnd.random() < finishes else "event"))
+    rnd.shuffle(events)
+    found = guarded_starts(spark.createDataFrame(events, "path string, ts timestamp_ntz, event_id int, kind string"))
+    assert sorted((r.path, r.event_id) for r in found.collect()) == plain_guard(events, 1800)
+    if not finishes:
+        plain = accepted_starts(spark.createDataFrame(events, "path string, ts timestamp_ntz, event_id int, kind string").drop("kind"))
+        assert plain.exceptAll(found.select(*plain.columns)).isEmpty()
+
+
+def test_guard_stream_ends(spark, tmp_path):
+    """Over micro-batches: a finish frees a path, a timer forgets one whose time is over, and the stream comes to its end."""
+    base = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    at = lambda s: base + dt.timedelta(seconds=s)
+    batches = [
+        [("a", at(10), "event"), ("a", at(5), "event"), ("b", at(0), "event")],
+        [("a", at(100), "finish"), ("a", at(101), "event"), ("b", at(1000), "event"), ("a", at(102), "event")],
+        [("b", at(1800), "event"), ("c", at(9000), "event")],
+        [("a", at(9100), "event"), ("b", at(9200), "finish"), ("b", at(9201), "event"), ("c", at(9300), "event")],
+    ]
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, "path string, ts timestamp, kind string").coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+        time.sleep(0.01)
+    stream = spark.readStream.schema("path string, ts timestamp, kind string").option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    query = (
+        guard_stream(stream).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    )
+    assert query.awaitTermination(240) and query.exception() is None
+    got = {(r.path, int((r.ts - base.replace(tzinfo=None)).total_seconds())): r.accepted for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    accepted = {("a", 5), ("b", 0), ("a", 101), ("b", 1800), ("c", 9000), ("a", 9100), ("b", 9201)}
+    assert {k for k, v in got.items() if v} == accepted and len(got) == 11
 
 
 def test_surviving_rows_against_brute_force(spark):
