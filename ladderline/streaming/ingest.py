@@ -347,8 +347,17 @@ def foreach_arrivals(
     return writer.start()
 
 
+def until_all_are_loaded(events: DataFrame, load: Callable[[DataFrame], object], checkpoint: str) -> None:
+    """Micro-batch after micro-batch until the source has nothing more; for ``changed_files``, whose batches are bounded."""
+    query = foreach_arrivals(events, load, checkpoint, available_now=False)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def watch_directory(spark: SparkSession, directory: str) -> DataFrame:
-    """A stream of new files ``(path, mtime)``. It does not report changes of known files: those come from
+    """A stream of new files ``(path, mtime)``. It does not report changes of known files: ``changed_files`` does, as do
     ``Ingest.run_directory`` ticks."""
     schema = "path string, modificationTime timestamp, length bigint, content binary"
     return (
