@@ -6,12 +6,16 @@ code points. Hashes are 64-bit: two different words or windows share one with pr
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 SLICE = 1 << 20
 """Bytes or words hashed at once; bounds the temporary arrays, whatever the length of a text."""
@@ -30,7 +34,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
     have = len(_powers["up"]) if _powers else 0
     if have < n:
-        n = max(n, SLICE, 2 * have)
+        n = max(n, SLICE // 8, 2 * have)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             steps = np.full(n, base, dtype=np.uint64)
             steps[0] = 1
@@ -143,3 +147,52 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 * SLICE
             last = max(first + 1, int(np.searchsorted(ends, done + most, side="right")))
             yield batch.slice(first, last - first)
             first = last
+
+
+def slices(text: pa.Array, most: int) -> Iterator[pa.Array]:
+    """One text in consecutive pieces of ``most`` bytes and the rest of the word there, without a copy."""
+    data, _ = bytes_of(text)
+    first = 0
+    while first < len(data):
+        last = first + most
+        while last < len(data):
+            ahead = np.flatnonzero(~_WORD_BYTE[data[last : last + 4096]])
+            if len(ahead):
+                last += int(ahead[0]) + 1
+                break
+            last += 4096
+        last = min(last, len(data))
+        part = np.array([0, last - first], dtype=np.int64)
+        yield pa.LargeStringArray.from_buffers(1, pa.py_buffer(part), pa.py_buffer(data[first:last]))
+        first = last
+
+
+def others(docs: DataFrame, text_col: str) -> Column:
+    """A struct of all columns but the text, which so goes to a task and back once."""
+    return F.struct(*([c for c in map(_quoted, docs.columns) if c != _quoted(text_col)] or [F.lit(None).cast("int").alias("none")]))
+
+
+def with_text(docs: DataFrame, text_col: str, row: str, text: str) -> Column:
+    """All columns of ``docs`` as a struct, from the struct of the others and the text."""
+    return F.struct(*[F.col(text).alias(c) if c == text_col else F.col(row)[c].alias(c) for c in docs.columns])
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def freed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` giving its memory back at the end of a task; workers live on and would hold it through later stages."""
+
+    @wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _powers.clear()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return task

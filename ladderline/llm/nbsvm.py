@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ladderline.llm import kernel
 from ladderline.llm.bitmaps import maybe_in
-from ladderline.llm.ppm import _Stream, held_out
+from ladderline.llm.ppm import Coded, held_out, written
 from ladderline.session import stage
 
 FEATURES, FIT = 1 << 18, 8192
@@ -35,15 +35,14 @@ _BITS = np.uint64(FEATURES.bit_length() - 1)
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The distinct features of all texts, text after text, and the offsets of each text's."""
-    stream = _Stream(texts, 2)
-    words = stream.words
-    hashes = words.hashes()
-    pairs, pair_offsets = kernel.window_starts(words.offsets, 2)
-    n = len(words.offsets) - 1
+    stream = Coded(written(texts, 2), 2)
+    hashes, counts = stream.words.view(np.uint64), np.diff(stream.word_offsets)
+    pairs, pair_offsets = kernel.window_starts(stream.word_offsets, 2)
+    n = len(counts)
     # an empty text's end mark is no n-gram of it
-    size = np.where(words.counts > 0, np.diff(stream.offsets), 0)
-    keys = [kernel.mix(stream.grams[np.repeat(words.counts > 0, np.diff(stream.offsets))]), hashes, kernel.window_hashes(hashes, pairs, 2)]
-    text = np.concatenate([np.repeat(np.arange(n), c) for c in (size, words.counts, np.diff(pair_offsets))]).astype(np.uint64)
+    size = np.where(counts > 0, np.diff(stream.offsets), 0)
+    keys = [kernel.mix(stream.grams.view(np.uint64)[np.repeat(counts > 0, np.diff(stream.offsets))]), kernel.mix(hashes), kernel.window_hashes(hashes, pairs, 2)]
+    text = np.concatenate([np.repeat(np.arange(n), c) for c in (size, counts, np.diff(pair_offsets))]).astype(np.uint64)
     found = np.unique((text << _BITS) | (np.concatenate(keys) >> (np.uint64(64) - _BITS)))
     return (found & np.uint64(FEATURES - 1)).astype(np.int64), np.searchsorted(found, np.arange(n + 1).astype(np.uint64) << _BITS)
 
@@ -100,14 +99,19 @@ def logistic(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(t[0]), float(t[1])
 
 
+def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Feature numbers in place of texts, at most ``FEATURES`` of them for a text of any length."""
+    for piece in kernel.pieces(batches, "text"):
+        found, offsets = features(piece.column("text"))
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(found, pa.int32()))
+        yield pa.RecordBatch.from_arrays([lists, piece.column("label"), piece.column("order")], names=["features", "label", "order"])
+
+
 def _fit(ratios: Broadcast):
     def run(sample: pa.Table) -> pa.Table:
         sample = sample.sort_by([("order", "ascending"), ("label", "ascending")])
         labels = sample.column("label").to_numpy()
-        rows = []
-        for piece in kernel.pieces(iter(sample.combine_chunks().to_batches()), "text"):
-            found, offsets = features(piece.column("text"))
-            rows += [found[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
+        rows = [r.values.to_numpy().astype(np.int64) for r in sample.column("features")]
         values = [ratios.value[r] / np.sqrt(max(len(r), 1)) for r in rows]
         tests = np.arange(len(rows)) % 5 == 4
         if len(set(labels[~tests])) < 2 or len(set(labels[tests])) < 2:
@@ -164,7 +168,8 @@ def classified(
         order = F.shiftrightunsigned(F.xxhash64("id"), 2)
         chosen = known.withColumn("order", order).where(F.col("order") <= F.lit(int(share * (1 << 62))))
         sample = maybe_in(rows, chosen.select("id"), "id").join(chosen, "id").select("text", "label", "order")
-        model = sample.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(_fit(spark.sparkContext.broadcast(log_ratios(totals))), "at bigint, w double").toArrow()
+        featured = sample.mapInArrow(_featured, "features array<int>, label int, order bigint")
+        model = featured.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(_fit(spark.sparkContext.broadcast(log_ratios(totals))), "at bigint, w double").toArrow()
         weights = np.zeros(FEATURES + 3)
         weights[model.column("at").to_numpy()] = model.column("w").to_numpy()
         out = rows.mapInArrow(_score(spark.sparkContext.broadcast(weights)), f"id {kind}, score double")

@@ -6,14 +6,18 @@ stands before the first byte). A byte is coded at the longest known context; a c
 bytes escapes with probability D / (N + D), and in the next shorter context the bytes already seen in the longer one are
 excluded from its counts. After the empty context the remaining bytes are equally likely.
 
-Counts of the longest contexts come from one pass over the training texts and one aggregation in Spark; the shorter ones
-are sums of them. The trie is cut into shards by the last two bytes of the context, so each shard holds whole branches
-and has at most ``SHARD`` leaves, or is a single branch, which is never split and may have up to 256**4; each shard
-passes through the driver in one piece. A pass over the texts per shard adds up the
-code lengths of the positions that belong to it; a trie within the bound is one shard and one pass.
-
-The base needs the count of every word. Workers hold the most frequent ones, at most ``HEAD``; other tokens are joined
-with the table of counts.
+The trie lives in Spark tables: ``symbols`` has the count of every gram (a context and the byte behind it) of every
+order, ``contexts`` has N, D and what a context excludes from the next shorter one. Texts are written down once as byte
+streams, in a bucketed table of blocks, which end at ``BLOCK`` bytes or at about ``DIFFERENT`` different grams. The different
+grams of all blocks are counted; every different gram gets its code length, a known one from its context, the others by
+joining them with their shorter grams and contexts, all orders in one join; the code lengths are joined with the grams of
+each block and go back to the block, where they are added up. So the work is one pass whatever the size of the trie, no
+task holds more than a block and its grams, and texts are not shuffled. The base goes the same way, with words in place of
+grams: their keys are negative. Nothing but counts by order reaches the driver; orders whose tables have at most ``HEAD``
+rows by count, which holds for those of up to two bytes, are sent to all tasks, the others are joined by key.
+
+A text of any length is written down in segments of about ``SEGMENT`` bytes, cut between words, each with the bytes before
+it as context; a single longer word is not cut.
 
 Defined cases: a null or blank text is the end mark alone. Ids may repeat or be null; a null id hashes as the empty text.
 Further columns are not read. Without training texts every byte is equally likely, and the base is uniform.
@@ -21,7 +25,8 @@ Further columns are not read. Without training texts every byte is equally likel
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +35,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladderline.llm import kernel
-from ladderline.llm.lookup import Lookup
-from ladderline.session import stage
+from ladderline.session import shared_dir, stage, unstage
 
 ORDER = 5
-SHARD, HEAD = 1 << 22, 1 << 20
-FLUSH = 1 << 21
+"""Up to 6: a gram is a number that is not negative."""
+BLOCK, DIFFERENT, SEGMENT, HEAD = 1 << 24, 1 << 21, 1 << 20, 1 << 17
+FLUSH = 1 << 20
 END = 0xFF
-_END_TOKEN = np.uint64(0)
+_SAMPLED = np.uint64(15)
+"""Grams are sampled by these bits of a hash to estimate how many different ones a block has."""
+_END_TOKEN = -1
 
 
 def held_out(id_col: str, parts: int, rest: int):
@@ -45,267 +52,263 @@ def held_out(id_col: str, parts: int, rest: int):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % parts == rest
 
 
-class _Stream:
-    """The token sequences of a piece of texts: grams of ``order + 1`` bytes at every coded byte, by text."""
-
-    def __init__(self, texts: pa.Array, order: int):
-        self.words = words = kernel.words_of(texts, lower=True)
-        n, counts = len(words.offsets) - 1, words.counts
-        lengths = words.ends - words.starts
-        before = np.concatenate(([0], np.cumsum(lengths + 1)))
-        size = np.maximum(before[words.offsets[1:]] - before[words.offsets[:-1]], 1)
-        begin = np.concatenate(([0], np.cumsum(size + order)))
-        data = np.full(int(begin[-1]), END, dtype=np.uint8)
-        doc = np.repeat(np.arange(n), counts)
-        to = begin[doc] + order + before[:-1] - before[words.offsets[doc]]
-        at = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        data[np.repeat(to, lengths) + at] = words.data[np.repeat(words.starts, lengths) + at]
-        gap = np.ones(len(to), dtype=bool)
-        gap[words.offsets[1:][counts > 0] - 1] = False
-        data[(to + lengths)[gap]] = 0x20
+def written(texts: pa.Array, order: int) -> pa.BinaryArray:
+    """The streams of some texts, each with ``order`` end marks before it."""
+    words = kernel.words_of(texts, lower=True)
+    n, counts = len(words.offsets) - 1, words.counts
+    lengths = words.ends - words.starts
+    before = np.concatenate(([0], np.cumsum(lengths + 1)))
+    size = np.maximum(before[words.offsets[1:]] - before[words.offsets[:-1]], 1)
+    begin = np.concatenate(([0], np.cumsum(size + order)))
+    data = np.full(int(begin[-1]), END, dtype=np.uint8)
+    doc = np.repeat(np.arange(n), counts)
+    to = begin[doc] + order + before[:-1] - before[words.offsets[doc]]
+    at = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    data[np.repeat(to, lengths) + at] = words.data[np.repeat(words.starts, lengths) + at]
+    gap = np.ones(len(to), dtype=bool)
+    gap[words.offsets[1:][counts > 0] - 1] = False
+    data[(to + lengths)[gap]] = 0x20
+    return pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(begin.astype(np.int32)), pa.py_buffer(data)])
+
+
+def _segments(text: pa.Array, order: int) -> Iterator[bytes]:
+    """The stream of one long text, cut between words; each segment follows its context of ``order`` bytes."""
+    context, some = bytes([END]) * order, False
+    for part in kernel.slices(text, SEGMENT):
+        words = written(part, order)[0].as_py()[order:-1]
+        if words:
+            coded = (b" " if some else b"") + words
+            yield context + coded
+            context, some = (context + coded)[-order:], True
+    yield context + bytes([END])
+
+
+def _streams(order: int, block: int):
+    @kernel.freed
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
+        at, filled, sample = row, 0, np.empty(0, np.uint64)
+        for piece in kernel.pieces(batches, "text", min(2 * SEGMENT, block)):
+            long = piece.num_rows == 1 and len(piece.column("text")[0].as_buffer()) > 2 * SEGMENT
+            if long:
+                streams = ((np.zeros(1, np.int64), pa.array([s], pa.binary())) for s in _segments(piece.column("text"), order))
+            else:
+                streams = [(np.arange(piece.num_rows), written(piece.column("text"), order))]
+            for of, stream in streams:
+                filled += stream.nbytes
+                hashes = kernel.mix(Coded(stream, order, False).grams.view(np.uint64))
+                sample = np.union1d(sample, hashes[hashes & _SAMPLED == 0])
+                take = pa.array(of)
+                yield pa.record_batch({
+                    "block": pa.array(np.full(len(of), at)), "rid": pa.array(row + of), "id": piece.column("id").take(take),
+                    "train": piece.column("train").take(take), "data": stream,
+                })
+                if filled >= block or len(sample) * (int(_SAMPLED) + 1) >= DIFFERENT:
+                    at, filled, sample = at + 1, 0, np.empty(0, np.uint64)
+            row += piece.num_rows
+
+    return run
+
+
+class Coded:
+    """Grams of ``order + 1`` bytes at every coded byte of some streams, and their tokens."""
+
+    def __init__(self, streams: pa.Array, order: int, with_words: bool = True):
+        streams = streams.cast(pa.large_binary())
+        begin = np.frombuffer(streams.buffers()[1], dtype=np.int64)[streams.offset : streams.offset + len(streams) + 1]
+        data = np.frombuffer(streams.buffers()[2], dtype=np.uint8)[begin[0] : begin[-1]]
+        begin = begin - begin[0]
+        coded = np.ones(len(data), dtype=bool)
+        coded[(begin[:-1, None] + np.arange(order)).ravel()] = False
         grams = np.zeros(len(data) - order, dtype=np.uint64)
         for k in range(order + 1):
             grams = (grams << np.uint64(8)) | data[k : len(data) - order + k]
-        coded = np.ones(len(data), dtype=bool)
-        coded[(begin[:-1, None] + np.arange(order)).ravel()] = False
-        self.grams = grams[coded[order:]]
-        self.offsets = np.concatenate(([0], np.cumsum(size)))
-
-    def by_text(self, values: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(values, self.offsets[:-1])
+        self.grams = grams[coded[order:]].view(np.int64)
+        self.offsets = begin - order * np.arange(len(begin))
+        if not with_words:
+            return
+        inside = coded & (data != 0x20) & (data != END)
+        edge = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        self.word_offsets = np.searchsorted(starts, begin)
+        self.words = kernel.Words(data, starts, ends, self.word_offsets).hashes().view(np.int64) | np.int64(-1 << 63)
+        self.ended = data[begin[1:] - 1] == END
 
 
 class _Counter:
-    """Sums by key, merged when ``FLUSH`` entries have come together."""
+    """Counts by key of one block, merged when as many have come together as there are, and ``FLUSH``."""
 
     def __init__(self):
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
-        self.held = 0
+        self.fresh = 0
 
-    def add(self, keys: np.ndarray) -> None:
-        found = np.unique(keys, return_counts=True)
-        self.parts.append(found)
-        self.held += len(found[0])
+    def add(self, keys: np.ndarray, counted: bool) -> None:
+        found, n = np.unique(keys, return_counts=True)
+        self.parts.append((found, n if counted else np.zeros(len(found), np.int64)))
+        self.fresh += len(found)
+        if self.fresh > max(FLUSH, len(self.parts[0][0])):
+            self.merge()
 
-    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+    def merge(self) -> None:
         keys = np.concatenate([k for k, _ in self.parts])
         order = np.argsort(keys, kind="stable")
         keys, counts = keys[order], np.concatenate([c for _, c in self.parts])[order]
-        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        merged = keys[first], np.add.reduceat(counts, first)
-        self.parts, self.held = [merged], len(first)
-        return merged
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        self.parts, self.fresh = [(keys[first], np.add.reduceat(counts, first))], 0
+
+    def taken(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if sum(len(k) for k, _ in self.parts):
+            self.merge()
+            yield self.parts[0]
+        self.parts, self.fresh = [], 0
 
 
-def _count(order: int):
+def _different(order: int):
+    """``(block, key, n)``: the different grams and words of each block, with their counts in training texts."""
+
+    @kernel.freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = {0: _Counter(), 1: _Counter()}
-
-        def flush(kind: int) -> pa.RecordBatch:
-            keys, counts = counters[kind].merged()
-            counters[kind] = _Counter()
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(counts)], names=["kind", "key", "n"])
-
-        for piece in kernel.pieces(batches, "text"):
-            stream = _Stream(piece.column("text"), order)
-            counters[0].add(stream.grams)
-            counters[1].add(np.concatenate((stream.words.hashes(), np.full(piece.num_rows, _END_TOKEN))))
-            for kind, counter in counters.items():
-                if counter.held > FLUSH:
-                    counter.merged()
-                    if counter.held > FLUSH // 2:
-                        yield flush(kind)
-        for kind, counter in counters.items():
-            if counter.parts:
-                yield flush(kind)
+        counter, block = _Counter(), None
+        rows = lambda: (pa.record_batch({"block": pa.array(np.full(len(k), block)), "key": pa.array(k), "n": pa.array(n)}) for k, n in counter.taken())
+        for batch in batches:
+            blocks = batch.column("block").to_numpy()
+            cuts = np.concatenate(([0], np.flatnonzero(blocks[1:] != blocks[:-1]) + 1, [len(blocks)])).tolist()
+            for first, last in zip(cuts, cuts[1:], strict=False):
+                if first == last:
+                    continue
+                if block is not None and blocks[first] != block:
+                    yield from rows()
+                block = blocks[first]
+                for piece in kernel.pieces([batch.slice(first, last - first)], "data", 2 * SEGMENT):
+                    coded = Coded(piece.column("data"), order)
+                    train = piece.column("train").to_numpy(zero_copy_only=False)
+                    for part in (True, False):
+                        mine = train == part
+                        ends = np.full(int((mine & coded.ended).sum()), _END_TOKEN)
+                        grams = coded.grams[np.repeat(mine, np.diff(coded.offsets))]
+                        counter.add(np.concatenate((grams, coded.words[np.repeat(mine, np.diff(coded.word_offsets))], ends)), part)
+        yield from rows()
 
     return run
 
 
-def _low(order: int) -> np.uint64:
-    return np.uint64((1 << (8 * order)) - 1)
-
-
-class Trie:
-    """A shard: for each order the sorted grams with counts, and the contexts with N, D and what they exclude below."""
-
-    def __init__(self, order: int, grams: np.ndarray, counts: np.ndarray, short: tuple[np.ndarray, np.ndarray]):
-        """``grams`` of ``order + 1`` bytes, sorted; ``short``: all grams of two bytes of the whole trie, with counts."""
-        self.order = order
-        self.symbols = {order: (grams, counts)}
-        for k in range(order - 1, 1, -1):
-            self.symbols[k] = self._summed(*self.symbols[k + 1], _low(k + 1))
-        self.symbols[1] = short
-        self.symbols[0] = self._summed(*short, _low(1))
-        self.contexts = {k: self._contexts(k) for k in range(order + 1)}
-        n, d = self.contexts[order][1:3]
-        of = np.searchsorted(self.contexts[order][0], grams >> np.uint64(8))
-        self.top = Lookup(grams, np.log10(counts / (n + d)[of]) if len(grams) else np.empty(0))
-
-    @staticmethod
-    def _summed(grams: np.ndarray, counts: np.ndarray, mask: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-        keys, back = np.unique(grams & mask, return_inverse=True)
-        return keys, np.bincount(back, weights=counts, minlength=len(keys))
-
-    def _contexts(self, k: int) -> tuple[np.ndarray, ...]:
-        grams, counts = self.symbols[k]
-        contexts, back = np.unique(grams >> np.uint64(8), return_inverse=True)
-        n, d = np.bincount(back, weights=counts, minlength=len(contexts)), np.bincount(back, minlength=len(contexts))
-        if not k:
-            return contexts, n, d, np.zeros(len(contexts))
-        shorter, their = self.symbols[k - 1]
-        same = their[np.searchsorted(shorter, grams & _low(k))] if len(grams) else np.empty(0)
-        return contexts, n, d, np.bincount(back, weights=same, minlength=len(contexts))
-
-    def log10(self, grams: np.ndarray) -> np.ndarray:
-        place = self.top.places(grams)
-        known = place >= 0
-        out = np.zeros(len(grams))
-        out[known] = self.top.values[place[known]]
-        left = np.flatnonzero(~known)
-        out[left] = self._escaped(grams[left])
-        return out
-
-    def _escaped(self, grams: np.ndarray) -> np.ndarray:
-        out, left = np.zeros(len(grams)), np.arange(len(grams))
-        out_n, out_d = np.zeros(len(grams)), np.zeros(len(grams))  # what is excluded at the next order
-        for k in range(self.order, -1, -1):
-            gram = grams[left] & _low(k + 1)
-            contexts, n, d, below = self.contexts[k]
-            place, there = _found(contexts, gram >> np.uint64(8))
-            fresh = np.where(there, d[place] - out_d[left], 0) if len(contexts) else np.zeros(len(left))
-            total = np.where(there, n[place] - out_n[left] + fresh, 1) if len(contexts) else np.ones(len(left))
-            symbols, counts = self.symbols[k]
-            at, seen = _found(symbols, gram)
-            if seen.any():
-                out[left[seen]] += np.log10(counts[at[seen]] / total[seen])
-            escaped = ~seen & (fresh > 0)
-            out[left[escaped]] += np.log10(fresh[escaped] / total[escaped])
-            missed = ~seen
-            if len(contexts):
-                out_n[left] = np.where(there, below[place], out_n[left])
-                out_d[left] = np.where(there, d[place], out_d[left])
-            left = left[missed]
-        out[left] -= np.log10(256 - out_d[left])
-        return out
-
-
-def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(keys):
-        return np.zeros(len(wanted), dtype=np.int64), np.zeros(len(wanted), dtype=bool)
-    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return place, keys[place] == wanted
-
-
-def _arrays(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """A table of keys and counts whose size the caller has bounded, sorted by key."""
-    table = df.select("key", "n").toArrow()
-    keys, counts = table.column(0).to_numpy().view(np.uint64), table.column(1).to_numpy()
-    order = np.argsort(keys)
-    return keys[order], counts[order].astype(np.float64)
-
-
-def _shards(branches: list[tuple[int, int]], most: int) -> list[list[int]]:
-    """Branches put together while they stay within ``most`` leaves."""
-    out: list[list[int]] = []
-    size = 0
-    for branch, leaves in sorted(branches):
-        if not out or size + leaves > most:
-            out.append([])
-            size = 0
-        out[-1].append(branch)
-        size += leaves
-    return out
-
-
-def _code_length(order: int, shards: int, shard: int, branch_of: np.ndarray, trie, words=None):
-    """Code lengths of a shard's positions; with ``words``, the base of the tokens held and the list of the others."""
+def _added_up(order: int, unit: float):
+    """Code lengths of the streams of a block, from what its grams and words cost."""
+    none = float(np.log10(0.5 / unit))  # above what an unknown word has, below a known one's
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = trie.value
-        row = TaskContext.get().partitionId() << 33
-        for piece in kernel.pieces(batches, "text"):
-            stream = _Stream(piece.column("text"), order)
-            if shards == 1:
-                score = stream.by_text(model.log10(stream.grams))
-            else:
-                mine = branch_of[((stream.grams >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.int64)] == shard
-                part = np.zeros(len(stream.grams))
-                part[mine] = model.log10(stream.grams[mine])
-                score = stream.by_text(part)
-            n = piece.num_rows
-            out = {"id": piece.column("id"), "k1": piece.column("k1"), "k2": piece.column("k2"), "score": pa.array(score)}
-            if words is not None:
-                lookup, complete, unit, end = words.value
-                place = lookup.places(stream.words.hashes())
-                known = place >= 0
-                logs = np.zeros(len(known))
-                logs[known] = np.log10((lookup.values[place[known]] + 0.1) / unit)
-                logs[~known] = np.log10(0.1 / unit) if complete else 0.0
-                sums = lambda v: np.diff(np.concatenate(([0], np.cumsum(v)))[stream.words.offsets])
-                base = np.array([logs[a:b].sum() for a, b in zip(stream.words.offsets, stream.words.offsets[1:], strict=False)])
-                others = ~known & (not complete)
-                rest = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(others)))[stream.words.offsets], pa.int32()), pa.array(stream.words.hashes()[others].view(np.int64)))
-                out |= {
-                    "rid": pa.array(row + np.arange(n)), "n_tokens": pa.array(stream.words.counts + 1), "known": pa.array(sums(known) + int(end > 0)),
-                    "base": pa.array(base + np.log10((end + 0.1) / unit)), "rest": rest,
-                }
-                row += n
-            yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
+    def run(streams: pa.Table, costs: pa.Table) -> pa.Table:
+        keys, values = costs.column("key").to_numpy(), costs.column("value").to_numpy()
+        by = np.argsort(keys)
+        keys, values = keys[by], values[by]
+        parts = [_scores(piece, order, keys, values, none) for piece in kernel.pieces(streams.to_batches(), "data", SEGMENT)]
+        return pa.Table.from_batches(parts)
 
     return run
 
 
-def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int = 10, rest: int = 0, order: int = ORDER, shard: int = SHARD, head: int = HEAD) -> DataFrame:
+def _scores(piece: pa.RecordBatch, order: int, keys: np.ndarray, values: np.ndarray, none: float) -> pa.RecordBatch:
+    coded = Coded(piece.column("data"), order)
+    cost = lambda wanted: values[np.searchsorted(keys, wanted)]
+    words = cost(coded.words)
+    end = float(cost(np.array([_END_TOKEN]))[0]) if coded.ended.any() else 0.0
+    by_row = lambda v: np.array([v[a:b].sum() for a, b in zip(coded.word_offsets[:-1], coded.word_offsets[1:], strict=True)])
+    ended = coded.ended.astype(np.int64)
+    return pa.record_batch({
+        "rid": piece.column("rid"), "id": piece.column("id"), "n_tokens": pa.array(np.diff(coded.word_offsets) + ended),
+        "known": pa.array(by_row(words > none).astype(np.int64) + ended * int(end > none)), "base": pa.array(by_row(words) + ended * end),
+        "score": pa.array(np.add.reduceat(cost(coded.grams), coded.offsets[:-1])),
+    })
+
+
+def _bucketed(rows: DataFrame, by: str) -> tuple[DataFrame, Callable[[], None]]:
+    """``rows`` as a table whose buckets are joined by ``by`` without a shuffle, and what removes it."""
+    spark = rows.sparkSession
+    name = f"streams_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(buckets, by).saveAsTable(name)
+    table = spark.table(name)
+    table._staged_at = path
+
+    def drop() -> None:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        unstage(table)
+
+    return table, drop
+
+
+def _shorter(gram: str, order: int) -> tuple:
+    """The gram of order ``k`` in a longer one, by its last bytes."""
+    masks = F.array(*[F.lit((1 << (8 * (k + 1))) - 1) for k in range(order + 1)])
+    return F.posexplode(F.transform(masks, lambda m: F.col(gram).bitwiseAND(m))).alias("k", "gram")
+
+
+def trie(leaves: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
+    """``symbols(k, gram, n)`` and ``contexts(k, context, total, distinct, below)`` from the grams of the longest contexts."""
+    symbols = stage(leaves.select("n", _shorter("key", order)).groupBy("k", "gram").agg(F.sum("n").alias("n")), "symbols")
+    low = F.expr("gram & (shiftleft(1L, 8 * k) - 1)")  # what follows the shorter context
+    behind = symbols.select((F.col("k") + 1).alias("k"), F.col("gram").alias("low"), F.col("n").alias("shorter"))
+    joined = symbols.where("k > 0").withColumn("low", low).join(behind, ["k", "low"])
+    every = joined.select("k", "gram", "n", "shorter").unionByName(symbols.where("k = 0").select("k", "gram", "n", F.lit(0).cast("bigint").alias("shorter")))
+    contexts = every.groupBy("k", F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("distinct"), F.sum("shorter").alias("below"))
+    return symbols, stage(contexts, "contexts")
+
+
+def _with_orders(rows: DataFrame, table: DataFrame, keys: list[str], small: int) -> DataFrame:
+    """``rows`` joined with ``table``, whose orders up to ``small`` go to all tasks."""
+    few = rows.where(F.col("k") <= small).join(F.broadcast(table.where(F.col("k") <= small)), keys, "left")
+    return few.unionByName(rows.where(F.col("k") > small).join(table.where(F.col("k") > small), keys, "left"))
+
+
+def escaped(grams: DataFrame, symbols: DataFrame, contexts: DataFrame, order: int, head: int) -> DataFrame:
+    """``(key, value)``: the code lengths of grams that no training text has."""
+    sizes = dict(map(tuple, symbols.groupBy("k").agg(F.count("*")).collect()))  # one row per order
+    small, held = -1, 0
+    while small < order and (held := held + sizes.get(small + 1, 0)) <= head:
+        small += 1
+    wanted = grams.select("key", _shorter("key", order)).withColumn("context", F.shiftright("gram", 8))
+    met = _with_orders(_with_orders(wanted, symbols, ["k", "gram"], small), contexts, ["k", "context"], small)
+    levels = met.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("k", "n", "total", "distinct", "below")), asc=False).alias("levels"))
+    fresh = "coalesce(x.distinct - a.d, 0)"
+    whole = f"coalesce(x.total - a.n + {fresh}, 1)"
+    value = F.expr(f"""
+        aggregate(levels, named_struct('s', 0D, 'n', 0L, 'd', 0L, 'done', false), (a, x) -> if(a.done, a, named_struct(
+            's', a.s + CASE WHEN x.n IS NOT NULL THEN log10(x.n / {whole}) WHEN {fresh} > 0 THEN log10({fresh} / {whole}) ELSE 0D END,
+            'n', coalesce(x.below, a.n), 'd', coalesce(x.distinct, a.d), 'done', x.n IS NOT NULL)),
+            a -> a.s - if(a.done, 0D, log10(256 - a.d)))""")
+    return levels.select("key", value.alias("value"))
+
+
+def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int = 10, rest: int = 0, order: int = ORDER, shard: int = BLOCK, head: int = HEAD) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` of every row; texts whose id has remainder
-    ``rest`` are kept out of the training."""
-    spark = docs.sparkSession
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("k1"), F.xxhash64(text, F.col(id_col)).alias("k2"))
-    counts = rows.where(~held_out("id", parts, rest)).select("text").mapInArrow(_count(order), "kind int, key bigint, n bigint")
-    counts = stage(counts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
-    leaves, words = counts.where("kind = 0"), counts.where("kind = 1")
-
-    branch = F.shiftrightunsigned("key", 8).bitwiseAND(F.lit(0xFFFF)).cast("int")
-    shards = _shards([tuple(r) for r in leaves.groupBy(branch.alias("b")).agg(F.count("*")).collect()], shard) or [[]]  # 65,536 rows at most
-    branch_of = np.full(1 << 16, -1, dtype=np.int32)
-    for s, of in enumerate(shards):
-        branch_of[of] = s
-    branch_of[branch_of < 0] = 0
-    short = _arrays(leaves.groupBy(F.col("key").bitwiseAND(F.lit(0xFFFF)).alias("key")).agg(F.sum("n").alias("n")))
-
-    total, distinct, end = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("key") == 0, F.col("n"))), F.lit(0))).first()
+    ``rest`` are kept out of the training. ``shard``: bytes in a block of texts, at most and but for the last text."""
+    named = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    kind = named.schema["id"].dataType.simpleString()
+    written = named.withColumn("train", ~held_out("id", parts, rest)).mapInArrow(_streams(order, shard), f"block bigint, rid bigint, id {kind}, train boolean, data binary")
+    streams, drop = _bucketed(written, "block")
+    different = streams.select("block", "train", "data").mapInArrow(_different(order), "block bigint, key bigint, n bigint")
+    counts = stage(different.groupBy("key").agg(F.sum("n").alias("n")), "counts")
+
+    words, grams = counts.where("key < 0"), counts.where("key >= 0")
+    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     unit = total + 0.1 * (distinct + 1)
-    sizes = dict(map(tuple, words.groupBy((F.length(F.bin("n")) - 1).alias("e")).agg(F.count("*")).collect()))  # one row per power of two
-    least, held = 64, 0
-    while least > 0 and held + sizes.get(least - 1, 0) <= head:
-        least -= 1
-        held += sizes.get(least, 0)
-    known = Lookup(*_arrays(words.where(F.col("n") >= F.lit(float(1 << least)))))
-    vocabulary = spark.sparkContext.broadcast((known, held == distinct, unit, end))
-
-    passes = []
-    for s, of in enumerate(shards):
-        mine = leaves if len(shards) == 1 else leaves.where(branch.isin(of))
-        trie = spark.sparkContext.broadcast(Trie(order, *_arrays(mine), short))
-        schema = "id {0}, k1 bigint, k2 bigint, score double".format(rows.schema["id"].dataType.simpleString())
-        if not s:
-            schema += ", rid bigint, n_tokens bigint, known bigint, base double, rest array<bigint>"
-        code = _code_length(order, len(shards), s, branch_of, trie, None if s else vocabulary)
-        passes.append(stage(rows.mapInArrow(code, schema), "scores"))
-    out = passes[0]
-    for more in passes[1:]:
-        same = more.select("k1", "k2", F.col("score").alias("more")).dropDuplicates(["k1", "k2"])
-        out = stage(out.join(same, ["k1", "k2"]).withColumn("score", F.col("score") + F.col("more")).drop("more"), "scores")
-    if held < distinct:
-        tokens = out.select("rid", F.explode("rest").alias("key")).groupBy("rid", "key").agg(F.count("*").alias("times"))
-        log = F.log10((F.coalesce("n", F.lit(0)) + 0.1) / F.lit(unit))
-        sums = tokens.join(words, "key", "left").groupBy("rid").agg(F.sum(F.col("times") * log).alias("rest_base"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rest_known"))
-        out = out.join(sums, "rid", "left")
-    else:
-        out = out.withColumns({"rest_base": F.lit(0.0), "rest_known": F.lit(0)})
-    return out.select(
-        F.col("id").alias(id_col), held_out("id", parts, rest).alias("held_out"), "n_tokens",
-        (F.col("known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"), F.lit(total).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rest_base", F.lit(0.0))).alias("base_score"), "score",
+    known, unknown = grams.where("n > 0"), grams.where("n = 0")
+    symbols, contexts = trie(known, order)
+    longest = contexts.where(F.col("k") == order).select("context", "total", "distinct")
+    top = known.withColumn("context", F.shiftright("key", 8)).join(longest, "context").select("key", F.log10(F.col("n") / (F.col("total") + F.col("distinct"))).alias("value"))
+    word_costs = words.select("key", F.log10((F.col("n") + 0.1) / F.lit(unit)).alias("value"))
+    costs = stage(top.unionByName(escaped(unknown, symbols, contexts, order, head)).unionByName(word_costs), "costs")
+    for table in (counts, symbols, contexts):
+        unstage(table)
+
+    held = different.select("block", "key").join(costs, "key").select("block", "key", "value")
+    asking = streams.select("block", "rid", "id", "data")
+    lengths = asking.groupBy("block").cogroup(held.groupBy("block")).applyInArrow(_added_up(order, unit), f"rid bigint, id {kind}, n_tokens bigint, known bigint, base double, score double")
+    lengths = stage(lengths, "lengths")
+    unstage(costs)
+    drop()
+    sums = lengths.groupBy("rid", "id").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "known", "base", "score")])
+    return sums.select(
+        F.col("id").alias(id_col), held_out("id", parts, rest).alias("held_out"), "n_tokens", F.col("known").alias("n_known"),
+        F.lit(total).cast("bigint").alias("train_tokens"), F.col("base").alias("base_score"), "score",
     )
