@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ladderline.functions.casts import LOGICAL_TYPE, SPARK_TYPE
 from ladderline.functions.identifiers import column_alias, latin_identifier
 from ladderline.functions.text import named, strip, without_spaces
 from ladderline.operators.contracts import Contract, ContractColumn, IndexSpec
+from ladderline.operators.evolution import database_type
 
 # What counts as a number, a date and a UUID in report text.
 WHOLE_PART = r"(?:0|[1-9]\d*|[1-9]\d{0,2}(?:\s\d{3})+)"
@@ -129,8 +131,8 @@ def matching_columns(cells: DataFrame, pattern: str, count: int | None, keys: tu
     return sample.groupBy(*keys).agg(F.bool_and(F.rlike(value, F.lit(pattern))).alias("all_match")).filter("all_match").drop("all_match")
 
 
-def uuid_columns(cells: DataFrame, sample: int | None = UUID_SAMPLE) -> DataFrame:
-    """Columns that hold UUIDs, by sample or (``sample=None``) by every value."""
+def uuid_columns(cells: DataFrame, sample: int | None = None) -> DataFrame:
+    """Columns that hold UUIDs, by every value or by the first ``sample``."""
     return matching_columns(cells, UUID_TEXT, sample)
 
 
@@ -192,3 +194,15 @@ def collect_contracts(generated: DataFrame) -> list[Contract]:
         for report, rows in contracts.items()
     ]
 
+
+def target_columns(contracts: DataFrame, uuids: DataFrame) -> DataFrame:
+    """The rows of ``generate_contracts`` with ``target``, the type a database column gets, and ``is_event``.
+
+    Text columns among ``uuids (report, ord, name)`` become UUID."""
+    names = {spelling: database_type(SPARK_TYPE[kind]) for spelling, kind in LOGICAL_TYPE.items()}
+    by_name = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    marked = contracts.join(uuids.select("report", "ord", "name", F.lit(True).alias("__uuid")), ["report", "ord", "name"], "left")
+    is_uuid = (F.col("type") == "string") & F.col("__uuid").isNotNull()
+    target = F.when(is_uuid, "UUID").otherwise(F.coalesce(F.element_at(by_name, F.col("type")), F.lit("TEXT")))
+    is_event = F.coalesce(F.col("alias") == F.col("event_time"), F.lit(False))
+    return marked.withColumns({"target": target, "is_event": is_event}).drop("__uuid")

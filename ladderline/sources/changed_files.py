@@ -5,10 +5,12 @@ from __future__ import annotations
 import datetime as dt
 import heapq
 import os
+import sys
 import time
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
@@ -97,6 +99,8 @@ def _local(folder: str) -> Iterator[tuple[int, str, int, int]]:
 
 def changed_files(spark: SparkSession, directory: str, max_files: int = MAX_FILES, settle: float = SETTLE_SECONDS) -> DataFrame:
     """A stream of the report files ``(path, mtime)`` that are new or changed below a directory."""
+    # the processes that list the files need not have this library
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(ChangedFiles)
     stream = spark.readStream.format("changed_files").option("path", directory).option("maxFiles", max_files).option("settle", settle).load()
     return stream.filter(is_report(F.col("path"))).select("path", "mtime")

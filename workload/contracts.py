@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladderline.operators.contracts import Contract, ContractColumn, apply_contract, drop_service_columns, match_contract
 from ladderline.operators.inference import (
     DATE_SAMPLE,
+    UUID_SAMPLE,
     generate_contracts,
     infer_cell_types,
     infer_types,
     pick_event_time,
+    target_columns,
     uuid_columns,
     wide_to_cells,
 )
@@ -184,7 +186,7 @@ HAVING bool_and(regexp_matches(lower(value), '^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{
 """)
 def uuid_detection(spark, sf_dir):
     """Columns whose first values are UUIDs."""
-    return uuid_columns(_event_cells(spark, sf_dir))
+    return uuid_columns(_event_cells(spark, sf_dir), UUID_SAMPLE)
 
 
 @query(EVENT_CELL_SQL + """
@@ -197,3 +199,30 @@ FROM t LEFT JOIN event ON event.report = t.report
 def contract_generation(spark, sf_dir):
     """Contracts for reports seen for the first time."""
     return generate_contracts(_event_cells(spark, sf_dir), date_sample=DATE_SAMPLE)
+
+
+ALL_ROWS_SQL = EVENT_CELL_SQL.replace("WHERE rn <= 20", "")
+
+
+@query(ALL_ROWS_SQL + "SELECT report, ord, name FROM event")
+def event_time_all_rows(spark, sf_dir):
+    """The event time of every report: the first text column whose values all are dates."""
+    cells = _event_cells(spark, sf_dir)
+    return pick_event_time(infer_cell_types(cells), cells)
+
+
+@query(ALL_ROWS_SQL + """
+SELECT t.report, t.ord, t.name, CASE WHEN t.ord = event.ord THEN 'datetime64[ns]' ELSE t.type END AS type, event.name AS event_name,
+    CASE WHEN u.ord IS NOT NULL THEN 'UUID' WHEN t.ord = event.ord THEN 'TIMESTAMP' WHEN t.type = 'Int64' THEN 'BIGINT'
+        WHEN t.type = 'float64' THEN 'DOUBLE PRECISION' ELSE 'TEXT' END AS target
+FROM t LEFT JOIN event ON event.report = t.report LEFT JOIN (
+    SELECT report, ord FROM r GROUP BY ALL
+    HAVING bool_and(regexp_matches(lower(value), '^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$'))
+) u ON u.report = t.report AND u.ord = t.ord
+""")
+def target_types(spark, sf_dir):
+    """The database type of every column of every report, UUID where all values are UUIDs."""
+    cells = _event_cells(spark, sf_dir)
+    types = target_columns(generate_contracts(cells), uuid_columns(cells))
+    event = F.first(F.when(F.col("is_event"), F.col("name")), ignorenulls=True).over(Window.partitionBy("report"))
+    return types.withColumn("event_name", event).select("report", "ord", "name", "type", "event_name", "target")

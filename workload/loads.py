@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ladderline.operators.evolution import evolve, resolve_names, schema_diff, with_surrogate_id
-from ladderline.operators.loading import append_counts, period_counts, replace_period, surviving_rows, unique_violations
+from ladderline.operators.loading import SEQ, PeriodTable, append_counts, period_counts, replace_period, surviving_rows, unique_violations
 from ladderline.plans.ordered import with_blocks
-from ladderline.session import stage
+from ladderline.session import shared_dir, stage
 from workload.base import cents, query, table
 
 QUARTER = ("1997-04-01 00:00:00", "1997-06-30 23:59:59")
@@ -204,3 +206,44 @@ def append_count(spark, sf_dir):
     existing = stage(orders.filter("o_orderstatus <> 'P'"), "target")
     loaded = stage(planned, "loaded")
     return append_counts(planned, loaded, existing.unionByName(loaded))
+
+
+@query("""
+WITH o AS (
+    SELECT o_orderkey, o_custkey, o_orderstatus, CAST(round(o_totalprice * 100) AS BIGINT) AS price,
+        CASE WHEN o_custkey >= 50 THEN o_orderdate::TIMESTAMP END AS o_orderdate
+    FROM orders
+), d AS (
+    SELECT *, coalesce(o_orderdate BETWEEN '1997-04-01' AND '1997-06-30 23:59:59', false) AS quarter,
+        coalesce(o_orderdate BETWEEN '1997-05-15' AND '1997-05-31 23:59:59', false) AS fortnight,
+        coalesce(o_orderdate BETWEEN '1997-04-01' AND '1997-05-20 23:59:59', false) AS corrected,
+        coalesce(o_orderdate BETWEEN '1996-02-01' AND '1996-02-03 23:59:59', false) AS emptied FROM o
+)
+SELECT o_orderkey, o_orderstatus, price, o_orderdate, 'base' AS origin FROM d WHERE NOT quarter AND NOT emptied
+UNION ALL SELECT o_orderkey, o_orderstatus, price + 100, o_orderdate, 'quarter' FROM d
+    WHERE quarter AND o_orderstatus <> 'P' AND NOT fortnight AND NOT corrected
+UNION ALL SELECT o_orderkey, o_orderstatus, price + 200, o_orderdate, 'fortnight' FROM d WHERE fortnight AND o_orderstatus = 'O' AND NOT corrected
+UNION ALL SELECT o_orderkey, o_orderstatus, price + 300, o_orderdate, 'corrected' FROM d WHERE corrected AND o_custkey % 2 = 0
+""")
+def period_table_reload(spark, sf_dir):
+    """A filled table with undated rows, loaded again: overlapping periods, days that become empty, loads that are repeated,
+    and a file that came in once more with another content. Every load is one commit."""
+    old = _orders_with_gaps(spark, sf_dir).join(table(spark, sf_dir, "orders", "o_orderkey", "o_custkey"), "o_orderkey")
+    old = stage(old, "orders")
+    run = f"reload_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {run} LOCATION '{shared_dir(spark)}/{run}'")
+    target = PeriodTable(spark, f"{run}.orders", "o_orderdate", "month")
+    columns = ("o_orderkey", "o_orderstatus", "price", "o_orderdate")
+    rows = lambda df, more, origin: df.withColumn("price", F.col("price") + more).select(*columns, F.lit(origin).alias("origin"))
+    target.load(rows(old, 0, "base"), load_id="base")
+    within = lambda a, b: F.col("o_orderdate").between(_moment(a), _moment(b))
+    fortnight, corrected, emptied = ("1997-05-15 00:00:00", "1997-05-31 23:59:59"), ("1997-04-01 00:00:00", "1997-05-20 23:59:59"), ("1996-02-01 00:00:00", "1996-02-03 23:59:59")
+    first = rows(old.filter(within(*QUARTER) & (F.col("o_orderstatus") != "P")), 100, "quarter").withColumn(SEQ, F.lit(1))
+    second = rows(old.filter(within(*fortnight) & (F.col("o_orderstatus") == "O")), 200, "fortnight").withColumn(SEQ, F.lit(2))
+    periods = [(i, *map(_moment, p), name) for i, p, name in ((1, QUARTER, "a"), (2, fortnight, "b"), (3, emptied, "c"))]
+    loads = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(i).alias("seq"), a.alias("start"), b.alias("end"), F.lit(n).alias("load_id")) for i, a, b, n in periods])))
+    for _ in range(2):  # the second time all of them are known
+        target.load_many(first.unionByName(second), loads.select("seq", "start", "end"), loads.select("seq", "load_id"))
+    target.load(rows(old.filter(within(*corrected) & (F.col("o_custkey") % 2 == 0)), 300, "corrected"), *corrected, load_id="a, changed")
+    target.vacuum()
+    return target.read()
