@@ -11,9 +11,11 @@ from ladderline.functions.text import one_space, strip
 
 # How a header spells its period. The three patterns are tried in this order.
 _MOMENT = r"(\d{2}\.\d{2}\.\d{4}(?:\s+\d{1,2}:\d{2}:\d{2})?)"
-PERIOD_RANGE = rf"Параметры:[\s\S]*?:\s*{_MOMENT}\s*-\s*{_MOMENT}"
+PARAMETERS = "Параметры:"
+RANGE = rf":\s*{_MOMENT}\s*-\s*{_MOMENT}"
+PERIOD_RANGE = rf"{PARAMETERS}[\s\S]*?{RANGE}"
 PERIOD_TWO_LINES = rf":\s*{_MOMENT}\s*\n*.*:\s*{_MOMENT}"
-PERIOD_START = rf"Параметры:.*?{_MOMENT}"
+PERIOD_START = rf"{PARAMETERS}.*?{_MOMENT}"
 # Unicode classes, Unicode case folding, and `.` stopping at \n only.
 _FLAGS = "(?diuU)"
 
@@ -39,6 +41,17 @@ def extract_period(header: Column) -> Column:
     )
 
 
+def found_at(text: Column, pattern: str) -> Column:
+    """Where the first match begins, from 1; 0 if there is none."""
+    return F.regexp_instr(text, F.lit(_FLAGS + pattern))
+
+
+def found_parts(text: Column, pattern: str, groups: int) -> Column:
+    """The moments of the first match as ``(start_raw, end_raw)``; the end is NULL with one group."""
+    part = lambda i: strip(F.nullif(F.regexp_extract(text, _FLAGS + pattern, i), F.lit("")))
+    return F.struct(part(1).alias("start_raw"), (part(2) if groups == 2 else F.lit(None).cast("string")).alias("end_raw"))
+
+
 _ISO_MOMENT = r"(?U)^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?:\s+[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})?$"
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +10,7 @@ from ladderline.functions.casts import cast_to_target
 from ladderline.functions.identifiers import truncate_bytes
 from ladderline.functions.text import named, quote_name
 from ladderline.operators.contracts import SERVICE_COLUMNS
-from ladderline.plans.ordered import Running, running
+from ladderline.plans.ordered import block_offsets
 
 
 # PostgreSQL's names, and common aliases, of types that are stored alike.
@@ -126,7 +126,9 @@ def sync_comments(spark: SparkSession, table: str, table_comment: str | None, wa
 def with_surrogate_id(rows: DataFrame, order: str, block: str = "block", start: int | Column = 0, name: str = "id") -> DataFrame:
     """K3: a dense key that continues after ``start`` in ``(block, order)`` order.
 
-    Counting inside blocks plus the counts of earlier blocks, so no task sees more than a block."""
-    numbered = running(rows, [], order, {name: Running("sum", F.lit(1))}, block)
+    Counting inside blocks plus the counts of earlier blocks, which are prefix sums over a tree of ranges of blocks, so no
+    task sees more than a block or a range. ``rows`` is read twice; stage it when what lies behind it is expensive."""
+    before = block_offsets(rows.groupBy(block).agg(F.count(F.lit(1)).alias("n")), block)
+    within = F.row_number().over(Window.partitionBy(block).orderBy(order))
     offset = F.lit(start) if isinstance(start, int) else start
-    return numbered.withColumn(name, (F.col(name) + offset).cast("bigint"))
+    return rows.join(before, block).withColumn(name, (within + F.col("before") + offset).cast("bigint")).select(*rows.columns, name)

@@ -7,6 +7,8 @@ lines of the blocks at the table's head collects them. No file is gathered whole
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from ladderline.functions.text import fit_width, leading_filled, strip, unquote
 from ladderline.session import stage
 
 HEAD_LINES = 4
+BOUND_STEP = 16
 
 
 def table_starts(rows: DataFrame) -> DataFrame:
@@ -34,29 +37,43 @@ def first_openings(blocks: DataFrame) -> DataFrame:
     )
 
 
-def _head_rows(rows: DataFrame, blocks: DataFrame, longest: int) -> DataFrame:
-    """The first ``longest`` table lines of every file, numbered from 0 in ``at``."""
+def _limits(blocks: DataFrame) -> DataFrame:
+    """``(path, limit, bound)``: how many of a file's first table lines can matter, and the power of ``BOUND_STEP`` above.
+
+    A grouped header has at most one line per dimension column and one detail line, so the file's widest line limits it."""
+    limit = F.greatest(F.max("used") + 2, F.lit(HEAD_LINES)).cast("int")
+    powers = [F.lit(BOUND_STEP**k) for k in range(1, 9)]
+    limits = blocks.groupBy("path").agg(limit.alias("limit"))
+    bound = F.filter(F.array(*powers), lambda p: p >= F.col("limit"))
+    return limits.withColumn("bound", F.coalesce(F.get(bound, F.lit(0)), F.lit(2**31 - 1)))
+
+
+def _head_rows(rows: DataFrame, blocks: DataFrame, limits: DataFrame) -> DataFrame:
+    """The first ``limit`` table lines of every file, numbered from 0 in ``at``.
+
+    Files are taken by the bound of their limit, a number in the plan, so that each map task hands on no more lines of a
+    file than its bound: a very wide file does not make narrow ones gather more of theirs."""
     over = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum(F.when(F.col("block") > F.col("start_block"), F.col("kept"))).over(over), F.lit(0))
-    head_blocks = (
-        blocks.join(first_openings(blocks), "path")
-        .filter(F.col("block") >= F.col("start_block"))
-        .withColumn("before", before)
-        .filter(F.col("before") < longest)
-        .select("path", "block", "start_block", "start_line")
-    )
+    placed = blocks.join(first_openings(blocks), "path").filter(F.col("block") >= F.col("start_block")).withColumn("before", before)
+    head_blocks = placed.join(limits, "path").filter(F.col("before") < F.col("limit")).select("path", "block", "start_block", "start_line", "limit", "bound")
+    head_blocks = stage(head_blocks, "head-blocks")
     in_block = Window.partitionBy("path", "block").orderBy("line_no")
     in_file = Window.partitionBy("path").orderBy("block", "line_no")
-    return (
-        rows.filter("kept")
-        .join(head_blocks, ["path", "block"])
-        .filter((F.col("block") > F.col("start_block")) | (F.col("line_no") >= F.col("start_line")))
-        .select("path", "block", "line_no", "cells", "used", "format")
-        .withColumn("at", F.row_number().over(in_block))
-        .filter(F.col("at") <= longest)
-        .withColumn("at", F.row_number().over(in_file) - 1)
-        .filter(F.col("at") < longest)
-    )
+    parts = []
+    for bound in sorted(r["bound"] for r in head_blocks.select("bound").distinct().collect()) or [HEAD_LINES]:  # nine at most
+        first = (
+            rows.filter("kept")
+            .join(head_blocks.filter(F.col("bound") == bound), ["path", "block"])
+            .filter((F.col("block") > F.col("start_block")) | (F.col("line_no") >= F.col("start_line")))
+            .select("path", "block", "line_no", "cells", "used", "format", "limit")
+            .withColumn("at", F.row_number().over(in_block))
+            .filter(F.col("at") <= bound)
+            .filter(F.col("at") <= F.col("limit"))
+            .withColumn("at", F.row_number().over(in_file) - 1)
+        )
+        parts.append(first.filter(F.col("at") < bound).filter(F.col("at") < F.col("limit")).drop("limit"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def detect_layout(rows: DataFrame, merges: DataFrame | None = None) -> DataFrame:
@@ -70,23 +87,20 @@ def detect_layout(rows: DataFrame, merges: DataFrame | None = None) -> DataFrame
     start_line)`` is the first table line and ``(head_block, head_line)`` the last header line. ``merges`` (``path, r1, c1, r2, c2``) lets sheets state their header height.
     """
     blocks = stage(table_starts(rows), "blocks")
-    # A grouped header has at most one line per dimension column and one detail line, so the widest line
-    # bounds how many lines can matter. One number comes to the driver.
-    widest = blocks.agg(F.max("used")).first()[0] or 0
-    longest = max(widest + 2, HEAD_LINES)
-    heads = _head_rows(rows, blocks, longest)
+    limits = _limits(blocks)
+    heads = _head_rows(rows, blocks, limits)
     head = F.array_sort(F.collect_list(F.struct("at", "block", "line_no", "cells", "used")))
     files = blocks.groupBy("path").agg(
         F.max("format").alias("format"), F.count("opens_at").alias("openings")
     )
-    layouts = _find_measures(files.join(heads.groupBy("path").agg(head.alias("head")), "path", "left"))
+    layouts = _find_measures(files.join(heads.groupBy("path").agg(head.alias("head")), "path", "left").join(limits, "path", "left"))
     if merges is None:
         layouts = layouts.withColumn("merge_height", F.lit(None).cast("int"))
     else:
         first_row = F.get("head", F.lit(0))["line_no"].alias("table_row")
         tables = layouts.select("path", first_row, "measure_start", "width")
         layouts = layouts.join(header_heights(tables, merges), "path", "left")
-    described = _describe(layouts, longest)
+    described = _describe(layouts)
     placed = blocks.select("path", "block").join(first_openings(blocks), "path", "left")
     return stage(placed.join(described, "path"), "layout")
 
@@ -127,7 +141,7 @@ def _find_measures(layouts: DataFrame) -> DataFrame:
     return d.withColumn("measure_start", found)
 
 
-def _describe(layouts: DataFrame, longest: int) -> DataFrame:
+def _describe(layouts: DataFrame) -> DataFrame:
     """The staircase rules as array expressions over the head lines of a file."""
     is_text = F.col("format") == "txt"
     head = F.col("head")
@@ -162,8 +176,8 @@ def _describe(layouts: DataFrame, longest: int) -> DataFrame:
         F.sequence(F.lit(0), F.size("spans") - 1),
         lambda i: F.get(F.col("spans"), i) > F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("spans"), i - 1)),
     )
-    # When every one of ``longest`` lines still is header, it is higher than a staircase can be.
-    complete = (F.col("height") < F.size("grid")) | (F.size("grid") < longest)
+    # When every one of ``limit`` lines still is header, it is higher than a staircase can be.
+    complete = (F.col("height") < F.size("grid")) | (F.size("grid") < F.col("limit"))
     grouped = F.coalesce(
         F.col("measures_named")
         & complete

@@ -5,40 +5,101 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ladderline.functions.periods import complete_end, extract_period, has_time, missing_bounds, parse_moment
+from ladderline.functions.periods import (
+    PARAMETERS, PERIOD_START, PERIOD_TWO_LINES, RANGE, complete_end, extract_period, found_at, found_parts, has_time,
+    missing_bounds, parse_moment,
+)
 from ladderline.functions.text import is_filled
 from ladderline.operators.layout import first_openings, table_starts
+from ladderline.plans.ordered import Running, running
+from ladderline.session import stage
 
 
-def header_texts(rows: DataFrame, layout: DataFrame | None = None) -> DataFrame:
-    """``(path, header)``: the lines before the table, in order, one text per file that has a table.
+CHUNK_LINES, LINES_OF_A_MATCH = 512, 6
+"""Title lines that are searched together, and the most that a match can take: a colon, two dates with their times and a
+dash may each stand on a line of their own."""
+
 
-    Blank lines are left out: the period patterns treat them as whitespace. What is gathered is a report's
-    title block, not its rows. Rows meet their file's table start by ``(path, block)`` and only in the
+def title_lines(rows: DataFrame, layout: DataFrame | None = None) -> DataFrame:
+    """``(path, block, line_no, line)``: the filled lines before the table, of files that have a table; and in
+    ``files (path)`` those files. Rows meet their file's table start by ``(path, block)`` and only in the
     blocks up to it, so a large file costs no more than a small one. A known ``layout`` saves finding the
     starts."""
-    if layout is not None:
-        blocks = layout.filter(F.col("start_block").isNotNull()).select("path", "block", "start_block", "start_line")
-    else:
-        found = table_starts(rows)
-        blocks = found.select("path", "block").join(first_openings(found), "path")
+    blocks = _title_blocks(rows, layout)
     before = (F.col("block") < F.col("start_block")) | (
         (F.col("block") == F.col("start_block")) & (F.col("line_no") < F.col("start_line"))
     )
     lines = rows.select("path", "block", "line_no", "line").filter(is_filled(F.col("line")))
-    title = lines.join(blocks.filter("block <= start_block"), ["path", "block"]).filter(before)
+    return lines.join(blocks.filter("block <= start_block"), ["path", "block"]).filter(before).drop("start_block", "start_line")
+
+
+def _title_blocks(rows: DataFrame, layout: DataFrame | None) -> DataFrame:
+    if layout is not None:
+        return layout.filter(F.col("start_block").isNotNull()).select("path", "block", "start_block", "start_line")
+    found = table_starts(rows)
+    return found.select("path", "block").join(first_openings(found), "path")
+
+
+def header_texts(rows: DataFrame, layout: DataFrame | None = None) -> DataFrame:
+    """``(path, header)``: the lines before the table, in order, one text per file that has a table.
+
+    Blank lines are left out: the period patterns treat them as whitespace. This gathers the title block of a file;
+    ``header_periods`` does not."""
     ordered = F.array_sort(F.collect_list(F.struct("block", "line_no", "line")))
+    title = title_lines(rows, layout)
     gathered = title.groupBy("path").agg(F.array_join(F.transform(ordered, lambda r: r["line"]), "\n").alias("header"))
-    files = blocks.filter("block = start_block").select("path")
+    files = _title_blocks(rows, layout).filter("block = start_block").select("path")
     return files.join(gathered, "path", "left").select("path", F.coalesce("header", F.lit("")).alias("header"))
 
 
+def header_periods(rows: DataFrame, layout: DataFrame | None = None) -> DataFrame:
+    """``(path, start_raw, end_raw, pattern)``: what ``extract_period`` finds in a file's title, however long it is.
+
+    Title lines are numbered block by block and searched in chunks, each with the first lines of the next one, as a match
+    takes few lines. A chunk says which patterns begin in its own lines. Whether a range counts hangs on one thing before
+    it, the first line that names the parameters, which is the only state that goes from chunk to chunk; then the first
+    chunk with a match of the first pattern that has one gives the period."""
+    title = stage(title_lines(rows, layout), "title")
+    numbered = running(title, ["path"], "line_no", {"rank": Running("sum", F.lit(1))})
+    at = F.col("rank") - 1
+    chunk = F.floor(at / CHUNK_LINES).cast("bigint")
+    reaches = (at >= CHUNK_LINES) & (at % CHUNK_LINES < LINES_OF_A_MATCH)
+    chunks = F.when(reaches, F.array(chunk, chunk - 1)).otherwise(F.array(chunk))
+    dealt = numbered.select("path", "rank", "line", chunk.alias("own"), F.explode(chunks).alias("chunk"))
+    text = lambda lines: F.array_join(F.transform(F.array_sort(lines), lambda r: r["line"]), "\n")
+    entry = F.struct("rank", "line")
+    gathered = dealt.groupBy("path", "chunk").agg(
+        F.collect_list(entry).alias("all"), F.collect_list(F.when(F.col("own") == F.col("chunk"), entry)).alias("mine")
+    )
+    texts = gathered.select("path", "chunk", text("all").alias("text"), F.length(text("mine")).alias("size"))
+    texts = stage(texts.withColumn("parameters", found_at(F.col("text"), PARAMETERS)), "title-chunks")
+    named = texts.filter(F.col("parameters").between(1, F.col("size"))).groupBy("path").agg(F.min("chunk").alias("first"))
+    begun = texts.join(named, "path", "left")
+    # in the chunk that names the parameters the search for a range begins behind the name
+    skip = F.when(F.col("chunk") == F.col("first"), F.col("parameters") + len(PARAMETERS) - 1).otherwise(0)
+    behind = F.substring("text", F.col("skip") + 1, F.length("text"))
+    rest = begun.withColumn("skip", skip).filter(F.col("chunk") >= F.col("first"))
+    rest = rest.select("path", "chunk", behind.alias("text"), (F.col("size") - F.col("skip")).alias("size"))
+
+    def first_of(source: DataFrame, pattern: str, groups: int, number: int) -> DataFrame:
+        hits = source.filter(found_at(F.col("text"), pattern).between(1, F.col("size")))
+        return hits.select("path", F.struct(F.lit(number).alias("pattern"), "chunk", found_parts(F.col("text"), pattern, groups).alias("found")).alias("hit"))
+
+    hits = first_of(rest, RANGE, 2, 1).unionByName(first_of(texts, PERIOD_TWO_LINES, 2, 2)).unionByName(first_of(texts, PERIOD_START, 1, 3))
+    best = hits.groupBy("path").agg(F.min("hit").alias("hit"))
+    files = _title_blocks(rows, layout).filter("block = start_block").select("path")
+    return files.join(best, "path", "left").select("path", "hit.found.start_raw", "hit.found.end_raw", "hit.pattern")
+
+
 def report_periods(headers: DataFrame, event_time: Column) -> DataFrame:
-    """``(..., start_raw, end_raw, pattern, start, start_has_time, end, missing)`` from header texts.
+    """``(..., start_raw, end_raw, pattern, start, start_has_time, end, missing)`` from header texts, or from what
+    ``header_periods`` found.
 
     ``event_time`` is the contract's event column: it decides whether a missing end is completed and
     whether a missing start is an error (``missing`` is then not empty)."""
-    found = headers.withColumn("found", extract_period(F.col("header"))).select("*", "found.*").drop("found")
+    found = headers
+    if "header" in headers.columns:
+        found = headers.withColumn("found", extract_period(F.col("header"))).select("*", "found.*").drop("found")
     parsed = found.select(
         "*",
         parse_moment(F.col("start_raw")).alias("start"),

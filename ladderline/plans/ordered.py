@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ladderline.session import stage
+
 ROWS_PER_BLOCK = 1 << 16
 
 
@@ -40,6 +42,25 @@ def with_blocks(lines: DataFrame, rows_per_block: int = ROWS_PER_BLOCK, position
     return lines.withColumn("block", F.expr(f"`{position}` div {rows_per_block}"))
 
 
+def block_offsets(counts: DataFrame, block: str, value: str = "n") -> DataFrame:
+    """``(block, before)``: the sum of ``value`` over all earlier blocks of one long sequence.
+
+    A tree of two levels: blocks are dealt to ranges of blocks, as many as Spark shuffles to, and summed up within their
+    range; the ranges' own sums, one row each, are added up on the driver. So no task sees more than a range, and the
+    counts may be many."""
+    spark = counts.sparkSession
+    ranges = stage(counts.repartitionByRange(block).withColumn("__range", F.spark_partition_id()), "ranges")
+    sums = sorted(map(tuple, ranges.groupBy("__range").agg(F.sum(value)).collect()))
+    starts, total = [], 0
+    for number, size in sums:
+        starts.append((number, total))
+        total += size
+    above = spark.createDataFrame(starts, "`__range` int, `__above` bigint")
+    earlier = Window.partitionBy("__range").orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    within = ranges.withColumn("__within", F.coalesce(F.sum(value).over(earlier), F.lit(0)))
+    return within.join(F.broadcast(above), "__range").select(block, (F.col("__within") + F.col("__above")).alias("before"))
+
+
 def running(
     rows: DataFrame,
     sequence: list[str],

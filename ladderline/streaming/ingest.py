@@ -20,7 +20,7 @@ from ladderline.operators.flatten import flatten_tagged, tagged_counts, to_cells
 from ladderline.operators.inference import generate_contracts
 from ladderline.operators.layout import detect_layout, layouts_by_file
 from ladderline.operators.loading import SEQ, PeriodTable, audits
-from ladderline.operators.periods import header_texts, report_periods
+from ladderline.operators.periods import header_periods, report_periods
 from ladderline.operators.quality import lost_cells
 from ladderline.session import stage
 from ladderline.sources.sheets import parse_sheets, read_sheet_files, sheet_rows
@@ -194,7 +194,7 @@ class Ingest:
         event_times = self.spark.createDataFrame(
             [(c.report, c.event_time) for c in self.contracts.values()], "report string, event_time string"
         )
-        headers = header_texts(rows, layout).join(todo.select("path", "report"), "path").join(event_times, "report", "left")
+        headers = header_periods(rows, layout).join(todo.select("path", "report"), "path").join(event_times, "report", "left")
         periods = report_periods(headers, F.col("event_time")).select("path", "start", "end", "missing")
         files = (
             todo.select("path", "report")

@@ -13,10 +13,12 @@ from ladderline.operators.contracts import Contract, ContractColumn, IndexSpec,
 from ladderline.operators.evolution import changed_comments, database_type, evolve, sync_comments, with_surrogate_id
 from ladderline.operators.flatten import flatten
 from ladderline.operators.inference import collect_contracts, generate_contracts, infer_types, wide_to_cells
+from ladderline.operators import layout, periods
 from ladderline.operators.layout import detect_layout
 from ladderline.operators.loading import PeriodTable, audits, key_layout, surviving_rows
 from ladderline.operators.quality import classify_errors, reject
 from ladderline.plans.ordered import Running, running, with_blocks
+from ladderline.session import stage
 from ladderline.sources.text_reports import as_rows, read_text_lines, split_lines
 from ladderline.streaming import arrivals
 from ladderline.streaming.arrivals import accepted_starts, guard_stream, guarded_starts, new_versions, recent_changes
@@ -410,3 +412,56 @@ def test_large_file_is_split(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert got == [(f"{d:02d}.01.2024", f"item {d} {i}", f"c{i}", str(i)) for d in range(40) for i in range(50)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ids_without_one_task(spark):
+    """Dense ids over many blocks of all sizes, and no window that gathers all blocks in one task."""
+    rnd = random.Random(3)
+    rows = [(b, n) for b in rnd.sample(range(10_000), 700) for n in rnd.sample(range(50), rnd.choice([1, 1, 7, 30]))]
+    df = spark.createDataFrame(rows, "block int, n int").repartition(5)
+    placed = with_surrogate_id(df, "n", "block", start=100)
+    assert "SinglePartition" not in plan_of(placed)
+    assert [r.id for r in sorted(placed.collect(), key=lambda r: (r.block, r.n))] == list(range(101, 101 + len(rows)))
+    assert with_surrogate_id(df.where("false"), "n").isEmpty()
+
+
+def test_heads_are_gathered_per_file(spark):
+    """A very wide file next to narrow ones: each gathers the lines its own width allows, under its own bound in the plan."""
+    narrow = "\n".join(["a\tb\tc", *[f"{i}\tx\ty" for i in range(300)]])
+    wide = "\n".join(["\t".join(f"c{i}" for i in range(1000)), *["\t".join(str(i) for i in range(1000))] * 5])
+    files = [("n1", narrow), ("n2", narrow), ("w", wide)]
+    rows = as_rows(split_lines(spark.createDataFrame(files, "path string, text string")))
+    blocks = layout.table_starts(rows)
+    limits = layout._limits(blocks)
+    assert {(r["path"], r["limit"], r["bound"]) for r in limits.collect()} == {("n1", 5, 16), ("n2", 5, 16), ("w", 1002, 4096)}
+    heads = layout._head_rows(rows, blocks, limits)
+    assert {(r["path"], r["count"]) for r in heads.groupBy("path").count().collect()} == {("n1", 5), ("n2", 5), ("w", 6)}
+    assert "WindowGroupLimit" in plan_of(heads)
+    found = {(r["path"], r["kind"], len(r["names"])) for r in layout.layouts_by_file(detect_layout(rows)).collect()}
+    assert found == {("n1", "flat", 3), ("n2", "flat", 3), ("w", "flat", 1000)}
+
+
+@pytest.mark.parametrize("lines", [7, 8, 64])
+def test_periods_of_long_titles(spark, monkeypatch, lines):
+    """Chunks of any size find what one search over the whole title finds, wherever names, dates and line ends fall."""
+    monkeypatch.setattr(periods, "CHUNK_LINES", lines)
+    rnd = random.Random(lines)
+    day = lambda: f"{rnd.randint(10, 28)}.0{rnd.randint(1, 9)}.2024" + rnd.choice(["", " 0:00:00", "\n10:00:00", " "])
+    pieces = [
+        lambda: "Параметры:", lambda: "Заметка", lambda: "ПАРАМЕТРЫ:\tНа дату: " + day(), lambda: f"Период: {day()} - {day()}", lambda: f"Период:\n{day()}\n-\n\n{day()}",
+        lambda: f"Начало: {day()}\nКонец: {day()}", lambda: "Дата " + day(), lambda: "Отбор:", lambda: day(), lambda: "",
+    ]
+    texts = []
+    for n in range(160):
+        chosen = rnd.choices(pieces, weights=[rnd.choice([0, 1, 3]) for _ in pieces[:-1]] + [1], k=rnd.choice([0, 1, 3, 12, 60, 150]))
+        texts.append((f"f{n}", "\n".join([*["Заметка"] * rnd.choice([0, 5, 40]), *[p() for p in chosen], "a\tb\tc", "1\t2\t3"])))
+    rows = as_rows(split_lines(spark.createDataFrame(texts, "path string, text string").repartition(4), rows_per_block=rnd.choice([5, 50])))
+    rows = stage(rows, "title-rows")
+    columns = ("path", "start_raw", "end_raw", "pattern")
+    whole = {tuple(r) for r in periods.report_periods(periods.header_texts(rows), F.lit("day")).select(*columns).collect()}
+    found = {tuple(r) for r in periods.report_periods(periods.header_periods(rows), F.lit("day")).select(*columns).collect()}
+    assert found == whole and len({r[3] for r in whole}) == 4

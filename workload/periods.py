@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladderline.functions.periods import missing_bounds
-from ladderline.operators.periods import header_texts, report_periods
+from ladderline.operators.periods import header_periods, header_texts, report_periods
+from ladderline.plans.ordered import with_blocks
 from ladderline.sources.text_reports import as_rows
 from workload.base import query, table
 
@@ -88,3 +89,37 @@ def period_missing(spark, sf_dir):
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.array_join(missing_bounds(event_time, start, end), ",").alias("missing"),
     )
+
+
+@query("""
+WITH l AS (
+    SELECT l_returnflag AS path, l_orderkey * 8 + l_linenumber AS k, l_orderkey % 89 = 7 AND l_linenumber = 1 AS dated,
+        l_orderkey % 97 = 5 AS named, min(l_shipdate) AS day FROM lineitem GROUP BY ALL
+), p AS (SELECT path, min(k) AS first FROM l WHERE path <> 'A' AND named AND NOT dated GROUP BY path),
+d AS (SELECT l.path, arg_min(day, k) AS day FROM l LEFT JOIN p USING (path) WHERE dated AND (l.path = 'A' OR k > first) GROUP BY l.path)
+SELECT f.path, strftime(day, '%d.%m.%Y') AS start_raw, strftime(day + INTERVAL 30 DAY, '%d.%m.%Y') AS end_raw,
+    CASE WHEN day IS NOT NULL THEN CASE WHEN f.path = 'A' THEN 2 ELSE 1 END END::INTEGER AS pattern
+FROM (SELECT DISTINCT path FROM l) f LEFT JOIN d USING (path)
+""")
+def period_long_preamble(spark, sf_dir):
+    """The period of reports whose titles have as many lines as there are line items, many of them with dates."""
+    items = table(spark, sf_dir, "lineitem", "l_returnflag", "l_orderkey", "l_linenumber", "l_shipdate")
+    dated = (F.col("l_orderkey") % 89 == 7) & (F.col("l_linenumber") == 1)
+    keyed = items.groupBy(
+        F.col("l_returnflag").alias("path"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line_no"),
+        dated.alias("dated"), (F.col("l_orderkey") % 97 == 5).alias("named"),
+    ).agg(F.min("l_shipdate").alias("day"))
+    first, last = F.date_format("day", "dd.MM.yyyy"), F.date_format(F.date_add("day", 30), "dd.MM.yyyy")
+    two_names = F.concat(F.lit("Начало: "), first, F.lit(" Конец: "), last)
+    line = (
+        F.when(F.col("dated") & (F.col("path") == "A"), two_names)
+        .when(F.col("dated"), F.concat(F.lit("Период: "), first, F.lit(" - "), last))
+        .when(F.col("named") & (F.col("path") != "A"), F.lit("Параметры:"))
+        .otherwise(F.concat(F.lit("Заметка "), F.col("line_no").cast("string")))
+    )
+    title = keyed.select("path", F.col("line_no").cast("bigint").alias("line_no"), line.alias("line"))
+    behind = title.groupBy("path").agg(F.max("line_no").alias("last"))
+    head = behind.select("path", (F.col("last") + 1).alias("line_no"), F.lit("a\tb\tc").alias("line"))
+    body = behind.select("path", (F.col("last") + 2).alias("line_no"), F.lit("1\t2\t3").alias("line"))
+    rows = as_rows(with_blocks(title.unionByName(head).unionByName(body)))
+    return header_periods(rows).select("path", "start_raw", "end_raw", "pattern")
