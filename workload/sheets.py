@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ladderline.functions.casts import to_int
+from ladderline.functions.casts import to_float, to_int
 from ladderline.operators.flatten import flatten_columns
 from ladderline.operators.layout import detect_layout, header_heights
 from ladderline.operators.periods import header_texts, report_periods
 from ladderline.operators.quality import reconcile
+from ladderline.session import stage
 from ladderline.sources.sheets import Sheets, densify, parse_sheets, sheet_rows
 from ladderline.sources.text_reports import as_rows, split_lines
 from workload.base import query, table
@@ -198,3 +199,58 @@ def reconcile_exports(spark, sf_dir):
     text_rows = as_rows(split_lines(texts))
     from_text = flatten_columns(text_rows, detect_layout(text_rows), ["part", "size"], ("path",))
     return reconcile(from_sheet, from_text)
+
+
+def _grouped_sheet_files(spark, sf_dir) -> DataFrame:
+    """Parts under brand and under type with size class, as sheets whose header is three rows high.
+
+    Only the merged areas over the measures say so: the first group rows have no measure, so by its lines the header
+    would go on. A file is bounded to ``SHEET_ROWS`` parts."""
+    number = F.expr(f"p_partkey div {SHEET_ROWS}").cast("string")
+    parts = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size").select(
+        "*", F.concat(F.lit("groups "), number, F.lit(".mxl")).alias("path"), F.when(F.col("p_size") > 25, "big").otherwise("small").alias("class")
+    )
+    empty = F.lit("")
+    note = F.when(F.col("p_size") % 3 == 0, "").otherwise(F.concat(F.lit("n"), F.col("p_size").cast("string")))
+    key = lambda *cols: F.array(*[F.col(c).cast("string") if isinstance(c, str) else c for c in cols])
+    brands = parts.select("path", "p_brand").distinct().select("path", key("p_brand").alias("key"), F.array("p_brand", empty, empty, empty, empty).alias("cells"))
+    types = parts.groupBy("path", "p_brand", "p_type", "class").agg(F.sum("p_size").cast("string").alias("size")).select(
+        "path", key("p_brand", "p_type", "class").alias("key"), F.array("p_type", "class", empty, "size", empty).alias("cells")
+    )
+    number_text = F.lpad(F.col("p_partkey").cast("string"), 12, "0")
+    price = F.concat(F.col("p_partkey").cast("string"), F.lit(",5"))
+    details = parts.select(
+        "path", key("p_brand", "p_type", "class", number_text).alias("key"),
+        F.array(F.col("p_partkey").cast("string"), note, F.col("p_name"), F.col("p_size").cast("string"), price).alias("cells"),
+    )
+    order = Window.partitionBy("path").orderBy("key")
+    numbered = brands.unionByName(types).unionByName(details).withColumn("row", (F.row_number().over(order) + 4).cast("bigint"))
+    body = numbered.select("path", "row", _row([F.get("cells", F.lit(i)) for i in range(5)], F.col("row")).alias("text"))
+    head_rows = [
+        ["Отчёт"], ["Параметры:", "Период: 01.03.2024 - 31.03.2024"], ["brand", "", "", "size", "price"],
+        ["type", "class", "", "", ""], ["part", "note", "name", "", ""],
+    ]
+    entries = [F.struct(F.lit(r).cast("bigint").alias("row"), _row([F.lit(c) for c in cells], F.lit(r)).alias("text")) for r, cells in enumerate(head_rows)]
+    head = parts.select("path").distinct().select("path", F.inline(F.array(*entries)))
+    lines = F.array_sort(F.collect_list(F.struct("row", "text")))
+    joined = head.unionByName(body).groupBy("path").agg(F.array_join(F.transform(lines, lambda x: x["text"]), ",\r\n").alias("rows"))
+    text = F.concat(F.lit("{8,1,12,"), F.col("rows"), F.lit(",{2,{3,2,3,4,0},{4,2,4,4,0}},5}"))
+    spread = joined.repartition(joined.sparkSession.sparkContext.defaultParallelism, "path")
+    return spread.select("path", F.concat(F.unhex(F.lit(SIGNATURE)), F.encode(text, "UTF-8")).alias("content"))
+
+
+@query(f"""
+SELECT 'groups ' || CAST(p_partkey // {SHEET_ROWS} AS VARCHAR) || '.mxl' AS path, p_brand AS brand, p_type AS type,
+    CASE WHEN p_size > 25 THEN 'big' ELSE 'small' END AS class, CAST(p_partkey AS BIGINT) AS part,
+    CASE WHEN p_size % 3 <> 0 THEN 'n' || CAST(p_size AS VARCHAR) END AS note, p_name AS name, CAST(p_size AS BIGINT) AS size,
+    p_partkey + 0.5::DOUBLE AS price
+FROM part
+""")
+def sheet_grouped(spark, sf_dir):
+    """Grouped sheets flattened to typed rows; merged areas give the height of their header."""
+    sheets = parse_sheets(_grouped_sheet_files(spark, sf_dir))
+    rows = stage(sheet_rows(sheets.cells), "sheet-rows")
+    names = ["brand", "type", "class", "part", "note", "name", "size", "price"]
+    wide = flatten_columns(rows, detect_layout(rows, sheets.merges), names, ("path",))
+    typed = {"part": to_int, "size": to_int, "price": to_float}
+    return wide.select("path", *[typed.get(n, lambda c: c)(F.col(n)).alias(n) for n in names])
