@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -36,6 +37,7 @@ OUTCOME_SCHEMA = (
 CELLS_SCHEMA = "path string, mtime timestamp, block bigint, line_no bigint, column_name string, expected string, received string"
 FILES_PER_BATCH = 10_000
 """Files whose paths are handed to the readers at once; the others wait for the next batch of the same run."""
+TABLES_AT_ONCE = 4
 
 
 @dataclass
@@ -57,7 +59,8 @@ class Ingest:
     ``<log_table>_outcome``, with one row per file that was read: which described columns it has, lacks and has beyond the
     contract, how many rows were details, subtotals, skipped, cut and padded, how many cells were unreadable, and the
     whole error; and ``<log_table>_cells`` with the unreadable cells. All of it is taken from the rows that one pass over
-    the files leaves behind. A batch holds at most ``files_per_batch`` files.
+    the files leaves behind. A batch holds at most ``files_per_batch`` files, and up to ``tables_at_once`` tables are loaded
+    side by side; the loads of one table follow each other, and logs are written in the order of the contracts.
     ``database`` overrides the contracts' schema names; ``report_of`` says which report a path belongs to
     (by default its base name)."""
 
@@ -72,6 +75,7 @@ class Ingest:
         report_of: Callable[[Column], Column] = report_name,
         partition_unit: str = "day",
         files_per_batch: int = FILES_PER_BATCH,
+        tables_at_once: int = TABLES_AT_ONCE,
     ):
         self.spark = spark
         self.contracts = {c.report: c for c in contracts}
@@ -82,6 +86,7 @@ class Ingest:
         self.report_of = report_of
         self.partition_unit = partition_unit
         self.files_per_batch = files_per_batch
+        self.tables_at_once = tables_at_once
 
     # ---- entry points
 
@@ -138,16 +143,14 @@ class Ingest:
         problems = stage(self._problems(layout, per_file, rejects, rows, todo), "files")
         proposals = self._proposals(flat, todo)
         violations, logs, outcomes, cells = {}, [], [], []
+        reports = {r["report"] for r in todo.select("report").distinct().collect()}  # reports of one batch
+        due = [c for c in self.contracts.values() if c.use and c.report in reports]
         # A contract's files are logged as soon as they are loaded, and a contract that fails takes only its own files along.
-        for contract in self.contracts.values():
-            if not contract.use:
-                continue
+        for contract, loaded in self._side_by_side(due, lambda c: self._load(c, flat, layout, problems, todo)):
             own = todo.filter(F.col("report") == contract.report)
-            if own.isEmpty():
-                continue
             lost, error = None, None
             try:
-                found, lost = self._load(contract, flat, layout, problems, todo)
+                found, lost = loaded()
                 if found:
                     violations[contract.table_name] = found
             except (PySparkException, ValueError) as failure:
@@ -169,6 +172,27 @@ class Ingest:
         every = reduce(DataFrame.unionByName, outcomes)
         return IngestRun(reduce(DataFrame.unionByName, logs), proposals, violations, every, reduce(DataFrame.unionByName, cells) if cells else None)
 
+    def _side_by_side(self, contracts: list[Contract], load: Callable[[Contract], object]) -> Iterator[tuple[Contract, Callable]]:
+        """Contracts, in their order, with what gives the result of their load or raises its error. Spark runs the jobs of
+        several tables at once; contracts of one table are loaded one after another."""
+        tables: dict[str, list[Contract]] = {}
+        for contract in contracts:
+            tables.setdefault(self._table_name(contract), []).append(contract)
+        done = {c.report: Future() for c in contracts}
+
+        def run(mine: list[Contract]) -> None:
+            for contract in mine:
+                try:
+                    done[contract.report].set_result(load(contract))
+                except BaseException as failure:  # noqa: BLE001, raised again by whoever takes the result
+                    done[contract.report].set_exception(failure)
+
+        with ThreadPoolExecutor(max(1, self.tables_at_once)) as pool:
+            for mine in tables.values():
+                pool.submit(run, mine)
+            for contract in contracts:
+                yield contract, done[contract.report].result
+
     # ---- steps
 
     def _rows(self, paths: list[str]) -> tuple[DataFrame, DataFrame | None, DataFrame]:

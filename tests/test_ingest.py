@@ -285,3 +285,23 @@ def test_load_is_not_repeated_after_a_crash(spark, tmp_path, database, monkeypat
     assert rows_of(spark, f"{database}.sales", ["item"]) == [("Y",), ("Y",), ("Z",), ("Z",)]
     assert len({r["id"] for r in spark.table(f"{database}.sales").collect()}) == 4
     assert spark.table(f"{database}.log").count() == 2
+
+
+@pytest.mark.parametrize("at_once", [1, 3])
+def test_tables_side_by_side(spark, tmp_path, database, at_once):
+    """Several tables of a run, one of them fed by two contracts and one that fails, give the same however many at once."""
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    own = {"a": "ta", "b": "tb", "c": "shared", "d": "shared", "e": "te"}
+    for n, name in enumerate(own):
+        put(inbox / f"{name}.txt", report("01.03.2024 - 03.03.2024", [("01.03.2024", f"{name}1", "1"), (f"0{n % 3 + 1}.03.2024", f"{name}2", "2")]), 300 - n)
+    contracts = [Contract.from_toml(name, CONTRACT.replace('"sales"', f'"{table}"')) for name, table in own.items()]
+    contracts[4] = Contract.from_toml("e", CONTRACT.replace('alias = "item"', 'alias = "day"'))
+    ingest = Ingest(spark, contracts, f"{database}.log", database, tables_at_once=at_once)
+    run = ingest.run_directory(str(inbox))
+    assert [r["report"] for r in run.log.collect()] == list(own)
+    assert rows_of(spark, f"{database}.ta", ["item"]) == [("a1",), ("a2",)] and rows_of(spark, f"{database}.tb", ["item"]) == [("b1",), ("b2",)]
+    # both contracts of the shared table cover the same days, and the later one wins
+    assert rows_of(spark, f"{database}.shared", ["item"]) == [("d1",), ("d2",)]
+    errors = {r["report"]: r["error"] for r in spark.table(f"{database}.log").collect()}
+    assert "two columns to one name" in errors["e"] and [errors[k] for k in "abcd"] == [None] * 4

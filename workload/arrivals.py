@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import replace
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladderline.operators.contracts import Contract, ContractColumn
@@ -302,3 +304,26 @@ def stream_changed_files(spark, sf_dir):
     _put_in_place(spark, f"{root}/new", files)
     until_all_are_loaded(changed_files(spark, f"{root}/files", settle=0.0), ingest.run_files, f"{root}/progress")
     return spark.table(f"{database}.loaded_orders").select(*[c.output for c in ORDER_CONTRACT.columns])
+
+
+@query("""
+SELECT 'prio_' || left(o_orderpriority, 1) AS table_name, o_orderstatus AS status, o_orderpriority AS order_priority, o_orderkey AS order_key,
+    CAST(o_orderdate AS DATE) AS order_day, CAST(round(o_totalprice * 100) AS BIGINT) / 100.0::DOUBLE AS total
+FROM orders
+""")
+def ingest_many_tables(spark, sf_dir):
+    """A tick with five reports, each loaded into a table of its own, side by side."""
+    orders = table(spark, sf_dir, "orders", *ORDER_COLUMNS)
+    run = uuid.uuid4().hex
+    root = f"{shared_dir(spark)}/many-{run}"
+    database = f"many_{run}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/tables'")
+    numbers = "12345"
+    for number in numbers:
+        _report_files(_yearly(orders.filter(F.startswith("o_orderpriority", F.lit(number)))), f"{root}/files/report=prio_{number}")
+    by_folder = lambda path: F.regexp_extract(path, "report=([^/]+)/", 1)
+    contracts = [replace(ORDER_CONTRACT, report=f"prio_{n}", table_name=f"prio_{n}") for n in numbers]
+    Ingest(spark, contracts, f"{database}.load_log", database, with_ids=False, report_of=by_folder, partition_unit="year").run_directory(f"{root}/files")
+    columns = [c.output for c in ORDER_CONTRACT.columns]
+    parts = [spark.table(f"{database}.prio_{n}").select(F.lit(f"prio_{n}").alias("table_name"), *columns) for n in numbers]
+    return reduce(DataFrame.unionByName, parts)
