@@ -25,27 +25,31 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the least id; of repeated rows, one.
 
-    Near copies have a similarity of 0.8 or more over the sets of their shingles of five words."""
+    Near copies have a similarity of 0.8 or more over the sets of their shingles of five words. A null id counts as larger
+    than any; documents without a word are linked with nothing and stay."""
     return neardup.deduplicated(docs, size=5, percent=80)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words in windows that occur elsewhere go. A text that loses some is its kept words joined by spaces, its
     ``n_chars`` counted anew; others stay as they are. A document that loses all words stays, with an empty text."""
-    cut = substrings.without_repeats(docs)
-    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("bigint")}
-    return cut.select(*[F.when(F.col("n_removed") > 0, new[c]).otherwise(F.col("row")[c]).alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns])
+    cut = substrings.without_repeats(docs, unchanged=True)
+    length = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("bigint"))
+    new = {"text": F.col("kept_text"), "n_chars": F.coalesce(length, F.col("row")["n_chars"])}
+    return cut.select(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it, from none to twice."""
+    """Each document as many times as the mix takes it, from none to twice; one without words adds nothing to the mix."""
     taken = mixing.mixed(docs).select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
     return taken.select("row.*")
 
 
 def bpe_codes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with the text decoded from their token ids, ``n_tokens`` and ``ids``."""
-    coded = bpe.encoded(docs)
+    """The documents with the text decoded from their token ids, ``n_tokens`` and ``ids``; a null text becomes empty.
+
+    Columns of these two names give way."""
+    coded = bpe.recoded(docs)
     columns = [F.col("decoded").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in ("n_tokens", "ids")]
     return coded.select(*columns, F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
