@@ -224,7 +224,8 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _codes(path: str, with_ids: bool):
+def _codes(path: str, with_ids: bool, with_text: bool = False):
+    @kernel.freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = bpe(path)
         for piece in kernel.pieces(batches, "text"):
@@ -238,7 +239,8 @@ def _codes(path: str, with_ids: bool):
             coder.learn(chain.from_iterable(x for c in cuts for x in c if not isinstance(x, int)))
             rows = [code(coder, coder.encode(c, True)) if r is None else r for r, c in zip(rows, cuts, strict=True)]
             columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([piece.column("row"), *columns], names=["row", *names])
+            same = ["row", "text"] if with_text else ["row"]
+            yield pa.RecordBatch.from_arrays([*map(piece.column, same), *columns], names=[*same, *names])
 
     return run
 
@@ -266,10 +268,23 @@ def _code(coder: Bpe, parts: Iterable[list[int]]) -> tuple[int, str, str]:
 
 
 def encoded(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
-    """Every row of ``docs`` as ``row`` with its ``ids`` and the text ``decoded`` from them."""
-    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+    """Every row of ``docs`` as ``row`` with its ``ids`` and the text ``decoded`` from them.
+
+    A null text counts as empty, which has no ids; rows are coded alone."""
+    coded = _encoded(docs, text_col, path, True)
+    return coded.select(kernel.with_text(docs, text_col, "row", "text").alias("row"), "ids", "decoded")
+
+
+def recoded(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
+    """The same with ``row`` without its text, for those who go on with the decoded one."""
+    return _encoded(docs, text_col, path, False)
+
+
+def _encoded(docs: DataFrame, text_col: str, path: str | None, with_text: bool) -> DataFrame:
+    rows = docs.select(kernel.others(docs, text_col).alias("row"), F.col(text_col).alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(_codes(path or default_vocabulary(), True), f"row {kind}, ids array<int>, decoded string")
+    text = "text string, " if with_text else ""
+    return rows.mapInArrow(_codes(path or default_vocabulary(), True, with_text), f"row {kind}, {text}ids array<int>, decoded string")
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:

@@ -8,7 +8,8 @@ those with the longest common prefixes. Regions that are still larger at full de
 round of links, every set of such a region outside the region's largest component is held against all sets of it with
 another label, and linked if their full sets say so.
 Candidates with too few equal minima are left out and the others confirmed on the full sets, so no false link is
-returned.
+returned. The same holds for regions that the cut of the order into parts may have divided: the first and last
+region of every part is marked for this step, so the result does not hang on where the cuts are.
 
 Two sets that share all minima of a tree are candidates or held against each other, however crowded their regions are.
 So a pair at the threshold that no other set links is missed by all trees with probability at most ``MISS``: at 0.85
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from ladderline.llm import kernel
 from ladderline.llm.bitmaps import flagged_in, maybe_in
 from ladderline.llm.components import components
+from ladderline.llm.hot import joined
 from ladderline.session import stage
 
 WIDTH, SHALLOW, CROWD = 8, 5, 5
@@ -46,8 +48,8 @@ VALUES = 256
 SLACK = 5.5
 """Candidates whose share of equal minima is this many standard deviations below the threshold are dropped: of pairs at
 0.8 or 0.85 fewer than one in a million."""
-CELL = 512
-"""Sets of a crowded region that are held against each other in one task."""
+CELL, CELL_BYTES = 512, 1 << 24
+"""Sets of a crowded region that are held against each other in one task, or fewer where their texts have more bytes."""
 
 _rng = np.random.Generator(np.random.PCG64(1))
 _A = _rng.integers(0, 1 << 32, VALUES, dtype=np.uint32) | np.uint32(1)
@@ -78,6 +80,7 @@ def _signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def _sketch(size: int, text: str):
+    @kernel.freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
         for piece in kernel.pieces(batches, text):
@@ -88,9 +91,8 @@ def _sketch(size: int, text: str):
                 count.append(len(shingles))
                 node.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
                 sig.append(_signature(shingles).tobytes() if len(shingles) else None)
-            held = piece.drop_columns([text])
-            columns = [*held.columns, rid, pa.array(count, pa.int64()), pa.array(node, pa.binary()), pa.array(sig, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*held.schema.names, "rid", "n_shingles", "node", "sig"])
+            columns = [*piece.columns, rid, pa.array(count, pa.int64()), pa.array(node, pa.binary()), pa.array(sig, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*piece.schema.names, "rid", "n_shingles", "node", "sig"])
 
     return run
 
@@ -138,9 +140,10 @@ def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return run, np.bincount(run)[run]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], shallow: int) -> Iterator[pa.RecordBatch]:
-    """Sorted rows in blocks of whole shallow regions; of one beyond ``BLOCK`` rows in blocks that share a row."""
-    held = None
+def _blocks(batches: Iterator[pa.RecordBatch], shallow: int) -> Iterator[tuple[pa.RecordBatch, bool, bool]]:
+    """Sorted rows in blocks of whole shallow regions; of one beyond ``BLOCK`` rows in blocks that share a row. With each
+    block, whether a region may go on before it and after it: at the ends of the part, and where a region was cut."""
+    held, cut = None, True
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -148,13 +151,14 @@ def _blocks(batches: Iterator[pa.RecordBatch], shallow: int) -> Iterator[pa.Reco
         run = _runs(*_keys(rows, shallow))[0]
         first = int(np.searchsorted(run, run[-1]))
         if first:
-            yield rows.slice(0, first)
+            yield rows.slice(0, first), cut, False
+            cut = False
         held = rows.slice(first)
         if held.num_rows > BLOCK:
-            yield held
-            held = held.slice(held.num_rows - 1)
+            yield held, cut, True
+            held, cut = held.slice(held.num_rows - 1), True
     if held is not None:
-        yield held
+        yield held, cut, True
 
 
 def _keys(rows: pa.RecordBatch, depth: int) -> tuple[np.ndarray, ...]:
@@ -165,11 +169,12 @@ def _keys(rows: pa.RecordBatch, depth: int) -> tuple[np.ndarray, ...]:
 
 def _neighbour_pairs(depth: int, crowd: int):
     """Candidates of each region: all pairs at the least depth where it has at most ``crowd`` rows, and before that the
-    rows next to each other. A row in a larger region of full depth also gives a pair with itself, as a mark."""
+    rows next to each other. A row in a larger region of full depth, or in one that may go on in another part or block, also
+    gives a pair with itself, as a mark."""
     shallow = min(SHALLOW, depth)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _blocks(batches, shallow):
+        for rows, before, after in _blocks(batches, shallow):
             n = rows.num_rows
             crowded = np.ones(n, dtype=bool)
             left, right = [], []
@@ -185,7 +190,8 @@ def _neighbour_pairs(depth: int, crowd: int):
                     at = np.flatnonzero(crowded[1:] & (of[1:] == of[:-1])) + 1
                     left.append(at - 1)
                     right.append(at)
-            at = np.flatnonzero(crowded)
+            marked = crowded | (before & (of == of[0])) | (after & (of == of[-1]))
+            at = np.flatnonzero(marked)
             left.append(at)
             right.append(at)
             one, two = pa.array(np.concatenate(left)), pa.array(np.concatenate(right))
@@ -214,6 +220,7 @@ def _alike(percent: int):
 
 
 def _confirmed(size: int, percent: int):
+    @kernel.freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in kernel.pieces(batches, "text_a", kernel.SLICE):
             sets = zip(shingle_sets(piece.column("text_a"), size), shingle_sets(piece.column("text_b"), size), strict=True)
@@ -235,25 +242,27 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row of ``docs`` for each component, with all columns. Only rows that may go are shuffled with their texts."""
     sketches = _sketched(docs, id_col, text_col, size)
     gone = stage(_grouped(sketches, size, percent).where("not kept").select("rid"), "gone")
-    marked = flagged_in(sketches.select("row", "rid"), gone, "rid", "rid")
-    stays = marked.where("flagged").join(gone, "rid", "left_anti").select("row")
-    return marked.where("not flagged").select("row").unionByName(stays).select("row.*")
+    marked = flagged_in(sketches.select("row", "text", "rid"), gone, "rid", "rid")
+    stays = marked.where("flagged").join(gone, "rid", "left_anti").select("row", "text")
+    whole = kernel.with_text(docs, text_col, "row", "text").alias("row")
+    return marked.where("not flagged").select("row", "text").unionByName(stays).select(whole).select("row.*")
 
 
 def _sketched(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """The rows with ``rid``, a number of their own, ``n_shingles``, ``node`` (the set's name) and ``sig``, as a table."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), text.alias("text"))
+    """The rows, ``row`` without the ``text`` beside it, with ``rid``, a number of their own, ``n_shingles``, ``node`` (the set's name) and ``sig``, as a table."""
+    rows = docs.select(kernel.others(docs, text_col).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     row_type, id_type = (rows.schema[c].dataType.simpleString() for c in ("row", "id"))
-    sketches = rows.mapInArrow(_sketch(size, "text"), f"row {row_type}, id {id_type}, rid bigint, n_shingles bigint, node binary, sig binary")
-    return stage(sketches, "sketches").withColumn("text", F.coalesce(F.col("row")[text_col], F.lit("")))
+    sketches = rows.mapInArrow(_sketch(size, "text"), f"row {row_type}, id {id_type}, text string, rid bigint, n_shingles bigint, node binary, sig binary")
+    return stage(sketches, "sketches")
 
 
 def _grouped(sketches: DataFrame, size: int, percent: int) -> DataFrame:
     labels = _labels(sketches, size, percent)
-    labelled = sketches.select("rid", "id", "n_shingles", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = labelled.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rid")).alias("least"))
-    out = labelled.join(least, "label", "left")
+    copies = sketches.where("node is not null").groupBy("node").agg(F.count("*").alias("rows"))
+    named = stage(maybe_in(copies, labels, "node").join(labels, "node"), "labelled")
+    labelled = joined(sketches.select("rid", "id", "n_shingles", "node"), named, "node", "rows").withColumn("label", F.coalesce("label", "node"))
+    least = labelled.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rid")).alias("least"), F.count("*").alias("rows"))
+    out = joined(labelled, stage(least, "least"), "label", "rows")
     alone = F.col("label").isNull()
     component = F.when(alone, F.col("id")).otherwise(F.col("least.id"))
     return out.select("rid", "id", "n_shingles", component.alias("component_id"), (alone | (F.col("rid") == F.col("least.rid"))).alias("kept"))
@@ -286,12 +295,16 @@ def _rest(forest: DataFrame, crowded: DataFrame, labels: DataFrame, sets: DataFr
     rows = regions.join(maybe_in(labels, regions.select("node"), "node"), "node", "left").select(*key, "node", F.coalesce("label", "node").alias("label"))
     rows = stage(rows, "regions")
     sizes = rows.groupBy(*key, "label").agg(F.count("*").alias("n"))
-    most = sizes.groupBy(*key).agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("labels"))
-    facts = most.where("labels > 1").select(*key, F.col("most.label").alias("main"), F.ceil(F.col("n") / CELL).alias("across"), F.ceil((F.col("n") - F.col("most.n")) / CELL).alias("down"))
-    open_rows = stage(rows.join(facts, key), "open")
+    most = sizes.groupBy(*key).agg(F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("labels"))
+    main = most.where("labels > 1").select(*key, F.col("most.label").alias("main"))
+    open_rows = stage(rows.join(main, key), "open")
     nodes = open_rows.select("node").distinct()
-    known = stage(maybe_in(sets, nodes, "node").join(_texts(sketches, nodes), "node"), "open-sets")
-    open_rows = open_rows.join(known, "node")
+    known = stage(maybe_in(sets, nodes, "node").join(_texts(sketches, nodes), "node").withColumn("bytes", F.octet_length("text")), "open-sets")
+    weight = F.greatest(F.lit(1.0 / CELL), F.col("bytes") / CELL_BYTES)
+    cells = open_rows.join(known.select("node", "bytes"), "node").groupBy(*key).agg(
+        F.ceil(F.sum(weight)).alias("across"), F.ceil(F.sum(F.when(F.col("label") != F.col("main"), weight))).alias("down")
+    )
+    open_rows = open_rows.join(cells, key).join(known.drop("bytes"), "node")
     salt = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
     columns = ["node", "label", "sig", "text"]
     held = open_rows.select(*key, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("down") - 1)).alias("d"), salt("across").alias("c"), *columns, F.lit(False).alias("asks"))

@@ -13,7 +13,7 @@ map-side combining, at most one row per piece of text and hash; texts are never
 that the last level takes out.
 
 Defined cases: a null text has no words; texts of fewer than ``size`` words keep all. Repeated rows repeat all their
-windows. Windows are compared by 64-bit hashes. Further columns are carried in the struct ``row``.
+windows. Windows are compared by 64-bit hashes. Further columns are carried in the struct ``row`` and can't clash.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -87,6 +88,7 @@ def _levels(held: list[tuple[int, Broadcast]]) -> list[tuple[int, np.ndarray]]:
 
 
 def _count_parts(size: int, length: int, held: list):
+    @kernel.freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = _levels(held)
         for batch in kernel.pieces(batches, "text"):
@@ -101,6 +103,7 @@ def _count_parts(size: int, length: int, held: list):
 
 
 def _count_whole(size: int, held: list):
+    @kernel.freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = _levels(held)
         for batch in kernel.pieces(batches, "text"):
@@ -115,7 +118,8 @@ def _count_whole(size: int, held: list):
     return run
 
 
-def _cut(size: int, held: list):
+def _cut(size: int, held: list, unchanged: bool):
+    @kernel.freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = _levels(held)
         for batch in kernel.pieces(batches, "text"):
@@ -143,7 +147,10 @@ def _cut(size: int, held: list):
             cut = np.concatenate(([0], ends))[kept].tolist()
             text = out.tobytes()
             texts = pa.array([text[a : max(a, b - 1)] for a, b in zip(cut, cut[1:], strict=False)], pa.binary()).cast(pa.string())
-            columns = [batch.column("row"), pa.array(words.counts), pa.array(words.counts - np.diff(kept)), texts]
+            removed = pa.array(words.counts - np.diff(kept))
+            if unchanged:
+                texts = pc.if_else(pc.equal(removed, 0), batch.column("text"), texts)
+            columns = [batch.column("row"), pa.array(words.counts), removed, texts]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "n_words", "n_removed", "kept_text"])
 
     return run
@@ -159,11 +166,13 @@ def _bitmap(hashes: DataFrame) -> np.ndarray:
     return out
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
-    """Every row of ``docs`` as ``row`` with ``n_words``, ``n_removed`` and ``kept_text``, the kept words joined by spaces."""
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, unchanged: bool = False) -> DataFrame:
+    """Every row of ``docs``, without its text, as ``row`` with ``n_words``, ``n_removed`` and ``kept_text``.
+
+    That is the kept words joined by spaces, or with ``unchanged`` the text itself, null included, where all words are kept."""
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.struct("*").alias("row"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("rid"))
+    rows = docs.select(kernel.others(docs, text_col).alias("row"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), text).alias("rid"))
     held: list[tuple[int, Broadcast]] = []
     for length in lengths_to(size):
         parts = rows.select("text").mapInArrow(_count_parts(size, length, list(held)), "h bigint, n int")
@@ -178,4 +187,4 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     free = marked.where("not flagged").select("row", "text", none.alias("alone"))
     bound = marked.where("flagged").join(alone, F.col("rid") == F.col("of"), "left").select("row", "text", F.coalesce("alone", none).alias("alone"))
     kind = rows.schema["row"].dataType.simpleString()
-    return free.unionByName(bound).mapInArrow(_cut(size, held), f"row {kind}, n_words bigint, n_removed bigint, kept_text string")
+    return free.unionByName(bound).mapInArrow(_cut(size, held, unchanged), f"row {kind}, n_words bigint, n_removed bigint, kept_text string")
