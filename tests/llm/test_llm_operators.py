@@ -406,7 +406,8 @@ def plain_rules(rows):
         chars, symbols, repeats = sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines))
         base = len(w) < 20 or 100 * len(again) > 30 * len(w)
         letters = sum(any(c.isalpha() for c in x) for x in w)
-        bad = 10 * symbols > chars or not 2 * len(w) <= chars <= 20 * len(w) or 2 * repeats > len(lines) or 10 * letters < 6 * len(w) or 100 * len(set(w)) < 3 * len(w)
+        distinct = sum(len(set(w[k : k + 5000])) for k in range(0, len(w), 5000))
+        bad = 10 * symbols > chars or not 2 * len(w) <= chars <= 20 * len(w) or 2 * repeats > len(lines) or 10 * letters < 6 * len(w) or 100 * distinct < 3 * len(w)
         yield i, len(w), chars, symbols, repeats, len(again), base, not (base or bad)
 
 
