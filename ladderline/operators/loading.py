@@ -117,6 +117,13 @@ def key_layout(df: DataFrame, indexes: tuple[IndexSpec, ...], partitions: int |
     return spread.sortWithinPartitions(*keys)
 
 
+def key_ranges(written: DataFrame, key: str) -> DataFrame:
+    """``(file, least, greatest, rows)``: what each file of a written layout holds of a key. A read of one key opens the
+    files whose range has it, by the statistics that Parquet keeps of every row group."""
+    file = F.col("_metadata.file_path").alias("file")
+    return written.select(file, named(key).alias("key")).groupBy("file").agg(F.min("key").alias("least"), F.max("key").alias("greatest"), F.count(F.lit(1)).alias("rows"))
+
+
 # ---- a table that is replaced period by period -------------------------------------------------------
 
 EVENT_DATE, SEQ, LOAD = "__event_date", "__seq", "__load"

@@ -15,7 +15,7 @@ from ladderline.operators.flatten import flatten
 from ladderline.operators.inference import collect_contracts, generate_contracts, infer_types, wide_to_cells
 from ladderline.operators import layout, periods
 from ladderline.operators.layout import detect_layout
-from ladderline.operators.loading import PeriodTable, audits, key_layout, surviving_rows
+from ladderline.operators.loading import PeriodTable, audits, key_layout, key_ranges, surviving_rows
 from ladderline.operators.quality import classify_errors, reject
 from ladderline.plans.ordered import Running, running, with_blocks
 from ladderline.session import stage
@@ -465,3 +465,25 @@ def test_periods_of_long_titles(spark, monkeypatch, lines):
     whole = {tuple(r) for r in periods.report_periods(periods.header_texts(rows), F.lit("day")).select(*columns).collect()}
     found = {tuple(r) for r in periods.report_periods(periods.header_periods(rows), F.lit("day")).select(*columns).collect()}
     assert found == whole and len({r[3] for r in whole}) == 4
+
+
+def test_key_layout_skips_row_groups(spark, tmp_path):
+    """A read of one key opens few row groups of a clustered table, and all of an unordered one."""
+    rnd = random.Random(8)
+    rows = spark.createDataFrame([(rnd.randrange(5000), n) for n in range(40_000)], "k int, n int")
+    indexes = (IndexSpec("by_k", ("k",), True),)
+
+    def scanned(df, path):
+        df.write.option("parquet.block.size", 4096).option("parquet.page.size", 1024).parquet(path)
+        found = spark.read.parquet(path).filter("k = 77")
+        assert found.count() == len([1 for r in rows.filter("k = 77").collect()])
+        plan = found.select("n")._jdf.queryExecution().executedPlan()
+        plan.executeCollect()
+        leaves = plan.collectLeaves()
+        return leaves.apply(0).metrics().apply("numOutputRows").value()
+
+    loose = scanned(rows.repartition(4), str(tmp_path / "loose"))
+    tight = scanned(key_layout(rows, indexes, 4), str(tmp_path / "tight"))
+    assert loose > 20 * tight > 0
+    ranges = sorted((r.least, r.greatest, r.rows) for r in key_ranges(spark.read.parquet(str(tmp_path / "tight")), "k").collect())
+    assert sum(r[2] for r in ranges) == 40_000 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:], strict=False))

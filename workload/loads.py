@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ladderline.operators.evolution import evolve, resolve_names, schema_diff, with_surrogate_id
-from ladderline.operators.loading import SEQ, PeriodTable, append_counts, period_counts, replace_period, surviving_rows, unique_violations
+from ladderline.operators.contracts import IndexSpec
+from ladderline.operators.loading import SEQ, PeriodTable, append_counts, key_layout as clustered, key_ranges, period_counts, replace_period, surviving_rows, unique_violations
 from ladderline.plans.ordered import with_blocks
 from ladderline.session import shared_dir, stage
 from workload.base import cents, query, table
@@ -247,3 +248,15 @@ def period_table_reload(spark, sf_dir):
     target.load(rows(old.filter(within(*corrected) & (F.col("o_custkey") % 2 == 0)), 300, "corrected"), *corrected, load_id="a, changed")
     target.vacuum()
     return target.read()
+
+
+@query("SELECT count(*) AS rows, count(DISTINCT o_custkey) AS keys, min(o_custkey) AS least, max(o_custkey) AS greatest, 0::BIGINT AS shared FROM orders")
+def key_layout(spark, sf_dir):
+    """Orders written in key order: no two files share a customer, so a read of one opens one file."""
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice")
+    written = stage(clustered(orders, (IndexSpec("by_customer", ("o_custkey",), True),), 16), "by-customer")
+    in_order = Window.partitionBy(F.lit(0)).orderBy("least", "greatest")  # one row per file
+    ranges = key_ranges(written, "o_custkey").withColumn("before", F.max("greatest").over(in_order.rowsBetween(Window.unboundedPreceding, -1)))
+    keys = written.select("o_custkey").distinct().agg(F.count(F.lit(1))).first()[0]
+    shared = F.count_if(F.col("before") >= F.col("least")).alias("shared")
+    return ranges.agg(F.sum("rows").alias("rows"), F.lit(keys).cast("bigint").alias("keys"), F.min("least").alias("least"), F.max("greatest").alias("greatest"), shared)
