@@ -354,7 +354,7 @@ def _linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
 
 def _texts(sketches: DataFrame, nodes: DataFrame) -> DataFrame:
     """A text for each of some distinct nodes."""
-    return maybe_in(sketches, nodes, "node").join(nodes, "node").groupBy("node").agg(F.min("text").alias("text"))
+    return maybe_in(sketches, nodes, "node").groupBy("node").agg(F.min("text").alias("text")).join(nodes, "node")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, sketches: DataFrame, size: int, percent: int) -> DataFrame:
