@@ -273,7 +273,9 @@ class PeriodTable:
         """Remove the folders that are in no version any more, ``at_once`` a statement; the number of them."""
         facts = self.properties()
         current = self.state(facts[VERSION]).filter("kind = 'part'").select(F.col("event_date").alias("d"), F.col("load").alias("l"))
-        folders = self.spark.table(facts[PARTS]).select(EVENT_DATE, LOAD).distinct()
+        # the catalog's own list of folders; no file is opened for it
+        part = lambda name: F.regexp_extract("partition", f"{name}=([^/]*)", 1)
+        folders = self.spark.sql(f"SHOW PARTITIONS {facts[PARTS]}").select(part(EVENT_DATE).try_cast("date").alias(EVENT_DATE), part(LOAD).alias(LOAD))
         unused = folders.join(current, F.col(EVENT_DATE).eqNullSafe(F.col("d")) & (F.col(LOAD) == F.col("l")), "left_anti")
         removed, batch = 0, []
         for row in unused.toLocalIterator():
