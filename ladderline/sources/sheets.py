@@ -4,7 +4,8 @@ A sheet file is a header, then nested lists in braces. Items of the root list ar
 other lists: an integer after a cell is the next cell's column, or, when no cell follows, the number of
 the row that ends there. Every sequential fact (nesting depth, item number, neighbours, the row a cell
 belongs to) is a running value over blocks of tokens, so a large sheet is spread over the cluster once its
-bytes are read.
+bytes are read. Sheets too large for one value are read line by line: a running count of quotes tells which
+lines begin inside a cell's text, and runs of whole lines become pieces that are tokenised side by side.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from ladderline.functions.text import is_filled, last_filled, starts_total
 from ladderline.plans.ordered import ROWS_PER_BLOCK, Running, running
 from ladderline.session import stage
-from ladderline.sources.text_reports import SHEET_SUFFIX
+from ladderline.sources.text_reports import SHEET_SUFFIX, decoded_path
 
 # Fixed values of the sheet format.
 SIGNATURE_HEX = "4D4F5843454C"  # MOXCEL
@@ -28,6 +29,13 @@ TEXT_MARK = '"#"'
 LOOK_AHEAD = 6
 INTEGER = r"^[+-]?[0-9]+$"
 
+LOOK_BACK = 4
+LINES_PER_PIECE = 1 << 12
+BLOCKS_PER_PIECE = 1 << 20
+HEAD_BYTES = 32
+ONE_VALUE = 1 << 26
+"""Sheet files up to so many bytes are read as one value each by ``read_sheets``, larger ones by lines."""
+
 
 @dataclass(frozen=True)
 class Sheets:
@@ -38,23 +46,74 @@ class Sheets:
     rejects: DataFrame
 
 
-def read_sheet_files(spark: SparkSession, directory: str | list[str]) -> DataFrame:
-    """``(path, mtime, content)`` of all ``.mxl`` files below ``directory``. One file is one value (at most
-    2 GB, Spark's limit for a value)."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(directory)
-        .select("path", F.col("modificationTime").alias("mtime"), "content")
-        .filter(F.rlike("path", F.lit(SHEET_SUFFIX)))
+def read_sheet_files(spark: SparkSession, directory: str | list[str], up_to: int | None = None) -> DataFrame:
+    """``(path, mtime, content)`` of all ``.mxl`` files below ``directory``, or of those of at most ``up_to`` bytes.
+    One file is one value (at most 2 GB, Spark's limit for a value)."""
+    files = _sheet_listing(spark, directory)
+    chosen = files if up_to is None else files.filter(F.col("length") <= up_to)
+    return chosen.select("path", F.col("modificationTime").alias("mtime"), "content")
+
+
+def read_sheet_lines(spark: SparkSession, directory: str | list[str], above: int | None = None) -> DataFrame:
+    """``(path, mtime, block, line_no, line)`` of all ``.mxl`` files below ``directory``, or of those of more than
+    ``above`` bytes. The scan splits large files; lines end at ``\\n`` alone and keep all other bytes. Order and blocks are
+    those of ``read_text_lines``. An empty file has no lines."""
+    scan = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(directory)
+    if above is not None:
+        scan = scan.filter(F.col("_metadata.file_size") > above)
+    return scan.select(
+        decoded_path(F.col("_metadata.file_path")).alias("path"),
+        F.col("_metadata.file_modification_time").alias("mtime"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line_no"),
+        F.col("value").alias("line"),
+    ).filter(F.rlike("path", F.lit(SHEET_SUFFIX)))
+
+
+def read_sheets(spark: SparkSession, directory: str | list[str], one_value: int = ONE_VALUE) -> Sheets:
+    """All sheets below ``directory``. How a file is read follows from its size; what is found in it does not."""
+    sheets = parse_sheets(read_sheet_files(spark, directory, up_to=one_value))
+    if _sheet_listing(spark, directory).filter(F.col("length") > one_value).select("path").isEmpty():
+        return sheets
+    large = parse_sheet_lines(read_sheet_lines(spark, directory, above=one_value))
+    return Sheets(
+        sheets.cells.unionByName(large.cells),
+        sheets.merges.unionByName(large.merges),
+        sheets.rejects.unionByName(large.rejects),
     )
 
 
+def _sheet_listing(spark: SparkSession, directory: str | list[str]) -> DataFrame:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
+    return files.filter(F.rlike("path", F.lit(SHEET_SUFFIX)))
+
+
 def parse_sheets(files: DataFrame) -> Sheets:
     """Parse sheet files ``(path, content)``. Files that break the format become rejects."""
-    checked = files.select("path", "content", _file_problem(F.col("content")).alias("reason"))
+    text = F.col("content").cast("string")
+    problem = _file_problem(
+        F.substring("content", F.lit(1), F.lit(HEAD_BYTES)), F.instr(text, "{") > 0, F.is_valid_utf8(_body(text))
+    )
+    checked = files.select("path", "content", problem.alias("reason"))
     bad_files = checked.filter(F.col("reason").isNotNull()).select("path", "reason")
-    tokens = stage(_structure(checked.filter(F.col("reason").isNull())), "tokens")
+    tokens = checked.filter(F.col("reason").isNull()).select("path", _tokens(_body(text)).alias("t"))
+    whole = tokens.select(
+        "path", "t", F.lit(0).cast("bigint").alias("piece"), F.lit(0).cast("bigint").alias("start"),
+        F.lit(0).alias("before"), F.size("t").alias("n"), F.lit(True).alias("ends"),
+    )
+    return _parse(whole, bad_files)
+
+
+def parse_sheet_lines(lines: DataFrame) -> Sheets:
+    """Parse sheet files that come as lines ``(path, block, line_no, line)``, cut at ``\\n`` only: the same result as that
+    of ``parse_sheets``, with no value larger than ``LINES_PER_PIECE`` lines or the longest text of a cell."""
+    lines = stage(lines.select("path", "block", "line_no", "line"), "sheet-lines")
+    body, bad_files = _sheet_body(lines)
+    return _parse(_pieces(body), bad_files)
+
+
+def _parse(pieces: DataFrame, bad_files: DataFrame) -> Sheets:
+    tokens = stage(_structure(pieces), "tokens")
     bad_nesting = _nesting_problems(tokens)
     numbered = stage(_with_items(tokens.join(bad_nesting, "path", "left_anti")), "items")
     cells, bad_grids = _place_cells(stage(_grid_items(numbered), "grid"))
@@ -63,14 +122,13 @@ def parse_sheets(files: DataFrame) -> Sheets:
     return Sheets(sound, _merged_areas(numbered).join(bad_grids, "path", "left_anti"), rejects)
 
 
-def _file_problem(content: Column) -> Column:
-    start = F.hex(F.substring(content, F.lit(1), F.lit(32)))
-    text = content.cast("string")
+def _file_problem(head: Column, has_content: Column, valid: Column) -> Column:
+    start = F.hex(head)
     has_bom = (F.substring(start, F.lit(25), F.lit(6)) == BOM_HEX) | F.rlike(start, F.lit(f"^(..)*{BOM_HEX}7B"))
     return (
         F.when(~F.startswith(start, F.lit(SIGNATURE_HEX)), "not a sheet: signature missing")
-        .when(F.instr(text, "{") == 0, "no content")
-        .when(~F.is_valid_utf8(_body(text)), "unsupported encoding")
+        .when(~has_content, "no content")
+        .when(~valid, "unsupported encoding")
         .when(~has_bom, "unsupported variant: no byte order mark after the header")
     )
 
@@ -79,37 +137,123 @@ def _body(text: Column) -> Column:
     return F.substring(text, F.instr(text, "{"), F.length(text))
 
 
-def _structure(files: DataFrame) -> DataFrame:
+def _tokens(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+
+
+def _sheet_body(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lines of sound files from the first brace on, ``(path, block, line_no, text, before, total)``, and the other
+    files. ``before`` counts the quotes ahead of a line, ``total`` those of the file."""
+    at = F.struct("block", "line_no")
+    opened = lines.filter(F.contains("line", F.lit("{"))).groupBy("path").agg(F.min(at).alias("opened"))
+    # Facts of a file reach its lines by block, so that a file with a large share of all lines is not one join task.
+    found = lines.select("path", "block").distinct().join(opened, "path")
+    text = F.when(at == F.col("opened"), _body(F.col("line"))).otherwise(F.col("line"))
+    body = lines.join(found, ["path", "block"]).filter(at >= F.col("opened")).select("path", "block", "line_no", text.alias("text"))
+    body = stage(body.withColumn("quotes", F.length("text") - F.length(F.replace("text", F.lit('"'), F.lit("")))), "sheet-body")
+
+    by_block = body.groupBy("path", "block").agg(
+        F.sum("quotes").alias("__sum_before"), F.bool_and(F.is_valid_utf8("text")).alias("valid")
+    )
+    by_file = by_block.groupBy("path").agg(F.sum("__sum_before").alias("total"), F.bool_and("valid").alias("valid"))
+    problem = _file_problem(F.col("head"), F.col("valid").isNotNull(), F.col("valid"))
+    judged = _heads(lines).join(by_file, "path", "left").select("path", "total", problem.alias("reason"))
+    judged = stage(judged, "sheet-files")
+    blocks = by_block.join(judged.filter(F.col("reason").isNull()), "path")
+    counted = running(
+        body.join(blocks.select("path", "block"), ["path", "block"], "left_semi"),
+        ["path"], "line_no", {"before": Running("sum", F.col("quotes"), inclusive=False)}, blocks=blocks, facts=("total",),
+    )
+    return counted, judged.filter(F.col("reason").isNotNull()).select("path", "reason")
+
+
+def _heads(lines: DataFrame) -> DataFrame:
+    """``(path, head)``: the first bytes of every file, which may be several lines."""
+    order = Window.partitionBy("path").orderBy("block", "line_no")
+    cut = lines.select("path", "block", "line_no", F.col("line").cast("binary").substr(1, HEAD_BYTES).alias("bytes"))
+    first = cut.withColumn("number", F.row_number().over(order)).filter(F.col("number") <= HEAD_BYTES + 1)
+    gathered = F.array_sort(F.collect_list(F.struct("number", F.hex("bytes").alias("hex"))))
+    joined = first.groupBy("path").agg(F.array_join(F.transform(gathered, lambda x: x["hex"]), "0A").alias("hex"))
+    return joined.select("path", F.unhex(F.substring("hex", F.lit(1), F.lit(2 * HEAD_BYTES))).alias("head"))
+
+
+def _pieces(body: DataFrame) -> DataFrame:
+    """Tokens of runs of whole lines: ``(path, piece, start, t, before, n, ends)``.
+
+    A line with an odd number of quotes ahead of it begins inside a text and goes to the piece of the line that text began
+    in. A last quote without a partner opens nothing. ``t`` has ``n`` tokens of its own, ``before`` of earlier pieces ahead
+    of them and some of the next pieces behind; ``start`` counts the file's tokens ahead of its own."""
+    inside = (F.col("before") % 2 == 1) & (F.col("before") < F.col("total"))
+    key = F.struct("block", F.expr(f"line_no div {LINES_PER_PIECE}").alias("run"))
+    marked = stage(body.select("path", "block", "line_no", "text", F.when(~inside, key).alias("own")), "sheet-marks")
+    owned = running(marked, ["path"], "line_no", {"key": Running("last", F.col("own"))})
+    ordered = F.array_sort(F.collect_list(F.struct("block", "line_no", "text")))
+    texts = owned.groupBy("path", "key").agg(F.array_join(F.transform(ordered, lambda x: x["text"]), "\n").alias("text"))
+    tokens = stage(texts.select("path", "key", _tokens(F.col("text")).alias("own")).filter(F.size("own") > 0), "sheet-pieces")
+
+    ends = tokens.select(
+        "path", "key", F.size("own").alias("n"), F.slice("own", 1, LOOK_AHEAD).alias("first"), _last(F.col("own")).alias("last")
+    )
+    order = Window.partitionBy("path").orderBy("key")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    near = ends.select(
+        "path",
+        "key",
+        "n",
+        (F.row_number().over(order) - 1).cast("bigint").alias("piece"),
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).cast("bigint").alias("start"),
+        # No piece is without tokens, so as many pieces as tokens are enough.
+        _last(F.flatten(F.collect_list("last").over(order.rowsBetween(-LOOK_BACK, -1)))).alias("left"),
+        F.slice(F.flatten(F.collect_list("first").over(order.rowsBetween(1, LOOK_AHEAD))), 1, LOOK_AHEAD).alias("right"),
+        F.lead("n").over(order).isNull().alias("ends"),
+    )
+    return tokens.join(near, ["path", "key"]).select(
+        "path", "piece", "start", F.concat("left", "own", "right").alias("t"), F.size("left").alias("before"), "n", "ends"
+    )
+
+
+def _last(tokens: Column) -> Column:
+    return F.slice(tokens, F.greatest(F.size(tokens) - LOOK_BACK + 1, F.lit(1)), LOOK_BACK)
+
+
+def _structure(pieces: DataFrame) -> DataFrame:
     """The tokens that carry structure: ``(path, block, pos, token, next, after_zero, is_last, depth)``.
 
     These are the starts of root items, lists inside them, what breaks the nesting, and each file's last
     token. An opening brace also carries the tokens after it (``next``) and whether the list ``{0,0}`` ends
     right before it. How far a block of tokens changes the depth is counted on the token arrays, so only
-    one pass turns them into rows."""
-    arrays = files.select(
-        "path", F.regexp_extract_all(_body(F.col("content").cast("string")), F.lit(TOKEN), F.lit(0)).alias("t")
-    ).filter(F.size("t") > 0)
+    one pass turns them into rows. A block never reaches beyond its piece."""
+    arrays = pieces.filter(F.col("n") > 0)
     step = lambda token: F.when(token == "{", 1).when(token == "}", -1).otherwise(0)
-    change = lambda b: F.aggregate(
-        F.slice(F.col("t"), b * ROWS_PER_BLOCK + 1, ROWS_PER_BLOCK), F.lit(0), lambda total, token: total + step(token)
+    own = lambda b: F.slice(
+        F.col("t"), F.col("before") + b * ROWS_PER_BLOCK + 1, F.least(F.lit(ROWS_PER_BLOCK), F.col("n") - b * ROWS_PER_BLOCK)
     )
-    numbers = F.sequence(F.lit(0), F.floor((F.size("t") - 1) / ROWS_PER_BLOCK).cast("int"))
+    change = lambda b: F.aggregate(own(b), F.lit(0), lambda total, token: total + step(token))
+    block = lambda b: F.col("piece") * BLOCKS_PER_PIECE + b
+    numbers = F.sequence(F.lit(0), F.floor((F.col("n") - 1) / ROWS_PER_BLOCK).cast("int"))
     blocks = arrays.select(
-        "path", F.inline(F.transform(numbers, lambda b: F.struct(b.cast("bigint").alias("block"), change(b).alias("__sum_depth"))))
+        "path", F.inline(F.transform(numbers, lambda b: F.struct(block(b).alias("block"), change(b).alias("__sum_depth"))))
     )
 
     at = lambda i: F.get(F.col("t"), i)
-    entry = lambda token, i: F.struct(
-        token.alias("token"),
-        F.when(token == "{", F.slice(F.col("t"), i + 2, LOOK_AHEAD)).alias("next"),
-        F.when(
-            token == "{", (at(i - 1) == "}") & (at(i - 2) == "0") & (at(i - 3) == "0") & (at(i - 4) == "{")
-        ).alias("after_zero"),
-        (i == F.size("t") - 1).alias("is_last"),
-    )
-    exploded = arrays.select("path", F.posexplode(F.transform(F.col("t"), entry)).alias("pos", "e"))
+
+    def entry(token: Column, number: Column) -> Column:
+        i = number + F.col("before")
+        after_zero = (at(i - 1) == "}") & (at(i - 2) == "0") & (at(i - 3) == "0") & (at(i - 4) == "{")
+        return F.struct(
+            token.alias("token"),
+            F.when(token == "{", F.slice(F.col("t"), i + 2, LOOK_AHEAD)).alias("next"),
+            F.when(token == "{", after_zero).alias("after_zero"),
+            (F.col("ends") & (number == F.col("n") - 1)).alias("is_last"),
+        )
+
+    own_tokens = F.slice(F.col("t"), F.col("before") + 1, F.col("n"))
+    exploded = arrays.select("path", "piece", "start", F.posexplode(F.transform(own_tokens, entry)).alias("number", "e"))
     rows = exploded.select(
-        "path", F.floor(F.col("pos") / ROWS_PER_BLOCK).cast("bigint").alias("block"), "pos", "e.*"
+        "path",
+        block(F.floor(F.col("number") / ROWS_PER_BLOCK)).cast("bigint").alias("block"),
+        (F.col("start") + F.col("number")).alias("pos"),
+        "e.*",
     )
     deep = running(rows, ["path"], "pos", {"depth": Running("sum", step(F.col("token")))}, blocks=blocks)
     depth = F.col("depth")

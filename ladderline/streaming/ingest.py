@@ -24,7 +24,7 @@ from ladderline.operators.loading import SEQ, PeriodTable, audits
 from ladderline.operators.periods import header_periods, report_periods
 from ladderline.operators.quality import lost_cells
 from ladderline.session import stage
-from ladderline.sources.sheets import parse_sheets, read_sheet_files, sheet_rows
+from ladderline.sources.sheets import read_sheets, sheet_rows
 from ladderline.sources.text_reports import as_rows, is_report, literal_path, read_text_lines, report_name
 from ladderline.streaming.arrivals import new_versions, status_text
 
@@ -205,7 +205,7 @@ class Ingest:
             lines = stage(read_text_lines(self.spark, texts, self.fallback_encoding).drop("mtime"), "lines")
             parts.append(as_rows(lines))
         if books:
-            sheets = parse_sheets(read_sheet_files(self.spark, books))
+            sheets = read_sheets(self.spark, books)
             parts.append(stage(sheet_rows(sheets.cells), "sheet-rows"))
             merges, rejects = stage(sheets.merges, "merges"), stage(sheets.rejects, "rejects")
         rows = parts[0]

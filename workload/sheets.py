@@ -11,7 +11,7 @@ from ladderline.operators.layout import detect_layout, header_heights
 from ladderline.operators.periods import header_texts, report_periods
 from ladderline.operators.quality import reconcile
 from ladderline.session import stage
-from ladderline.sources.sheets import Sheets, densify, parse_sheets, sheet_rows
+from ladderline.sources.sheets import Sheets, densify, parse_sheet_lines, parse_sheets, sheet_rows
 from ladderline.sources.text_reports import as_rows, split_lines
 from workload.base import query, table
 
@@ -139,6 +139,39 @@ def sheet_table(spark, sf_dir):
     return typed.join(periods, "path")
 
 
+LINES_PER_ROW = 32
+
+
+@query("""
+SELECT 'all parts.mxl' AS path, CAST(p_partkey + 1 AS BIGINT) AS row, CAST(c AS BIGINT) AS col,
+    CASE c WHEN 0 THEN CAST(p_partkey AS VARCHAR) WHEN 1 THEN p_name || chr(10) || '"' || p_brand || '"' || chr(13) || chr(10) || '{16,0,'
+        ELSE CASE WHEN p_size > 10 THEN p_type ELSE '' END END AS text
+FROM part, (VALUES (0), (1), (2)) v(c)
+UNION ALL SELECT 'all parts.mxl', 0, c, t FROM (VALUES (0, 'Отчёт'), (1, 'all'), (2, 'parts')) h(c, t)
+""")
+def sheet_split(spark, sf_dir):
+    """All parts as one sheet that comes line by line, as a split scan gives it, and is never one value.
+
+    Texts of cells go on over several lines, with quotes and braces in them."""
+    parts = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    named = F.concat("p_name", F.lit('\n"'), "p_brand", F.lit('"\r\n{16,0,'))
+    cells = [F.col("p_partkey").cast("string"), named, F.when(F.col("p_size") > 10, F.col("p_type")).otherwise("")]
+    number = F.col("p_partkey") + 1
+    body = parts.select(number.alias("row"), F.concat(_row(cells, number), F.lit(",")).alias("text"))
+    head = _row([F.lit("Отчёт"), F.lit("all"), F.lit("parts")], F.lit(0))
+    first = F.concat(F.unhex(F.lit(SIGNATURE)).cast("string"), F.lit('{8,1,12,{"ru",{3,0}},{0,0},{16,9,{1,1,{"#","page"}},0},0,\n'), head, F.lit(","))
+    edges = parts.agg((F.max("p_partkey") + 2).alias("last")).select(
+        F.inline(F.array(
+            F.struct(F.lit(0).cast("bigint").alias("row"), first.alias("text")),
+            F.struct(F.col("last").alias("row"), F.lit("{0},5}").alias("text")),
+        ))
+    )
+    cut = edges.unionByName(body).select("row", F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    line_no = F.col("row") * LINES_PER_ROW + F.col("i")
+    blocked = cut.select(F.lit("all parts.mxl").alias("path"), F.expr("row div 1000").alias("block"), line_no.alias("line_no"), "line")
+    return parse_sheet_lines(blocked).cells
+
+
 @query("""
 SELECT p_brand AS path, CAST(min(h) AS INTEGER) AS merge_height
 FROM (SELECT p_brand, p_size AS c1, p_size + 1 AS c2, p_partkey % 2 AS r1,
