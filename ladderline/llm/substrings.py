@@ -34,6 +34,8 @@ from ladderline.session import stage
 SIZE = 35
 BITS = 1 << 27
 """Bits of a level's bitmap: 16 MB on the driver and in a worker."""
+PIECE = 1 << 19
+"""Bytes of text worked on at once in a worker, unless one text is longer: temporary arrays of 39 MB, bitmaps aside."""
 _PLACE = np.uint64((1 << 28) - 1)
 
 
@@ -91,7 +93,7 @@ def _count_parts(size: int, length: int, held: list):
     @kernel.freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = _levels(held)
-        for batch in kernel.pieces(batches, "text"):
+        for batch in kernel.pieces(batches, "text", PIECE):
             piece = _Piece(batch.column("text"), size)
             piece.survive(levels)
             if piece.alive.any():
@@ -106,7 +108,7 @@ def _count_whole(size: int, held: list):
     @kernel.freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = _levels(held)
-        for batch in kernel.pieces(batches, "text"):
+        for batch in kernel.pieces(batches, "text", PIECE):
             piece = _Piece(batch.column("text"), size)
             piece.survive(levels)
             if piece.alive.any():
@@ -122,7 +124,7 @@ def _cut(size: int, held: list, unchanged: bool):
     @kernel.freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = _levels(held)
-        for batch in kernel.pieces(batches, "text"):
+        for batch in kernel.pieces(batches, "text", PIECE):
             piece = _Piece(batch.column("text"), size)
             piece.survive(levels)
             alone = batch.column("alone").flatten().to_numpy().view(np.uint64)
