@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -134,26 +135,49 @@ def guarded_starts(events: DataFrame, timeout: int = STALE_SECONDS, tie: str = "
     return begun.mapInPandas(_guard_walk(span), begun.schema).select("path", "ts", tie)
 
 
-def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The rows of each path and chunk, which are contiguous, as one frame."""
+def _whole_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows in frames that hold whole chunks, as many as a batch has; a chunk's rows are contiguous."""
     held: list[pd.DataFrame] = []
     for batch in batches:
-        change = (batch["path"] != batch["path"].shift()) | (batch["__chunk"] != batch["__chunk"].shift())
-        cuts = [*np.flatnonzero(change.to_numpy()), len(batch)]
-        for first, stop in zip(cuts, cuts[1:], strict=False):
-            part = batch.iloc[first:stop]
-            if held and (held[-1]["path"].iat[0], held[-1]["__chunk"].iat[0]) != (part["path"].iat[0], part["__chunk"].iat[0]):
-                yield pd.concat(held) if len(held) > 1 else held[0]
-                held = []
-            held.append(part)
+        if not len(batch):
+            continue
+        last = int(_heads(batch)[-1])
+        key = lambda rows, at: (rows["path"].iat[at], rows["__chunk"].iat[at])
+        if not last and (not held or key(held[-1], -1) == key(batch, 0)):
+            held.append(batch)
+            continue
+        ready = [*held, batch.iloc[:last]]
+        held = [batch.iloc[last:]]
+        yield pd.concat(ready, ignore_index=True)
     if held:
-        yield pd.concat(held) if len(held) > 1 else held[0]
+        yield pd.concat(held, ignore_index=True)
+
+
+def _heads(batch: pd.DataFrame) -> np.ndarray:
+    """Where the chunks of a frame begin."""
+    paths, chunks = batch["path"].to_numpy(), batch["__chunk"].to_numpy()
+    return np.flatnonzero(np.append(True, (chunks[1:] != chunks[:-1]) | (paths[1:] != paths[:-1])))
+
+
+def _next_accepted(micros: np.ndarray, heads: np.ndarray, stops: np.ndarray, span: int) -> np.ndarray:
+    """For each event the first of its chunk that is at least ``span`` later, or where the chunk stops.
 
+    One search serves many chunks: their times are laid end to end, as far as 64 bits reach."""
+    found = np.empty(len(micros), dtype=np.int64)
+    length = int((micros[stops - 1] - micros[heads]).max()) + 1
+    reach = min(span, length)
+    at_once = max(1, (1 << 62) // (length + reach))
+    for first in range(0, len(heads), at_once):
+        h, s = heads[first : first + at_once], stops[first : first + at_once]
+        sizes = s - h
+        laid = micros[h[0] : s[-1]] - np.repeat(micros[h], sizes) + np.repeat(np.arange(len(h)) * length, sizes)
+        found[h[0] : s[-1]] = np.minimum(h[0] + np.searchsorted(laid, laid + reach), np.repeat(s, sizes))
+    return found
 
-def _last_start(micros: np.ndarray, span: int) -> np.ndarray:
+
+def _last_start(after: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """For each event, if it is accepted, the last one that will be: chains of next accepted events, doubled to their end."""
-    after = np.searchsorted(micros, micros + span)
-    to = np.where(after < len(micros), after, np.arange(len(micros)))
+    to = np.where(after < stops, after, np.arange(len(after)))
     while True:
         further = to[to]
         if (further == to).all():
@@ -162,29 +186,41 @@ def _last_start(micros: np.ndarray, span: int) -> np.ndarray:
 
 
 def _chunk_steps(span: int):
-    """Each chunk's function from state to state: states above ``above`` become ``after``, or stay if it ``passes`` them."""
+    """Each chunk's function from state to state: states above ``above`` become ``after``, or stay if it ``passes`` them.
+    All chunks of a frame are worked out together, on arrays."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for chunk in _groups(batches):
-            micros, ends = chunk["__micros"].to_numpy(), chunk["__ends"].to_numpy()
-            if ends.any():
-                rest = micros[np.flatnonzero(ends)[-1] + 1 :]
-                above, after = [-(1 << 63)], [int(rest[_last_start(rest, span)[0]]) if len(rest) else FREE]
-                passes = [False]
-            else:
-                # the state before is from an earlier chunk, so only events of the first timeout can be held off by it
-                start = int(chunk["__chunk"].iat[0]) * span * CHUNK_TIMEOUTS
-                entries = int(np.searchsorted(micros, start + span)) + 1
-                last = _last_start(micros, span)
-                above = np.concatenate(([-(1 << 63)], micros[: entries - 1] - span))
-                known = last[np.minimum(np.arange(entries), len(micros) - 1)]
-                after, passes = micros[known], np.arange(entries) >= len(micros)
-                # of entries at one time the last one's step counts: states above it enter behind all of them
-                of_time = np.append(above[1:] != above[:-1], True)
-                above, after, passes = above[of_time], after[of_time], passes[of_time]
-                step = np.append(True, (after[1:] != after[:-1]) | (passes[1:] != passes[:-1]))
-                above, after, passes = above[step], after[step], passes[step]
-            yield pd.DataFrame({"path": chunk["path"].iat[0], "__chunk": int(chunk["__chunk"].iat[0]), "above": above, "after": after, "passes": passes})
+        for rows in _whole_chunks(batches):
+            micros, ends, numbers = (rows[c].to_numpy() for c in ("__micros", "__ends", "__chunk"))
+            heads = _heads(rows)
+            stops = np.append(heads[1:], len(rows))
+            own = np.repeat(np.arange(len(heads)), stops - heads)
+            last = _last_start(_next_accepted(micros, heads, stops, span), stops[own])
+
+            # behind its last finish a chunk goes on with the event after it, whatever the state was before
+            finish = np.full(len(heads), -1)
+            finish[own[ends]] = np.flatnonzero(ends)
+            closed = finish >= 0
+            rest = finish + 1
+            constant = np.where(closed & (rest < stops), micros[last[np.minimum(rest, len(rows) - 1)]], FREE)
+
+            # the state before is from an earlier chunk, so only events of the first timeout can be held off by it
+            early = ~closed[own] & (micros < numbers * (span * CHUNK_TIMEOUTS) + span)
+            entries = np.where(closed, 1, np.bincount(own[early], minlength=len(heads)) + 1)
+            of = np.repeat(np.arange(len(heads)), entries)
+            entry = np.arange(len(of)) - np.repeat(np.cumsum(entries) - entries, entries)
+            at = heads[of] + entry
+            passes = ~closed[of] & (at >= stops[of])
+            after = np.where(closed[of], constant[of], micros[last[np.minimum(at, stops[of] - 1)]])
+            above = np.where(entry > 0, micros[np.maximum(at - 1, 0)] - span, -(1 << 63))
+            # of entries at one time the last one's step counts: states above it enter behind all of them
+            of_time = np.append((of[1:] != of[:-1]) | (above[1:] != above[:-1]), True)
+            of, above, after, passes = of[of_time], above[of_time], after[of_time], passes[of_time]
+            step = np.append(True, (of[1:] != of[:-1]) | (after[1:] != after[:-1]) | (passes[1:] != passes[:-1]))
+            first = heads[of[step]]
+            yield pd.DataFrame(
+                {"path": rows["path"].to_numpy()[first], "__chunk": numbers[first], "above": above[step], "after": after[step], "passes": passes[step]}
+            )
 
     return run
 
@@ -194,12 +230,13 @@ def _apply_steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     path = chunk = None
     state = taken = FREE
     for batch in batches:
-        change = ((batch["path"] != batch["path"].shift()) | (batch["__chunk"] != batch["__chunk"].shift())).to_numpy()
-        cuts = [*np.flatnonzero(change), len(batch)]
-        above, after, passes = (batch[c].to_numpy() for c in ("above", "after", "passes"))
+        if not len(batch):
+            continue
+        cuts = [*_heads(batch).tolist(), len(batch)]
+        paths, chunks, above, after, passes = (batch[c].tolist() for c in ("path", "__chunk", "above", "after", "passes"))
         found = []
         for first, stop in zip(cuts, cuts[1:], strict=False):
-            name, number = batch["path"].iat[first], int(batch["__chunk"].iat[first])
+            name, number = paths[first], chunks[first]
             if name != path:
                 path, state, chunk = name, FREE, None
             elif number != chunk:
@@ -207,9 +244,9 @@ def _apply_steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if number != chunk:
                 chunk = number
                 found.append((path, chunk, state))
-            at = first + int(np.searchsorted(above[first:stop], state))
+            at = bisect_left(above, state, first, stop)
             if at > first:
-                taken = state if passes[at - 1] else int(after[at - 1])
+                taken = state if passes[at - 1] else after[at - 1]
         yield pd.DataFrame(found, columns=["path", "__chunk", "__before"]).astype({"__chunk": "int64", "__before": "int64"})
 
 
@@ -219,24 +256,27 @@ def _guard_walk(span: int):
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group, state = None, FREE
         for batch in batches:
-            micros, ends = batch["__micros"].to_numpy(), batch["__ends"].to_numpy()
-            change = ((batch["path"] != batch["path"].shift()) | (batch["__chunk"] != batch["__chunk"].shift())).to_numpy()
-            cuts = [*np.flatnonzero(change), len(batch)]
-            keep = []
+            if not len(batch):
+                continue
+            cuts = [*_heads(batch).tolist(), len(batch)]
+            paths, chunks, micros, before = (batch[c].tolist() for c in ("path", "__chunk", "__micros", "__before"))
+            finishes = np.flatnonzero(batch["__ends"].to_numpy()).tolist()
+            keep, seen = [], 0
             for first, stop in zip(cuts, cuts[1:], strict=False):
-                name = (batch["path"].iat[first], batch["__chunk"].iat[first])
+                name = (paths[first], chunks[first])
                 if name != group:
-                    group, state = name, int(batch["__before"].iat[first])
-                stops = [*(first + np.flatnonzero(ends[first:stop])).tolist(), stop]
+                    group, state = name, before[first]
                 at = first
-                for end in stops:
-                    at += int(np.searchsorted(micros[at:end], state + span))
+                while at < stop:
+                    open_end = seen < len(finishes) and finishes[seen] < stop
+                    end = finishes[seen] if open_end else stop
+                    at = bisect_left(micros, state + span, at, end)
                     while at < end:
                         keep.append(at)
-                        state = int(micros[at])
-                        at += int(np.searchsorted(micros[at:end], state + span))
-                    if end < stop:
-                        state, at = FREE, end + 1
+                        state = micros[at]
+                        at = bisect_left(micros, state + span, at, end)
+                    if open_end:
+                        state, at, seen = FREE, end + 1, seen + 1
             yield batch.iloc[keep]
 
     return walk

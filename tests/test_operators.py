@@ -183,6 +183,24 @@ def test_guarded_starts(spark, monkeypatch, finishes):
         assert plain.exceptAll(found.select(*plain.columns)).isEmpty()
 
 
+def test_chunk_steps_work_on_arrays():
+    """A frame of many chunks gives one frame of steps, cut anywhere; chunk by chunk they are the same."""
+    rnd, span = random.Random(11), 1800 * 1_000_000
+    rows = []
+    for path in range(60):
+        for chunk in range(10):
+            start = chunk * span * arrivals.CHUNK_TIMEOUTS
+            times = sorted(start + rnd.choice([0, rnd.randrange(2 * span), rnd.randrange(span * arrivals.CHUNK_TIMEOUTS)]) for _ in range(rnd.randrange(1, 12)))
+            rows += [(f"p{path}", chunk, micros, path % 2 == 0 and rnd.random() < 0.2) for micros in times]
+    rows = pd.DataFrame(rows, columns=["path", "__chunk", "__micros", "__ends"])
+    steps = lambda frames: list(arrivals._chunk_steps(span)(iter(frames)))
+    cuts = [0, 1, 2, 1000, 1001, 1500, len(rows)]
+    dealt = steps([rows.iloc[a:b] for a, b in zip(cuts, cuts[1:], strict=False)])
+    assert len(dealt) < len(cuts) + 1
+    alone = pd.concat([f for _, part in rows.groupby(["path", "__chunk"], sort=False) for f in steps([part])], ignore_index=True)
+    assert pd.concat(dealt, ignore_index=True).equals(alone)
+
+
 def test_guard_stream_ends(spark, tmp_path):
     """Over micro-batches: a finish frees a path, a timer forgets one whose time is over, and the stream comes to its end."""
     base = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
