@@ -120,20 +120,25 @@ def _details(rows: DataFrame, layout: DataFrame, depth: int | None, tags: tuple[
             slim, ["path"], "line_no", markers, blocks=layout, facts=FILE_FIELDS, setters=F.col("step") > 0
         )
     details = carried if tags else carried.filter(F.col("step") < 0)
-    return details.select("path", "block", "line_no", *tags, "names", "picks", _source(depth).alias("source"))
+    own = F.transform("own", empty_to_null)
+    return details.select("path", "block", "line_no", *tags, "names", "picks", _source(depth, own).alias("source"))
 
 
 def _own_cells() -> Column:
-    """What a row contributes: details their dimensions and measures, subtotals their group's values."""
+    """What a row contributes: details their dimensions and measures, subtotals their group's values (empty ones NULL).
+
+    Where every dimension has a name, a detail row is the table's width of its cells, which takes no look at each."""
     cells = F.col("cells")
     dims = F.transform(F.col("detail_cols"), lambda j: F.get(cells, j))
     measures = F.slice(cells, F.col("measure_start") + 1, F.greatest(F.col("width") - F.col("measure_start"), F.lit(0)))
+    in_line = (F.size("detail_cols") == F.col("measure_start")) & (F.size(cells) >= F.col("measure_start"))
+    detail = F.when(in_line, F.slice(cells, F.lit(1), F.greatest("width", "measure_start"))).otherwise(F.concat(dims, measures))
     group = F.transform(F.slice(cells, F.lit(1), F.get(F.col("spans"), F.col("step") - 1)), strip)
     flat = F.when(F.col("format") == "txt", F.transform(cells, unquote)).otherwise(cells)
     return (
         F.when(F.col("kind") != "grouped", flat)
-        .when(F.col("step") < 0, F.concat(dims, measures))
-        .when(F.col("step") > 0, group)
+        .when(F.col("step") < 0, detail)
+        .when(F.col("step") > 0, F.transform(group, empty_to_null))
     )
 
 
@@ -143,11 +148,11 @@ def _marker(r: int) -> Column:
     return F.when((step > 0) & (step <= r), F.struct(F.when(step == r, F.col("own")).alias("group")))
 
 
-def _source(depth: int) -> Column:
+def _source(depth: int, own: Column) -> Column:
     span = lambda r: F.coalesce(F.get(F.col("spans"), F.lit(r - 1)), F.lit(0))
     missing = lambda r: F.array_repeat(F.lit(None).cast("string"), span(r))
     levels = [F.coalesce(F.col(f"level_{r}")["group"], missing(r)) for r in range(1, depth + 1)]
-    return F.transform(F.concat(*levels, F.col("own")), empty_to_null)
+    return F.concat(*levels, own)
 
 
 def row_counts(rows: DataFrame, layout: DataFrame) -> DataFrame:

@@ -20,13 +20,15 @@ BOUND_STEP = 16
 
 
 def table_starts(rows: DataFrame) -> DataFrame:
-    """Per block: ``(path, block, opens_at, kept, used)``; ``opens_at`` is its first opening line."""
-    return rows.groupBy("path", "block").agg(
+    """Per block: ``(path, block, opens_at, kept, used)``; ``opens_at`` is its first opening line.
+
+    A file has one format. It is a key here, as the greatest text of a group would make Spark sort all rows."""
+    found = rows.groupBy("path", "block", "format").agg(
         F.min(F.when(F.col("opens"), F.col("line_no"))).alias("opens_at"),
         F.count_if("kept").alias("kept"),
         F.max("used").alias("used"),
-        F.max("format").alias("format"),
     )
+    return found.select("path", "block", "opens_at", "kept", "used", "format")
 
 
 def first_openings(blocks: DataFrame) -> DataFrame:
@@ -61,9 +63,12 @@ def _head_rows(rows: DataFrame, blocks: DataFrame, limits: DataFrame) -> DataFra
     in_block = Window.partitionBy("path", "block").orderBy("line_no")
     in_file = Window.partitionBy("path").orderBy("block", "line_no")
     parts = []
-    for bound in sorted(r["bound"] for r in head_blocks.select("bound").distinct().collect()) or [HEAD_LINES]:  # nine at most
+    bounds = head_blocks.groupBy("bound").agg(F.min("block"), F.max("block"))  # nine at most
+    for bound, lowest, highest in sorted(map(tuple, bounds.collect())) or [(HEAD_LINES, 0, 0)]:
+        # the range of these blocks spares most rows everything else
         first = (
-            rows.filter("kept")
+            rows.filter(F.col("block").between(lowest, highest))
+            .filter("kept")
             .join(head_blocks.filter(F.col("bound") == bound), ["path", "block"])
             .filter((F.col("block") > F.col("start_block")) | (F.col("line_no") >= F.col("start_line")))
             .select("path", "block", "line_no", "cells", "used", "format", "limit")

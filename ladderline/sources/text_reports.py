@@ -102,6 +102,8 @@ def as_rows(lines: DataFrame) -> DataFrame:
     ``kept`` (a table line: not blank, has a tab, not a totals line) and ``used`` (its number of cells).
     """
     cells = F.split(F.col("line"), "\t", -1)
+    # a filter on ``kept`` is tested before anything else, so it does without the cells
+    first_cell = F.substring_index("line", "\t", 1)
     tabbed = F.contains(F.col("line"), F.lit("\t"))
     return lines.select(
         "path",
@@ -110,7 +112,7 @@ def as_rows(lines: DataFrame) -> DataFrame:
         "line",
         cells.alias("cells"),
         (F.size(cells) >= 3).alias("opens"),
-        (tabbed & is_filled(F.col("line")) & ~starts_total(F.get(cells, F.lit(0)))).alias("kept"),
+        (tabbed & is_filled(F.col("line")) & ~starts_total(first_cell)).alias("kept"),
         F.size(cells).alias("used"),
         F.lit("txt").alias("format"),
     )

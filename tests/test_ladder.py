@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ladderline.operators.flatten import flatten, row_counts, to_columns
-from ladderline.operators.layout import detect_layout, layouts_by_file, rejected_files
+from ladderline.operators.layout import detect_layout, layouts_by_file, rejected_files, table_starts
 from ladderline.sources.text_reports import as_rows, read_text_lines
 
 TWO_LEVELS = (
@@ -124,3 +124,12 @@ def test_blocks_do_not_change_the_result(rows, layout):
         cut = rows.withColumn("block", F.floor(F.col("line_no") / size))
         got = {(r["path"], tuple(r["values"])) for r in flatten(cut, detect_layout(cut)).collect()}
         assert got == expected
+
+
+def test_table_starts_do_not_sort_the_rows(spark):
+    """The first pass over all rows adds up in hash tables; one row per block, with its file's format."""
+    lines = [("a.txt", b, n, "x\ty\tz" if n else "title") for b in (0, 1) for n in range(3)]
+    found = table_starts(as_rows(spark.createDataFrame(lines, "path string, block bigint, line_no bigint, line string")))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert sorted(map(tuple, found.collect())) == [("a.txt", b, 1, 2, 3, "txt") for b in (0, 1)]
