@@ -41,15 +41,27 @@ def extract_period(header: Column) -> Column:
     )
 
 
-def found_at(text: Column, pattern: str) -> Column:
-    """Where the first match begins, from 1; 0 if there is none."""
-    return F.regexp_instr(text, F.lit(_FLAGS + pattern))
+def found_on_line(line: Column, behind: Column) -> Column:
+    """Struct of what begins on ``line``, followed by the lines ``behind``: ``named``, whether it names the parameters, and
+    as ``(start_raw, end_raw)`` or NULL the first range, the first range behind that name, the two dates and the start."""
+    text = F.array_join(F.concat(F.array(line), behind), "\n")
+    after = lambda c: F.regexp_extract(c, rf"{_FLAGS}{PARAMETERS}([\s\S]*)", 1)
+    named = F.rlike(line, F.lit(_FLAGS + PARAMETERS))
+    return F.struct(
+        named.alias("named"),
+        _begun(text, line, RANGE, 2).alias("range"),
+        F.when(named, _begun(after(text), after(line), RANGE, 2)).alias("behind"),
+        _begun(text, line, PERIOD_TWO_LINES, 2).alias("two"),
+        F.when(named, _begun(text, line, PERIOD_START, 1)).alias("only"),
+    )
 
 
-def found_parts(text: Column, pattern: str, groups: int) -> Column:
-    """The moments of the first match as ``(start_raw, end_raw)``; the end is NULL with one group."""
+def _begun(text: Column, line: Column, pattern: str, groups: int) -> Column:
+    """The moments of the first match if it begins on the first line. Places in text count UTF-16 units, as Java does."""
     part = lambda i: strip(F.nullif(F.regexp_extract(text, _FLAGS + pattern, i), F.lit("")))
-    return F.struct(part(1).alias("start_raw"), (part(2) if groups == 2 else F.lit(None).cast("string")).alias("end_raw"))
+    moments = F.struct(part(1).alias("start_raw"), (part(2) if groups == 2 else F.lit(None).cast("string")).alias("end_raw"))
+    units = F.octet_length(F.encode(line, "UTF-16BE")) / 2
+    return F.when(F.regexp_instr(text, F.lit(_FLAGS + pattern)).between(1, units), moments)
 
 
 _ISO_MOMENT = r"(?U)^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?:\s+[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})?$"

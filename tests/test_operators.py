@@ -505,3 +505,34 @@ def test_key_layout_skips_row_groups(spark, tmp_path):
     assert loose > 20 * tight > 0
     ranges = sorted((r.least, r.greatest, r.rows) for r in key_ranges(spark.read.parquet(str(tmp_path / "tight")), "k").collect())
     assert sum(r[2] for r in ranges) == 40_000 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:], strict=False))
+
+
+def test_periods_read_rows_twice(spark):
+    """A title is read to find where the table starts and once more for its lines, whatever stands behind the rows."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(n):
+        seen.add(1)
+        return "f", 0, n, "a\tb\tc" if n == 999 else f"Заметка: {n}"
+
+    lines = spark.createDataFrame(spark.sparkContext.parallelize(range(1000), 4).map(counted), "path string, block long, line_no long, line string")
+    assert [tuple(r) for r in periods.header_periods(as_rows(lines)).collect()] == [("f", None, None, None)]
+    assert seen.value == 2000
+
+
+@pytest.mark.parametrize("before", ["", "😀" * 40])
+def test_periods_behind_wide_characters(spark, before):
+    """Characters of two UTF-16 units before a period move it in the text, but not out of its line."""
+    titles = {
+        "one": f"{before}\nПараметры: {before} Период: 01.02.2024 - 03.02.2024",
+        "two": f"{before}\n{before} Начало: 01.02.2024\nКонец: 03.02.2024",
+        "start": f"{before} Параметры: {before}\n{before} Параметры: На дату 01.02.2024",
+        "near": f"{before} Параметры:\n:\n01.02.2024\n0:00:00\n-\n03.02.2024\n23:59:59",
+        "own": "Период: 01.01.2024 - 02.01.2024 Параметры:",
+    }
+    rows = as_rows(split_lines(spark.createDataFrame([(k, v + "\na\tb\tc") for k, v in titles.items()], "path string, text string")))
+    got = {r[0]: tuple(r)[1:] for r in periods.header_periods(rows).collect()}
+    assert got == {
+        "one": ("01.02.2024", "03.02.2024", 1), "two": ("01.02.2024", "03.02.2024", 2), "start": ("01.02.2024", None, 3),
+        "near": ("01.02.2024\n0:00:00", "03.02.2024\n23:59:59", 1), "own": (None, None, None),
+    }

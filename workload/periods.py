@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ladderline.functions.periods import missing_bounds
 from ladderline.operators.periods import header_periods, header_texts, report_periods
 from ladderline.plans.ordered import with_blocks
+from ladderline.session import stage
 from ladderline.sources.text_reports import as_rows
 from workload.base import query, table
 
@@ -117,7 +118,7 @@ def period_long_preamble(spark, sf_dir):
         .when(F.col("named") & (F.col("path") != "A"), F.lit("Параметры:"))
         .otherwise(F.concat(F.lit("Заметка "), F.col("line_no").cast("string")))
     )
-    title = keyed.select("path", F.col("line_no").cast("bigint").alias("line_no"), line.alias("line"))
+    title = stage(keyed.select("path", F.col("line_no").cast("bigint").alias("line_no"), line.alias("line")), "lines")
     behind = title.groupBy("path").agg(F.max("line_no").alias("last"))
     head = behind.select("path", (F.col("last") + 1).alias("line_no"), F.lit("a\tb\tc").alias("line"))
     body = behind.select("path", (F.col("last") + 2).alias("line_no"), F.lit("1\t2\t3").alias("line"))
