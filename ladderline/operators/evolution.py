@@ -53,17 +53,24 @@ def schema_frame(spark: SparkSession, table: str, columns: dict[str, str]) -> Da
 
 def resolve_names(existing: DataFrame, expected: DataFrame) -> DataFrame:
     """``(table_name, name, actual)``; ``actual`` is the existing column of that exact name, else the
-    one stored under the name cut to 63 bytes, else NULL."""
-    have = existing.select("table_name", F.col("name").alias("__have")).distinct()
-    exact = have.select("table_name", F.col("__have").alias("name"), F.col("__have").alias("__exact"))
-    cut = have.select("table_name", F.col("__have").alias("__short"), F.col("__have").alias("__cut"))
-    return (
-        expected.withColumn("__short", truncate_bytes(F.col("name")))
-        .join(exact, ["table_name", "name"], "left")
-        .join(cut, ["table_name", "__short"], "left")
-        .withColumn("actual", F.coalesce("__exact", "__cut"))
-        .drop("__exact", "__cut", "__short")
+    one stored under the name cut to 63 bytes, else NULL.
+
+    Both sides meet in one sort per table and cut name. A name travels as its cut and the bytes behind it, so no text is
+    held twice, and the existing column with no such bytes is the cut one."""
+    parts = lambda df: df.withColumn("__short", truncate_bytes(F.col("name"))).withColumn(
+        "__rest", F.substring(F.col("name").cast("binary"), F.coalesce(F.octet_length("__short"), F.lit(0)) + 1, F.octet_length("name"))
     )
+    have = parts(existing.select("table_name", "name").dropna()).select("table_name", "__short", "__rest", F.lit(True).alias("__stored"))
+    want = parts(expected).drop("name").withColumn("__stored", F.lit(False))
+    met = want.unionByName(have, allowMissingColumns=True)
+    group = Window.partitionBy("table_name", "__short").orderBy("__rest")
+    exact = F.max("__stored").over(group.rangeBetween(Window.currentRow, Window.currentRow))
+    cut = F.max(F.col("__stored") & (F.octet_length("__rest") == 0)).over(group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    found = met.withColumn("__exact", exact).withColumn("__cut", cut).filter(~F.col("__stored"))
+    name = F.concat(F.coalesce(F.col("__short").cast("binary"), F.lit(b"")), "__rest").cast("string")
+    others = [F.col(f"`{c}`") for c in expected.columns if c not in ("table_name", "name")]
+    actual = F.when(F.col("__exact"), F.col("name")).when(F.col("__cut"), F.col("__short"))
+    return found.withColumn("name", name).select("table_name", "name", *others, actual.alias("actual"))
 
 
 def schema_diff(existing: DataFrame, expected: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 import datetime as dt
 import random
+import re
 import time
+from collections import Counter
 
 import pandas as pd
 import pytest
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ladderline.operators.contracts import Contract, ContractColumn, IndexSpec, apply_contract, drop_service_columns
-from ladderline.operators.evolution import changed_comments, database_type, evolve, sync_comments, with_surrogate_id
+from ladderline.operators.evolution import changed_comments, database_type, evolve, resolve_names, sync_comments, with_surrogate_id
 from ladderline.operators.flatten import flatten
 from ladderline.operators.inference import collect_contracts, generate_contracts, infer_types, wide_to_cells
 from ladderline.operators import layout, periods
@@ -536,3 +538,28 @@ def test_periods_behind_wide_characters(spark, before):
         "one": ("01.02.2024", "03.02.2024", 1), "two": ("01.02.2024", "03.02.2024", 2), "start": ("01.02.2024", None, 3),
         "near": ("01.02.2024\n0:00:00", "03.02.2024\n23:59:59", 1), "own": (None, None, None),
     }
+
+
+def test_names_are_resolved_in_one_sort(spark):
+    """Names of all kinds against what two joins would find, with one sort of both sides in the plan and no join."""
+    rnd = random.Random(16)
+    long = ["я" * 31 + "z", "я" * 40, "x" * 61 + "😀", "x" * 62 + "😀" * 3, "y" * 63, "y" * 64, "y" * 200]
+    shortened = lambda n: n.encode()[:63].decode(errors="ignore")
+    names = [*long, *map(shortened, long), *[n + "q" for n in long], "", " ", "col", None]
+    rows = lambda n: [(rnd.choice(["a", "b", "c", None]), rnd.choice(names), rnd.randrange(3)) for _ in range(n)]
+    existing, expected = rows(60), rows(200)
+    schema = "table_name string, name string, to_type int"
+    have = spark.createDataFrame(existing, schema).drop("to_type").repartition(3)
+    found = resolve_names(have, spark.createDataFrame(expected, schema).repartition(3))
+    plan = plan_of(found)
+    assert "Join" not in plan and len(re.findall(r"\bSort \[", plan)) == 1
+    stored = {r[:2] for r in existing if None not in r[:2]}
+
+    def actual(table, name):
+        wanted = [] if name is None else [name, shortened(name)]
+        return next((n for n in wanted if (table, n) in stored), None)
+
+    assert found.columns == ["table_name", "name", "to_type", "actual"]
+    assert Counter(map(tuple, found.collect())) == Counter((t, n, k, actual(t, n)) for t, n, k in expected)
+    broken = spark.sql("SELECT 'a' AS table_name, CAST(X'61FF' AS STRING) AS name")
+    assert [bytes(r[0]) for r in resolve_names(broken, broken).select(F.col("actual").cast("binary")).collect()] == [b"a\xff"]
