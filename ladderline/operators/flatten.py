@@ -15,15 +15,18 @@ from ladderline.functions.text import empty_to_null, is_filled, leading_filled,
 from ladderline.plans.ordered import Running, running
 
 ROW_FIELDS = ("kind", "width", "measure_start", "spans", "detail_cols", "detail_only", "head_block", "head_line")
-FILE_FIELDS = ("kind", "spans", "names", "picks")
+FILE_FIELDS = ("path", "kind", "spans", "names", "picks")
+ROWS_PER_TASK = 100_000
+"""Rows that are put in order by one task: shuffled bytes, which Spark sizes tasks by, say little of them, as lines of a
+report are much alike and shrink to a small part."""
 
 
 def table_rows(rows: DataFrame, layout: DataFrame) -> DataFrame:
     """The data rows of every accepted file, with their layout: header lines and other text are gone.
 
     The layout is joined by ``(path, block)``: a broadcast while it is small (Spark checks its size at run
-    time), and otherwise a join on the partitioning that the flattening windows need anyway."""
-    accepted = layout.filter(F.col("kind") != "rejected").select("path", "block", *ROW_FIELDS)
+    time). It brings the number of the file, by which the flattening windows go."""
+    accepted = layout.filter(F.col("kind") != "rejected").select("path", "block", "file", *ROW_FIELDS)
     after_head = (F.col("block") > F.col("head_block")) | (
         (F.col("block") == F.col("head_block")) & (F.col("line_no") > F.col("head_line"))
     )
@@ -56,6 +59,12 @@ def depth_of(layout: DataFrame) -> int:
     return max(layout.agg(F.max(F.size("spans"))).first()[0] or 0, 0)
 
 
+def _dealt(rows: DataFrame, layout: DataFrame) -> DataFrame:
+    """Rows by file and block, to as many tasks as their number asks for; few rows are left to adaptive execution."""
+    tasks = (layout.agg(F.sum("kept")).first()[0] or 0) // ROWS_PER_TASK
+    return rows.repartition(tasks, "file", "block") if tasks > rows.sparkSession.sparkContext.defaultParallelism else rows
+
+
 def flatten(rows: DataFrame, layout: DataFrame, depth: int | None = None) -> DataFrame:
     """All detail rows of all files: ``(path, block, line_no, names, values)``.
 
@@ -106,18 +115,18 @@ def _details(rows: DataFrame, layout: DataFrame, depth: int | None, tags: tuple[
     """Detail rows as ``(path, block, line_no, names, picks, source)``, ``source`` being group values by
     level and then the row's own cells. With ``tags``, columns of ``classify_rows``, the other rows as well.
 
-    Only positions, levels and cells that end up in the result are shuffled; what the layout knows about a
-    file joins them again together with the inherited group values."""
+    Only positions, levels and cells that end up in the result are shuffled, with a number for their file; what the layout
+    knows about a file, its path included, joins them again together with the inherited group values."""
     if depth is None:
         depth = depth_of(layout)
     classified = classify_rows(table_rows(rows, layout))
-    slim = classified.select("path", "block", "line_no", "step", *tags, _own_cells().alias("own"))
+    slim = classified.select("file", "block", "line_no", "step", *tags, _own_cells().alias("own"))
     if depth == 0:
-        carried = slim.join(layout.select("path", "block", *FILE_FIELDS), ["path", "block"])
+        carried = slim.join(layout.select("file", "block", *FILE_FIELDS), ["file", "block"])
     else:
         markers = {f"level_{r}": Running("last", _marker(r)) for r in range(1, depth + 1)}
         carried = running(
-            slim, ["path"], "line_no", markers, blocks=layout, facts=FILE_FIELDS, setters=F.col("step") > 0
+            slim, ["file"], "line_no", markers, blocks=layout, facts=FILE_FIELDS, setters=F.col("step") > 0, deal=lambda d: _dealt(d, layout)
         )
     details = carried if tags else carried.filter(F.col("step") < 0)
     own = F.transform("own", empty_to_null)

@@ -84,12 +84,13 @@ def _head_rows(rows: DataFrame, blocks: DataFrame, limits: DataFrame) -> DataFra
 def detect_layout(rows: DataFrame, merges: DataFrame | None = None) -> DataFrame:
     """One staged row per file and block (the block list the flattening joins on):
 
-    ``(path, block, kind, format, width, measure_start, height, spans, detail_cols, detail_only, names,
+    ``(path, block, kept, file, kind, format, width, measure_start, height, spans, detail_cols, detail_only, names,
     picks, start_block, start_line, head_block, head_line, reason)``.
 
     ``kind`` is ``grouped``, ``flat`` or ``rejected`` (then ``reason`` says why); ``names`` are the output
     columns and ``picks`` the positions their values come from (NULL: in order); ``(start_block,
-    start_line)`` is the first table line and ``(head_block, head_line)`` the last header line. ``merges`` (``path, r1, c1, r2, c2``) lets sheets state their header height.
+    start_line)`` is the first table line and ``(head_block, head_line)`` the last header line. ``kept`` counts the block's
+    table lines, and ``file`` is a number for the path, which takes less room in rows that are sorted. ``merges`` (``path, r1, c1, r2, c2``) lets sheets state their header height.
     """
     blocks = stage(table_starts(rows), "blocks")
     limits = _limits(blocks)
@@ -105,8 +106,9 @@ def detect_layout(rows: DataFrame, merges: DataFrame | None = None) -> DataFrame
         first_row = F.get("head", F.lit(0))["line_no"].alias("table_row")
         tables = layouts.select("path", first_row, "measure_start", "width")
         layouts = layouts.join(header_heights(tables, merges), "path", "left")
-    described = _describe(layouts)
-    placed = blocks.select("path", "block").join(first_openings(blocks), "path", "left")
+    # numbers given out over a table come out the same however often a task is repeated
+    described = stage(_describe(layouts), "described").withColumn("file", F.monotonically_increasing_id())
+    placed = blocks.select("path", "block", "kept").join(first_openings(blocks), "path", "left")
     return stage(placed.join(described, "path"), "layout")
 
 

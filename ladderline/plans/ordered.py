@@ -13,6 +13,7 @@ rows are shuffled once and no group is larger than a block. The summaries are ag
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -70,6 +71,7 @@ def running(
     blocks: DataFrame | None = None,
     facts: tuple[str, ...] = (),
     setters: Column | None = None,
+    deal: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``rows`` with one extra column per entry of ``values``.
 
@@ -78,12 +80,13 @@ def running(
     saves finding it; its columns named in ``facts`` reach every row of the block on the same join,
     and a column ``__sum_<name>`` is taken as the block's total of a ``sum``.
     ``setters`` may name a cheap condition that holds for every row with a value for some ``last``.
+    ``deal`` may spread the rows to be put in order by sequence and block itself.
     """
     keys = [*sequence, block]
     held = {name: f"__held_{name}" for name in values}
     prepared = rows.select("*", *[_held(v).alias(held[name]) for name, v in values.items()])
 
-    within = prepared.select(
+    within = (deal(prepared) if deal else prepared).select(
         "*", *[_within(v, held[name], keys, order).alias(f"__in_{name}") for name, v in values.items()]
     )
     totals = [f"__sum_{n}" for n, v in values.items() if v.how == "sum"]

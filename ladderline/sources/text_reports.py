@@ -12,6 +12,8 @@ from ladderline.functions.text import is_filled, starts_total
 REPORT_SUFFIX = r"(?i)\.(txt|mxl)$"
 TEXT_SUFFIX = r"(?i)\.txt$"
 SHEET_SUFFIX = r"(?i)\.mxl$"
+BLOCK_BITS, TASK_BITS = 16, 33
+"""A block has 2**16 lines at most; ``monotonically_increasing_id`` counts a task's rows in its low 33 bits."""
 
 
 def is_report(path: Column) -> Column:
@@ -40,8 +42,10 @@ def read_text_lines(
     """All lines of all ``.txt`` files below ``directory``:
     ``(path, mtime, block, line_no, line)``.
 
-    The scan splits large files, so no file is bound to one task; ``block`` is the split's offset in its
-    file and ``line_no`` rises inside it, so ``(block, line_no)`` is the file's line order. Line ends are
+    The scan splits large files, so no file is bound to one task. A split is cut into blocks of at most 65,536
+    lines, so what is gathered by block stays small however long the splits are: ``block`` is the split's offset in
+    its file plus the number of the cut, which is below the split's length, and ``line_no`` rises inside it, so
+    ``(block, line_no)`` is the file's line order. Line ends are
     ``\\n``, ``\\r\\n`` or ``\\r``, the byte order mark is dropped, and bytes that are not UTF-8 are left
     out. With ``fallback_encoding="windows-1251"``, files that are not valid UTF-8 are read in that
     encoding instead.
@@ -57,6 +61,7 @@ def read_text_lines(
             "value",
         )
         .filter(F.rlike("path", F.lit(TEXT_SUFFIX)))
+        .withColumn("block", F.col("block") + F.shiftright(F.col("line_no").bitwiseAND((1 << TASK_BITS) - 1), BLOCK_BITS))
     )
     if fallback_encoding is None:
         return scan.select("path", "mtime", "block", "line_no", _drop_invalid(F.col("value")).alias("line"))

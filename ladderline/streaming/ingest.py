@@ -259,6 +259,8 @@ class Ingest:
             .join(layouts_by_file(layout).select("path", "names"), "path")
             .select("path", "mtime", "start", "end", "names", F.struct("mtime", "path").alias("seq"))
         )
+        # As a table its size is known, so rows meet their file where they lie; by path, a file would be one task's.
+        files = stage(files, "own-files")
         headers = files.select(F.explode("names").alias("name"))
         present = {r["name"] for r in headers.distinct().collect()}  # column headers of one report
         columns = [name for name in contract.aliases if name in present]
